@@ -19,6 +19,19 @@ ROWS_PER_BAND = 4
 THRESHOLD = (3, 4)
 #: Elements whose permutations are held at once.
 _ELEMENTS = 1 << 16
+#: Sets below this size need many rounds; they take them together.
+_FEW = 64
+
+
+def _steps(text: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs in runs of whole texts with about _ELEMENTS elements, or one longer text."""
+    at = 0
+    while at < len(text):
+        stop = min(len(text), at + _ELEMENTS)
+        if stop < len(text):
+            stop = max(int(np.searchsorted(text, text[stop], "left")), int(np.searchsorted(text, text[at], "right")))
+        yield text[at:stop], hashes[at:stop]
+        at = stop
 
 
 def superminhash(text: np.ndarray, hashes: np.ndarray, n_texts: int, lanes: int = LANES) -> np.ndarray:
@@ -32,12 +45,9 @@ def superminhash(text: np.ndarray, hashes: np.ndarray, n_texts: int, lanes: int
     """
     out = np.full(n_texts * lanes, np.iinfo(np.uint64).max, np.uint64)
     low = np.uint64(0xFFFFFFFF)
-    bounds = [0]
-    while bounds[-1] < len(text):  # whole texts per step
-        stop = min(len(text), bounds[-1] + _ELEMENTS)
-        bounds.append(len(text) if stop == len(text) else max(int(np.searchsorted(text, text[stop], "left")), int(np.searchsorted(text, text[bounds[-1]], "right"))))
-    for a, b in zip(bounds, bounds[1:]):
-        base, x = text[a:b] * lanes, hashes[a:b]
+    small = np.bincount(text, minlength=n_texts)[text] < _FEW
+    for base, x in (*_steps(text[~small], hashes[~small]), *_steps(text[small], hashes[small])):
+        base = base * lanes
         order = None
         for j in range(lanes):
             r = mix(x + np.uint64((j * 0xA24BAED4963EE407 + 0x9FB21C651E98DF25) & (2**64 - 1)))
@@ -50,9 +60,9 @@ def superminhash(text: np.ndarray, hashes: np.ndarray, n_texts: int, lanes: int
                 order[row, visit] = order[:, j]
                 order[:, j] = lane
             np.minimum.at(out, base + lane, (np.uint64(j) << np.uint64(32)) | (r >> np.uint64(32)))
-            texts = base[np.flatnonzero(np.diff(base, prepend=-1))]
-            worst = out[texts[:, None] + np.arange(lanes)].max(axis=1)
-            unfinished = np.repeat(worst >= np.uint64((j + 1) << 32), np.diff(np.append(np.flatnonzero(np.diff(base, prepend=-1)), len(base))))
+            first = np.flatnonzero(np.append(True, base[1:] != base[:-1]))
+            worst = out.reshape(n_texts, lanes)[base[first] // lanes].max(axis=1)
+            unfinished = np.repeat(worst >= np.uint64((j + 1) << 32), np.diff(np.append(first, len(base))))
             if not unfinished.any():
                 break
             if order is None:
