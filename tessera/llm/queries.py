@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, substrings
+from . import neardup, packing, quality, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_near_dedup": neardup.op7_near_dedup,
+        "op9_quality": quality.op9_quality,
         "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
