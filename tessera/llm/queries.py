@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, packing, quality, substrings
+from . import fingerprints, neardup, packing, quality, substrings, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_exact_top_k": topk.op4_top_k,
+        "op5_fingerprints": fingerprints.op5_fingerprints,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_near_dedup": neardup.op7_near_dedup,
+        "op8_warc": warc.op8_warc,
         "op9_quality": quality.op9_quality,
         "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_exact_top_k": topk.SQL,
+        "op8_warc": warc.SQL,
+    }
