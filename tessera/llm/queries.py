@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, neardup, packing, quality, substrings, topk, warc
+from . import chats, counts, fingerprints, neardup, packing, pieces, quality, substrings, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": pieces.op1_sentencepiece,
+        "op2_chat_quotations": chats.op2_chat_quotations,
+        "op3_token_counts": counts.op3_token_counts,
         "op4_exact_top_k": topk.op4_top_k,
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -23,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_chat_quotations": chats.SQL,
         "op4_exact_top_k": topk.SQL,
         "op8_warc": warc.SQL,
     }
