@@ -46,7 +46,9 @@ def fingerprints(column: pa.Array) -> np.ndarray:
         hit = full[row, at]
         low[row[hit], bin_[hit]] = low[row[hit], at[hit]]
         row, bin_ = row[~hit], bin_[~hit]
-    return np.where(low < empty, mix(low) & np.uint64((1 << BITS) - 1), 0).astype(np.uint8)
+    # the bin enters the kept bits, so that a value copied to many bins does not meet another by chance in all of them
+    kept = mix(low + (np.arange(BINS, dtype=np.uint64) << np.uint64(33))) & np.uint64((1 << BITS) - 1)
+    return np.where(low < empty, kept, 0).astype(np.uint8)
 
 
 def packed(values: np.ndarray) -> list[str]:

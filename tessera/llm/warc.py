@@ -10,7 +10,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import shared_folder, table
@@ -42,35 +42,58 @@ def _record(kind: Column, record_id: Column, headers: list[Column], media: str,
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Writes a request, a response or revisit and a metadata record per row (page_id, url, html) as gzipped WARC files.
 
-    Of the rows with equal payloads of at least least_bytes bytes, that with the smallest page_id, and the
-    first read of equal ones, is the response, which the others revisit; these carry no payload. A null html is an
-    empty payload, a null page_id counts as the largest, a null url leaves its header out. Payloads are text in UTF-8.
+    Of the rows with equal payloads of at least least_bytes bytes, that with the smallest page_id is the response,
+    which the others revisit; these carry no payload. A null html is an empty payload, a null page_id counts as the
+    largest, a null url leaves its header out; of rows with one page_id the smallest url comes first, and of equal
+    rows one. Payloads are text in UTF-8.
 
-    Only payload digests are compared: the smallest row of each is found by a minimum that is combined before the
-    shuffle. Each Spark task writes one file through Spark's text writer, as a record ends with two line ends.
+    A payload travels once, however many pages have it, as copies are combined before the shuffle; the
+    revisits are made from ids, urls and digests alone. Each Spark task writes one file through Spark's text
+    writer, as a record ends with two line ends.
     """
-    row = F.struct(F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("page"), F.col("row"))
-    html = F.coalesce("html", F.lit(""))
-    pages = pages.select("page_id", F.regexp_replace("url", r"[\r\n]", "").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"), F.monotonically_increasing_id().alias("row"))
-    firsts = pages.groupBy(F.col("sha1").alias("sha1_of")).agg(F.min(row).alias("first"))
-    found = pages.join(firsts, F.col("sha1") == F.col("sha1_of"))
-    size = F.octet_length("html")
-    revisit = (size >= least_bytes) & (F.col("first.row") != F.col("row"))
-    uri = F.concat(F.lit("WARC-Target-URI: "), F.col("url"))
-    capture, of = _urn(F.lit("capture"), "sha1", F.col("row").cast("string")), _urn(F.lit("capture"), "sha1", F.col("first.row").cast("string"))
+    pages = pages.select("page_id", F.regexp_replace("url", r"[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html")).withColumn("sha1", F.sha1(F.col("html").cast("binary")))
+    order = F.struct(F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("page"), "url")
+    shared = F.octet_length("html") >= least_bytes
+    rows = pages.select("page_id", "url", "sha1", F.octet_length("html").alias("size"), shared.alias("shared"), order.alias("order")).groupBy("page_id", "url", "sha1", "size", "shared", "order").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    firsts = pages.where(shared).groupBy(F.col("sha1").alias("of")).agg(F.min(order).alias("first"))
+    rows = rows.where("shared").join(firsts, F.col("sha1") == F.col("of")).withColumn("leads", F.col("order").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
+    answers = pages.where(shared).groupBy("sha1").agg(F.first("html").alias("html"), F.min(F.struct(order.alias("order"), "page_id")).alias("lead"))
+    answers = answers.select("lead.page_id", F.col("lead.order.url").alias("url"), "sha1", "html", F.octet_length("html").alias("size"), F.lit(1).cast("long").alias("nth"))
+    if least_bytes > 0:
+        own = pages.where(~shared).select("page_id", "url", "sha1", "html", F.octet_length("html").alias("size"))
+        nth = F.row_number().over(Window.partitionBy("sha1", "page_id", "url").orderBy("size"))
+        answers = answers.unionByName(own.withColumn("nth", nth.cast("long")))
+    texts = _transaction(answers, None).union(_transaction(rows.where("not leads"), F.col("first")))
+    texts.write.option("lineSep", 2 * _END).option("compression", "gzip").text(path)
+
+
+def _transaction(rows: DataFrame, first: Column | None) -> DataFrame:
+    """The three records of each row (page_id, url, sha1, size, nth); with html a response, else a revisit of `first` (page, url)."""
+
+    def name(kind: str, page: Column, url: Column, nth: Column) -> Column:
+        return _urn(F.lit(kind), "sha1", F.coalesce(page.cast("string"), F.lit("-")), F.coalesce(url, F.lit("-")), nth.cast("string"))
+
+    page, url, nth = F.coalesce("page_id", F.lit((1 << 63) - 1)), F.col("url"), F.col("nth")
+    capture = name("capture", page, url, nth)
+    uri = F.concat(F.lit("WARC-Target-URI: "), url)
     concurrent = F.concat(F.lit("WARC-Concurrent-To: "), capture)
-    digest = F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32(F.col("sha1")))
-    profile = F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-    head = F.concat(F.lit(f"HTTP/1.1 200 OK{_END}Content-Type: text/html; charset=utf-8{_END}Content-Length: "), size.cast("string"), F.lit(2 * _END))
-    host = F.regexp_extract("url", r"^\w+://([^/?#]*)(/?[^#]*)", 1)
-    target = F.regexp_extract("url", r"^\w+://([^/?#]*)(/?[^#]*)", 2)
-    request = F.concat(F.lit("GET "), F.when(F.coalesce(target, F.lit("")) == "", "/").otherwise(target), F.lit(f" HTTP/1.1{_END}Host: "), F.coalesce(host, F.lit("")), F.lit(2 * _END))
+    headers = [uri, F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32(F.col("sha1")))]
+    head = F.concat(F.lit(f"HTTP/1.1 200 OK{_END}Content-Type: text/html; charset=utf-8{_END}Content-Length: "), F.col("size").cast("string"), F.lit(2 * _END))
+    if first is not None:
+        headers.append(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
+        headers.append(F.concat(F.lit("WARC-Refers-To: "), name("capture", first["page"], first["url"], F.lit(1))))
+    else:
+        head = F.concat(head, "html")
+    parts = [F.coalesce(F.regexp_extract("url", r"^\w+://([^/?#]*)(/?[^#]*)", k), F.lit("")) for k in (1, 2)]
+    request = F.concat(F.lit("GET "), F.when(parts[1] == "", "/").otherwise(parts[1]), F.lit(f" HTTP/1.1{_END}Host: "), parts[0], F.lit(2 * _END))
+    fields = F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit(_END)), F.lit(""))
     records = [
-        _record(F.lit("request"), _urn(F.lit("request"), "sha1", F.col("row").cast("string")), [concurrent, uri], "application/http; msgtype=request", request),
-        _record(F.when(revisit, "revisit").otherwise("response"), capture, [uri, digest, profile, F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), of))], "application/http; msgtype=response", F.when(revisit, head).otherwise(F.concat(head, "html"))),
-        _record(F.lit("metadata"), _urn(F.lit("metadata"), "sha1", F.col("row").cast("string")), [concurrent, uri], "application/warc-fields", F.concat(F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit(_END)), F.lit("")))),
+        _record(F.lit("request"), name("request", page, url, nth), [concurrent, uri], "application/http; msgtype=request", request),
+        _record(F.lit("response" if first is None else "revisit"), capture, headers, "application/http; msgtype=response", head),
+        _record(F.lit("metadata"), name("metadata", page, url, nth), [concurrent, uri], "application/warc-fields", fields),
     ]
-    found.select(F.concat_ws(2 * _END, *records)).write.option("lineSep", 2 * _END).option("compression", "gzip").text(path)
+    return rows.select(F.concat_ws(2 * _END, *records))
 
 
 def _headers(stream: io.BufferedIOBase) -> dict[str, str]:
