@@ -54,7 +54,7 @@ def row_errors(rows: DataFrame, stage: str | None = None, split: str | None = No
     checks = {f"missing_{c}": ~F.coalesce(has(c), F.lit(False)) for c in ("roi_id", "dataset_id", "capture_source_id", "split") if c in rows.columns}
     checks |= {
         "bad_capture_id": ~capture_parts(F.col("capture_source_id"))["valid"],
-        "capture_split_differs": F.split("capture_source_id", "-")[4] != F.col("split"),
+        "capture_split_differs": F.get(F.split("capture_source_id", "-"), 4) != F.col("split"),
         "bad_split": ~F.coalesce(F.col("split").isin("train", "val", "test"), F.lit(False)),
         "positive_without_points": present & (pts.isNull() | (F.size(pts) != P.N_POINTS)),
         "bad_point_ids": present & (F.size(pts) == P.N_POINTS) & P.canonical_points(pts).isNull(),

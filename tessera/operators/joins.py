@@ -116,7 +116,7 @@ def membership_violations(rows: DataFrame) -> DataFrame:
         found = rows.groupBy(key.alias("key")).agg(F.array_sort(F.collect_set(value)).alias("v")).where(F.size("v") > 1)
         return found.select(F.lit(check).alias("check"), "key", F.array_join("v", ",").alias("detail"))
 
-    performer = F.split("capture_source_id", "-")[6]
+    performer = F.get(F.split("capture_source_id", "-"), 6)
     out = several("capture_splits", F.col("capture_source_id"), "split")
     out = out.union(several("raw_image_splits", F.col("raw_image_id"), "split")).union(several("capture_variants", F.col("capture_source_id"), "proposal_variant"))
     return out.union(several("performer_splits_warning", performer, "split"))

@@ -194,7 +194,7 @@ def weighted_draws(rows: DataFrame, quotas: DataFrame, cell: tuple[str, ...], se
 def cdf_join(slots: DataFrame, parts: DataFrame, cell: tuple[str, ...], id_col: str, buckets: int = 64) -> DataFrame:
     """slots (cell, slot, u) joined to the row of parts (cell, cdf_lo, cdf_hi) with cdf_lo <= u < cdf_hi, by buckets of u."""
     bucket = lambda c: F.least(F.floor(c * buckets), F.lit(buckets - 1))
-    spans = parts.where("cdf_hi > cdf_lo").select(*cell, id_col, "cdf_lo", "cdf_hi", F.explode(F.sequence(bucket(F.col("cdf_lo")), bucket(F.col("cdf_hi")))).alias("bucket"))
+    spans = parts.where("cdf_hi > cdf_lo").select(*cell, id_col, "cdf_lo", "cdf_hi", F.explode(F.sequence(bucket(F.col("cdf_lo")), F.greatest(bucket(F.col("cdf_lo")), F.ceil(F.col("cdf_hi") * buckets) - 1))).alias("bucket"))
     marks = spans.select(*cell, "bucket", F.greatest("cdf_lo", F.col("bucket") / buckets).alias("at"), F.lit(0).alias("kind"), F.col(id_col).alias("own"), F.lit(None).cast("long").alias("slot"))
     points = slots.select(*cell, bucket(F.col("u")).alias("bucket"), F.col("u").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(parts.schema[id_col].dataType).alias("own"), "slot")
     order = Window.partitionBy(*cell, "bucket").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)

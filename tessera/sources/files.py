@@ -31,8 +31,10 @@ def _schema(schema: str | T.StructType) -> T.StructType:
 def read_labels(spark: SparkSession, paths: str | list[str], schema: str | T.StructType = LABEL_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """JSON lines with a fixed schema, and the lines that aren't objects of it: file, line text."""
     full = T.StructType([*_schema(schema).fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(paths).withColumn("file", F.col("_metadata.file_path"))
-    return rows.where("_bad is null").drop("_bad"), rows.select("file", "_bad").where("_bad is not null").withColumnRenamed("_bad", "line")
+    text = spark.read.text(paths).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    rows = text.withColumn("_row", F.from_json("line", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    bad = F.col("_row").isNull() | F.col("_row._bad").isNotNull() | ~F.ltrim("line").startswith("{")
+    return rows.where(~bad).select("_row.*", "file").drop("_bad"), rows.where(bad).select("file", "line")
 
 
 def read_text_with_line_no(spark: SparkSession, paths: str | list[str]) -> DataFrame:
