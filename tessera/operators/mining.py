@@ -11,7 +11,7 @@ from .ranks import mid_rank
 
 # fixed values
 WEIGHTS = {"landmark": 0.80, "presence": 0.10, "handedness": 0.10}
-DISAGREEMENT = {"mean_nme": 0.30, "p90_nme": 0.25, "bone_vector_nme": 0.20, "collapse_log_ratio": 0.15, "hand_flag_error": 0.10}
+DISAGREEMENT = {"mean_nme": 1.0, "p90_nme": 0.5, "collapse_log_ratio": 0.5, "bone_vector_nme": 0.5, "hand_flag_error": 0.0}
 
 
 def score_rows(rows: DataFrame) -> DataFrame:
@@ -51,6 +51,8 @@ def disagreement_score(rows: DataFrame, weights: dict[str, float] | None = None)
     rows = rows.withColumns(P.disagreement(F.col("points"), F.col("predicted"), F.col("hand_flag")))
     total = F.lit(0.0)
     for name, w in weights.items():
+        if not w:
+            continue
         rows = rows.withColumn("_v", F.abs(name) if name == "collapse_log_ratio" else F.col(name))
         rows = mid_rank(rows, "_v", f"rank_{name}").drop("_v")
         total = total + w * F.col(f"rank_{name}")

@@ -49,31 +49,33 @@ def _share(total: int, weights: dict[str, float]) -> dict[str, int]:
     return found
 
 
+def fill_cells(cells: pd.DataFrame, total: int, cell: str = "cell", weight: str = "weight", capacity: str = "capacity") -> pd.DataFrame:
+    """One plan's counted cells with quota."""
+    cells = cells.sort_values(cell)
+    room = dict(zip(cells[cell], cells[capacity].clip(lower=0).astype(int)))
+    weights = dict(zip(cells[cell], cells[weight].astype(float).clip(lower=0)))
+    got, left = dict.fromkeys(room, 0), min(total, sum(room.values()))
+    while left:
+        open_ = [k for k in room if got[k] < room[k]]
+        own = {k: weights[k] for k in open_}
+        offer = _share(left, own if sum(own.values()) > 0 else dict.fromkeys(open_, 1.0))
+        given = {k: min(offer[k], room[k] - got[k]) for k in open_}
+        if not sum(given.values()):
+            given = {open_[0]: 1}
+        for k, n in given.items():
+            got[k] += n
+            left -= n
+    return cells.assign(quota=cells[cell].map(got).astype("int64"))
+
+
 def bounded_quota(cells: DataFrame, total: int, cell: str = "cell", weight: str = "weight", capacity: str = "capacity", plan: str = "plan_id") -> DataFrame:
     """(plan_id, cell, weight, capacity) -> the same with quota: shared by weight, what exceeds a capacity shared again among cells with room.
 
     The loop runs on the counted cells of each plan, plans in parallel.
     """
 
-    def fill(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values(cell)
-        room = dict(zip(cells[cell], cells[capacity].clip(lower=0).astype(int)))
-        weights = dict(zip(cells[cell], cells[weight].astype(float).clip(lower=0)))
-        got, left = dict.fromkeys(room, 0), min(total, sum(room.values()))
-        while left:
-            open_ = [k for k in room if got[k] < room[k]]
-            own = {k: weights[k] for k in open_}
-            offer = _share(left, own if sum(own.values()) > 0 else dict.fromkeys(open_, 1.0))
-            given = {k: min(offer[k], room[k] - got[k]) for k in open_}
-            if not sum(given.values()):
-                given = {open_[0]: 1}
-            for k, n in given.items():
-                got[k] += n
-                left -= n
-        return cells.assign(quota=cells[cell].map(got).astype("int64"))
-
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
-    return cells.groupBy(plan).applyInPandas(fill, names + ", quota long")
+    return cells.groupBy(plan).applyInPandas(lambda c: fill_cells(c, total, cell, weight, capacity), names + ", quota long")
 
 
 def dataset_quotas(rows: DataFrame, total: int, most: int | None = None, weights: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import points as P
 from tessera.functions import stats, text
-from tessera.operators import contracts, detections, joins, metrics, mining, quotas, ranks, sets, telemetry
+from tessera.operators import contracts, detections, joins, metrics, mining, quotas, ranks, selection, sets, telemetry
 
 POINTS = "array<struct<id:int,x:double,y:double>>"
 
@@ -354,7 +354,7 @@ def test_scores_of_rows(spark):
     assert set(got) == {"r0", "r1"} and got["r0"].handedness_error == pytest.approx(0.2) and got["r1"].handedness_error == 0 and got["r0"].error_rank == 0.5
     assert mining.source_report(scored).first().source_rank == 1
     ranked = mining.disagreement_score(table(spark, [label(i) for i in range(3)]))
-    assert ranked.count() == 3 and ranked.first().disagreement == pytest.approx(0.5)
+    assert ranked.count() == 3 and ranked.first().disagreement == pytest.approx(0.5 * 2.5)
     queues = mining.review_queues(spark.createDataFrame([("a", 1.0, 2.0, 1.0), ("b", 3.0, 1.0, -2.0)], "roi_id string, baseline_px double, candidate_px double, delta_px double"), 1)
     assert {(r.category, r.roi_id) for r in queues.collect()} == {("worst", "a"), ("regressed", "a"), ("improved", "b")}
 
@@ -397,3 +397,55 @@ def test_set_operations(spark):
     assert sets.union_all(a, b).columns == ["id", "v"] and sets.common(a.select("id"), b).count() == 1
     assert sets.only_left(a.select("id"), b).count() == 0 and sets.only_left(a.select("id"), b.where("id = 1"), keep_repeats=True).count() == 1
     assert [r.id for r in sets.ordered_output(b, "id").collect()] == [1, 2] and sets.all_tokens(b, b).count() == 2
+
+
+# selection
+
+POOL = "id int, dataset_id string, sample_type string, source_sequence_id string, score double, tokens array<string>"
+
+
+def pool(spark, n=60):
+    return spark.createDataFrame([(i, f"d{i % 3}", f"t{i % 2}", f"s{i // 2}", float(i), [f"k{i}"]) for i in range(n)], POOL)
+
+
+def test_selection_keeps_quotas_caps_and_occupied_rows(spark):
+    occupied = spark.createDataFrame([("k59",), ("k58",)], "token string")
+    got = selection.select(pool(spark), occupied, {"t0": 0.5, "t1": 0.5}, 20, 8, "s", "score")
+    sizes = dict(got.groupBy("dataset_id").count().collect())
+    assert got.count() == 20 and max(sizes.values()) <= 8 and got.where("id >= 58").count() == 0
+    assert dict(got.groupBy("sample_type").count().collect()) == {"t0": 10, "t1": 10}
+    evidence = spark.createDataFrame([(1, "negative_removed"), (2, "quarantine"), (99, "negative_removed")], "id int, partition string")
+    chosen, wrong = selection.select_removed(evidence, pool(spark), occupied, {"t0": 1.0, "t1": 1.0}, 5, None, "s")
+    assert [r.id for r in chosen.collect()] == [1] and sorted((r.id, r.problem) for r in wrong.collect()) == [(2, "not_removed"), (99, "not_in_catalog")]
+
+
+def test_disagreement_selection_wants_full_coverage(spark):
+    teachers = table(spark, [label(i) for i in range(6)]).drop("predicted", "hand_flag", "handedness_score").withColumns({"sample_type": F.lit("POS_RUNTIME"), "source_sequence_id": F.col("roi_id"), "tokens": F.array("roi_id")})
+    students = table(spark, [label(i) | {"predicted": pose(0.01 * i)} for i in range(6)]).select("roi_id", "predicted", "hand_flag")
+    none = spark.createDataFrame([], "token string")
+    got = selection.select_disagreement(teachers, students, none, {"POS_RUNTIME": 1.0}, 2, None, "s")
+    assert sorted(r.roi_id for r in got.collect()) == ["r4", "r5"]
+    with pytest.raises(ValueError):
+        selection.select_disagreement(teachers, students.limit(3), none, {"POS_RUNTIME": 1.0}, 2, None, "s")
+
+
+def test_stages(spark):
+    base = spark.createDataFrame([(f"b{i}", True, 1.0) for i in range(4)], "roi_id string, present boolean, weight double")
+    hard = spark.createDataFrame([("b0", True, 1.0), ("h", False, 1.0)], "roi_id string, present boolean, weight double")
+    assert selection.stage_members("geometry", base).count() == 4
+    assert selection.stage_members("multitask", base, negatives=hard.where("not present")).count() == 5
+    mixed = selection.stage_members("multi_finetune", base, hard=hard, hard_fraction=0.6)
+    sums = dict(mixed.groupBy("mix_role").agg(F.round(F.sum("mix_weight"), 9)).collect())
+    assert mixed.count() == 5 and sums == {"hard": 0.6, "replay": 0.4}
+    for stage, more in (("geometry", {"negatives": hard}), ("multitask", {}), ("multi_finetune", {}), ("other", {})):
+        with pytest.raises(ValueError):
+            selection.stage_members(stage, base, **more)
+    with pytest.raises(ValueError):
+        selection.stage_members("geometry", hard)
+
+
+def test_smoke_set_has_both_hands(spark):
+    rows = spark.createDataFrame([(i, "gold" if i % 2 else "pseudo", i % 5 != 0, True, "Right" if i == 7 else "Left", f"s{i}") for i in range(60)], "id int, tier string, present boolean, palm_valid boolean, handedness string, source_sequence_id string")
+    got = selection.smoke_set(contracts.smoke_category(rows), {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2, "low_palm_negative": 3}, "s")
+    assert {"Left", "Right"} <= {r.handedness for r in got.where("present").collect()}
+    assert dict(got.groupBy("category").count().collect()) == {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2}
