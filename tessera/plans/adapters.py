@@ -86,7 +86,7 @@ def perf_lines(spark: SparkSession, sf_dir: str, n: int = 20) -> DataFrame:
     """(run_id, line_no, line): an orphan stage line for even runs, then three lines for each full window."""
     window = F.floor(F.col("frame_index") / n)
     full = frames(spark, sf_dir).groupBy("run_id", window.alias("w")).agg(F.count("*").alias("n"), F.avg("loop_ms").alias("loop"), F.avg("palm_total_ms").alias("palm"), F.max("loop_ms").alias("top")).where(f"n = {n}")
-    fmt = "%.9f"
+    fmt = "%.6f"
     lines = F.array(
         F.format_string("[PERF][summary] frame=%d total_frames=%d window_frames=%d", (F.col("w") + 1) * n - 1, (F.col("w") + 1) * n, F.lit(n)),
         F.format_string(f"[PERF][stage_ms] loop_avg={fmt} palm_avg={fmt}", F.col("loop"), F.col("palm")),

@@ -295,12 +295,12 @@ def window_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, avg(loop_ms) as l, avg(palm_total_ms) as p, max(loop_ms) as t from frames group by 1, 2 having count(*) = 20),
-m as (select run_id, w, unnest([{{'m': 'summary.frame', 'v': w * 20 + 19}}, {{'m': 'summary.total_frames', 'v': w * 20 + 20}}, {{'m': 'summary.window_frames', 'v': 20}}, {{'m': 'stage_ms.loop_avg', 'v': printf('%.9f', l)::double}}, {{'m': 'stage_ms.palm_avg', 'v': printf('%.9f', p)::double}}, {{'m': 'latency.loop_max', 'v': printf('%.9f', t)::double}}], recursive := true) from w)
-select run_id, m as metric, count(*) as windows, round(avg(v), 7) as mean, round(quantile_cont(v, 0.5), 7) as p50, round(quantile_cont(v, 0.95), 7) as p95, round(min(v), 7) as least, round(max(v), 7) as most, round(arg_max(v, w), 7) as latest from m group by 1, 2""")
+m as (select run_id, w, unnest([{{'m': 'summary.frame', 'v': w * 20 + 19}}, {{'m': 'summary.total_frames', 'v': w * 20 + 20}}, {{'m': 'summary.window_frames', 'v': 20}}, {{'m': 'stage_ms.loop_avg', 'v': printf('%.6f', l)::double}}, {{'m': 'stage_ms.palm_avg', 'v': printf('%.6f', p)::double}}, {{'m': 'latency.loop_max', 'v': printf('%.6f', t)::double}}], recursive := true) from w)
+select run_id, m as metric, count(*) as windows, round(avg(v), 8) as mean, round(quantile_cont(v, 0.5), 8) as p50, round(quantile_cont(v, 0.95), 8) as p95, round(min(v), 8) as least, round(max(v), 8) as most, round(arg_max(v, w), 8) as latest from m group by 1, 2""")
 def perf_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines made of the frames, parsed again and rolled up; numbers have 9 decimals in the lines."""
+    """Log lines made of the frames, parsed again and rolled up; numbers have 6 decimals in the lines."""
     parsed = telemetry.parse_lines(A.perf_lines(spark, sf_dir))
-    return rounded(telemetry.window_rollup(telemetry.log_metrics(parsed)), 7)
+    return rounded(telemetry.window_rollup(telemetry.log_metrics(parsed)), 8)
 
 
 @query(f"""{A.with_sql('history')} select run, metric, min(epoch) as epoch, b as value from history join (select run, metric, min(value) as b from history group by all) using (run, metric) where value = b group by run, metric, b""")
