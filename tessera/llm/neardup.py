@@ -315,3 +315,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+), s as (
+  select distinct doc_id, md5(array_to_string(ws[i:i + 4], ' ')) as h from w, unnest(range(1, greatest(len(ws) - 3, 2))) t(i) where len(ws) > 0
+), n as (
+  select doc_id, count(*) as n from s group by 1
+), p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n_shared from s a join s b using (h) where a.doc_id < b.doc_id group by 1, 2
+), l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * n_shared >= 75 * (x.n + y.n - n_shared)
+), e as (
+  select a, b from l union select b, a from l
+), reach as (
+  select doc_id as id, doc_id as r from documents
+  union
+  select reach.id, e.b from reach join e on e.a = reach.r
+)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(r) as component_id, d.doc_id = min(r) as kept
+from documents d join reach on reach.id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id, n.n
+"""

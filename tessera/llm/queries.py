@@ -28,5 +28,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_quotations": chats.SQL,
         "op4_exact_top_k": topk.SQL,
+        "op7_near_dedup": neardup.SQL,
         "op8_warc": warc.SQL,
+        "op10_substring_dedup": substrings.SQL,
     }

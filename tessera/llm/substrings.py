@@ -296,3 +296,19 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+), v as (
+  select doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) as h from w, unnest(range(1, len(ws) - 18)) t(i)
+), r as (
+  select doc_id, i, row_number() over (partition by h order by doc_id, i) as n from v
+), gone as (
+  select doc_id, list_distinct(flatten(list(range(i, i + 20)))) as g from r where n > 1 group by doc_id
+), k as (
+  select doc_id, ws, case when g is null then ws else list_filter(ws, lambda x, j: not list_contains(g, j)) end as kept from w left join gone using (doc_id)
+)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - len(kept))::bigint as n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
+"""
