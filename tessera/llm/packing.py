@@ -12,60 +12,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .spans import SpanStore
 from .tables import shuffle_partitions, table, written
 from .words import Words, list_column, slices
 
 CAPACITY = 2048
 END_ID = 0
-#: Distinct words that a worker keeps the ids of.
-CACHE_WORDS = 400_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer none of whose tokens spans white space, a word at a time.
-
-    The ids of the words seen are kept, up to CACHE_WORDS of them; code 0 stands for END_ID.
-    """
+    """Ids of texts by a tokenizer none of whose tokens spans white space: each distinct word is encoded once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[int, int] = {}
-        self.ids = np.array([END_ID], np.uint32)
-        self.at = np.array([0, 1], np.int64)
-
-    def word_codes(self, words: Words) -> np.ndarray:
-        keys, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.codes) + len(keys) > CACHE_WORDS:
-            self.forget()
-        codes = np.array([self.codes.get(k, -1) for k in keys.tolist()], np.int64)
-        if len(new := np.flatnonzero(codes < 0)):
-            raw = words.data.tobytes()
-            spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist())
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([raw[a:b].decode("utf-8", "replace") for a, b in spans], add_special_tokens=False)]
-            codes[new] = np.arange(len(new)) + len(self.at) - 1
-            self.codes.update(zip(keys[new].tolist(), codes[new].tolist()))
-            sizes = np.array([len(x) for x in found], np.int64)
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        return codes[inverse]
+        encode = Tokenizer.from_file(path).encode_batch_fast
+        self.store = SpanStore(lambda texts: [e.ids for e in encode(texts, add_special_tokens=False)], [END_ID])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and where each text's begin."""
         words = Words(column)
-        codes = np.insert(self.word_codes(words), words.first[1:], 0) if len(words.hashes) else np.zeros(len(column), np.int64)
-        sizes = self.at[codes + 1] - self.at[codes]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.at[codes] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        last = words.first[1:] + np.arange(len(column))  # each text's END_ID among the codes
-        return ids, np.append(0, ends[last])
+        codes = np.insert(self.store.codes(words.hashes, words.data, words.starts, words.ends), words.first[1:], 0)
+        ids, begin = self.store.values(codes)
+        return ids, np.append(0, begin[words.first[1:] + np.arange(1, len(column) + 1)])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -90,7 +62,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                 columns = [part.column("id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(piece * capacity, pa.int64()), pa.array(end - begin, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    columns.append(list_column(ids.astype(np.int32), end - begin, pa.int32()))
+                    columns.append(list_column(ids, end - begin, pa.int32()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
