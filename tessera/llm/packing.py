@@ -18,6 +18,8 @@ from .words import Words, list_column, slices
 
 CAPACITY = 2048
 END_ID = 0
+#: Hash buckets that pieces of one length are numbered in; with the lengths this bounds the table of their counts.
+MOST_BUCKETS = 1024
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -186,7 +188,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key_cols: tuple[str, ...]
     An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    buckets = shuffle_partitions(spark)
+    buckets = min(shuffle_partitions(spark), MOST_BUCKETS)
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int"))
     sizes = written(pieces.groupBy("bucket", "length").agg(F.count("*").alias("n")), "lengths")
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
