@@ -6,66 +6,59 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BOX = "box_id long, x1 double, y1 double, x2 double, y2 double, score double"
+def _suppress(iou: float, cross_iou: float | None, k: int):
+    """Rows sorted by image, head and score, as a stream: those that stay, with their rank. Only the kept boxes of one image are held."""
 
-
-def _iou(box: np.ndarray, others: np.ndarray) -> np.ndarray:
-    w = np.clip(np.minimum(box[2], others[:, 2]) - np.maximum(box[0], others[:, 0]), 0, None)
-    h = np.clip(np.minimum(box[3], others[:, 3]) - np.maximum(box[1], others[:, 1]), 0, None)
-    area = lambda b: np.clip(b[..., 2] - b[..., 0], 0, None) * np.clip(b[..., 3] - b[..., 1], 0, None)
-    return w * h / (area(box) + area(others) - w * h + 1e-6)
-
-
-def _greedy(boxes: pd.DataFrame, limit: float, k: int, kept: np.ndarray | None = None) -> list[int]:
-    """Rows in score order whose overlap with no kept box passes the limit, k at most."""
-    xy = boxes[["x1", "y1", "x2", "y2"]].to_numpy()
-    have = np.empty((0, 4)) if kept is None else kept
-    out: list[int] = []
-    for i in range(len(boxes)):
-        if len(have) >= k:
-            break
-        if not len(have) or _iou(xy[i], have).max() <= limit:
-            out.append(i)
-            have = np.vstack([have, xy[i]])
-    return out
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        image, kept, second = None, [], iou
+        for batch in batches:
+            rows, ranks = [], []
+            columns = [batch[c].tolist() for c in ("image", "head", "x1", "y1", "x2", "y2")]
+            for i, (own, head, x1, y1, x2, y2) in enumerate(zip(*columns)):
+                if own != image:
+                    image, kept = own, []
+                    second = cross_iou if cross_iou is not None and head == 0 else iou
+                if len(kept) >= k:
+                    continue
+                limit = iou if head == 0 else second
+                area = max(0.0, x2 - x1) * max(0.0, y2 - y1)
+                for a1, b1, a2, b2, other in kept:
+                    both = max(0.0, min(x2, a2) - max(x1, a1)) * max(0.0, min(y2, b2) - max(y1, b1))
+                    if both / (area + other - both + 1e-6) > limit:
+                        break
+                else:
+                    kept.append((x1, y1, x2, y2, area))
+                    rows.append(i)
+                    ranks.append(len(kept))
+            yield batch.iloc[rows].assign(rank=ranks)
+
+    return run
+
+
+def _streamed(boxes: DataFrame, head: Column, iou: float, cross_iou: float | None, k: int) -> DataFrame:
+    kind = boxes.schema["image"].dataType.simpleString()
+    rows = boxes.where(F.col("image").isNotNull()).select("image", "box_id", head.cast("int").alias("head"), *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "score")))
+    rows = rows.where(~F.isnan("score") & (F.abs("score") != float("inf")))
+    n = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ordered = rows.repartition(n, "image").sortWithinPartitions("image", "head", F.col("score").desc(), "box_id")
+    return ordered.mapInPandas(_suppress(iou, cross_iou, k), f"image {kind}, box_id long, head int, x1 double, y1 double, x2 double, y2 double, score double, rank int")
 
 
 def nms(boxes: DataFrame, iou: float, k: int) -> DataFrame:
     """Greedy suppression per image: (image, box_id, x1, y1, x2, y2, score, rank); boxes with an overlap above `iou` with a better one go; k stay at most.
 
-    Scores that aren't finite take no part; equal scores go by box_id.
+    Scores that aren't finite and null images take no part; equal scores go by box_id. Boxes pass as a stream in the order
+    of image and score, so an image may have any number of them.
     """
-    kind = boxes.schema["image"].dataType.simpleString()
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["score", "box_id"], ascending=[False, True], ignore_index=True)
-        kept = group.iloc[_greedy(group, iou, k)]
-        return kept.assign(rank=np.arange(1, len(kept) + 1))
-
-    rows = boxes.select("image", "box_id", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "score"))).where(~F.isnan("score") & (F.abs("score") != float("inf")))
-    return rows.groupBy("image").applyInPandas(run, f"image {kind}, {_BOX}, rank int")
+    return _streamed(boxes, F.lit(0), iou, None, k).drop("head")
 
 
 def nms_two_stage(boxes: DataFrame, iou: float, cross_iou: float, k: int) -> DataFrame:
-    """Suppression inside head 0, then boxes of head 1 by score unless their overlap with a kept box passes cross_iou; without a box of head 0 all together."""
-    kind = boxes.schema["image"].dataType.simpleString()
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["score", "box_id"], ascending=[False, True], ignore_index=True)
-        first, second = group[group["head"] == 0], group[group["head"] != 0]
-        if first.empty:
-            kept = group.iloc[_greedy(group, iou, k)]
-        else:
-            kept = first.iloc[_greedy(first, iou, k)]
-            more = second.iloc[_greedy(second, cross_iou, k, kept[["x1", "y1", "x2", "y2"]].to_numpy())]
-            kept = pd.concat([kept, more])
-        return kept.assign(rank=np.arange(1, len(kept) + 1))
-
-    rows = boxes.select("image", "box_id", "head", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "score")))
-    return rows.groupBy("image").applyInPandas(run, f"image {kind}, box_id long, head int, x1 double, y1 double, x2 double, y2 double, score double, rank int")
+    """Suppression inside head 0, then boxes of head 1 by score unless their overlap with a kept box passes cross_iou; without a box of head 0 all together by iou."""
+    return _streamed(boxes, F.when(F.col("head") == 0, 0).otherwise(1), iou, cross_iou, k)
 
 
 def anchors(spark, levels: list[tuple[int, int, int]]) -> DataFrame:
