@@ -393,6 +393,70 @@ def dotted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", X.dotted(F.col("props"), "k").alias("k"), X.dotted(F.col("props"), "a.b").alias("ab"), X.uniform(F.lit(11), F.col("event_id")).alias("u"))
 
 
+@query(f"""{A.with_sql('labels', 'candidate')}, p as (select roi_id from candidate where predicted is not null union all select 'roi-0' union all select 'roi-none' union all select roi_id from candidate where roi_id like '%7'),
+a as (select roi_id, count(*) as n_labels from labels group by 1), b as (select roi_id, count(*) as n_predictions from p group by 1)
+select roi_id, coalesce(n_labels, 0) as n_labels, coalesce(n_predictions, 0) as n_predictions, case when n_predictions is null then 'missing' when n_labels is null then 'extra' else 'duplicate' end as problem
+from a full outer join b using (roi_id) where n_predictions is null or n_labels is null or n_labels > 1 or n_predictions > 1""")
+def coverage_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions with gaps, an unknown id and repeats against the labels."""
+    made = A.roi_predictions(spark, sf_dir)
+    extra = spark.createDataFrame([("roi-0",), ("roi-none",)], "roi_id string")
+    given = made.where("predicted is not null").select("roi_id").union(extra).union(made.where("roi_id like '%7'").select("roi_id"))
+    return joins.coverage_problems(A.roi_labels(spark, sf_dir), given, "roi_id")
+
+
+@query(f"""{A.with_sql('assets')}, o as (select id, digest from assets where id % 7 <> 0), n as (select id, case when id % 5 = 0 then sha256(digest) else digest end as digest from assets where id % 11 <> 0)
+select id, case when n.digest is null then 'removed' when o.digest is null then 'added' else 'modified' end as change from o full outer join n using (id) where o.digest is distinct from n.digest""")
+def snapshot_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assets = A.asset_rows(spark, sf_dir).select("id", "digest")
+    changed = F.when(F.col("id") % 5 == 0, F.sha2("digest", 256)).otherwise(F.col("digest"))
+    return joins.snapshot_drift(assets.where("id % 7 <> 0"), assets.where("id % 11 <> 0").withColumn("digest", changed), "id", "digest")
+
+
+@query(f"""{A.with_sql('assets')}, g as (select token, min(id) as winner from (select id, unnest(['d:' || digest, 'p:' || id // 3]) as token from assets where split <> 'train') group by 1),
+r as (select distinct id, unnest(['d:' || digest, 'p:' || id // 3]) as token from assets where split = 'train') select id, count(*) as n_tokens, min(winner) as winner from r join g using (token) group by 1""")
+def supersede_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training assets that share a digest or parent with one outside training, and which one wins."""
+    tokens = F.array(F.concat(F.lit("d:"), "digest"), F.concat(F.lit("p:"), F.floor(F.col("id") / 3)))
+    assets = A.asset_rows(spark, sf_dir).withColumn("tokens", tokens)
+    return joins.supersede(assets.where("split <> 'train'"), assets.where("split = 'train'"), "id")[1]
+
+
+def _skeleton_sql(p: str) -> str:
+    return _edge_sql(p).replace(_EDGES_SQL, _BONES_SQL)
+
+
+@query(f"""{A.with_sql('labels', 'candidate')}, g as (select dataset_id, {_skeleton_sql('predicted')} / {_skeleton_sql('points')} as r from labels join candidate using (roi_id) where predicted is not null)
+select dataset_id, count(*) as n, round(avg(r), 6) as mean_length_ratio, count(*) filter (r < 0.7) as below_070, count(*) filter (r < 0.5) as below_050 from g group by 1""")
+def gold_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = A.roi_labels(spark, sf_dir).join(A.roi_predictions(spark, sf_dir), "roi_id").where("predicted is not null")
+    return rounded(metrics.gold_relative(rows, ("dataset_id",)).drop("mean_area_ratio"))
+
+
+@query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, count(*) as n, sum(loop_ms) as ms, max(loop_ms) as top from frames group by 1, 2 having count(*) = 20)
+select run_id, count(*) as windows, sum(n)::bigint as frames, round(sum(ms), 6) as total_ms, round(sum(n) * 1000.0 / sum(ms), 6) as fps, round(max(top), 6) as slowest_ms from w group by 1""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(telemetry.run_metrics(telemetry.frame_windows(A.frames(spark, sf_dir), 20)))
+
+
+@query(f"""{A.with_sql('assets')} select "group", count(*) as n_files, sha256(string_agg(id || ':' || digest || chr(10), '' order by id || ':' || digest || chr(10))) as fingerprint from assets group by 1""")
+def source_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.fingerprint(A.asset_rows(spark, sf_dir).withColumn("path", F.col("id").cast("string")), ("group",))
+
+
+@query(f"""{A.with_sql('strata')} select id, 1.0 / count(*) over (partition by source_sequence_id) as inverse from strata""")
+def inverse_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranks.inverse_frequency(A.strata_rows(spark, sf_dir), "source_sequence_id").select("id", "inverse")
+
+
+@query(f"""{A.with_sql('strata')}, c as (select tier, sample_type, count(*) as n, sum(weight) as w, max(weight) as m from strata group by all)
+select tier, sample_type, least(200, floor(least(n * 0.02, 4.0 * w / m)))::bigint as quota, 200 - least(200, floor(least(n * 0.02, 4.0 * w / m)))::bigint as freed from c""")
+def rare_cell_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = A.strata_rows(spark, sf_dir)
+    cells = rows.groupBy("tier", "sample_type").agg(F.count("*").alias("n"), F.sum("weight").alias("total_weight"), F.max("weight").alias("max_weight")).withColumn("quota", F.lit(200).cast("long"))
+    return quotas.rare_cell_cap(cells, average=0.02, heaviest=4.0).select("tier", "sample_type", "quota", "freed")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
