@@ -45,18 +45,17 @@ def difficulty(scored: DataFrame) -> DataFrame:
     return ranked.withColumn("difficulty", WEIGHTS["landmark"] * F.col("error_rank") + WEIGHTS["presence"] * F.col("presence_error") + WEIGHTS["handedness"] * F.col("handedness_error"))
 
 
-def disagreement_score(rows: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """Rows (points, predicted, hand_flag) with the twelve disagreement measures and the weighted sum of five mid-ranks; collapse by absolute value."""
-    weights = weights or DISAGREEMENT
+def disagreement_score(rows: DataFrame, weights: dict[str, float] | None = None, id_col: str = "roi_id") -> DataFrame:
+    """Rows (id, points, predicted, hand_flag) with the twelve disagreement measures and the weighted sum of five mid-ranks; collapse by absolute value.
+
+    All measures are ranked together, by measure, in one pass.
+    """
+    weights = {k: v for k, v in (weights or DISAGREEMENT).items() if v}
     rows = rows.withColumns(P.disagreement(F.col("points"), F.col("predicted"), F.col("hand_flag")))
-    total = F.lit(0.0)
-    for name, w in weights.items():
-        if not w:
-            continue
-        rows = rows.withColumn("_v", F.abs(name) if name == "collapse_log_ratio" else F.col(name))
-        rows = mid_rank(rows, "_v", f"rank_{name}").drop("_v")
-        total = total + w * F.col(f"rank_{name}")
-    return rows.withColumn("disagreement", total)
+    values = [F.struct(F.lit(n).alias("measure"), F.lit(float(w)).alias("weight"), (F.abs(n) if n == "collapse_log_ratio" else F.col(n)).alias("value")) for n, w in weights.items()]
+    long = rows.select(id_col, F.explode(F.array(*values)).alias("e")).select(id_col, "e.*")
+    ranked = mid_rank(long, "value", "rank", ("measure",))
+    return rows.join(ranked.groupBy(id_col).agg(F.sum(F.col("weight") * F.col("rank")).alias("disagreement")), id_col)
 
 
 def source_report(scored: DataFrame, by: str = "capture_source_id") -> DataFrame:

@@ -58,7 +58,7 @@ def select_disagreement(teachers: DataFrame, predictions: DataFrame, occupied: D
     """The teacher's positives on which a student disagrees most; predictions (id, predicted, hand_flag) must cover them exactly."""
     require_empty(coverage_problems(teachers, predictions, id_col), "prediction coverage")
     free = exclude_occupied(teachers, occupied, id_col).where(F.col("sample_type").isin(list(fractions)))
-    scored = disagreement_score(free.join(predictions.select(id_col, "predicted", "hand_flag"), id_col), weights)
+    scored = disagreement_score(free.join(predictions.select(id_col, "predicted", "hand_flag"), id_col), weights, id_col)
     chosen = select(scored, occupied, fractions, n, per_dataset, salt, "disagreement", id_col)
     return chosen.withColumn("tie_break", salted_digest(salt, F.col(id_col)))
 

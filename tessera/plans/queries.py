@@ -266,10 +266,13 @@ def disagreement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select("roi_id", *(found[n].alias(n) for n in names)))
 
 
-@query()
+_RANKED = ", ".join(f"({w} * ((rank() over (order by {v})) - 1 + (count(*) over (partition by {v}) - 1) / 2) / greatest(1, count(*) over () - 1)) as r{i}" for i, (w, v) in enumerate(((1.0, "mean_nme"), (0.5, "p90_nme"), (0.5, "abs(collapse_log_ratio)"), (0.5, "bone_vector_nme"))))
+
+
+@query("with d as (" + SQL["disagreement_metrics"] + f"), k as (select roi_id, {_RANKED} from d) select roi_id, round(r0 + r1 + r2 + r3, 6) as disagreement from k")
 def disagreement_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.roi_labels(spark, sf_dir).join(A.roi_predictions(spark, sf_dir), "roi_id").where("present and predicted is not null")
-    return mining.disagreement_score(rows).select("roi_id", "disagreement")
+    return rounded(mining.disagreement_score(rows).select("roi_id", "disagreement"))
 
 
 _T = telemetry.TIMINGS
