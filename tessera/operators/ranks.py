@@ -50,7 +50,8 @@ def cell_cdf(df: DataFrame, cell: tuple[str, ...], weight: str, order: str, part
     `order`. Rows without a positive weight have an empty part; the last part ends at 1.
     """
     w = F.when(F.col(weight) > 0, F.col(weight)).otherwise(0.0)
-    rows = df.withColumn("_w", w).withColumn("_p", F.pmod(F.xxhash64(order), F.lit(parts)))
+    part = F.conv(F.substring(F.sha2(F.col(order).cast("string"), 256), 1, 8), 16, 10).cast("long") % parts
+    rows = df.withColumn("_w", w).withColumn("_p", part)
     sums = rows.groupBy(*cell, "_p").agg(F.sum("_w").alias("_s"))
     before = Window.partitionBy(*cell).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*cell, "_p", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_b"), F.sum("_s").over(Window.partitionBy(*cell)).alias("_t"))
