@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,9 +33,3 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def checksum(df: DataFrame) -> tuple[int, int]:
-    """Row count and an order-free sum of the row hashes."""
-    row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
