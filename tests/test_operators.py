@@ -1,10 +1,7 @@
 """Golden values, order independence and violations of the keypoint operators, on small tables."""
 
-import json
 import math
-import random
 import struct
-import zlib
 
 import pytest
 from pyspark.sql import functions as F

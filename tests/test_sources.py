@@ -5,7 +5,6 @@ import struct
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import telemetry
 from tessera.sources import files
