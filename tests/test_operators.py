@@ -1,7 +1,6 @@
 """Golden values, order independence and violations of the keypoint operators, on small tables."""
 
 import math
-import struct
 
 import pytest
 from pyspark.sql import functions as F
