@@ -153,7 +153,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     def grid(asked: DataFrame) -> DataFrame:
         """Each query block is sent once to each of the lanes that the candidates' blocks are dealt to."""
         wanted = held.join(F.broadcast(blocks), "dims") if blocks_n <= 100_000 else held.join(blocks, "dims")
-        return wanted.join(asked.select("*", lanes), ["q_block", "dims", "lane"])
+        # never by broadcast: the copies for the lanes look small once compressed
+        return wanted.join(asked.select("*", lanes).hint("merge"), ["q_block", "dims", "lane"])
 
     blocks_n = blocks.count()
     first = grid(asked).select("dims", "ids", "data", "q_ids", "q_data").mapInArrow(_gather(k), "query_id long, vec_id long, score long")
