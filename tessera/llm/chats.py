@@ -74,15 +74,17 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     found = quoted.join(own, ["conv_id", "digest"]).where("of < turn").groupBy("conv_id", "turn", "of").agg(F.count("*").alias("n"))
     replies = written(found.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "of"))["of"].alias("reply_to")), "replies")
 
-    # each pass doubles the answers that a message's way back covers
-    ways = replies.select("conv_id", "turn", F.col("reply_to").alias("top"), F.lit(1).cast("long").alias("depth"))
+    # each pass doubles the answers that a message's way back covers; ways that have come to an end take no further part
+    ways = replies.select("conv_id", "turn", F.col("reply_to").alias("top"), F.lit(1).cast("long").alias("depth"), F.lit(True).alias("open"))
     while True:
-        up = ways.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"), F.col("depth").alias("more"))
-        longer = ways.join(up, ["conv_id", "top"], "left")
-        step = written(longer.select("conv_id", "turn", F.coalesce("higher", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("higher").isNotNull().alias("moved")), "ways")
-        ways = step.drop("moved")
-        if not step.where("moved").limit(1).count():
+        done, rest = ways.where("not open"), ways.where("open")
+        up = ways.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"), F.col("depth").alias("more"), F.col("open").alias("up_open"))
+        longer = rest.join(up, ["conv_id", "top"], "left")
+        longer = longer.select("conv_id", "turn", F.coalesce("higher", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("up_open", F.lit(False)).alias("open"))
+        ways = written(done.unionByName(longer), "ways")
+        if ways.where("open").isEmpty():
             break
+    ways = ways.drop("open")
 
     rows = parsed.join(replies, ["conv_id", "turn"], "left").join(ways, ["conv_id", "turn"], "left")
     rows = rows.select("conv_id", "turn", "role", "reply_to", F.coalesce("top", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"), F.size("passages").alias("n_quoted"), F.col("own").alias("text"))
