@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -103,19 +104,31 @@ def stratified_sample(rows: DataFrame, strata: tuple[str, ...], id_col: str, n:
 def cap_and_refill(selected: DataFrame, eligible: DataFrame, most: int, score: str, id_col: str = "id") -> DataFrame:
     """Selected rows, `most` per dataset; what goes is replaced by eligible rows of the same type from datasets with room.
 
-    The worst rows over the cap go. Refill rows are ranked by score (then id) within their dataset, which gives as many as it has
-    room for, and then within their type. Where one dataset's room is wanted by two types, the better ranked
-    row has it, and a type may stay short; totals and caps hold always.
+    The worst rows over the cap go. Short types are refilled one after another, by name: the best rows (score, then id) of the
+    type in datasets that still have room, which earlier types leave. A type stays short only where no such row is left.
+    The loop runs over the short types; each pass is two ranks, and its rows are kept as a checkpoint (id and dataset only).
     """
     best = [F.col(score).desc(), F.col(id_col)]
     kept = selected.withColumn("_r", F.row_number().over(Window.partitionBy("dataset_id").orderBy(*best)))
-    short = kept.where(f"_r > {most}").groupBy("sample_type").agg(F.count("*").alias("_short"))
+    short = kept.where(f"_r > {most}").groupBy("sample_type").agg(F.count("*").alias("n")).collect()  # a row per type
     kept = kept.where(f"_r <= {most}").drop("_r")
-    counts = kept.groupBy("dataset_id").agg(F.count("*").alias("_n"))
-    pool = eligible.join(selected.select(id_col), id_col, "left_anti").join(short, "sample_type").join(counts, "dataset_id", "left").fillna(0, ["_n"])
-    pool = pool.withColumn("_d", F.row_number().over(Window.partitionBy("dataset_id").orderBy(*best))).where(F.col("_d") + F.col("_n") <= most)
-    pool = pool.withColumn("_t", F.row_number().over(Window.partitionBy("sample_type").orderBy(*best))).where("_t <= _short")
-    return kept.unionByName(pool.select(kept.columns))
+    pool = eligible.join(selected.select(id_col), id_col, "left_anti")
+    used, refill = kept.select("dataset_id"), []
+    for sample_type, n in sorted(((r["sample_type"], r["n"]) for r in short), key=lambda x: str(x[0])):
+        counts = used.groupBy("dataset_id").agg(F.count("*").alias("_n"))
+        open_ = pool.where(F.col("sample_type").eqNullSafe(sample_type)).select(id_col, "dataset_id", score).join(counts, "dataset_id", "left").fillna(0, ["_n"])
+        open_ = open_.withColumn("_d", F.row_number().over(Window.partitionBy("dataset_id").orderBy(*best))).where(F.col("_d") + F.col("_n") <= most)
+        taken = _held(open_.orderBy(*best).limit(n).select(id_col, "dataset_id"))
+        used = used.unionByName(taken.select("dataset_id"))
+        refill.append(taken.select(id_col))
+    if not refill:
+        return kept
+    return kept.unionByName(pool.join(reduce(DataFrame.unionByName, refill), id_col, "left_semi").select(kept.columns))
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """rows cut from their plan: in spark.checkpoint.dir, or on the executors where none is set."""
+    return rows.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", None) else rows.localCheckpoint()
 
 
 def group_holdout(rows: DataFrame, least: int, target: int, most: int, pattern: str = ".*", plan: Column | None = None) -> DataFrame:

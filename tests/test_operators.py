@@ -195,6 +195,14 @@ def test_cap_and_refill_keeps_totals_and_caps(spark):
     assert got.count() == 14 == got.select("id").distinct().count() and max(sizes.values()) <= 6
 
 
+def test_refill_gives_on_room_that_a_type_does_not_use(spark):
+    kinds = "id string, dataset_id string, sample_type string, score double"
+    chosen = spark.createDataFrame([("a1", "d0", "A", 0.9), ("a2", "d0", "A", 0.5), ("b1", "d0", "B", 0.4)], kinds)
+    free = spark.createDataFrame([("a3", "d2", "A", 0.85), ("a4", "d1", "A", 0.8), ("b2", "d1", "B", 0.7)], kinds)
+    got = quotas.cap_and_refill(chosen, chosen.unionByName(free), 1, "score")
+    assert sorted(r.id for r in got.collect()) == ["a1", "a3", "b2"]
+
+
 def test_balanced_order_and_epoch_size(spark):
     order = quotas.balanced_order(spark.createDataFrame([("e", "a", 2), ("e", "b", 1)], "epoch string, sample_type string, quota int"), ("epoch",)).orderBy("position")
     assert [r.sample_type for r in order.collect()] == ["a", "b", "a"]
