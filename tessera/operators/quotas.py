@@ -178,21 +178,54 @@ def tier_type_quota(rows: DataFrame, batch_size: int, fractions: DataFrame) -> D
     return largest_remainder(cells, "sample_type", "n", F.col("tier_quota"), ("tier",)).select("tier", "sample_type", "n", "quota")
 
 
-def rare_cell_cap(cells: DataFrame, draws: str = "quota", average: float = 4.0, heaviest: float = 16.0) -> DataFrame:
+def rare_cell_cap(cells: DataFrame, draws: str = "quota", average: float = 4.0, heaviest: float = 16.0, slack: float = 0.0) -> DataFrame:
     """Counted cells (n, total_weight, max_weight, quota) with quota capped so that a row is drawn `average` times on the mean
-    and the heaviest `heaviest` times at most; freed tells what was cut."""
-    cap = F.floor(F.least(F.col("n") * average, heaviest * F.col("total_weight") / F.col("max_weight"))).cast("long")
+    and the heaviest `heaviest` times at most; freed tells what was cut. The first step of rare_cell_quota()."""
+    cap = F.floor(F.least(F.col("n") * average, heaviest * F.col("total_weight") / F.col("max_weight")) + slack).cast("long")
     return cells.withColumn("_q", F.least(draws, cap)).withColumn("freed", F.col(draws) - F.col("_q")).withColumn(draws, F.col("_q")).drop("_q")
 
 
-def auto_epoch_size(rows: DataFrame, per_batch: DataFrame, limit: float) -> DataFrame:
-    """The most batches of an epoch in which the heaviest row of no cell is expected more than `limit` times.
+def rare_cell_quota(cells: DataFrame, positives: tuple[str, ...], by: tuple[str, ...] = ("tier",), share: str = "fraction", draws: str = "quota", average: float = 4.0, heaviest: float = 16.0) -> DataFrame:
+    """Counted cells (by, sample_type, n, total_weight, max_weight, fraction, quota) with quota capped by rare_cell_cap(), and what was cut
+    given to the uncapped positive types of the same group by their fractions, largest remainder, of equals in the order of `positives`.
 
-    rows: cell, weight; per_batch: cell, quota (rows of the cell in a batch).
+    freed tells what was cut, added what was given. A row's quota raises an error where its group has draws left over, as no positive
+    cell is uncapped, or where the cell is over a limit after all. A group's quotas add up to what they were.
     """
-    shares = rows.groupBy("cell").agg((F.max("weight") / F.sum("weight")).alias("top"))
-    fits = shares.join(per_batch, "cell").where("quota > 0").withColumn("batches", F.floor(limit / (F.col("top") * F.col("quota"))).cast("long"))
-    return fits.agg(F.min("batches").alias("batches"), F.min_by("cell", F.struct("batches", "cell")).alias("tightest_cell"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a row per cell
+    at = F.array_position(F.array(*(F.lit(p) for p in positives)), F.col("sample_type"))
+    capped = rare_cell_cap(cells, draws, average, heaviest, 1e-12).withColumn("_freed", F.sum("freed").over(group)).withColumn("_at", at)
+    open_ = capped.where(f"_at > 0 and freed = 0 and n > 0 and `{share}` > 0")
+    given = largest_remainder(open_.select(*by, "sample_type", "_at", share, "_freed"), "_at", share, F.col("_freed"), by)
+    rows = capped.join(given.select(*by, "sample_type", F.col("quota").alias("added")), [*by, "sample_type"], "left").fillna(0, ["added"])
+    total = F.col(draws) + F.col("added")
+    over = (total > F.col("n") * (average + 1e-12)) | (total * F.col("max_weight") / F.col("total_weight") > heaviest + 1e-12)
+    lost = F.sum("added").over(group) != F.col("_freed")
+    name = F.concat_ws(":", *by, "sample_type")
+    checked = F.when(lost, F.raise_error(F.concat(F.lit("no uncapped positive cell for the draws cut in "), name)).cast("long"))
+    checked = checked.when(F.coalesce((total > 0) & over, F.lit(False)), F.raise_error(F.concat(F.lit("over its limits after redistribution: "), name)).cast("long"))
+    return rows.withColumn(draws, checked.otherwise(total)).drop("_freed", "_at")
+
+
+def auto_epoch_size(rows: DataFrame, per_batch: DataFrame, limit: float, average: float | None = None, upper: int | None = None) -> DataFrame:
+    """The most batches of an epoch of `upper` rows at most in which the heaviest row of no cell is expected more than `limit` times,
+    and a cell's rows not more than `average` times on the mean; tightest_cell is the one nearest to its limits.
+
+    rows: cell, weight; per_batch: cell, quota (rows of the cell in a batch). A cell without rows or weight, and limits that no
+    whole batch keeps, raise an error.
+    """
+    shares = rows.groupBy("cell").agg((F.max("weight") / F.nullif(F.sum("weight"), F.lit(0))).alias("top"), F.count("*").alias("n"))
+    fits = per_batch.where("quota > 0").join(shares, "cell", "left")
+    most = (limit + 1e-12) / (F.col("top") * F.col("quota"))
+    if average is not None:
+        most = F.least(most, (average + 1e-12) * F.col("n") / F.col("quota"))
+    fits = fits.withColumn("_most", F.when(F.col("top").isNull(), F.raise_error(F.concat(F.lit("no rows to draw in "), "cell")).cast("double")).otherwise(most))
+    batches = F.floor(F.min("_most")).cast("long")
+    if upper is not None:
+        batches = F.least(batches, F.floor(F.lit(upper) / F.sum("quota")).cast("long"))
+    found = fits.agg(batches.alias("batches"), F.min_by("cell", F.struct("_most", "cell")).alias("tightest_cell"))
+    none = F.raise_error(F.concat(F.lit("no whole batch keeps the limits, tightest: "), "tightest_cell")).cast("long")
+    return found.withColumn("batches", F.when(F.col("batches") < 1, none).otherwise(F.col("batches")))
 
 
 def weighted_draws(rows: DataFrame, quotas: DataFrame, cell: tuple[str, ...], seed: int, epoch: int, id_col: str = "id", weight: str = "weight") -> DataFrame:
@@ -224,14 +257,36 @@ def mix_weights(hard: DataFrame, replay: DataFrame, fraction: float) -> DataFram
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-def select_replay(rows: DataFrame, budget: int, confirmed: Column, salt: str = "replay") -> DataFrame:
-    """All confirmed negatives, then positives up to the budget: quotas by dataset, one row of each sequence first."""
-    negatives = rows.where(confirmed)
-    positives = rows.where("present")
-    left = max(0, budget - negatives.count())
-    quotas = dataset_quotas(positives, left)
-    ranked = diverse_rank(positives, ("dataset_id",), "source_sequence_id", "id", salt)
-    return negatives.unionByName(take_quota(ranked, quotas, ("dataset_id",)).select(rows.columns))
+def quota_per_plan(cells: DataFrame, total: str) -> DataFrame:
+    """bounded_quota with a total of its own for each plan, in the column `total`."""
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
+    return cells.groupBy("plan_id").applyInPandas(lambda c: fill_cells(c, int(c[total].iloc[0])), names + ", quota long")
+
+
+def select_replay(rows: DataFrame, budget: int, confirmed: Column, salt: str = "replay", fractions: dict[str, float] | None = None, weights: DataFrame | None = None) -> DataFrame:
+    """All negatives, then positives up to the budget: quotas by sample_type (fractions, equal without any), in a type by dataset
+    (weight times the square root of its rows), one row of each sequence first.
+
+    Raises where a negative is not confirmed, or where the negatives alone exceed the budget.
+    """
+    present = F.coalesce("present", F.lit(False))
+    negatives, positives = rows.where(~present), rows.where(present)
+    if wrong := negatives.where(~F.coalesce(confirmed, F.lit(False))).select("id").limit(5).collect():
+        raise ValueError(f"unconfirmed negatives: {[r['id'] for r in wrong]}")
+    left = budget - negatives.count()
+    if left < 0:
+        raise ValueError(f"confirmed negatives exceed the budget of {budget} by {-left}")
+    counts = positives.groupBy("sample_type", "dataset_id").agg(F.count("*").alias("capacity"))
+    shares = rows.sparkSession.createDataFrame([(k, float(v)) for k, v in (fractions or {}).items()], "cell string, weight double")
+    types = counts.groupBy(F.lit("all").alias("plan_id"), F.col("sample_type").alias("cell")).agg(F.sum("capacity").alias("capacity")).join(shares, "cell", "left").fillna(0.0, ["weight"])
+    types = bounded_quota(types.select("plan_id", "cell", "weight", "capacity"), left).select(F.col("cell").alias("sample_type"), F.col("quota").alias("type_quota"))
+    user = F.lit(1.0)
+    if weights is not None:
+        counts, user = counts.join(weights.select("dataset_id", F.col("weight").alias("user")), "dataset_id", "left"), F.coalesce("user", F.lit(1.0))
+    cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), (user * F.sqrt("capacity")).alias("weight"), "capacity", "type_quota")
+    quotas = quota_per_plan(cells, "type_quota").select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
+    ranked = diverse_rank(positives, ("sample_type", "dataset_id"), "source_sequence_id", "id", salt)
+    return negatives.unionByName(take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns))
 
 
 def expected_draws(rows: DataFrame, quotas: DataFrame, by: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import salted_digest
 from .joins import coverage_problems, exclude_occupied, exclude_replay, require_empty
 from .mining import disagreement_score
-from .quotas import bounded_quota, cap_and_refill, mix_weights, take_quota
+from .quotas import bounded_quota, cap_and_refill, mix_weights, quota_per_plan, take_quota
 from .ranks import diverse_rank
 from .sets import union_all
 
@@ -27,7 +27,7 @@ def select(rows: DataFrame, occupied: DataFrame, fractions: dict[str, float], n:
     types = bounded_quota(types.select(F.lit("all").alias("plan_id"), "cell", "weight", "capacity"), n).select(F.col("cell").alias("sample_type"), F.col("quota").alias("type_quota"))
     capacity = F.least("n", F.lit(per_dataset)) if per_dataset is not None else F.col("n")
     cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), F.sqrt("n").alias("weight"), capacity.alias("capacity"), "type_quota")
-    quotas = _quota_per_plan(cells).select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
+    quotas = quota_per_plan(cells, "type_quota").select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
     ranked = diverse_rank(free, ("sample_type", "dataset_id"), "source_sequence_id", id_col, salt, score)
     chosen = take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns)
     if per_dataset is None:
@@ -36,14 +36,6 @@ def select(rows: DataFrame, occupied: DataFrame, fractions: dict[str, float], n:
     return cap_and_refill(keyed(chosen), keyed(free), per_dataset, "_score", id_col).drop("_score")
 
 
-def _quota_per_plan(cells: DataFrame) -> DataFrame:
-    """bounded_quota with a total of its own for each plan, in the column type_quota."""
-    from .quotas import fill_cells
-
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
-    return cells.groupBy("plan_id").applyInPandas(lambda c: fill_cells(c, int(c["type_quota"].iloc[0])), names + ", quota long")
-
-
 def select_removed(evidence: DataFrame, catalog: DataFrame, occupied: DataFrame, fractions: dict[str, float], n: int, per_dataset: int | None, salt: str, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     """Hard negatives from removal evidence (id, partition) that the catalog holds, and the evidence that can't be used: id, problem."""
     known = evidence.join(catalog.select(id_col, F.lit(True).alias("_known")), id_col, "left")

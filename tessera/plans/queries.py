@@ -466,6 +466,23 @@ def rare_cell_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotas.rare_cell_cap(cells, average=0.02, heaviest=4.0).select("tier", "sample_type", "quota", "freed")
 
 
+@query(f"""{A.with_sql('strata')}, c as (select status, sample_type, count(*) as n, sum(weight) as w, max(weight) as m, case sample_type when 'type-1' then 2 when 'type-3' then 1 else 0 end as part from strata group by all),
+q as (select *, case when part > 0 then n // 8 else n end as planned from c),
+k as (select *, least(planned, floor(least(n * 0.9::double, 4.0 * w / m) + 1e-12))::bigint as cut from q),
+f as (select *, sum(planned - cut) over (partition by status)::bigint as freed_all, case when cut = planned then part else 0 end as own from k),
+g as (select *, sum(own) over (partition by status)::bigint as parts from f),
+r as (select *, case when own > 0 then freed_all * own // parts else 0 end as base, case when own > 0 then freed_all * own % parts else -1 end as rest from g),
+o as (select *, row_number() over (partition by status order by rest desc, sample_type) <= freed_all - sum(base) over (partition by status) as more from r)
+select status, sample_type, (cut + base + more::int)::bigint as quota, (planned - cut)::bigint as freed, (base + more::int)::bigint as added from o""")
+def rare_cell_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = A.strata_rows(spark, sf_dir)
+    cells = rows.groupBy("status", "sample_type").agg(F.count("*").alias("n"), F.sum("weight").alias("total_weight"), F.max("weight").alias("max_weight"))
+    fraction = F.when(F.col("sample_type") == "type-1", 0.50).when(F.col("sample_type") == "type-3", 0.25).otherwise(0.0)
+    cells = cells.withColumn("fraction", fraction).withColumn("quota", F.when(fraction > 0, F.floor(F.col("n") / 8)).otherwise(F.col("n")).cast("long"))
+    found = quotas.rare_cell_quota(cells, ("type-1", "type-3"), ("status",), average=0.9, heaviest=4.0)
+    return found.select("status", "sample_type", "quota", "freed", "added")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -213,6 +213,39 @@ def test_balanced_order_and_epoch_size(spark):
     assert (mass.g, mass.p) == (0.625, 0.375)
 
 
+def test_cut_draws_go_to_uncapped_positives(spark):
+    kinds = "tier string, sample_type string, n long, total_weight double, max_weight double, fraction double, quota long"
+    cells = spark.createDataFrame([("g", "NEG", 2, 2.0, 1.0, 0.2, 15), ("g", "P", 100, 100.0, 1.0, 0.4, 40), ("g", "Q", 100, 100.0, 1.0, 0.4, 40), ("h", "P", 10, 10.0, 1.0, 1.0, 10)], kinds)
+    got = {(r.tier, r.sample_type): (r.quota, r.freed, r.added) for r in quotas.rare_cell_quota(cells, ("Q", "P")).collect()}
+    assert got == {("g", "NEG"): (8, 7, 0), ("g", "P"): (43, 0, 3), ("g", "Q"): (44, 0, 4), ("h", "P"): (10, 0, 0)}
+    for bad in (cells.where("sample_type = 'NEG'"), cells.withColumn("n", F.expr("if(sample_type = 'NEG', n, 10)"))):
+        with pytest.raises(Exception, match="redistribution|uncapped"):
+            quotas.rare_cell_quota(bad, ("Q", "P")).collect()
+
+
+def test_epoch_size_keeps_both_limits_and_the_upper_bound(spark):
+    rows = spark.createDataFrame([("c", 1.0)] * 4 + [("d", 1.0)] * 8, "cell string, weight double")
+    plan = spark.createDataFrame([("c", 2), ("d", 2)], "cell string, quota int")
+    assert tuple(quotas.auto_epoch_size(rows, plan, 9.0).first()) == (18, "c")
+    assert tuple(quotas.auto_epoch_size(rows, plan, 9.0, average=3.0).first()) == (6, "c")
+    assert tuple(quotas.auto_epoch_size(rows, plan, 9.0, 3.0, upper=19).first()) == (4, "c")
+    for bad in (dict(average=0.1), dict(upper=3)):
+        with pytest.raises(Exception, match="whole batch"):
+            quotas.auto_epoch_size(rows, plan, 9.0, **bad).collect()
+    with pytest.raises(Exception, match="no rows to draw"):
+        quotas.auto_epoch_size(rows.where("cell = 'c'"), plan, 9.0).collect()
+
+
+def test_replay_splits_positives_by_type_first(spark):
+    rows = [(i, "d0", "POS", f"s{i}", True) for i in range(40)] + [(100 + i, f"d{i % 2}", "LOW", f"s{i}", True) for i in range(10)] + [(200, "d0", "NEG", "s", False)]
+    rows = spark.createDataFrame(rows, "id int, dataset_id string, sample_type string, source_sequence_id string, present boolean")
+    count = lambda **more: dict(quotas.select_replay(rows, 13, F.lit(True), **more).groupBy("sample_type").count().collect())
+    assert count() == {"NEG": 1, "POS": 6, "LOW": 6} and count(fractions={"POS": 0.75, "LOW": 0.25}) == {"NEG": 1, "POS": 9, "LOW": 3}
+    for budget, confirmed in ((0, True), (13, False)):
+        with pytest.raises(ValueError):
+            quotas.select_replay(rows, budget, F.lit(confirmed))
+
+
 def test_round_robin_and_diverse_rank(spark):
     rows = spark.createDataFrame([(i, "ab"[i % 2], f"s{i // 4}", float(i)) for i in range(12)], "id int, t string, source_sequence_id string, score double")
     assert [r.t for r in ranks.round_robin(rows, ("t",), "id", 4, "z").orderBy("position").collect()] == ["a", "b", "a", "b"]
