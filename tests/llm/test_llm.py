@@ -382,3 +382,20 @@ def test_quotations_are_linked(spark):
     assert got[2, 0].reply_to is None and got[1, 3].text == "Right." and got[1, 1].chat == "<|im_start|>assistant\nUse sort.<|im_end|>\n"
     assert chats.threads(linked).where("conv_id = 1 and thread = 0").first().chat.count("<|im_start|>") == 4
     assert chats.link_quotations(linked.where("false").select("conv_id", "turn", "role", "text")).count() == 0
+
+
+def test_deeper_and_partial_quotations_are_linked_and_others_stay(spark):
+    rows = [
+        (1, 0, "u", "First line\nsecond line\nthird line"),
+        (1, 1, "a", "An answer\n\nof two paragraphs"),
+        (1, 2, "u", "> second line\nYes."),
+        (1, 3, "a", "> > An answer\n> edited away\nSo."),
+        (1, 4, "u", ">>> print(1)\nlike this"),
+        (1, 5, "a", "> > > > print(1)\n> like this\nRight."),
+        (1, 6, "u", "> First line\n> new words\n>\n> An answer\n\nDone."),
+        (1, 7, "a", ">> Done.\n> Right.\nBoth."),
+    ]
+    got = {r.turn: r for r in chats.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[k].reply_to for k in range(8)] == [None, None, 0, 1, None, 4, 1, 5]
+    assert [got[k].text for k in (2, 3, 4, 5)] == ["Yes.", "> edited away\nSo.", ">>> print(1)\nlike this", "Right."]
+    assert got[6].text == "> new words\n\nDone." and got[7].text == "Both."
