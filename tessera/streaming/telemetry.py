@@ -16,6 +16,9 @@ from ..sources.files import append_round
 _STATS = ("avg", "p50", "p95", "max")
 WINDOW_SCHEMA = "run_id long, window long, frames long, frame_index long, window_ms double, " + ", ".join(f"{t}_{s} double" for t in TIMINGS for s in _STATS)
 
+_EVENT_SCHEMA = WINDOW_SCHEMA + ", " + ", ".join(f"{t} double" for t in TIMINGS) + ", problem string"
+_EVENT_COLUMNS = [c.split()[0] for c in _EVENT_SCHEMA.split(", ")]
+
 
 def window_row(run_id: int, window: int, rows: pd.DataFrame) -> dict:
     """The statistics of one full window, by the rules of the batch operator."""
@@ -28,48 +31,83 @@ def window_row(run_id: int, window: int, rows: pd.DataFrame) -> dict:
 
 
 class FrameWindows(StatefulProcessor):
-    """Keeps a run's frames of its open windows and gives a row for each window that is full.
+    """Keeps a run's frames of its open windows and gives a row for each window that is full, and one for each frame in no window.
 
-    A window is full when all n frame indexes of it have come, in any order, so late frames within an open window are in place;
-    repeated frames of an open window count once. Frames of a window that was given already are left out.
+    A window is full when all n frame indexes of it have come, in any order and whatever other windows lack. It is closed when
+    more than `lag` later windows have come or begun; so a run's state is lag + 1 windows at most. Frames of a window that was
+    closed before it was full are given as `incomplete`, frames that come after theirs was closed or given as `late`, repeated
+    frames of an open window as `repeated`, and frames without an index as `no_index`.
     """
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, lag: int = 8):
+        self.n, self.lag = n, lag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.frames = handle.getListState("frames", "frame_index long, " + ", ".join(f"{t} double" for t in TIMINGS))
-        self.done = handle.getValueState("done", "window long")
+        self.given = handle.getListState("given", "window long")
+        self.closed = handle.getValueState("closed", "window long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns = ["frame_index", *TIMINGS]
+        columns, out = ["frame_index", *TIMINGS], []
+
+        def refuse(part: pd.DataFrame, problem: str) -> None:
+            for r in part.itertuples(index=False):
+                index = None if pd.isna(r[0]) else int(r[0])
+                out.append({"run_id": key[0], "window": None if index is None else index // self.n, "frame_index": index, **dict(zip(TIMINGS, r[1:])), "problem": problem})
+
         held = pd.DataFrame(list(self.frames.get()), columns=columns)
-        held = pd.concat([held, *(r[columns] for r in rows)]).drop_duplicates("frame_index")
-        done = self.done.get()[0] if self.done.exists() else -1
-        held = held[held["frame_index"] // self.n > done]
-        out = []
-        for window, own in sorted(held.groupby(held["frame_index"] // self.n), key=lambda x: x[0]):
-            if len(own) < self.n:
-                break
-            out.append(window_row(key[0], int(window), own))
-            done = int(window)
-        held = held[held["frame_index"] // self.n > done]
-        if done >= 0:
-            self.done.update((done,))
-        if len(held):
-            self.frames.put([(int(r[0]), *map(float, r[1:])) for r in held.itertuples(index=False)])
-        else:
-            self.frames.clear()
+        given = {int(w[0]) for w in self.given.get()}
+        closed = self.closed.get()[0] if self.closed.exists() else None
+        new = pd.concat([r[columns] for r in rows])
+        refuse(new[new["frame_index"].isna()], "no_index")
+        new = new[new["frame_index"].notna()]
+        window = new["frame_index"] // self.n
+        late = window.isin(given) | ((window <= closed) if closed is not None else False)
+        refuse(new[late], "late")
+        held = pd.concat([held, new[~late]]) if len(held) else new[~late]
+        again = held.duplicated("frame_index")
+        refuse(held[again], "repeated")
+        held = held[~again]
+        for w, own in held.groupby(held["frame_index"] // self.n):
+            if len(own) == self.n:
+                out.append(window_row(key[0], int(w), own))
+                given.add(int(w))
+        held = held[~(held["frame_index"] // self.n).isin(given)]
+        seen = sorted(given | set((held["frame_index"] // self.n).astype("int64")))
+        if len(seen) > self.lag + 1:
+            closed = seen[-self.lag - 2]  # later than what was closed before, as all that is seen is
+            old = held["frame_index"] // self.n <= closed
+            refuse(held[old], "incomplete")
+            held, given = held[~old], {w for w in given if w > closed}
+            self.closed.update((int(closed),))
+        for state, values in ((self.frames, [(int(r[0]), *map(float, r[1:])) for r in held.itertuples(index=False)]), (self.given, [(w,) for w in sorted(given)])):
+            state.put(values) if values else state.clear()
         if out:
-            yield pd.DataFrame(out)
+            frame = pd.DataFrame(out, columns=_EVENT_COLUMNS).astype({c: "Int64" for c in ("run_id", "window", "frames", "frame_index")})
+            yield frame.assign(problem=pd.Series([r.get("problem") for r in out], dtype=object))
 
     def close(self) -> None:
         pass
 
 
-def frame_windows_stream(frames: DataFrame, n: int = 120) -> DataFrame:
-    """The windows of frame_windows() of a stream, each when its last frame has come."""
-    return frames.groupBy("run_id").transformWithStateInPandas(FrameWindows(n), WINDOW_SCHEMA, "Append", "None")
+def frame_events_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> DataFrame:
+    """Full windows (problem is null) and the frames that are in none (problem, and the frame's timings), in one stream: split it in
+    foreachBatch to keep both of one run of the state."""
+    return frames.groupBy("run_id").transformWithStateInPandas(FrameWindows(n, lag), _EVENT_SCHEMA, "Append", "None")
+
+
+def frame_windows_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> DataFrame:
+    """The windows of frame_windows() of a stream, each when its last frame has come.
+
+    A frame more than `lag` windows late is in none, as its window is closed (frame_violations_stream has it), and a repeated frame
+    counts once, where frame_windows() leaves its window out.
+    """
+    return frame_events_stream(frames, n, lag).where("problem is null").drop("problem", *TIMINGS)
+
+
+def frame_violations_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> DataFrame:
+    """(run_id, window, frame_index, timings, problem): the frames that no window holds."""
+    return frame_events_stream(frames, n, lag).where("problem is not null").select("run_id", "window", "frame_index", *TIMINGS, "problem")
 
 
 _LINE = re.compile(r"^\[PERF\]\[(\w+)\]")

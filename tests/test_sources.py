@@ -85,6 +85,35 @@ def test_live_windows_equal_batch_windows(spark, tmp_path):
     assert sorted(got.select(names).collect()) == sorted(batch.select(names).collect()) and got.count() == 4
 
 
+def test_a_missing_frame_does_not_stop_a_run(spark, tmp_path):
+    rows = [(1, i, 1.0, 0.5, 0.0, 1.0, 5.0 + i % 7, 4.0) for i in range(60)]
+    table = spark.createDataFrame(rows, files.FRAME_SCHEMA).where("frame_index <> 13")
+    late = spark.createDataFrame([rows[13]], files.FRAME_SCHEMA)
+    parts = [table.where("frame_index < 30 and frame_index <> 5"), table.where("frame_index = 5 or frame_index between 30 and 44"), table.where("frame_index >= 45"), late.unionByName(table.where("frame_index in (31, 59)"))]
+    for k, part in enumerate(parts):
+        part.coalesce(1).write.json(str(tmp_path / f"in{k}"))
+    (tmp_path / "in").mkdir()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    frames, runs = files.frame_stream(spark, str(tmp_path / "in")), []
+    try:
+        for name, stream in (("gap_windows", live.frame_windows_stream(frames, 10, 2)), ("gap_violations", live.frame_violations_stream(frames, 10, 2))):
+            runs.append(stream.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).start())
+        for k in range(len(parts)):
+            for f in (tmp_path / f"in{k}").glob("*.json"):
+                f.rename(tmp_path / "in" / f"{k}-{f.name}")
+            for run in runs:
+                run.processAllAvailable()
+    finally:
+        for run in runs:
+            run.stop()
+    batch = telemetry.frame_windows(table, 10)
+    got = spark.table("gap_windows")
+    names = [c for c in got.columns if c in batch.columns]
+    assert sorted(got.select(names).collect()) == sorted(batch.select(names).collect()) and sorted(r.window for r in got.collect()) == [0, 2, 3, 4, 5]
+    bad = [(r.problem, r.frame_index) for r in spark.table("gap_violations").collect()]
+    assert sorted(bad) == [("incomplete", i) for i in range(10, 20) if i != 13] + [("late", i) for i in (13, 31, 59)]
+
+
 def test_live_log_metrics(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "a.log").write_text("[PERF][stage_ms] a=1\n[PERF][summary] frame=9\n[PERF][stage_ms] a=2 b=x\n")
