@@ -110,15 +110,20 @@ def leakage_pairs(rows: DataFrame, set_col: str, token_col: str, kind: Column |
 
 
 def membership_violations(rows: DataFrame) -> DataFrame:
-    """(check, key, detail): captures and raw images in several splits, several variants of a capture, performers in several splits (a warning)."""
+    """(check, key, detail): captures and raw images in several splits, several variants of a capture, performers in several splits (a warning).
 
-    def several(check: str, key: Column, value: str) -> DataFrame:
-        found = rows.groupBy(key.alias("key")).agg(F.array_sort(F.collect_set(value)).alias("v")).where(F.size("v") > 1)
+    Variants are compared within a release: rows with a negative_dataset_id or a hard_dataset_id (where there are such columns) are
+    copies that keep the variant they were made of.
+    """
+
+    def several(check: str, key: Column, value: str, *within: Column) -> DataFrame:
+        found = rows.groupBy(key.alias("key"), *within).agg(F.array_sort(F.collect_set(value)).alias("v")).where(F.size("v") > 1)
         return found.select(F.lit(check).alias("check"), "key", F.array_join("v", ",").alias("detail"))
 
     performer = F.get(F.split("capture_source_id", "-"), 6)
+    releases = [F.concat(F.lit(f"{kind}:"), F.nullif(F.col(c).cast("string"), F.lit(""))) for kind, c in (("negative", "negative_dataset_id"), ("hard", "hard_dataset_id")) if c in rows.columns]
     out = several("capture_splits", F.col("capture_source_id"), "split")
-    out = out.union(several("raw_image_splits", F.col("raw_image_id"), "split")).union(several("capture_variants", F.col("capture_source_id"), "proposal_variant"))
+    out = out.union(several("raw_image_splits", F.col("raw_image_id"), "split")).union(several("capture_variants", F.col("capture_source_id"), "proposal_variant", F.coalesce(*releases, F.lit("source"))))
     return out.union(several("performer_splits_warning", performer, "split"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..functions.stats import finite_mean, is_finite, linear_percentile, safe_div
+from ..functions.stats import finite_mean, is_finite, linear_percentile, nearest_percentile, safe_div
 
 PCK = (0.05, 0.10, 0.15)
 DIMENSIONS = ("dataset_id", "capture_source_id", "proposal_variant", "source_group_id", "distance", "lighting")
@@ -136,13 +136,14 @@ def threshold_sweep(rows: DataFrame, truth: str, score: str, thresholds: list[fl
 
 
 def run_summary(decorated: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Means over the rows of a run: error, NME, bone error, collapse (spread below 0.10), accuracies, PCK of 255 pixels."""
+    """Means over the rows of a run: error (and its p90, for groups that fit into a task), NME, bone error, collapse (spread below 0.10), accuracies, PCK of 255 pixels."""
     known = F.col("handedness").isin("Left", "Right")
     errors = [safe_div(F.sum(P.within(F.col("errors_px"), t * P.ROI_SIDE_PX)), F.count("errors_px") * P.N_POINTS).alias(f"pck_{round(100 * t):03d}") for t in PCK]
     return decorated.groupBy(*by).agg(
         F.count("*").alias("records"),
         F.count("error_px").alias("positive_records"),
         finite_mean(F.col("error_px")).alias("mean_px"),
+        nearest_percentile(F.col("error_px"), 0.9).alias("p90_px"),
         finite_mean(F.col("nme")).alias("mean_nme"),
         finite_mean(F.col("bone_error")).alias("mean_bone_error"),
         _n(F.col("predicted_spread") < 0.10).alias("collapse_count"),

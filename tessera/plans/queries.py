@@ -248,10 +248,20 @@ select dataset_id, count(*) as records, count(error_px) as positive_records, rou
   round(avg((present = predicted_present)::integer), 6) as presence_accuracy, round(avg(case when handedness in ('Left', 'Right') then (handedness = predicted_handedness)::integer end), 6) as handedness_accuracy,
   {', '.join(f"round(coalesce(sum(len(list_filter(errors_px, lambda e: e <= {t} * 255.0))) / nullif(count(errors_px) * 21, 0), 0.0), 6) as pck_{round(100 * t):03d}" for t in metrics.PCK)} from d group by 1""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_summary(spark, sf_dir).drop("p90_px")  # run_p90 has it
+
+
+def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measured(spark, sf_dir).withColumn("bone_error", P.bone_vector_error(F.col("points"), F.col("predicted"))).withColumn("predicted_spread", P.diagonal(F.col("predicted")))
     return rounded(metrics.run_summary(rows, ("dataset_id",)))
 
 
+@query(f"""{A.with_sql('labels', 'candidate')}, {_measured_sql()}, l as (select dataset_id, list_sort(list(error_px) filter (isfinite(error_px))) as v from m group by 1)
+select dataset_id, round(v[round_even((len(v) - 1) * 0.9::double, 0)::integer + 1], 6) as p90_px from l""")
+def run_p90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_summary(spark, sf_dir).select("dataset_id", "p90_px")
+
+
 _EDGES_SQL = "[" + ", ".join(f"[{a + 1}, {b + 1}]" for a, b in P.EDGES) + "]"
 
 
@@ -272,6 +282,21 @@ def disagreement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select("roi_id", *(found[n].alias(n) for n in names)))
 
 
+def _area_sql(p: str) -> str:
+    return " * ".join(f"(list_max(list_transform({p}, lambda q: q.{c})) - list_min(list_transform({p}, lambda q: q.{c})))" for c in "xy")
+
+
+@query(f"""{A.with_sql('labels', 'candidate')}
+select roi_id, round(sqrt(pow(points[6].x - points[18].x, 2) + pow(points[6].y - points[18].y, 2)), 6) as teacher_palm_width, round({_edge_sql('points')}, 6) as teacher_edge_length, round({_edge_sql('predicted')}, 6) as student_edge_length,
+  round({_area_sql('points')}, 6) as teacher_bbox_area, round({_area_sql('predicted')}, 6) as student_bbox_area from labels join candidate using (roi_id) where present and predicted is not null""")
+def disagreement_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five measures that disagreement_metrics leaves out."""
+    rows = A.roi_labels(spark, sf_dir).join(A.roi_predictions(spark, sf_dir), "roi_id").where("present and predicted is not null")
+    found = P.disagreement(F.col("points"), F.col("predicted"), F.col("hand_flag"))
+    names = ("teacher_palm_width", "teacher_edge_length", "student_edge_length", "teacher_bbox_area", "student_bbox_area")
+    return rounded(rows.select("roi_id", *(found[n].alias(n) for n in names)))
+
+
 _RANKED = ", ".join(f"({w} * ((rank() over (order by {v})) - 1 + (count(*) over (partition by {v}) - 1) / 2) / greatest(1, count(*) over () - 1)) as r{i}" for i, (w, v) in enumerate(((1.0, "mean_nme"), (0.5, "p90_nme"), (0.5, "abs(collapse_log_ratio)"), (0.5, "bone_vector_nme"))))
 
 
@@ -439,7 +464,13 @@ def _skeleton_sql(p: str) -> str:
 select dataset_id, count(*) as n, round(avg(r), 6) as mean_length_ratio, count(*) filter (r < 0.7) as below_070, count(*) filter (r < 0.5) as below_050 from g group by 1""")
 def gold_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.roi_labels(spark, sf_dir).join(A.roi_predictions(spark, sf_dir), "roi_id").where("predicted is not null")
-    return rounded(metrics.gold_relative(rows, ("dataset_id",)).drop("mean_area_ratio"))
+    return rounded(metrics.gold_relative(rows, ("dataset_id",)).drop("mean_area_ratio"))  # gold_relative_area has it
+
+
+@query(f"""{A.with_sql('labels', 'candidate')} select dataset_id, round(avg({_area_sql('predicted')} / nullif({_area_sql('points')}, 0)), 6) as mean_area_ratio from labels join candidate using (roi_id) where predicted is not null group by 1""")
+def gold_relative_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = A.roi_labels(spark, sf_dir).join(A.roi_predictions(spark, sf_dir), "roi_id").where("predicted is not null")
+    return rounded(metrics.gold_relative(rows, ("dataset_id",)).select("dataset_id", "mean_area_ratio"))
 
 
 @query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, count(*) as n, sum(loop_ms) as ms, max(loop_ms) as top from frames group by 1, 2 having count(*) = 20)

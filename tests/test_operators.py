@@ -486,3 +486,14 @@ def test_smoke_set_has_both_hands(spark):
     got = selection.smoke_set(contracts.smoke_category(rows), {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2, "low_palm_negative": 3}, "s")
     assert {"Left", "Right"} <= {r.handedness for r in got.where("present").collect()}
     assert dict(got.groupBy("category").count().collect()) == {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2}
+
+
+def test_variants_of_another_release_are_no_violation(spark):
+    rows = [("a", "1", "train", "v1", None), ("a", "2", "train", "v2", "neg"), ("b", "3", "train", "v1", ""), ("b", "4", "train", "v2", None)]
+    rows = spark.createDataFrame(rows, "capture_source_id string, raw_image_id string, split string, proposal_variant string, negative_dataset_id string")
+    assert [(r.check, r.key) for r in joins.membership_violations(rows).collect()] == [("capture_variants", "b")]
+
+
+def test_run_summary_has_the_p90_error(spark):
+    rows = spark.range(11).selectExpr("double(id) as error_px", "double(1) as nme", "double(1) as bone_error", "double(1) as predicted_spread", "true as present", "true as predicted_present", "'Left' as handedness", "'Left' as predicted_handedness", "array(double(1)) as errors_px")
+    assert metrics.run_summary(rows).first().p90_px == 9.0
