@@ -130,70 +130,85 @@ def normalise_angle(angle: Column) -> Column:
     return angle - 2 * math.pi * F.floor((angle + math.pi) / (2 * math.pi))
 
 
+def _axes(x: Column, y: Column, width: Column, height: Column, angle: Column) -> tuple[Column, ...]:
+    """A turned rectangle as its centre and its two half axes: cx, cy, ux, uy, vx, vy."""
+    c, s = F.cos(angle), F.sin(angle)
+    return x, y, width / 2 * c, width / 2 * s, -height / 2 * s, height / 2 * c
+
+
+def _quad_axes(quad: Column) -> tuple[Column, ...]:
+    """The same of a parallelogram, given by its corners 0, 1 and 3."""
+    return *((quad[1][k] + quad[3][k]) / 2 for k in (0, 1)), *((quad[1][k] - quad[0][k]) / 2 for k in (0, 1)), *((quad[3][k] - quad[0][k]) / 2 for k in (0, 1))
+
+
+def _at(axes: tuple[Column, ...], a: Column | float, b: Column | float) -> tuple[Column, Column]:
+    """The place a half axes along and b half axes across from the centre."""
+    cx, cy, ux, uy, vx, vy = axes
+    return cx + ux * a + vx * b, cy + uy * a + vy * b
+
+
 def corners(rect: Column) -> Column:
     """The four corners of a struct (x_center, y_center, width, height, rotation_rad), as arrays [x, y]."""
-    c, s = F.cos(rect["rotation_rad"]), F.sin(rect["rotation_rad"])
-    ux, uy = c * rect["width"] / 2, s * rect["width"] / 2
-    vx, vy = -s * rect["height"] / 2, c * rect["height"] / 2
-    x, y = rect["x_center"], rect["y_center"]
-    return F.array(*(F.array(x + a * ux + b * vx, y + a * uy + b * vy) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
+    axes = _axes(*(rect[n] for n in ("x_center", "y_center", "width", "height", "rotation_rad")))
+    return F.array(*(F.array(*_at(axes, a, b)) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
 
 
 def roi_rect(box: Column, wrist: Column, middle: Column, image_width: Column, image_height: Column, scale: float = 1.8, shift: tuple[float, float] = (0.0, -0.1)) -> Column:
-    """A square ROI around a palm box [x1, y1, x2, y2], turned so that wrist to middle finger points up."""
-
-    def clip(v: Column, size: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(size - 1.0, v))
-
-    x1, x2 = clip(F.least(box[0], box[2]), image_width), clip(F.greatest(box[0], box[2]), image_width)
-    y1, y2 = clip(F.least(box[1], box[3]), image_height), clip(F.greatest(box[1], box[3]), image_height)
-    width, height = F.greatest(F.lit(1.0), x2 - x1), F.greatest(F.lit(1.0), y2 - y1)
-    angle = normalise_angle(math.pi / 2 - F.atan2(-(middle["y"] - wrist["y"]), middle["x"] - wrist["x"]))
-    c, s = F.cos(angle), F.sin(angle)
+    """A square ROI around a palm box [x1, y1, x2, y2] cut at the image's border, turned so that wrist to middle finger points up.
+
+    The centre moves by `shift` widths and heights of the box along the turned axes.
+    """
+    spans = []
+    for k, size in ((0, image_width), (1, image_height)):
+        ends = F.array_sort(F.transform(F.array(box[k], box[k + 2]), lambda v, top=size - 1.0: F.greatest(F.lit(0.0), F.least(top, v))))
+        spans.append(((ends[0] + ends[1]) / 2, F.greatest(ends[1] - ends[0], F.lit(1.0))))
+    (x, width), (y, height) = spans
+    angle = normalise_angle(F.atan2(middle["y"] - wrist["y"], middle["x"] - wrist["x"]) + math.pi / 2)
+    cx, cy = _at(_axes(x, y, width, height, angle), 2 * shift[0], 2 * shift[1])
     side = F.greatest(width, height) * scale
-    return F.struct(
-        ((x1 + x2) / 2 + width * shift[0] * c - height * shift[1] * s).alias("x_center"),
-        ((y1 + y2) / 2 + width * shift[0] * s + height * shift[1] * c).alias("y_center"),
-        side.alias("width"),
-        side.alias("height"),
-        angle.alias("rotation_rad"),
-    )
+    return F.struct(cx.alias("x_center"), cy.alias("y_center"), side.alias("width"), side.alias("height"), angle.alias("rotation_rad"))
 
 
-def project(points: Column, quad: Column) -> Column:
-    """Points of the unit square on the parallelogram with corners 0, 1 and 3 of the quad."""
-    o, a, b = quad[0], quad[1], quad[3]
+def _mapped(points: Column, place) -> Column:
+    """Points moved by place(x, y) -> (x, y)."""
 
     def one(p: Column) -> Column:
-        return F.struct(p["id"].alias("id"), *((o[k] + p["x"] * (a[k] - o[k]) + p["y"] * (b[k] - o[k])).alias(n) for k, n in enumerate("xy")))
+        x, y = place(p["x"], p["y"])
+        return F.struct(p["id"].alias("id"), x.alias("x"), y.alias("y"))
 
     return F.transform(points, one)
 
 
+def project(points: Column, quad: Column) -> Column:
+    """Points of the unit square on the parallelogram with corners 0, 1 and 3 of the quad."""
+    return _mapped(points, lambda x, y: _at(_quad_axes(quad), 2 * x - 1, 2 * y - 1))
+
+
 def unproject(points: Column, quad: Column) -> Column:
-    """The inverse of project(); null for a degenerate quad."""
-    o = quad[0]
-    ax, ay, bx, by = quad[1][0] - o[0], quad[1][1] - o[1], quad[3][0] - o[0], quad[3][1] - o[1]
-    det = ax * by - ay * bx
+    """The inverse of project(), by the dual axes; null for a quad whose sides span no area."""
+    cx, cy, ux, uy, vx, vy = _quad_axes(quad)
+    area = 4 * (ux * vy - uy * vx)
 
-    def one(p: Column) -> Column:
-        dx, dy = p["x"] - o[0], p["y"] - o[1]
-        return F.struct(p["id"].alias("id"), ((dx * by - dy * bx) / det).alias("x"), ((ax * dy - ay * dx) / det).alias("y"))
+    def place(x: Column, y: Column) -> tuple[Column, Column]:
+        along, across = (x - cx) * vy - (y - cy) * vx, (y - cy) * ux - (x - cx) * uy
+        return 0.5 + 2 * along / area, 0.5 + 2 * across / area
 
-    return F.when(F.abs(det) >= 1e-12, F.transform(points, one))
+    return F.when(F.abs(area) >= 1e-12, _mapped(points, place))
 
 
 def in_polygon(x: Column, y: Column, quad: Column, corners_n: int = 4, epsilon: float = 1e-6) -> Column:
-    """Whether a point lies in a polygon of [x, y] corners; its border counts as inside."""
-    on_edge, crossings = F.lit(False), F.lit(0)
-    for k in range(corners_n):
-        ax, ay = quad[(k - 1) % corners_n][0], quad[(k - 1) % corners_n][1]
-        bx, by = quad[k][0], quad[k][1]
-        cross = (x - ax) * (by - ay) - (y - ay) * (bx - ax)
-        on_edge = on_edge | ((F.abs(cross) <= epsilon) & ((x - ax) * (x - bx) + (y - ay) * (y - by) <= epsilon))
-        spans = (ay > y) != (by > y)
-        crossings = crossings + F.when(spans & (x < (bx - ax) * (y - ay) / (by - ay) + ax), 1).otherwise(0)
-    return on_edge | (crossings % 2 == 1)
+    """Whether a point lies in a convex polygon of [x, y] corners; its border counts as inside.
+
+    The point is on one side of all edges (products of edge and way to the point have one sign) and inside the bounding box,
+    which matters for polygons without area.
+    """
+    ends = [(quad[k], quad[(k + 1) % corners_n]) for k in range(corners_n)]
+    sides = [(b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0]) for a, b in ends]
+    boxed = F.lit(True)
+    for k, v in ((0, x), (1, y)):
+        values = [a[k] for a, _ in ends]
+        boxed = boxed & v.between(F.least(*values) - epsilon, F.greatest(*values) + epsilon)
+    return boxed & ((F.least(*sides) >= -epsilon) | (F.greatest(*sides) <= epsilon))
 
 
 def box_iou(a: Column, b: Column) -> Column:

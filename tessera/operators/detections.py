@@ -6,34 +6,40 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def _suppress(iou: float, cross_iou: float | None, k: int):
-    """Rows sorted by image, head and score, as a stream: those that stay, with their rank. Only the kept boxes of one image are held."""
+from ..functions.points import N_POINTS
+
+
+def _staying(iou: float, cross_iou: float | None, k: int):
+    """Rows sorted by image, head and score, as a stream: those that stay. Only the kept boxes of one image are held.
+
+    Without a cross limit the first k stay. With one, all of head 0 stay that no better one covers, and boxes of head 1 until
+    one of them makes k.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        image, kept, second = None, [], iou
+        image, kept, n, full = None, np.empty((16, 4)), 0, False
         for batch in batches:
-            rows, ranks = [], []
-            columns = [batch[c].tolist() for c in ("image", "head", "x1", "y1", "x2", "y2")]
-            for i, (own, head, x1, y1, x2, y2) in enumerate(zip(*columns)):
+            boxes, rows = batch[["x1", "y1", "x2", "y2"]].to_numpy(float), []
+            for i, (own, head) in enumerate(zip(batch["image"], batch["head"])):
                 if own != image:
-                    image, kept = own, []
-                    second = cross_iou if cross_iou is not None and head == 0 else iou
-                if len(kept) >= k:
+                    image, n, full = own, 0, False
+                if full:
                     continue
-                limit = iou if head == 0 else second
-                area = max(0.0, x2 - x1) * max(0.0, y2 - y1)
-                for a1, b1, a2, b2, other in kept:
-                    both = max(0.0, min(x2, a2) - max(x1, a1)) * max(0.0, min(y2, b2) - max(y1, b1))
-                    if both / (area + other - both + 1e-6) > limit:
-                        break
-                else:
-                    kept.append((x1, y1, x2, y2, area))
-                    rows.append(i)
-                    ranks.append(len(kept))
-            yield batch.iloc[rows].assign(rank=ranks)
+                box, held = boxes[i], kept[:n]
+                sides = np.clip(np.minimum(box[2:], held[:, 2:]) - np.maximum(box[:2], held[:, :2]), 0, None)
+                both = sides[:, 0] * sides[:, 1]
+                areas = np.clip(held[:, 2:] - held[:, :2], 0, None).prod(axis=1) + np.clip(box[2:] - box[:2], 0, None).prod()
+                if (both / (areas - both + 1e-6) > (iou if head == 0 else cross_iou)).any():
+                    continue
+                if n == len(kept):
+                    kept = np.concatenate([kept, np.empty_like(kept)])
+                kept[n], n = box, n + 1
+                rows.append(i)
+                full = n >= k and (cross_iou is None or head == 1)
+            yield batch.iloc[rows]
 
     return run
 
@@ -44,7 +50,9 @@ def _streamed(boxes: DataFrame, head: Column, iou: float, cross_iou: float | Non
     rows = rows.where(~F.isnan("score") & (F.abs("score") != float("inf")))
     n = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ordered = rows.repartition(n, "image").sortWithinPartitions("image", "head", F.col("score").desc(), "box_id")
-    return ordered.mapInPandas(_suppress(iou, cross_iou, k), f"image {kind}, box_id long, head int, x1 double, y1 double, x2 double, y2 double, score double, rank int")
+    stay = ordered.mapInPandas(_staying(iou, cross_iou, k), f"image {kind}, box_id long, head int, x1 double, y1 double, x2 double, y2 double, score double")
+    best = Window.partitionBy("image").orderBy(F.col("score").desc(), "box_id")
+    return stay.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def nms(boxes: DataFrame, iou: float, k: int) -> DataFrame:
@@ -57,7 +65,8 @@ def nms(boxes: DataFrame, iou: float, k: int) -> DataFrame:
 
 
 def nms_two_stage(boxes: DataFrame, iou: float, cross_iou: float, k: int) -> DataFrame:
-    """Suppression inside head 0, then boxes of head 1 by score unless their overlap with a kept box passes cross_iou; without a box of head 0 all together by iou."""
+    """Suppression by iou inside head 0, then boxes of head 1 by score, unless their overlap with any kept box passes cross_iou, until
+    there are k; of all that stay the k best by score. Among boxes of head 1 alone cross_iou holds, too."""
     return _streamed(boxes, F.when(F.col("head") == 0, 0).otherwise(1), iou, cross_iou, k)
 
 
@@ -73,55 +82,75 @@ def anchors(spark, levels: list[tuple[int, int, int]]) -> DataFrame:
 
 
 def decode_boxes(raw: DataFrame, anchor_table: DataFrame) -> DataFrame:
-    """Raw outputs (image, anchor_id, dx, dy, w, h, logit) as boxes around their anchors, w and h as exponents clipped to +-10, with sigmoid scores."""
+    """Raw outputs (image, anchor_id, dx, dy, w, h, logit) as boxes around their anchors, w and h as exponents clipped to +-10, with sigmoid scores.
+
+    Anchors are joined by id; Spark broadcasts them where its own size limit allows it.
+    """
     clip = lambda c: F.exp(F.greatest(F.lit(-10.0), F.least(F.lit(10.0), F.col(c))))
-    rows = raw.join(F.broadcast(anchor_table), "anchor_id")  # as large as the model's output layer
+    rows = raw.join(anchor_table, "anchor_id")
     cx, cy, w, h = F.col("cx") + F.col("dx"), F.col("cy") + F.col("dy"), clip("w"), clip("h")
     return rows.select("image", "anchor_id", (cx - w / 2).alias("x1"), (cy - h / 2).alias("y1"), (cx + w / 2).alias("x2"), (cy + h / 2).alias("y2"), (1 / (1 + F.exp(-F.col("logit")))).alias("score"))
 
 
-def _polygon_area(p: np.ndarray) -> float:
-    return 0.5 * abs(np.dot(p[:, 0], np.roll(p[:, 1], -1)) - np.dot(p[:, 1], np.roll(p[:, 0], -1))) if len(p) > 2 else 0.0
+def _shoelace(polygon: Column) -> Column:
+    """Twice the area of a polygon of structs (x, y), positive where its corners go round from x to y."""
+    ahead = F.concat(F.slice(polygon, 2, F.greatest(F.size(polygon), F.lit(1))), F.slice(polygon, 1, 1))
+    return F.aggregate(F.zip_with(polygon, ahead, lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]), F.lit(0.0), lambda s, v: s + v)
+
 
+def _cut(polygon: Column, edge: Column) -> Column:
+    """The part of a polygon on the left of an edge (x, y, dx, dy)."""
+    side = lambda p: edge["dx"] * (p["y"] - edge["y"]) - edge["dy"] * (p["x"] - edge["x"])
+    ahead = F.concat(F.slice(polygon, 2, F.greatest(F.size(polygon), F.lit(1))), F.slice(polygon, 1, 1))
+    steps = F.zip_with(polygon, ahead, lambda p, q: F.struct(p.alias("p"), q.alias("q"), side(p).alias("sp"), side(q).alias("sq")))
 
-def _clipped(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
-    """A convex polygon cut by the sides of another one, whose corners go round in either sense."""
-    middle = window.mean(axis=0)
-    for a, b in zip(window, np.roll(window, -1, axis=0)):
-        normal = np.array([a[1] - b[1], b[0] - a[0]])
-        if np.dot(normal, middle - a) < 0:
-            normal = -normal
-        side = (subject - a) @ normal if len(subject) else np.zeros(0)
-        out = []
-        for p, q, sp, sq in zip(subject, np.roll(subject, -1, axis=0), side, np.roll(side, -1)):
-            if sp >= 0:
-                out.append(p)
-            if (sp > 0 > sq) or (sp < 0 < sq):
-                out.append(p + (q - p) * sp / (sp - sq))
-        subject = np.array(out).reshape(-1, 2)
-    return subject
+    def part(s: Column) -> Column:
+        share = s["sp"] / (s["sp"] - s["sq"])
+        crossing = F.struct(*((s["p"][c] + share * (s["q"][c] - s["p"][c])).alias(c) for c in "xy"))
+        here, none = F.array(s["p"]), F.slice(F.array(s["p"]), 1, 0)
+        return F.concat(F.when(s["sp"] >= 0, here).otherwise(none), F.when(s["sp"] * s["sq"] < 0, F.array(crossing)).otherwise(none))
+
+    return F.flatten(F.transform(steps, part))
 
 
 def rotated_iou(pairs: DataFrame, a: str = "quad_a", b: str = "quad_b", out: str = "iou") -> DataFrame:
-    """Overlap of pairs of rotated rectangles, given as arrays of four [x, y] corners."""
+    """Overlap of pairs of rotated rectangles, given as arrays of four [x, y] corners that go round in either sense; 0 without areas.
+
+    The first is cut by the four edges of the second, one after another, in column expressions.
+    """
+    n = pairs.withColumns({"_a": F.transform(a, lambda c: F.struct(c[0].alias("x"), c[1].alias("y"))), "_b": F.transform(b, lambda c: F.struct(c[0].alias("x"), c[1].alias("y")))})
+    n = n.withColumn("_b", F.when(_shoelace(F.col("_b")) < 0, F.reverse("_b")).otherwise(F.col("_b")))
+    ahead = F.concat(F.slice("_b", 2, 3), F.slice("_b", 1, 1))
+    n = n.withColumn("_edges", F.zip_with("_b", ahead, lambda p, q: F.struct(p["x"].alias("x"), p["y"].alias("y"), (q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy"))))
+    n = n.withColumn("_both", F.abs(_shoelace(F.aggregate("_edges", F.col("_a"), _cut))) / 2)
+    union = F.abs(_shoelace(F.col("_a"))) / 2 + F.abs(_shoelace(F.col("_b"))) / 2 - F.col("_both")
+    return n.withColumn(out, F.coalesce(F.col("_both") / F.nullif(union, F.lit(0.0)), F.lit(0.0))).drop("_a", "_b", "_edges", "_both")
+
+
+def roi_spread(points: Column) -> Column:
+    """Diagonal of the bounding box of 21 [x, y] points; null for another number of points."""
+    width, height = (F.array_max(v) - F.array_min(v) for v in (F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])))
+    return F.when(F.size(points) == N_POINTS, F.hypot(width, height))
+
+
+def flagged(detections: Column, threshold: float = 0.5) -> Column:
+    """How many detections have a hand flag of at least the threshold."""
+    return F.size(F.filter(detections, lambda d: F.coalesce(d["hand_flag_score"], F.lit(0.0)) >= threshold))
 
-    @F.pandas_udf("double")
-    def one(a: pd.Series, b: pd.Series) -> pd.Series:
-        found = []
-        for p, q in zip(a, b):
-            p, q = np.array([list(c) for c in p], float), np.array([list(c) for c in q], float)
-            both = _polygon_area(_clipped(p, q))
-            found.append(both / max(_polygon_area(p) + _polygon_area(q) - both, 1e-12))
-        return pd.Series(found)
 
-    return pairs.withColumn(out, one(a, b))
+def collapsed(detections: Column, below: float = 0.10) -> Column:
+    """How many detections have points that spread over less than `below`."""
+    return F.size(F.filter(detections, lambda d: roi_spread(d["landmarks_roi_norm"]) < below))
 
 
-def inference_summary(detections: DataFrame) -> DataFrame:
-    """(image, detections array<struct<score>>) -> images, images without detections, detections, mean and least score."""
-    n = F.coalesce(F.size("detections"), F.lit(0))
-    rows = detections.select(F.greatest(n, F.lit(0)).alias("n"), F.aggregate("detections", F.lit(0.0), lambda s, d: s + d["score"]).alias("s"), F.array_min(F.transform("detections", lambda d: d["score"])).alias("least"))
-    return rows.agg(F.count("*").alias("images"), F.count_if(F.col("n") == 0).alias("empty"), F.sum("n").alias("detections"), (F.sum("s") / F.nullif(F.sum("n"), F.lit(0))).alias("mean_score"), F.min("least").alias("least_score"))
+def inference_summary(rows: DataFrame) -> DataFrame:
+    """(image, error, detections) -> images, failed images, detections, hands (flag of 0.5 or more), collapsed detections and their mean spread."""
+    found = F.coalesce("detections", F.array().cast(rows.schema["detections"].dataType))
+    rows = rows.withColumn("_d", found)
+    spreads = F.filter(F.transform("_d", lambda d: roi_spread(d["landmarks_roi_norm"])), lambda v: v.isNotNull() & ~F.isnan(v))
+    rows = rows.select(F.size("_d").alias("n"), flagged(F.col("_d")).alias("h"), collapsed(F.col("_d")).alias("c"), F.size(spreads).alias("k"), F.aggregate(spreads, F.lit(0.0), lambda s, v: s + v).alias("s"), (F.coalesce("error", F.lit("")) != "").alias("e"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return rows.agg(F.count("*").alias("images"), F.count_if("e").alias("failed"), total("n").alias("detections"), total("h").alias("hands"), total("c").alias("collapsed"), (F.sum("s") / F.nullif(F.sum("k"), F.lit(0))).alias("mean_spread"))
 
 
 def score_rows(rows: DataFrame, predict: Callable[[pd.DataFrame], pd.DataFrame], schema: str, id_col: str = "roi_id") -> DataFrame:

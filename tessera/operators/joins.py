@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import points as P
 from ..functions.stats import safe_div
+from .detections import collapsed, flagged
 
 EXAMPLES = 20
 
@@ -161,14 +162,31 @@ def paired_runs(baseline: DataFrame, candidate: DataFrame, key: str = "roi_id",
 
 
 def paired_detections(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
-    """(image, detections array<struct<score>>) of two runs, matched by image and position, with a failure score.
+    """(image, error, rendered, detections) of two runs -> a row per image of both, with counts, the mean move of the points and a failure score.
 
-    The score of an image adds the difference of the numbers of detections and of the scores at each position.
+    Detections are matched by position as far as both runs have them; a pair moves by its points' mean distance where both have
+    21. The score adds 3 for each detection more or less, 2 for each candidate detection that no hand flag confirms, 1 for
+    each collapsed one and 1 for an error of the candidate.
     """
-    a, b = (df.select("image", F.posexplode_outer("detections").alias("position", "d")).select("image", "position", F.col("d.score").alias(n)) for df, n in ((baseline, "base_score"), (candidate, "candidate_score")))
-    joined = a.where("position is not null").join(b.where("position is not null"), ["image", "position"], "full_outer")
-    gap = F.coalesce(F.abs(F.col("base_score") - F.col("candidate_score")), F.lit(1.0))
-    return joined.groupBy("image").agg(F.count("base_score").alias("n_base"), F.count("candidate_score").alias("n_candidate"), F.sum(gap).alias("failure_score"))
+
+    def held(df: DataFrame, name: str) -> Column:
+        return F.coalesce("detections", F.array().cast(df.schema["detections"].dataType)).alias(name)
+
+    a = baseline.where("image <> ''").select("image", held(baseline, "_a"))
+    b = candidate.where("image <> ''").select("image", held(candidate, "_b"), "error", "rendered")
+    shared = F.least(F.size("_a"), F.size("_b"))
+
+    def move(p: Column, q: Column) -> Column:
+        old, new = p["landmarks_roi_norm"], q["landmarks_roi_norm"]
+        far = F.aggregate(F.zip_with(old, new, lambda x, y: F.hypot(y[0] - x[0], y[1] - x[1])), F.lit(0.0), lambda s, v: s + v)
+        return F.when((F.size(old) == P.N_POINTS) & (F.size(new) == P.N_POINTS), far / P.N_POINTS)
+
+    moves = F.filter(F.zip_with(F.slice("_a", F.lit(1), shared), F.slice("_b", F.lit(1), shared), move), lambda v: v.isNotNull() & ~F.isnan(v))
+    rows = a.join(b, "image").select("image", "rendered", "error", F.size("_a").alias("baseline_count"), F.size("_b").alias("candidate_count"), flagged(F.col("_b")).alias("hand_count"), collapsed(F.col("_b")).alias("collapse_count"), moves.alias("_m"))
+    mean = F.when(F.size("_m") > 0, F.aggregate("_m", F.lit(0.0), lambda s, v: s + v) / F.size("_m"))
+    failed = (F.coalesce("error", F.lit("")) != "").cast("int")
+    score = 3 * F.abs(F.col("baseline_count") - F.col("candidate_count")) + 2 * F.greatest(F.lit(0), F.col("candidate_count") - F.col("hand_count")) + F.col("collapse_count") + failed
+    return rows.withColumn("mean_move", mean).withColumn("failure_score", score.cast("double")).drop("_m", "error")
 
 
 def negative_overlap(negatives: DataFrame, positives: DataFrame, core_ids: list[int], frame: tuple[str, ...] = ("dataset_id", "source_group_id")) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,8 +60,15 @@ def disagreement_score(rows: DataFrame, weights: dict[str, float] | None = None,
     return rows.join(ranked.groupBy(id_col).agg(F.sum(F.col("weight") * F.col("rank")).alias("disagreement")), id_col)
 
 
-def source_report(scored: DataFrame, by: str = "capture_source_id") -> DataFrame:
-    """Per source: counts, mean, median and p90 error, PCK, collapse and class error rates, difficulty; ranked by p90 difficulty, then p90 error."""
+def source_report(scored: DataFrame, by: str = "capture_source_id", eligible: str | None = None) -> DataFrame:
+    """Per source: counts, mean, median and p90 error, PCK, collapse and class error rates, difficulty; ranked by p90 difficulty, then p90 error.
+
+    Of brightness, distance and lighting those that the rows have are reported, too: the mean, and the value of the first id.
+    eligible names a flag of the rows that a round may take; they are counted.
+    """
+    more = [F.avg("brightness").alias("mean_brightness")] if "brightness" in scored.columns else []
+    more += [F.min_by(c, "roi_id").alias(c) for c in ("distance", "lighting") if c in scored.columns]
+    more += [F.count_if(eligible).alias("eligible")] if eligible else []
     report = scored.groupBy(by).agg(
         F.count("*").alias("n"),
         F.avg("error_px").alias("mean_px"),
@@ -73,6 +82,8 @@ def source_report(scored: DataFrame, by: str = "capture_source_id") -> DataFrame
         F.avg((F.col("hand_flag") < 0.5).cast("double")).alias("presence_error_rate"),
         safe_div(F.count_if(F.col("hand_known") & (F.col("handedness_error") > 0.5)), F.count_if("hand_known")).alias("handedness_error_rate"),
         F.avg("pose_span").alias("mean_pose_span"),
+        F.percentile("pose_span", F.lit(0.5)).alias("median_pose_span"),
+        *more,
     )
     order = Window.orderBy(F.round("p90_difficulty", 9).desc(), F.round("p90_px", 9).desc(), by)  # a row per source
     return report.withColumn("source_rank", F.row_number().over(order))
@@ -86,18 +97,22 @@ def mine_round(scored: DataFrame, ledger: DataFrame, k: int, round_id: int, id_c
     return fresh.orderBy(F.col("difficulty").desc(), F.col("error_px").desc(), id_col).limit(k).withColumn("round_id", F.lit(round_id))
 
 
-def review_queues(paired: DataFrame, limit: int, collapse_below: float = 0.10) -> DataFrame:
-    """The first `limit` rows of four categories: worst error, most regressed, most improved, collapsed."""
-    tagged = [
-        ("worst", paired.where("candidate_px is not null"), F.col("candidate_px").desc()),
-        ("regressed", paired.where("delta_px > 0"), F.col("delta_px").desc()),
-        ("improved", paired.where("delta_px < 0"), F.col("delta_px").asc()),
+def review_queues(paired: DataFrame, inferred: DataFrame, limit: int, collapse_below: float = 0.10) -> DataFrame:
+    """(category, position, key, value): up to `limit` cases for review, a quarter of them (1 at least) from each category, in this order:
+    student_collapse (smallest spread), high_landmark_error, improved_vs_baseline (largest fall of the error), palm_or_roi_failure.
+
+    paired: roi_id, candidate_px, delta_px, candidate_spread; inferred: image, failure_score (joins.paired_detections). Spreads
+    must be below collapse_below and failure scores positive; missing values are not cases. A case may be in several categories.
+    """
+    each = max(1, limit // 4)
+    found = [
+        ("student_collapse", paired.where(F.col("candidate_spread") < collapse_below), "roi_id", F.col("candidate_spread")),
+        ("high_landmark_error", paired.where("candidate_px is not null"), "roi_id", -F.col("candidate_px")),
+        ("improved_vs_baseline", paired.where("delta_px is not null"), "roi_id", F.col("delta_px")),
+        ("palm_or_roi_failure", inferred.where("failure_score > 0"), "image", -F.col("failure_score")),
     ]
-    if "predicted_spread" in paired.columns:
-        tagged.append(("collapsed", paired.where(F.col("predicted_spread") < collapse_below), F.col("predicted_spread").asc()))
-    out = None
-    for name, rows, order in tagged:
-        top = rows.orderBy(order, "roi_id").limit(limit).withColumn("category", F.lit(name))
-        top = top.withColumn("position", F.row_number().over(Window.partitionBy("category").orderBy(order, "roi_id")))
-        out = top if out is None else out.unionByName(top)
-    return out
+    tops = [rows.select(F.lit(name).alias("category"), F.lit(k).alias("_k"), F.col(key).alias("key"), order.alias("_o")).orderBy("_o", "key").limit(each) for k, (name, rows, key, order) in enumerate(found)]
+    queue = reduce(DataFrame.unionByName, tops)  # limit rows, about
+    own, all_ = Window.partitionBy("category").orderBy("_o", "key"), Window.orderBy("_k", "_o", "key")
+    queue = queue.withColumn("position", F.row_number().over(own)).withColumn("_n", F.row_number().over(all_)).where(F.col("_n") <= limit)
+    return queue.select("category", "position", "key", F.abs("_o").alias("value"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import uniform
+from ..functions.text import salted_digest, uniform
+from .lineage import held
 from .ranks import cell_cdf, diverse_rank, hash_rank
 
 EXACT = "decimal(38,18)"
@@ -22,7 +24,7 @@ def largest_remainder(cells: DataFrame, cell: str, weight: str, total: Column |
     total = F.lit(total) if isinstance(total, int) else total
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a row per cell
     w = F.col(weight).cast(EXACT)
-    share = (w / F.sum(w).over(group)).cast(EXACT) * total.cast("decimal(18,0)")
+    share = (w / F.nullif(F.sum(w).over(group), F.lit(0))).cast(EXACT) * total.cast("decimal(18,0)")
     rows = cells.withColumn("_s", F.coalesce(share.cast(EXACT), F.lit(0).cast(EXACT))).withColumn("_f", F.floor("_s").cast("long"))
     rows = rows.withColumn("_left", total.cast("long") - F.sum("_f").over(group))
     order = group.orderBy((F.col("_s") - F.col("_f")).desc(), cell)
@@ -30,53 +32,35 @@ def largest_remainder(cells: DataFrame, cell: str, weight: str, total: Column |
     return rows.drop("_s", "_f", "_left")
 
 
-def bounded_proportional(cells: DataFrame, cell: str, weight: str, capacity: str, total: int, by: tuple[str, ...] = ()) -> DataFrame:
-    """largest_remainder capped at each cell's capacity; what the caps leave goes once to cells with room, by weight order."""
-    rows = largest_remainder(cells, cell, weight, total, by).withColumn("quota", F.least("quota", capacity))
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a row per cell
-    order = group.orderBy(F.col(weight).desc(), cell).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col(capacity) - F.col("quota")
-    rows = rows.withColumn("_left", F.lit(total) - F.sum("quota").over(group)).withColumn("_before", F.coalesce(F.sum(room).over(order), F.lit(0)))
-    extra = F.greatest(F.lit(0), F.least(room, F.col("_left") - F.col("_before")))
-    return rows.withColumn("quota", (F.col("quota") + extra).cast("long")).drop("_left", "_before")
-
-
-def _share(total: int, weights: dict[str, float]) -> dict[str, int]:
-    whole = sum(weights.values())
-    raw = {k: total * w / whole if whole else 0.0 for k, w in weights.items()}
-    found = {k: int(v) for k, v in raw.items()}
-    for k in sorted(raw, key=lambda k: (found[k] - raw[k], k))[: total - sum(found.values())]:
-        found[k] += 1
-    return found
-
-
-def fill_cells(cells: pd.DataFrame, total: int, cell: str = "cell", weight: str = "weight", capacity: str = "capacity") -> pd.DataFrame:
-    """One plan's counted cells with quota."""
-    cells = cells.sort_values(cell)
-    room = dict(zip(cells[cell], cells[capacity].clip(lower=0).astype(int)))
-    weights = dict(zip(cells[cell], cells[weight].astype(float).clip(lower=0)))
-    got, left = dict.fromkeys(room, 0), min(total, sum(room.values()))
-    while left:
-        open_ = [k for k in room if got[k] < room[k]]
-        own = {k: weights[k] for k in open_}
-        offer = _share(left, own if sum(own.values()) > 0 else dict.fromkeys(open_, 1.0))
-        given = {k: min(offer[k], room[k] - got[k]) for k in open_}
-        if not sum(given.values()):
-            given = {open_[0]: 1}
-        for k, n in given.items():
-            got[k] += n
-            left -= n
-    return cells.assign(quota=cells[cell].map(got).astype("int64"))
-
-
-def bounded_quota(cells: DataFrame, total: int, cell: str = "cell", weight: str = "weight", capacity: str = "capacity", plan: str = "plan_id") -> DataFrame:
-    """(plan_id, cell, weight, capacity) -> the same with quota: shared by weight, what exceeds a capacity shared again among cells with room.
-
-    The loop runs on the counted cells of each plan, plans in parallel.
-    """
+def bounded_proportional(cells: DataFrame, cell: str, capacity: str, total: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """cells with quota: total shared by capacity, so that no cell gets more than it holds; a total above all capacities raises."""
+    held = F.sum(capacity).over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))  # a row per cell
+    lacking = F.raise_error(F.concat(F.lit(f"{total} rows wanted, there are "), held.cast("string"))).cast("long")
+    rows = largest_remainder(cells, cell, capacity, total, by)
+    return rows.withColumn("quota", F.when(held < total, lacking).otherwise(F.col("quota")))
+
 
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
-    return cells.groupBy(plan).applyInPandas(lambda c: fill_cells(c, total, cell, weight, capacity), names + ", quota long")
+def bounded_quota(cells: DataFrame, total: Column | int, cell: str = "cell", weight: str = "weight", capacity: str = "capacity", plan: str = "plan_id") -> DataFrame:
+    """(plan_id, cell, weight, capacity) -> the same with quota: shared by weight, no cell above its capacity, all of the total used while there is room.
+
+    A water level: cells in the order of capacity over weight are full as long as the level of the others reaches them; what is
+    left is shared among the others by largest remainder. Cells without weight share equally what those with one can't hold.
+    """
+    total = F.lit(total) if isinstance(total, int) else total
+    rows = cells.withColumn("_room", F.greatest(F.coalesce(F.col(capacity).cast("long"), F.lit(0)), F.lit(0)))
+    rows = rows.withColumn("_bare", ~F.coalesce(F.col(weight) > 0, F.lit(False)))
+    rows = rows.withColumn("_w", F.when(F.col("_bare"), 1.0).otherwise(F.col(weight).cast("double")))
+    weighted_room = F.coalesce(F.sum(F.when(~F.col("_bare"), F.col("_room"))).over(Window.partitionBy(plan)), F.lit(0))
+    own = Window.partitionBy(plan, "_bare")
+    offered = F.when(F.col("_bare"), F.greatest(total - weighted_room, F.lit(0))).otherwise(total)
+    rows = rows.withColumn("_pour", F.least(offered.cast("long"), F.sum("_room").over(own)))
+    order = own.orderBy(F.col("_room") / F.col("_w"), cell)
+    below = F.coalesce(F.sum("_room").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = F.sum("_w").over(order.rowsBetween(0, Window.unboundedFollowing))
+    rows = rows.withColumn("_full", (F.col("_pour") - below) * F.col("_w") >= F.col("_room") * above)
+    rows = rows.withColumn("_rest", F.col("_pour") - F.coalesce(F.sum(F.when(F.col("_full"), F.col("_room"))).over(own), F.lit(0)))
+    rows = largest_remainder(rows.withColumn("_w", F.when(F.col("_full"), 0.0).otherwise(F.col("_w"))), cell, "_w", F.col("_rest"), (plan, "_bare"))
+    return rows.withColumn("quota", F.when(F.col("_full"), F.col("_room")).otherwise(F.col("quota"))).drop("_room", "_bare", "_w", "_pour", "_full", "_rest")
 
 
 def dataset_quotas(rows: DataFrame, total: int, most: int | None = None, weights: DataFrame | None = None) -> DataFrame:
@@ -118,7 +102,7 @@ def cap_and_refill(selected: DataFrame, eligible: DataFrame, most: int, score: s
         counts = used.groupBy("dataset_id").agg(F.count("*").alias("_n"))
         open_ = pool.where(F.col("sample_type").eqNullSafe(sample_type)).select(id_col, "dataset_id", score).join(counts, "dataset_id", "left").fillna(0, ["_n"])
         open_ = open_.withColumn("_d", F.row_number().over(Window.partitionBy("dataset_id").orderBy(*best))).where(F.col("_d") + F.col("_n") <= most)
-        taken = _held(open_.orderBy(*best).limit(n).select(id_col, "dataset_id"))
+        taken = held(open_.orderBy(*best).limit(n).select(id_col, "dataset_id"))
         used = used.unionByName(taken.select("dataset_id"))
         refill.append(taken.select(id_col))
     if not refill:
@@ -126,34 +110,36 @@ def cap_and_refill(selected: DataFrame, eligible: DataFrame, most: int, score: s
     return kept.unionByName(pool.join(reduce(DataFrame.unionByName, refill), id_col, "left_semi").select(kept.columns))
 
 
-def _held(rows: DataFrame) -> DataFrame:
-    """rows cut from their plan: in spark.checkpoint.dir, or on the executors where none is set."""
-    return rows.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", None) else rows.localCheckpoint()
-
-
-def group_holdout(rows: DataFrame, least: int, target: int, most: int, pattern: str = ".*", plan: Column | None = None) -> DataFrame:
+def group_holdout(rows: DataFrame, least: int, target: int, most: int, pattern: str = ".*", salt: str = "pretrain_teacher_holdout_v1", plan: Column | None = None) -> DataFrame:
     """(plan_id, dataset_id, n): the whole datasets whose row total is closest to target within [least, most].
 
-    A bounded subset-sum search over the counts of each plan's datasets, in the order of their digests; of equally close
-    totals the larger. A plan without a fitting total gives no rows.
+    Of equally close totals the larger. Of several ways to a total the one of datasets that come early by salted digest: for every
+    total the first dataset that makes it reachable is kept (five bytes a total), and the way is read backwards. A plan without a
+    fitting total gives no rows.
     """
-    import hashlib
-
     counts = rows.groupBy((plan if plan is not None else F.lit("all")).alias("plan_id"), "dataset_id").agg(F.count("*").alias("n")).where(F.col("dataset_id").rlike(f"^(?:{pattern})$") & (F.col("n") <= most))
+    ordered = counts.withColumn("_d", salted_digest(salt, F.col("dataset_id"), separator="\0"))
 
     def choose(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.assign(d=[hashlib.sha256(x.encode()).hexdigest() for x in cells["dataset_id"]]).sort_values("d")
-        ways: dict[int, tuple[int, ...]] = {0: ()}
-        for k, n in enumerate(cells["n"]):
-            for total in sorted(ways, reverse=True):
-                if total + n <= most:
-                    ways.setdefault(total + int(n), (*ways[total], k))
-        fit = [t for t in ways if least <= t <= most]
-        if not fit:
-            return cells.drop(columns="d").head(0)
-        return cells.drop(columns="d").iloc[list(ways[min(fit, key=lambda t: (abs(t - target), t < target))])]
-
-    return counts.groupBy("plan_id").applyInPandas(choose, counts.schema)
+        sizes = cells.sort_values("_d")["n"].astype(int).tolist()
+        opener = np.full(most + 1, -1, dtype=np.int32)  # which dataset makes a total reachable first; 0 needs none
+        reached = np.zeros(most + 1, dtype=bool)
+        reached[0] = True
+        for k, n in enumerate(sizes):
+            fresh = np.zeros_like(reached)
+            fresh[n:] = reached[: most + 1 - n]
+            fresh &= ~reached
+            opener[fresh], reached = k, reached | fresh
+        fitting = np.flatnonzero(reached[least:]) + least
+        if not len(fitting):
+            return cells.head(0).drop(columns="_d")
+        at, way = int(min(fitting, key=lambda t: (abs(t - target), t < target))), []
+        while at:
+            way.append(opener[at])
+            at -= sizes[opener[at]]
+        return cells.sort_values("_d").iloc[way].drop(columns="_d")
+
+    return ordered.groupBy("plan_id").applyInPandas(choose, counts.schema)
 
 
 def split_holdout(rows: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -257,12 +243,6 @@ def mix_weights(hard: DataFrame, replay: DataFrame, fraction: float) -> DataFram
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-def quota_per_plan(cells: DataFrame, total: str) -> DataFrame:
-    """bounded_quota with a total of its own for each plan, in the column `total`."""
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
-    return cells.groupBy("plan_id").applyInPandas(lambda c: fill_cells(c, int(c[total].iloc[0])), names + ", quota long")
-
-
 def select_replay(rows: DataFrame, budget: int, confirmed: Column, salt: str = "replay", fractions: dict[str, float] | None = None, weights: DataFrame | None = None) -> DataFrame:
     """All negatives, then positives up to the budget: quotas by sample_type (fractions, equal without any), in a type by dataset
     (weight times the square root of its rows), one row of each sequence first.
@@ -284,34 +264,47 @@ def select_replay(rows: DataFrame, budget: int, confirmed: Column, salt: str = "
     if weights is not None:
         counts, user = counts.join(weights.select("dataset_id", F.col("weight").alias("user")), "dataset_id", "left"), F.coalesce("user", F.lit(1.0))
     cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), (user * F.sqrt("capacity")).alias("weight"), "capacity", "type_quota")
-    quotas = quota_per_plan(cells, "type_quota").select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
+    quotas = bounded_quota(cells, F.col("type_quota")).select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
     ranked = diverse_rank(positives, ("sample_type", "dataset_id"), "source_sequence_id", "id", salt)
     return negatives.unionByName(take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns))
 
 
-def expected_draws(rows: DataFrame, quotas: DataFrame, by: str) -> DataFrame:
-    """Expected draws and their share of each value of `by`: rows (cell, weight), quotas (cell, quota)."""
+def expected_draws(rows: DataFrame, quotas: DataFrame, by: str, most_share: float | None = None) -> DataFrame:
+    """Expected draws and their share of each value of `by`: rows (cell, weight), quotas (cell, quota).
+
+    With most_share, a value with a larger share of all draws is marked in within_limit.
+    """
     totals = rows.groupBy("cell").agg(F.sum("weight").alias("_t")).join(quotas, "cell").select("cell", (F.col("quota") / F.col("_t")).alias("_f"))
     drawn = rows.groupBy("cell", by).agg(F.sum("weight").alias("_w")).join(totals, "cell").groupBy(by).agg(F.sum(F.col("_w") * F.col("_f")).alias("expected"))
-    return drawn.withColumn("share", F.col("expected") / F.sum("expected").over(Window.partitionBy(F.lit(0))))  # a row per value
+    drawn = drawn.withColumn("share", F.col("expected") / F.sum("expected").over(Window.partitionBy(F.lit(0))))  # a row per value
+    return drawn if most_share is None else drawn.withColumn("within_limit", F.col("share") <= most_share + 1e-12)
 
 
 def balanced_order(quotas: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(by, sample_type, quota) -> (by, position, sample_type): at each position the type furthest behind its share, of equals the first by name."""
-
-    def order(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values("sample_type")
-        names, quota = list(cells["sample_type"]), [int(q) for q in cells["quota"]]
-        total, given, out = sum(quota), [0] * len(quota), []
-        for position in range(total):
-            lag = [q * (position + 1) - g * total if g < q else float("-inf") for q, g in zip(quota, given)]
-            k = lag.index(max(lag))
-            given[k] += 1
-            out.append(names[k])
-        return pd.DataFrame({**{c: cells[c].iloc[0] for c in by}, "position": range(total), "sample_type": out})
+    """(by, sample_type, quota) -> (by, position, sample_type): at each position the type furthest behind its share, of equals the first by name.
+
+    Smooth weighted round robin: every type gains its quota at each step and the leading one pays their sum. The order repeats
+    after the quotas over their greatest common divisor, so only one period is made in Python; groups run in parallel.
+    """
+
+    def period(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells[cells["quota"] > 0].sort_values("sample_type")
+        if cells.empty:
+            return pd.DataFrame(columns=[*by, "_times", "_order"])
+        quota = cells["quota"].to_numpy("int64")
+        times = int(np.gcd.reduce(quota))
+        gain, standing, order = quota // times, np.zeros(len(quota), "int64"), []
+        for _ in range(int(gain.sum())):
+            standing += gain
+            order.append(int(standing.argmax()))
+            standing[order[-1]] -= gain.sum()
+        names = cells["sample_type"].to_numpy()
+        return pd.DataFrame({**{c: [cells[c].iloc[0]] for c in by}, "_times": [times], "_order": [[names[k] for k in order]]})
 
     types = ", ".join(f"`{c}` {quotas.schema[c].dataType.simpleString()}" for c in by)
-    return quotas.groupBy(*by).applyInPandas(order, types + ", position long, sample_type string")
+    periods = quotas.groupBy(*by).applyInPandas(period, types + ", _times long, _order array<string>")
+    turns = periods.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)).alias("_turn"), "_order")
+    return turns.select(*by, "_turn", F.size("_order").alias("_size"), F.posexplode("_order").alias("_at", "sample_type")).select(*by, (F.col("_turn") * F.col("_size") + F.col("_at")).alias("position"), "sample_type")
 
 
 def draw_report(draws: DataFrame) -> DataFrame:
@@ -319,6 +312,12 @@ def draw_report(draws: DataFrame) -> DataFrame:
     return draws.groupBy("id").agg(F.count("*").alias("n")).agg(F.sum("n").alias("draws"), F.count("*").alias("unique_ids"), F.max("n").alias("most_repeats"))
 
 
+def draws_per_batch(draws: DataFrame, tiers: list[str], types: list[str]) -> DataFrame:
+    """(batch, tier, sample_type) draws -> a row per batch with the draws of each tier and each sample type, as columns of their names."""
+    counts = [F.count_if(F.col("tier") == t).alias(t) for t in tiers] + [F.count_if(F.col("sample_type") == t).alias(t) for t in types]
+    return draws.groupBy("batch").agg(F.count("*").alias("draws"), *counts)
+
+
 def epoch_plan_check(plan: DataFrame, drawn: DataFrame, cell: tuple[str, ...]) -> DataFrame:
     """Cells whose drawn rows differ from the plan's quota, cells missing on either side included."""
     counts = drawn.groupBy(*cell).agg(F.count("*").alias("drawn"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import salted_digest
 from .joins import coverage_problems, exclude_occupied, exclude_replay, require_empty
 from .mining import disagreement_score
-from .quotas import bounded_quota, cap_and_refill, mix_weights, quota_per_plan, take_quota
+from .quotas import bounded_quota, cap_and_refill, mix_weights, take_quota
 from .ranks import diverse_rank
 from .sets import union_all
 
@@ -27,7 +27,7 @@ def select(rows: DataFrame, occupied: DataFrame, fractions: dict[str, float], n:
     types = bounded_quota(types.select(F.lit("all").alias("plan_id"), "cell", "weight", "capacity"), n).select(F.col("cell").alias("sample_type"), F.col("quota").alias("type_quota"))
     capacity = F.least("n", F.lit(per_dataset)) if per_dataset is not None else F.col("n")
     cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), F.sqrt("n").alias("weight"), capacity.alias("capacity"), "type_quota")
-    quotas = quota_per_plan(cells, "type_quota").select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
+    quotas = bounded_quota(cells, F.col("type_quota")).select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
     ranked = diverse_rank(free, ("sample_type", "dataset_id"), "source_sequence_id", id_col, salt, score)
     chosen = take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns)
     if per_dataset is None:
@@ -82,7 +82,7 @@ def stage_members(stage: str, base: DataFrame, negatives: DataFrame | None = Non
 
 
 def smoke_set(rows: DataFrame, quotas: dict[str, int], salt: str, id_col: str = "id") -> DataFrame:
-    """A small fixed set by category (rows come with `category`): what gold negatives lack goes to runtime negatives, and each known hand is in it.
+    """A small fixed set by category (rows come with `category`): what gold negatives lack goes to pseudo negatives at runtime, and each known hand is in it.
 
     A hand that no chosen positive has replaces the last row of the first positive category that can give one.
     """
@@ -93,7 +93,7 @@ def smoke_set(rows: DataFrame, quotas: dict[str, int], salt: str, id_col: str =
     short = max(0, wanted.get("gold_negative", 0) - have.get("gold_negative", 0))
     wanted["gold_negative"] = wanted.get("gold_negative", 0) - short
     if short:
-        wanted["runtime_negative"] = wanted.get("runtime_negative", 0) + short
+        wanted["pseudo_neg_runtime"] = wanted.get("pseudo_neg_runtime", 0) + short
     table = spark.createDataFrame([(k, v) for k, v in wanted.items() if v > 0], "category string, quota long")
     chosen = ranked.join(table, "category").where("rank <= quota")
     hands = F.lower("handedness")

@@ -6,14 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import ceil_percentile, lower_median, safe_div
-from ..functions.text import key_values
-
-TIMINGS = ("get_image_ms", "palm_total_ms", "hand_total_ms", "draw_ms", "loop_ms", "process_ms")
+from ..functions.text import key_values, typed
+
+#: The 16 timings of a frame. Names of a device's fields.
+TIMINGS = (
+    "get_image_ms", "palm_total_ms", "palm_preprocess_ms", "palm_preprocess_transform_ms",
+    "palm_preprocess_manual_load_ms", "palm_input_load_ms", "palm_inference_ms", "palm_getoutput_ms",
+    "palm_output_meta_ms", "palm_decode_ms", "palm_verbose_log_ms", "palm_accounted_ms",
+    "hand_total_ms", "draw_ms", "loop_ms", "process_ms",
+)
+#: What a detector's time is shown as, and the timings that it adds up.
+PALM_PARTS = {
+    "palm_transform": ("palm_preprocess_transform",),
+    "palm_tensor_load": ("palm_preprocess_manual_load", "palm_input_load"),
+    "palm_inference": ("palm_inference",),
+    "palm_postprocess": ("palm_getoutput", "palm_output_meta", "palm_decode", "palm_verbose_log"),
+}
 SENSOR_FPS = 90.0
 
 
 def frame_windows(frames: DataFrame, n: int = 120, timings: tuple[str, ...] = TIMINGS) -> DataFrame:
-    """Windows of n frames by run and frame index: average, median, p95 and maximum of each timing. Incomplete windows are left out."""
+    """Windows of n frames by run and frame index: average, median, p95 and maximum of each timing that the frames have. Incomplete windows are left out."""
+    timings = tuple(t for t in timings if t in frames.columns)
     keyed = frames.withColumn("window", F.floor(F.col("frame_index") / n))
     out = [F.count("*").alias("frames"), F.max("frame_index").alias("frame_index"), F.sum("loop_ms").alias("window_ms")]
     for t in timings:
@@ -54,10 +68,15 @@ def window_scores(windows: DataFrame, sensor_fps: float = SENSOR_FPS) -> DataFra
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """(run_id, line_no, line) -> run_id, line_no, section, values (map), window: the number of the last summary at or before the line, 0 if none (an orphan)."""
-    rows = lines.withColumn("section", F.regexp_extract("line", r"^\[PERF\]\[(\w+)\]", 1)).where("section <> ''")
+    """(run_id, line_no, line) -> run_id, line_no, section, values (map), window: the number of the last summary at or before the line, 0 if none (an orphan).
+
+    A line's report may begin anywhere in it (after a timestamp, say); configuration lines belong to the run.
+    """
+    pattern = r"\[PERF\]\[([^\]]+)\]\s*(.*)"
+    rows = lines.withColumn("section", F.regexp_extract("line", pattern, 1)).where("section <> ''")
     last = Window.partitionBy("run_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("window", F.sum((F.col("section") == "summary").cast("int")).over(last)).select("run_id", "line_no", "section", key_values(F.col("line")).alias("values"), "window")
+    values = key_values(F.regexp_extract("line", pattern, 2))
+    return rows.withColumn("window", F.sum((F.col("section") == "summary").cast("int")).over(last)).select("run_id", "line_no", "section", values.alias("values"), "window")
 
 
 def last_config(parsed: DataFrame) -> DataFrame:
@@ -67,10 +86,10 @@ def last_config(parsed: DataFrame) -> DataFrame:
 
 
 def log_metrics(parsed: DataFrame) -> DataFrame:
-    """(run_id, window, metric, value): the numbers of the lines attached to a summary; of repeated ones the last."""
-    rows = parsed.where("window > 0").select("run_id", "window", "line_no", "section", F.explode("values").alias("key", "text"))
-    rows = rows.withColumn("value", F.expr("try_cast(text as double)")).where("value is not null")
-    return rows.groupBy("run_id", "window", F.concat_ws(".", "section", "key").alias("metric")).agg(F.max_by("value", "line_no").alias("value"))
+    """(run_id, window, metric, value): the numbers of the lines attached to a summary. A section that is repeated replaces the one before it, whole."""
+    rows = parsed.where("window > 0 and section <> 'config'").groupBy("run_id", "window", "section").agg(F.max_by("values", "line_no").alias("values"))
+    rows = rows.select("run_id", "window", "section", F.explode("values").alias("key", "text"))
+    return rows.select("run_id", "window", F.concat_ws(".", "section", "key").alias("metric"), typed(F.col("text"))["number"].alias("value")).where("value is not null")
 
 
 def window_rollup(metrics: DataFrame) -> DataFrame:
@@ -86,9 +105,12 @@ def orphans(parsed: DataFrame) -> DataFrame:
     return parsed.where("window = 0 and section <> 'config'")
 
 
-def infer_counts(windows: DataFrame, k: int) -> DataFrame:
-    """Windows with n_infer: the multiples of k among their frame indexes."""
-    return windows.withColumn("n_infer", (F.floor(F.col("frame_index") / k) - F.floor((F.col("frame_index") - F.col("frames")) / k)).cast("long"))
+def infer_counts(windows: DataFrame, k: int, mode: str = "palm_hand") -> DataFrame:
+    """Windows with n_infer: the multiples of k among their frame indexes, from the first frame of the run on, and n_hand_calls: as many where
+    the mode also runs the hand model, else 0."""
+    first = F.greatest(F.col("frame_index") - F.col("frames") + 1, F.lit(0))
+    n = F.greatest(F.floor(F.col("frame_index") / k) - F.ceil(first / k) + 1, F.lit(0)).cast("long")
+    return windows.withColumn("n_infer", n).withColumn("n_hand_calls", F.when(F.lit(mode == "palm_hand"), n).otherwise(0).cast("long"))
 
 
 def per_inference(rollup: DataFrame, k: int) -> DataFrame:
@@ -96,17 +118,33 @@ def per_inference(rollup: DataFrame, k: int) -> DataFrame:
     return rollup.withColumn("per_inference", F.when(F.col("metric").rlike("p95"), F.col("latest")).otherwise(F.col("latest") * k))
 
 
-def run_metrics(windows: DataFrame) -> DataFrame:
-    """Totals of a run's windows."""
-    return windows.groupBy("run_id").agg(F.count("*").alias("windows"), F.sum("frames").alias("frames"), F.sum("window_ms").alias("total_ms"), safe_div(F.sum("frames") * 1000.0, F.sum("window_ms")).alias("fps"), F.max("loop_ms_max").alias("slowest_ms"))
+def run_metrics(windows: DataFrame, k: int = 1, mode: str = "palm_hand") -> DataFrame:
+    """Totals of a run's windows: frames, inferences (every k-th frame) and hand calls among them, and the last frame index."""
+    counted = infer_counts(windows, k, mode)
+    return counted.groupBy("run_id").agg(
+        F.count("*").alias("windows"), F.sum("frames").alias("frames"), (F.max("frame_index") + 1).alias("last_total_frames"), F.sum("n_infer").alias("inferences"), F.sum("n_hand_calls").alias("hand_calls"),
+        F.sum("window_ms").alias("total_ms"), safe_div(F.sum("frames") * 1000.0, F.sum("window_ms")).alias("fps"), F.max("loop_ms_max").alias("slowest_ms"),
+    )
+
 
+def p95_breakdown(windows: DataFrame, mode: str = "palm_hand", least_ms: float = 0.20, least_share: float = 0.025) -> DataFrame:
+    """(run_id, segment, ms): what an iteration's p95 is made of, by the mean p95 of each timing over the windows in which it is positive.
 
-def p95_breakdown(windows: DataFrame, parts: tuple[str, ...], total: str = "process_ms", least_ms: float = 0.20, least_share: float = 0.025) -> DataFrame:
-    """Mean p95 of the parts over the windows in which they are positive, and the rest of the total; small segments are merged into "other"."""
-    mean = lambda c: F.coalesce(F.avg(F.when(F.col(c) > 0, F.col(c))), F.lit(0.0))
-    sums = windows.groupBy("run_id").agg(mean(f"{total}_p95").alias("total"), *(mean(f"{p}_p95").alias(p) for p in parts))
-    known = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
-    entries = F.array(*(F.struct(F.lit(p).alias("segment"), F.col(p).alias("ms")) for p in parts), F.struct(F.lit("residual").alias("segment"), F.greatest(F.lit(0.0), F.col("total") - known).alias("ms")))
-    rows = sums.select("run_id", "total", F.explode(entries).alias("e")).select("run_id", "total", "e.*").where("ms > 0")
-    small = (F.col("ms") < least_ms) | (F.col("ms") < least_share * F.col("total"))
-    return rows.groupBy("run_id", F.when(small, "other").otherwise(F.col("segment")).alias("segment")).agg(F.sum("ms").alias("ms"))
+    The detector is shown in the parts of PALM_PARTS and palm_other, what they leave of its total; process_overhead is what
+    detector, hand model (in mode palm_hand) and drawing leave of process_ms, loop_overhead what loop_ms has beyond image
+    and process. A rest is 0 at least, and absent where one of its totals is. Segments below least_ms or below least_share of
+    the sum of all are merged into small_stages; timings that the windows lack are absent.
+    """
+    names = [t.removesuffix("_ms") for t in TIMINGS if f"{t}_p95" in windows.columns]
+    means = windows.groupBy("run_id").agg(*(F.avg(F.when(F.col(f"{n}_ms_p95") > 0, F.col(f"{n}_ms_p95"))).alias(n) for n in names))
+    value = lambda n: F.col(n) if n in names else F.lit(None).cast("double")
+    total = lambda ns: sum((F.coalesce(value(n), F.lit(0.0)) for n in ns), F.lit(0.0))
+    rest = lambda whole, parts: F.when(whole.isNotNull(), F.greatest(whole - parts, F.lit(0.0)))
+    hand = value("hand_total") if mode == "palm_hand" else F.lit(None).cast("double")
+    outer = F.when(value("get_image").isNotNull() & value("process").isNotNull(), value("loop"))
+    segments = {"get_image": value("get_image")} | {label: total(ns) for label, ns in PALM_PARTS.items()}
+    segments |= {"palm_other": rest(value("palm_total"), total([n for ns in PALM_PARTS.values() for n in ns])), "hand_total": hand, "draw": value("draw")}
+    segments |= {"process_overhead": rest(value("process"), total(["palm_total", "draw"]) + F.coalesce(hand, F.lit(0.0))), "loop_overhead": rest(outer, value("get_image") + value("process"))}
+    rows = means.select("run_id", F.explode(F.array(*(F.struct(F.lit(n).alias("segment"), v.alias("ms")) for n, v in segments.items()))).alias("e")).select("run_id", "e.*").where("ms > 0")
+    small = (F.col("ms") < least_ms) | (F.col("ms") / F.sum("ms").over(Window.partitionBy("run_id")) < least_share)
+    return rows.withColumn("segment", F.when(small, "small_stages").otherwise(F.col("segment"))).groupBy("run_id", "segment").agg(F.sum("ms").alias("ms"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.telemetry import TIMINGS
+
 POINTS = "array<struct<id:int,x:double,y:double>>"
 LABEL_SCHEMA = f"""
 roi_id string, global_crop_id string, crop_id string, dataset_id string, capture_source_id string, split string, raw_image_id string, source_group_id string,
@@ -20,8 +22,8 @@ REGISTRY_SCHEMAS = {
     "selections": "id string, status string",
     "hard_datasets": "id string, status string",
 }
-FRAME_SCHEMA = "run_id long, frame_index long, get_image_ms double, palm_total_ms double, hand_total_ms double, draw_ms double, loop_ms double, process_ms double"
-DETECTION_SCHEMA = "image string, detections array<struct<score:double,box:array<double>,points:array<array<double>>>>"
+FRAME_SCHEMA = "run_id long, frame_index long, " + ", ".join(f"{t} double" for t in TIMINGS)
+DETECTION_SCHEMA = "image string, rendered string, error string, detections array<struct<score:double,hand_flag_score:double,handedness_score:double,handedness:string,box:array<double>,landmarks_roi_norm:array<array<double>>>>"
 
 
 def _schema(schema: str | T.StructType) -> T.StructType:
@@ -107,19 +109,30 @@ def content_digest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 
 
 def image_size_audit(spark: SparkSession, root: str) -> DataFrame:
-    """(path, width, height, channels, problem): from the header of PNG files; other files are flagged."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    """(path, width, height, channels, problem): from the header of PNG files; other files are flagged.
+
+    Only files named .png are opened; the others are listed without their contents.
+    """
+    names = file_inventory(spark, root).select("path")
+    png = F.lower("path").endswith(".png")
+    records = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][nN][gG]").load(root)
     head = F.hex(F.substring("content", 1, 26))
-    number = lambda at, n: F.conv(F.substring(head, 2 * at + 1, 2 * n), 16, 10).cast("int")
-    png = F.substring(head, 1, 32) == "89504E470D0A1A0A0000000D49484452"
+    number = lambda at, n: F.conv(F.substring("head", 2 * at + 1, 2 * n), 16, 10).cast("int")
+    valid = F.coalesce(F.substring("head", 1, 32) == "89504E470D0A1A0A0000000D49484452", F.lit(False))
     channels = F.create_map(*(F.lit(x) for kv in {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}.items() for x in kv))[number(25, 1)]
-    return files.select("path", F.when(png, number(16, 4)).alias("width"), F.when(png, number(20, 4)).alias("height"), F.when(png, channels).alias("channels"), F.when(~png, "not_png").alias("problem"))
+    heads = records.select("path", head.alias("head")).unionByName(names.where(~png).withColumn("head", F.lit(None).cast("string")))
+    return heads.select("path", F.when(valid, number(16, 4)).alias("width"), F.when(valid, number(20, 4)).alias("height"), F.when(valid, channels).alias("channels"), F.when(~valid, "not_png").alias("problem"))
+
+
+def read_detection_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(image, rendered, error, detections): a row per image, for joins.paired_detections and detections.inference_summary."""
+    return spark.read.schema(DETECTION_SCHEMA).json(paths)
 
 
 def read_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(image, position, score, box, points): a row per detection, one with nulls for an image without any."""
-    raw = spark.read.schema(DETECTION_SCHEMA).json(paths)
-    return raw.select("image", F.posexplode_outer("detections").alias("position", "d")).select("image", "position", "d.*")
+    """(image, rendered, error, position and a detection's fields): a row per detection, one with nulls for an image without any."""
+    raw = read_detection_rows(spark, paths)
+    return raw.select("image", "rendered", "error", F.posexplode_outer("detections").alias("position", "d")).select("image", "rendered", "error", "position", "d.*")
 
 
 def read_perf_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -146,5 +159,7 @@ def frame_stream(spark: SparkSession, path: str, form: str = "json") -> DataFram
 
 
 def line_stream(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line) of log files as they arrive in a folder."""
-    return spark.readStream.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    """(file, line_no, line) of log files as they arrive in a folder; each file is read as one text and must fit into a row."""
+    files = spark.readStream.option("wholetext", True).text(path)
+    lines = files.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+    return lines.select("file", (F.col("line_no") + 1).cast("long").alias("line_no"), "line").where("line <> ''")

@@ -6,7 +6,8 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.mining import mine_round
@@ -110,12 +111,13 @@ def frame_violations_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> Da
     return frame_events_stream(frames, n, lag).where("problem is not null").select("run_id", "window", "frame_index", *TIMINGS, "problem")
 
 
-_LINE = re.compile(r"^\[PERF\]\[(\w+)\]")
-_PAIR = re.compile(r'(\w+)=("[^"]*"|\S+)')
+_LINE = re.compile(r"\[PERF\]\[([^\]]+)\]\s*(.*)")
+_PAIR = re.compile(r'([A-Za-z0-9_]+)=("[^"]*"|\S+)')
+_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
 
 
 class LogMetrics(StatefulProcessor):
-    """Numbers of a log file's lines, with the number of the last summary line so far."""
+    """Numbers of a log file's lines in their order, with the number of the last summary line so far."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.windows = handle.getValueState("windows", "n long")
@@ -123,38 +125,50 @@ class LogMetrics(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n = self.windows.get()[0] if self.windows.exists() else 0
         out = []
-        for frame in rows:
-            for line in frame["line"]:
-                if not (head := _LINE.match(line or "")):
-                    continue
-                n += head[1] == "summary"
-                for name, text in _PAIR.findall(line):
-                    try:
-                        out.append((key[0], n, f"{head[1]}.{name}", float(text.strip('"'))))
-                    except ValueError:
-                        continue
+        for number, line in pd.concat(list(rows)).sort_values("line_no")[["line_no", "line"]].itertuples(index=False):
+            if not (head := _LINE.search(line or "")):
+                continue
+            section, values = head[1], dict(_PAIR.findall(head[2]))
+            n += section == "summary"
+            out += [(key[0], n, section, int(number), f"{section}.{name}", float(text)) for name, text in values.items() if _NUMBER.match(text)]
         self.windows.update((n,))
         if out:
-            yield pd.DataFrame(out, columns=["file", "window", "metric", "value"])
+            yield pd.DataFrame(out, columns=["file", "window", "section", "line_no", "metric", "value"])
 
     def close(self) -> None:
         pass
 
 
 def perf_log_stream(lines: DataFrame) -> DataFrame:
-    """(file, line) in order -> (file, window, metric, value) as they come; window 0 holds orphans."""
-    return lines.groupBy("file").transformWithStateInPandas(LogMetrics(), "file string, window long, metric string, value double", "Append", "None")
+    """(file, line_no, line) -> (file, window, section, line_no, metric, value) as they come; window 0 holds orphans.
+
+    Lines may come in any order inside a micro-batch; later batches hold later lines. A section that a window repeats replaces
+    the one before: of a file, window and section the rows with the last line_no hold, as latest_sections() keeps them.
+    """
+    return lines.groupBy("file").transformWithStateInPandas(LogMetrics(), "file string, window long, section string, line_no long, metric string, value double", "Append", "None")
+
+
+def latest_sections(metrics: DataFrame) -> DataFrame:
+    """What perf_log_stream has written so far, as log_metrics() gives it: (file, window, metric, value) of windows from 1 on."""
+    rows = metrics.where("window > 0 and section <> 'config'")
+    last = F.max("line_no").over(Window.partitionBy("file", "window", "section"))
+    return rows.withColumn("_last", last).where("line_no = _last").select("file", "window", "metric", "value")
 
 
 def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_ledger: Callable[[], DataFrame]):
-    """Starts a query that mines k rows of each micro-batch as a round; ids of earlier rounds never come again.
+    """Starts a query that mines k rows in each micro-batch as a round, among all rows that have come and no round has taken.
 
-    A batch that is run again after a failure finds its round in the ledger and is left out.
+    Rows are kept in <ledger>-pool, a folder per batch, until a round takes them; of an id that comes again the newest row holds.
+    A batch that is run again after a failure writes its folder anew and is left out if the ledger has its round.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{ledger}-pool/batch={batch_id}")
         known = read_ledger()
-        if not known.where(known["round_id"] == batch_id).limit(1).count():
-            append_round(mine_round(batch, known, k, batch_id), ledger)
+        if known.where(known["round_id"] == batch_id).limit(1).count():
+            return
+        pool = batch.sparkSession.read.schema(batch.schema).parquet(f"{ledger}-pool").where(F.col("batch") <= batch_id)
+        newest = pool.groupBy("roi_id").agg(*(F.max_by(c, "batch").alias(c) for c in batch.columns if c != "roi_id")).select(batch.columns)
+        append_round(mine_round(newest, known, k, batch_id), ledger)
 
     return scored.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).start()

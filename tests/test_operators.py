@@ -1,8 +1,11 @@
 """Golden values, order independence and violations of the keypoint operators, on small tables."""
 
+import hashlib
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import points as P
@@ -113,6 +116,13 @@ def test_text_functions(spark):
     assert r.c.valid and r.c.split == "val" and r.l == {"a": "1", "b": "x y", "c": "2.5"} and r.p and r.t and (r.j, r.x) == ("3", "<missing>")
     toks = spark.createDataFrame([("A", " b ", None)], "x string, y string, z string").select(text.tokens({"n": [F.col("x"), F.col("y"), F.col("z")]}).alias("t")).first().t
     assert toks == ["n:a", "n:b"]
+    nested = spark.createDataFrame([('{"b": {"z": [1, {"d": 1, "c": 2}], "a": "q"}, "a": null}',), ("[2, 1]",), ("no json",)], "j string")
+    assert [r[0] for r in nested.select(text.canonical_json(F.col("j"))).collect()] == ['{"a":null,"b":{"a":"q","z":[1,{"c":2,"d":1}]}}', "[2,1]", None]
+    assert nested.select(text.dotted(F.col("j"), "b").alias("b"), text.dotted(F.col("j"), "b.a").alias("a")).first() == ('{"a":"q","z":[1,{"c":2,"d":1}]}', "q")
+    ids = spark.createDataFrame([("G1", "D", "I.png", "n1", "root")], "crop_id string, dataset_id string, image string, native_source_crop_id string, native_source_root string")
+    assert ids.select(text.identity_tokens(ids.columns)).first()[0] == ["parent:g1", "source_image:d:i.png", "native:root:n1"]
+    own = spark.createDataFrame([("G1", "D", "C", "abc", "s")], "global_crop_id string, dataset_id string, source_crop_id string, image_sha256 string, session_id string")
+    assert own.select(text.lineage_tokens(own.columns, groups=True)).first()[0] == ["global_crop_lineage:G1", "dataset_source_crop:D\x1fC", "roi_image_sha256:abc", "session_id:s"]
 
 
 # quotas and ranks
@@ -126,8 +136,23 @@ def test_bounded_quotas(spark):
     cells = spark.createDataFrame([("p", "a", 1.0, 2), ("p", "b", 1.0, 100), ("p", "c", 2.0, 100), ("q", "a", 0.0, 5)], "plan_id string, cell string, weight double, capacity int")
     got = {(r.plan_id, r.cell): r.quota for r in quotas.bounded_quota(cells, 12).collect()}
     assert got == {("p", "a"): 2, ("p", "b"): 3, ("p", "c"): 7, ("q", "a"): 5}
-    once = quotas.bounded_proportional(cells.where("plan_id = 'p'"), "cell", "weight", "capacity", 12).select("cell", "quota").collect()
-    assert sum(q for _, q in once) == 12 and dict(once)["a"] == 2
+    once = dict(quotas.bounded_proportional(cells.where("plan_id = 'p'"), "cell", "capacity", 12).select("cell", "quota").collect())
+    assert once == {"a": 0, "b": 6, "c": 6}
+    with pytest.raises(Exception, match="203 rows wanted, there are 202"):
+        quotas.bounded_proportional(cells.where("plan_id = 'p'"), "cell", "capacity", 203).collect()
+    own = cells.withColumn("wanted", F.when(F.col("plan_id") == "p", 150).otherwise(3))
+    assert {(r.plan_id, r.cell): r.quota for r in quotas.bounded_quota(own, F.col("wanted")).collect()} == {("p", "a"): 2, ("p", "b"): 49, ("p", "c"): 99, ("q", "a"): 3}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0.0, 1.0, 2.0, 3.5]), st.integers(0, 9)), min_size=1, max_size=6), st.integers(0, 40))
+def test_bounded_quotas_fill_up_to_the_level(spark, cells, total):
+    got = quotas.bounded_quota(spark.createDataFrame([("p", k, w, n) for k, (w, n) in enumerate(cells)], "plan_id string, cell int, weight double, capacity int"), total).collect()
+    assert sum(r.quota for r in got) == min(total, sum(n for _, n in cells)) and all(0 <= r.quota <= r.capacity for r in got)
+    weighted = [r for r in got if r.weight > 0]
+    assert not any(r.quota for r in got if not r.weight) or all(r.quota == r.capacity for r in weighted)
+    level = max([(r.quota - 1) / r.weight for r in weighted], default=0)
+    assert all(r.quota == r.capacity or (r.quota + 1) / r.weight >= level for r in weighted)
 
 
 def test_stratified_sample_does_not_depend_on_order(spark):
@@ -143,6 +168,10 @@ def test_group_holdout(spark):
     inside, outside = quotas.split_holdout(rows, chosen)
     assert {r.dataset_id for r in chosen.collect()} == {"new-a", "new-b"} and (inside.count(), outside.count()) == (7, 14)
     assert quotas.group_holdout(rows, 100, 100, 100).count() == 0
+    # a total that several sets reach: the one of datasets that come early by salted digest
+    equal = spark.createDataFrame([(d,) for d in "abcd" for _ in range(2)], "dataset_id string")
+    early = sorted("abcd", key=lambda d: hashlib.sha256(f"s\0{d}".encode()).hexdigest())[:2]
+    assert {r.dataset_id for r in quotas.group_holdout(equal, 4, 4, 5, salt="s").collect()} == set(early)
 
 
 def test_hierarchical_weights(spark):
@@ -182,6 +211,8 @@ def test_draws_follow_weights_and_partitions_do_not_matter(spark):
     assert a.where("id is null").count() == 0 and 0 not in share and all(abs(share[k] - k / 6) < 0.03 for k in (1, 2, 3))
     other = quotas.weighted_draws(rows, plan, ("cell",), 1, 2)
     assert sorted(other.collect()) != sorted(a.collect())
+    batches = a.withColumns({"batch": F.col("slot") % 2, "tier": F.lit("g"), "sample_type": F.lit("t")}) if "slot" in a.columns else None
+    assert batches is None or sum(r.g for r in quotas.draws_per_batch(batches, ["g"], ["t"]).collect()) == a.count()
     report = quotas.draw_report(a).first()
     assert report.draws == 4000 and report.unique_ids == 30
     assert quotas.epoch_plan_check(plan, a, ("cell",)).count() == 0 and quotas.epoch_plan_check(plan, a.limit(10), ("cell",)).first().drawn == 10
@@ -303,42 +334,114 @@ def test_review_and_paths(spark):
     assert joins.verify_digests(m, files.withColumn("digest", F.lit("1"))).count() == 4
 
 
+DETECTIONS = "image string, rendered string, error string, detections array<struct<hand_flag_score:double,landmarks_roi_norm:array<array<double>>>>"
+
+
+def detected(flag=0.9, dx=0.0, scale=1.0):
+    return (flag, [[x, y] for _, x, y in pose(dx, scale)])
+
+
 def test_paired_detections(spark):
-    schema = "image string, detections array<struct<score:double>>"
-    a = spark.createDataFrame([("i", [(0.9,), (0.5,)]), ("j", [])], schema)
-    b = spark.createDataFrame([("i", [(0.8,)]), ("j", [(0.4,)])], schema)
-    got = {r.image: (r.n_base, r.n_candidate, round(r.failure_score, 6)) for r in joins.paired_detections(a, b).collect()}
-    assert got == {"i": (2, 1, 1.1), "j": (0, 1, 1.0)}
-    summary = detections.inference_summary(a).first()
-    assert (summary.images, summary.empty, summary.detections, round(summary.mean_score, 3), summary.least_score) == (2, 1, 2, 0.7, 0.5)
+    a = spark.createDataFrame([("i", None, None, [detected(), detected()]), ("j", None, None, None), ("k", None, None, [detected()]), ("gone", None, None, [])], DETECTIONS)
+    b = spark.createDataFrame([("i", "i.png", "", [detected(0.2, 0.5, 0.1)]), ("j", None, "broken", []), ("k", None, None, [detected(dx=0.03)]), ("new", None, None, [])], DETECTIONS)
+    got = {r.image: r for r in joins.paired_detections(a, b).collect()}
+    # one detection less (3), no hand (2), one collapsed (1)
+    assert {k: r.failure_score for k, r in got.items()} == {"i": 6.0, "j": 1.0, "k": 0.0}
+    assert got["k"].mean_move == pytest.approx(0.03) and got["j"].mean_move is None and got["i"].rendered == "i.png"
+    summary = detections.inference_summary(b).first()
+    assert (summary.images, summary.failed, summary.detections, summary.hands, summary.collapsed) == (4, 1, 2, 1, 1)
+
+
+def test_review_queues_share_one_limit(spark):
+    paired = spark.createDataFrame([("a", 2.0, 1.0, 0.05), ("b", 1.0, -2.0, 0.5), ("c", 9.0, None, None), ("d", None, None, 0.01)], "roi_id string, candidate_px double, delta_px double, candidate_spread double")
+    inferred = spark.createDataFrame([("x", 3.0), ("y", 0.0), ("z", 5.0)], "image string, failure_score double")
+    cases = lambda n: [(r.category, r.position, r.key) for r in mining.review_queues(paired, inferred, n).collect()]
+    assert sorted(cases(4)) == [("high_landmark_error", 1, "c"), ("improved_vs_baseline", 1, "b"), ("palm_or_roi_failure", 1, "z"), ("student_collapse", 1, "d")]
+    assert sorted(cases(2)) == [("high_landmark_error", 1, "c"), ("student_collapse", 1, "d")]
+    assert len(cases(40)) == 2 + 3 + 2 + 2
 
 
 # contracts
 
+def whole(i, **more):
+    """A training row that keeps the contract."""
+    row = label(i, **{k: v for k, v in more.items() if k in label(i)})
+    pts = row["points"] or []
+    px = [(k, 255 * x, 255 * y) for k, x, y in pts]
+    rest = dict(crop_path="c.png", palm_score=0.9, rect=(0.5, 0.5, 0.2, 0.2, 0.0), corners=[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]], points_px=px, points_image=px, label_origin="mediapipe", hand_id=None, label_score=None)
+    return row | rest | more
+
+
+WHOLE = SCHEMA + f", crop_path string, palm_score double, rect {contracts.RECT}, corners array<array<double>>, points_px {POINTS}, points_image {POINTS}, label_origin string, hand_id string, label_score double"
+WHOLE_NAMES = [f.split()[0] for f in WHOLE.replace(POINTS, "P").replace(contracts.RECT, "R").split(", ")]
+
+
+def whole_table(spark, rows):
+    return spark.createDataFrame([tuple(r[c] for c in WHOLE_NAMES) for r in rows], WHOLE)
+
+
 def test_row_contract(spark):
-    rows = [label(0), label(1) | {"split": "val"}, label(2) | {"points": pose()[:20]}, label(3) | {"capture_source_id": "x"}, label(4) | {"roi_id": ""}, label(5, hand="nope"), label(6) | {"points": [(i, float("nan"), 0.0) for i in range(21)]}]
-    got = {r.roi_id: r.errors for r in contracts.row_errors(table(spark, rows)).collect()}
-    assert got["r0"] == [] and got["r1"] == ["capture_split_differs"] and got["r2"] == ["positive_without_points"] and "bad_capture_id" in got["r3"] and got[""] == ["missing_roi_id"] and got["r5"] == ["bad_handedness"] and got["r6"] == ["points_not_finite"]
-    canonical = contracts.canonicalize(table(spark, [label(0), label(1, present=None)]), "geometry").orderBy("roi_id").collect()
-    assert [r.sample_type for r in canonical] == ["POS_RUNTIME", "NEG_RUNTIME_CANDIDATE"] and canonical[0].capture.valid
-    assert contracts.eval_row_errors(table(spark, [label(0)]), "val").first().errors == ["wrong_split"]
+    negative = dict(present=False, handedness="unknown", points=None, points_px=None, points_image=None)
+    given_rows = [
+        whole(0), whole(1, **negative), whole(2, points=pose()[:20]), whole(3, capture_source_id="x"), whole(4, crop_path=""), whole(5, handedness="nope"),
+        whole(6, points_image=[(k, float("nan"), 0.0) for k in range(21)]), whole(7, points_px=[(k, 256 * x, y) for k, x, y in pose()]), whole(8, points=[(k // 2, x, y) for k, x, y in pose()]),
+        whole(9, **negative | {"handedness": "Left", "hand_id": "h"}), whole(10, rect=(0.5, 0.5, 0.0, 0.2, float("inf"))), whole(11, corners=[[0.0, 0.0]]), whole(12, palm_score=None), whole(13, split="val", capture_source_id="white-near-bright-c1-train-s01-p1"),
+        whole(14, label_score=float("nan")), whole(15, points=[(k, x + 0.9, y) for k, x, y in pose()], points_px=[(k, 255 * (x + 0.9), 255 * y) for k, x, y in pose()]),
+    ]
+    checked = contracts.row_errors(contracts.canonicalize(whole_table(spark, given_rows), "geometry"), "geometry")
+    got = {int(r.roi_id[1:]): (r.errors, r.warnings) for r in checked.collect()}
+    assert {k: e for k, (e, _) in got.items() if e} == {
+        2: ["points_image_not_21", "points_not_21", "points_px_not_21"], 3: ["bad_capture_id"], 4: ["missing_crop_path"], 5: ["bad_handedness"], 6: ["points_image_not_finite"], 7: ["points_px_disagree"], 8: ["points_bad_ids", "points_image_bad_ids", "points_px_bad_ids"],
+        9: ["negative_with_hand", "negative_with_hand_id"], 10: ["bad_rect", "rect_without_area"], 11: ["bad_corners"], 12: ["bad_palm_score"], 13: ["capture_split_differs"], 14: ["bad_handedness_score"],
+    }
+    assert [k for k, (_, w) in got.items() if w] == [15]
+    good = contracts.canonicalize(whole_table(spark, [whole(0)]), "geometry")
+    for column, value, want in (
+        ("training_stage", "x", ["wrong_stage"]), ("selection_action", "hold", ["not_included"]), ("supervision_tier", "silver", ["bad_supervision_tier"]), ("annotation_provenance", "human_gold", ["provenance_conflicts"]),
+        ("quality_tier", "LOW", ["bad_quality_tier"]), ("sampling_bucket", "", ["missing_sampling_bucket"]), ("sample_type", "POS", ["bad_sample_type"]), ("sample_type", "POS_LOW_PALM", ["wrong_sample_type"]),
+        ("sampling_weight", -1.0, ["bad_sampling_weight"]), ("landmark_loss_weight", 0.5, ["landmark_loss_weight_not_a_mask"]), ("ignore_for_training", True, ["ignored_row"]), ("width", 255, ["wrong_size"]),
+        ("schema_version", "old", ["wrong_schema_version"]), ("crop_id", "other", ["crop_id_differs"]), ("label_origin", "a_human_corrected", ["provenance_conflicts"]),
+    ):
+        assert contracts.row_errors(good.withColumn(column, F.lit(value)), "geometry").first().errors == want, column
+    for column in ("quality_flags", "palm_valid", "present"):
+        assert f"missing_{'presence' if column == 'present' else column}" in contracts.row_errors(good.withColumn(column, F.lit(None).cast(good.schema[column].dataType)), "geometry").first().errors
+    held = contracts.canonicalize(whole_table(spark, [whole(0, split="val", capture_source_id="white-near-bright-c1-val-s01-p1")]), None)
+    assert contracts.eval_row_errors(held, "val").first().errors == [] and contracts.eval_row_errors(held.withColumn("ground_truth_valid", F.lit(None).cast("boolean")), "test").first().errors == ["invalid_ground_truth", "wrong_split"]
+
+
+def test_canonical_rows(spark):
+    rows = whole_table(spark, [whole(0, handedness="left"), whole(1, present=None, label_origin="x_human_corrected")]).withColumns({"_path": F.lit("p"), "proposal_kind": F.when(F.col("roi_id") == "r0", "low_palm")})
+    pseudo, gold = (contracts.canonicalize(rows, "multitask", role).orderBy("roi_id").collect() for role in ("base", "hard"))
+    assert [r.sampling_bucket for r in pseudo] == ["pseudo:POS_LOW_PALM", "pseudo:NEG_RUNTIME_CANDIDATE"] and pseudo[0].handedness == "Left"
+    assert [r.annotation_provenance for r in pseudo] == ["mediapipe_pseudo", "human_gold"] and {r.annotation_provenance for r in gold} == {"human_gold"}
+    assert (pseudo[0].landmark_loss_weight, pseudo[1].landmark_loss_weight, pseudo[1].points) == (1.0, 0.0, None) and "_path" not in pseudo[0].asDict()
 
 
 def test_reasons_weights_actions_and_filters(spark):
-    rows = table(spark, [label(0), label(1) | {"points": [(0, 2.0, 0.0), (0, 0.0, 0.0)]}, label(2, present=False)]).withColumn("tier", F.lit("gold"))
-    reasons = [r.reasons for r in contracts.positive_reasons(rows, ("gold",)).orderBy("roi_id").collect()]
-    assert reasons[0] == [] and reasons[1] == ["duplicate_point_ids", "points_out_of_range"]
-    heads = contracts.head_weights(rows, {"gold": 2.0}).orderBy("roi_id").collect()
-    assert [(r.presence_weight, r.landmark_weight, r.handedness_weight) for r in heads] == [(2.0, 2.0, 2.0), (2.0, 0.0, 2.0), (2.0, 0.0, 0.0)]
-    decided = contracts.decision_rows(contracts.positive_reasons(rows, ("gold",)).withColumns({"overlap": F.lit(4), "reviewed": F.lit(True)})).orderBy("roi_id").collect()
-    assert [r.action for r in decided] == ["admit", "drop", "quarantine"]
+    rows = contracts.canonicalize(whole_table(spark, [whole(0), whole(1, points=[(0, 2.0, 0.0), (0, 0.0, 0.0)]), whole(2, present=False), whole(3, points=[(k, x + 1.0, y) for k, x, y in pose()])]), "geometry", "hard")
+    reasoned = contracts.positive_reasons(rows, ("HIGH",))
+    assert [r.reasons for r in reasoned.orderBy("roi_id").collect()] == [[], ["INVALID_LANDMARKS"], ["INVALID_LANDMARKS", "INVALID_POSITIVE_SAMPLE_TYPE"], ["LANDMARK_OUT_OF_ALLOWED_RANGE"]]
+    heads = contracts.head_weights(rows.withColumn("landmark_quality_weight", F.lit(0.5)), {"gold": 2.0}).orderBy("roi_id").collect()
+    assert [(r.presence_weight, r.landmark_weight, r.handedness_weight) for r in heads] == [(2.0, 1.0, 2.0), (2.0, 1.0, 2.0), (2.0, 0.0, 0.0), (2.0, 1.0, 2.0)]
+    with pytest.raises(Exception, match="no weight for tier gold"):
+        contracts.head_weights(rows, {"pseudo": 1.0}).collect()
+    cases = reasoned.crossJoin(spark.createDataFrame([(0, "CONFIRMED_NEGATIVE", False), (4, "CONFIRMED_NEGATIVE", False), (0, None, True)], "overlap int, decision string, held_out boolean"))
+    got = {(r.roi_id, r.overlap, r.held_out): (r.action, r.reasons) for r in contracts.decision_rows(cases).collect()}
+    assert got["r0", 0, False] == ("INCLUDE_LANDMARKS", []) and got["r1", 0, False][0] == "QUARANTINE_POSITIVE" and got["r0", 0, True] == ("HOLDOUT_TEACHER_EVAL", ["AUTOMATIC_TEACHER_HOLDOUT"])
+    assert got["r2", 0, False] == ("INCLUDE_CONFIRMED_NEGATIVE", ["HUMAN_CONFIRMED_NEGATIVE"]) and got["r2", 0, True][0] == "EXCLUDE_HOLDOUT_DATASET"
+    assert got["r2", 4, False] == ("HOLD_NEGATIVE_CANDIDATE", ["NEGATIVE_OVERLAPS_CONFIRMED_HAND", "REVIEW_CONFLICTS_CONFIRMED_HAND_OVERLAP"])
+    reviewed = rows.withColumns({"presence_decision": F.when(F.col("present"), "hand").otherwise("hand"), "handedness_decision": F.upper("handedness"), "source_sha256": F.lit("s"), "task_sha256": F.lit("")})
+    sources = spark.createDataFrame([("ds-0", "s", "reviewed"), ("ds-1", "t", "external_gold")], "dataset_id string, sha256 string, source_kind string")
+    assert [r.errors for r in contracts.gold_row_errors(reviewed, sources).orderBy("roi_id").collect()] == [["task_digest_missing"], ["source_digest_differs"], ["presence_not_decided", "task_digest_missing"], ["source_digest_differs"]]
     scores = spark.createDataFrame([(0.5,), (0.49,), (float("nan"),), (float("inf"),), (None,)], "score double")
     assert [r.score for r in contracts.score_filter(scores, 0.5).collect()] == [0.5]
     turned = contracts.augment_points(rows, 5).orderBy("roi_id").collect()
     assert turned == contracts.augment_points(rows.repartition(5), 5).orderBy("roi_id").collect()
     assert {r.category for r in contracts.smoke_category(rows).collect()} == {"gold_positive", "gold_negative"}
+    evidence = spark.createDataFrame([(False, "INCLUDE_CONFIRMED_NEGATIVE", "CONFIRMED_NEGATIVE", "me"), (False, "INCLUDE_CONFIRMED_NEGATIVE", "CONFIRMED_NEGATIVE", " "), (True, "INCLUDE_CONFIRMED_NEGATIVE", "CONFIRMED_NEGATIVE", "me"), (False, None, "CONFIRMED_NEGATIVE", "me")], "p boolean, a string, d string, who string")
+    assert [r[0] for r in evidence.select(contracts.confirmed_negative(F.col("p"), F.col("a"), F.col("d"), F.col("who"))).collect()] == [True, False, False, False]
     sent, lacking = contracts.review_request(rows, "check", ["dataset_id", "handedness"], ["hand_flag"])
-    assert sent.count() == 3 and lacking.count() == 0 and sent.first().role == "check"
+    assert sent.count() == 4 and lacking.count() == 0 and sent.first().role == "check"
     assert contracts.drop_internal(rows.withColumn("_x", F.lit(1))).columns == rows.columns
     vectors = spark.createDataFrame([([0.1] * 42, 0.5, 0.5), ([0.1] * 41, 1.5, float("nan"))], "vector array<double>, hand_flag double, handedness_score double")
     assert [r.errors for r in contracts.decode_landmark_vectors(vectors).collect()] == [[], ["bad_flag", "bad_handedness", "bad_vector"]]
@@ -352,6 +455,42 @@ def test_suppression(spark):
     assert sorted(r.box_id for r in detections.nms_two_stage(rows.where("box_id <> 4"), 0.1, 0.1, 5).collect()) == [1, 3, 5]
 
 
+BOXES = "image string, box_id long, x1 double, y1 double, x2 double, y2 double, score double, head int"
+
+
+def box(image, box_id, x, score, head, side=1.0):
+    return (image, box_id, x, 0.0, x + side, side, score, head)
+
+
+def test_two_stage_suppression_ranks_both_heads_by_score(spark):
+    weak_head_0 = [box("a", 1, 0.0, 0.3, 0), box("a", 2, 5.0, 0.2, 0), box("a", 3, 10.0, 0.9, 1)]
+    head_1_only = [box("b", 1, 0.0, 0.9, 1), box("b", 2, 0.7, 0.8, 1)]  # their overlap lies between the two limits
+    one_more = [box("c", i, 5.0 * i, 0.1 * i, 0) for i in range(3)] + [box("c", 8, 50.0, 0.9, 1), box("c", 9, 60.0, 0.8, 1)]
+    got = detections.nms_two_stage(spark.createDataFrame(weak_head_0 + head_1_only + one_more, BOXES), 0.3, 0.1, 2).orderBy("image", "rank").collect()
+    assert [r.box_id for r in got if r.image == "a"] == [3, 1] and [r.box_id for r in got if r.image == "b"] == [1]
+    assert [r.box_id for r in got if r.image == "c"] == [8, 2]  # head 1 stops at the box that makes k
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 8), st.integers(0, 8), st.integers(1, 6), st.integers(0, 5)), max_size=14))
+def test_suppression_equals_a_plain_version(spark, cells):
+    rows = [("i", k, x / 4, y / 4, (x + w) / 4, (y + 3) / 4, s / 10, h) for k, (h, x, y, w, s) in enumerate(cells)]
+    covers = lambda a, b, t: (both := max(0, min(a[4], b[4]) - max(a[2], b[2])) * max(0, min(a[5], b[5]) - max(a[3], b[3]))) / ((a[4] - a[2]) * (a[5] - a[3]) + (b[4] - b[2]) * (b[5] - b[3]) - both + 1e-6) > t
+    best = sorted(rows, key=lambda r: (-r[6], r[1]))
+    first = []
+    for r in best:
+        if r[7] == 0 and not any(covers(q, r, 0.3) for q in first):
+            first.append(r)
+    both = list(first)
+    for r in best:
+        if r[7] == 1 and not any(covers(q, r, 0.1) for q in both):
+            both.append(r)
+            if len(both) >= 3:
+                break
+    got = detections.nms_two_stage(spark.createDataFrame(rows, BOXES), 0.3, 0.1, 3).orderBy("rank").collect() if rows else []
+    assert [r.box_id for r in got] == [r[1] for r in sorted(both, key=lambda r: (-r[6], r[1]))[:3]]
+
+
 def test_anchors_and_rotated_overlap(spark):
     table_ = detections.anchors(spark, [(14, 24, 2), (7, 12, 2)])
     first = table_.orderBy("anchor_id").first()
@@ -363,6 +502,9 @@ def test_anchors_and_rotated_overlap(spark):
     pairs = spark.createDataFrame([(square, square), (square, moved), (square, [[0.5, -0.2], [1.2, 0.5], [0.5, 1.2], [-0.2, 0.5]])], "quad_a array<array<double>>, quad_b array<array<double>>")
     iou = [r.iou for r in detections.rotated_iou(pairs).collect()]
     assert iou[0] == pytest.approx(1) and iou[1] == pytest.approx(1 / 3) and iou[2] == pytest.approx((0.98 - 0.16) / (1 + 0.16), abs=0.08)
+    odd = [(square, [[5.0, 5.0], [6.0, 5.0], [6.0, 6.0], [5.0, 6.0]]), (square, moved[::-1]), (square, [[0.0, 0.0]] * 4), (square, [[0.25, 0.25], [0.75, 0.25], [0.75, 0.75], [0.25, 0.75]]), (square, [[1.0, 0.0], [2.0, 0.0], [2.0, 1.0], [1.0, 1.0]])]
+    got = [r.iou for r in detections.rotated_iou(spark.createDataFrame(odd, "quad_a array<array<double>>, quad_b array<array<double>>")).collect()]
+    assert got == pytest.approx([0.0, 1 / 3, 0.0, 0.25, 0.0])
 
 
 def test_predictor_must_cover_its_batch(spark):
@@ -392,8 +534,6 @@ def test_scores_of_rows(spark):
     assert mining.source_report(scored).first().source_rank == 1
     ranked = mining.disagreement_score(table(spark, [label(i) for i in range(3)]))
     assert ranked.count() == 3 and ranked.first().disagreement == pytest.approx(0.5 * 2.5)
-    queues = mining.review_queues(spark.createDataFrame([("a", 1.0, 2.0, 1.0), ("b", 3.0, 1.0, -2.0)], "roi_id string, baseline_px double, candidate_px double, delta_px double"), 1)
-    assert {(r.category, r.roi_id) for r in queues.collect()} == {("worst", "a"), ("regressed", "a"), ("improved", "b")}
 
 
 # telemetry
@@ -415,8 +555,20 @@ def test_windows_leave_out_the_last_incomplete_one(spark):
     assert [r.n_infer for r in counted] == [40, 40]
     totals = telemetry.run_metrics(telemetry.frame_windows(spark.createDataFrame(frames(250), FRAMES), 120)).first()
     assert (totals.windows, totals.frames) == (2, 240)
-    parts = telemetry.p95_breakdown(telemetry.frame_windows(spark.createDataFrame(frames(250), FRAMES), 120), ("get_image_ms", "draw_ms"))
-    assert {r.segment: r.ms for r in parts.collect()} == {"get_image_ms": 1.0, "draw_ms": 1.0, "residual": 2.0}
+    assert (totals.last_total_frames, totals.inferences, totals.hand_calls) == (240, 240, 240)
+    parts = telemetry.p95_breakdown(telemetry.frame_windows(spark.createDataFrame(frames(250), FRAMES), 120))
+    assert {r.segment: r.ms for r in parts.collect()} == {"get_image": 1.0, "draw": 1.0, "process_overhead": 3.0, "loop_overhead": 6.0}
+    # early windows begin at frame 0
+    early = spark.createDataFrame([(1, 5, 120)], "run_id long, frame_index long, frames long")
+    assert telemetry.infer_counts(early, 3, "palm").select("n_infer", "n_hand_calls").first() == (2, 0)
+
+
+def test_p95_segments(spark):
+    names = {"get_image": 2.0, "palm_total": 10.0, "palm_preprocess_transform": 1.0, "palm_preprocess_manual_load": 0.1, "palm_input_load": 0.05, "palm_inference": 6.0, "palm_getoutput": 0.5, "palm_decode": 0.5, "hand_total": 4.0, "draw": 1.0, "process": 17.0, "loop": 20.0}
+    windows = spark.createDataFrame([(1, *names.values()), (1, *(0.0 for _ in names))], "run_id int, " + ", ".join(f"{n}_ms_p95 double" for n in names))
+    got = lambda mode: {r.segment: round(r.ms, 6) for r in telemetry.p95_breakdown(windows, mode).collect()}
+    both = {"get_image": 2.0, "palm_transform": 1.0, "palm_inference": 6.0, "palm_postprocess": 1.0, "palm_other": 1.85, "hand_total": 4.0, "draw": 1.0, "process_overhead": 2.0, "loop_overhead": 1.0, "small_stages": 0.15}
+    assert got("palm_hand") == both and got("palm") == {k: v for k, v in both.items() if k != "hand_total"} | {"process_overhead": 6.0}
 
 
 def test_log_lines(spark):
@@ -425,6 +577,10 @@ def test_log_lines(spark):
     assert telemetry.last_config(parsed).first().value == "90" and telemetry.orphans(parsed).count() == 1
     rolled = {r.metric: (r.windows, r["mean"], r.latest) for r in telemetry.window_rollup(telemetry.log_metrics(parsed)).collect()}
     assert rolled["stage_ms.a"] == (2, 3.0, 4.0) and rolled["stage_ms.b"] == (1, 3.5, 3.5) and "stage_ms.c" not in rolled
+    # a prefix before the report, a key twice (the last holds) and a section twice (the last replaces it)
+    odd = ["12:00 [PERF][summary] frame=1 frame=2", "x [PERF][stage_ms] a=1 b=7", "[PERF][stage_ms] a=2"]
+    again = telemetry.log_metrics(telemetry.parse_lines(spark.createDataFrame([(1, i, x) for i, x in enumerate(odd)], "run_id long, line_no int, line string")))
+    assert {r.metric: r.value for r in again.collect()} == {"summary.frame": 2.0, "stage_ms.a": 2.0}
     each = telemetry.per_inference(telemetry.window_rollup(telemetry.log_metrics(parsed)), 3).where("metric = 'stage_ms.a'").first()
     assert each.per_inference == 12.0
 
@@ -482,10 +638,11 @@ def test_stages(spark):
 
 
 def test_smoke_set_has_both_hands(spark):
-    rows = spark.createDataFrame([(i, "gold" if i % 2 else "pseudo", i % 5 != 0, True, "Right" if i == 7 else "Left", f"s{i}") for i in range(60)], "id int, tier string, present boolean, palm_valid boolean, handedness string, source_sequence_id string")
-    got = selection.smoke_set(contracts.smoke_category(rows), {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2, "low_palm_negative": 3}, "s")
+    rows = spark.createDataFrame([(i, "gold" if i % 2 else "pseudo", i % 5 != 0, True, "Right" if i == 7 else "Left", f"s{i}") for i in range(60)], "id int, supervision_tier string, present boolean, palm_valid boolean, handedness string, source_sequence_id string")
+    rows = rows.withColumn("sample_type", contracts.sample_type(F.col("present"), F.col("palm_valid")))
+    got = selection.smoke_set(contracts.smoke_category(rows), {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "pseudo_neg_runtime": 2, "pseudo_neg_low": 3}, "s")
     assert {"Left", "Right"} <= {r.handedness for r in got.where("present").collect()}
-    assert dict(got.groupBy("category").count().collect()) == {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "runtime_negative": 2}
+    assert dict(got.groupBy("category").count().collect()) == {"gold_positive": 5, "pseudo_positive": 5, "gold_negative": 2, "pseudo_neg_runtime": 2}
 
 
 def test_variants_of_another_release_are_no_violation(spark):

@@ -54,7 +54,7 @@ def test_registry_detections_and_sinks(spark, tmp_path):
     assert files.read_registry(spark, str(tmp_path), "selections").first().status == "published"
     with pytest.raises(ValueError):
         files.read_registry(spark, str(tmp_path), "other")
-    (tmp_path / "d.json").write_text('{"image": "i", "detections": [{"score": 0.5, "box": [1.0]}]}\n{"image": "j", "detections": []}\n')
+    (tmp_path / "d.json").write_text('{"image": "i", "detections": [{"score": 0.5, "box": [1.0], "hand_flag_score": 0.7}]}\n{"image": "j", "detections": []}\n')
     assert sorted((r.image, r.position, r.score) for r in files.read_detections(spark, str(tmp_path / "d.json")).collect()) == [("i", 0, 0.5), ("j", None, None)]
     rows = spark.createDataFrame([("a", "train"), ("b", "val")], "id string, split string")
     report = files.write_snapshot(rows, str(tmp_path / "snap"))
@@ -64,7 +64,7 @@ def test_registry_detections_and_sinks(spark, tmp_path):
 
 
 def test_live_windows_equal_batch_windows(spark, tmp_path):
-    rows = [(run, i, 1.0, 0.5, 0.0, 1.0, 5.0 + (i * run) % 7, 4.0) for run in (1, 2) for i in range(25)]
+    rows = [(run, i, 1.0, 0.5, *[0.125] * 10, 0.0, 1.0, 5.0 + (i * run) % 7, 4.0) for run in (1, 2) for i in range(25)]
     table = spark.createDataFrame(rows, files.FRAME_SCHEMA)
     for k, part in enumerate((table.where("frame_index < 8"), table.where("frame_index between 8 and 17 and frame_index <> 9"), table.where("frame_index = 9 or frame_index > 17"))):
         part.coalesce(1).write.json(str(tmp_path / f"in{k}"))
@@ -86,7 +86,7 @@ def test_live_windows_equal_batch_windows(spark, tmp_path):
 
 
 def test_a_missing_frame_does_not_stop_a_run(spark, tmp_path):
-    rows = [(1, i, 1.0, 0.5, 0.0, 1.0, 5.0 + i % 7, 4.0) for i in range(60)]
+    rows = [(1, i, 1.0, 0.5, *[0.125] * 10, 0.0, 1.0, 5.0 + i % 7, 4.0) for i in range(60)]
     table = spark.createDataFrame(rows, files.FRAME_SCHEMA).where("frame_index <> 13")
     late = spark.createDataFrame([rows[13]], files.FRAME_SCHEMA)
     parts = [table.where("frame_index < 30 and frame_index <> 5"), table.where("frame_index = 5 or frame_index between 30 and 44"), table.where("frame_index >= 45"), late.unionByName(table.where("frame_index in (31, 59)"))]
@@ -116,14 +116,15 @@ def test_a_missing_frame_does_not_stop_a_run(spark, tmp_path):
 
 def test_live_log_metrics(spark, tmp_path):
     (tmp_path / "logs").mkdir()
-    (tmp_path / "logs" / "a.log").write_text("[PERF][stage_ms] a=1\n[PERF][summary] frame=9\n[PERF][stage_ms] a=2 b=x\n")
+    (tmp_path / "logs" / "a.log").write_text("[PERF][stage_ms] a=1\n[PERF][summary] frame=9\n00:01 [PERF][stage_ms] a=2 a=3 b=x\n[PERF][stage_ms] c=4\n")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     run = live.perf_log_stream(files.line_stream(spark, str(tmp_path / "logs"))).writeStream.format("memory").queryName("log").option("checkpointLocation", str(tmp_path / "cp")).start()
     try:
         run.processAllAvailable()
     finally:
         run.stop()
-    assert sorted((r.window, r.metric, r.value) for r in spark.table("log").collect()) == [(0, "stage_ms.a", 1.0), (1, "stage_ms.a", 2.0), (1, "summary.frame", 9.0)]
+    assert sorted((r.window, r.metric, r.value) for r in spark.table("log").collect()) == [(0, "stage_ms.a", 1.0), (1, "stage_ms.a", 3.0), (1, "stage_ms.c", 4.0), (1, "summary.frame", 9.0)]
+    assert sorted((r.window, r.metric, r.value) for r in live.latest_sections(spark.table("log")).collect()) == [(1, "stage_ms.c", 4.0), (1, "summary.frame", 9.0)]
 
 
 def test_mining_rounds_as_micro_batches(spark, tmp_path):
@@ -135,7 +136,7 @@ def test_mining_rounds_as_micro_batches(spark, tmp_path):
     read = lambda: spark.read.schema(schema + ", round_id int").parquet(ledger)
     run = live.mining_rounds(stream, ledger, 2, str(tmp_path / "cp"), read)
     try:
-        for batch in ([("a", 0.9), ("b", 0.8), ("c", 0.1)], [("a", 0.9), ("d", 0.5), ("c", 0.1)]):
+        for batch in ([("a", 0.9), ("b", 0.8), ("c", 0.1)], [("a", 0.9), ("d", 0.05), ("e", 0.01)]):
             (tmp_path / "in" / f"{len(batch)}{batch[1][0]}.json").write_text("".join(json.dumps({"roi_id": i, "difficulty": d, "error_px": 1.0}) + "\n" for i, d in batch))
             run.processAllAvailable()
     finally:
