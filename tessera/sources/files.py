@@ -160,6 +160,6 @@ def frame_stream(spark: SparkSession, path: str, form: str = "json") -> DataFram
 
 def line_stream(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of log files as they arrive in a folder; each file is read as one text and must fit into a row."""
-    files = spark.readStream.option("wholetext", True).text(path)
+    files = spark.readStream.text(path, wholetext=True)
     lines = files.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
     return lines.select("file", (F.col("line_no") + 1).cast("long").alias("line_no"), "line").where("line <> ''")
