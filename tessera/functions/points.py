@@ -160,8 +160,8 @@ def roi_rect(box: Column, wrist: Column, middle: Column, image_width: Column, im
     """
     spans = []
     for k, size in ((0, image_width), (1, image_height)):
-        ends = F.array_sort(F.transform(F.array(box[k], box[k + 2]), lambda v, top=size - 1.0: F.greatest(F.lit(0.0), F.least(top, v))))
-        spans.append(((ends[0] + ends[1]) / 2, F.greatest(ends[1] - ends[0], F.lit(1.0))))
+        low, high = (F.greatest(F.lit(0.0), F.least(size - 1.0, pick(box[k], box[k + 2]))) for pick in (F.least, F.greatest))
+        spans.append(((low + high) / 2, F.greatest(high - low, F.lit(1.0))))
     (x, width), (y, height) = spans
     angle = normalise_angle(F.atan2(middle["y"] - wrist["y"], middle["x"] - wrist["x"]) + math.pi / 2)
     cx, cy = _at(_axes(x, y, width, height, angle), 2 * shift[0], 2 * shift[1])

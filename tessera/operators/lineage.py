@@ -4,18 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def held(rows: DataFrame) -> DataFrame:
-    """rows as a checkpoint in spark.checkpoint.dir, the folder that driver and executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, the folder that driver and executors share.
 
     Only a local session without that setting gets a folder of its own; a cluster without it is an error.
     """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def held(rows: DataFrame) -> DataFrame:
+    """rows as a checkpoint in the shared folder."""
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tessera-"))
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     return rows.checkpoint()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.points import N_POINTS
+from ..functions.points import N_POINTS, corners
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +67,55 @@ def roi_predictions(spark: SparkSession, sf_dir: str, run: str = "candidate") ->
     )
 
 
+#: What part of a detector's time each of its details takes here.
+PALM_SHARES = {
+    "palm_preprocess_ms": 0.3, "palm_preprocess_transform_ms": 0.2, "palm_preprocess_manual_load_ms": 0.1, "palm_input_load_ms": 0.1, "palm_inference_ms": 0.4,
+    "palm_getoutput_ms": 0.05, "palm_output_meta_ms": 0.02, "palm_decode_ms": 0.05, "palm_verbose_log_ms": 0.01, "palm_accounted_ms": 0.93,
+}
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """roi_labels as rows come from an annotation tool: pixel points, corners, origin; negatives without points and hand; v is the row's number."""
+    rows = roi_labels(spark, sf_dir)
+    v = F.substring("roi_id", 5, 20).cast("long")
+    px = F.transform("points", lambda p: F.struct(p["id"].alias("id"), (p["x"] * 255).alias("x"), (p["y"] * 255).alias("y")))
+    held = lambda c: F.when(F.col("present"), c)
+    return rows.select(
+        "roi_id", "dataset_id", "capture_source_id", "split", "raw_image_id", "proposal_variant", "present", "rect", v.alias("v"),
+        F.concat(F.lit("crops/"), v, F.lit(".png")).alias("crop_path"),
+        F.lit(0.9).alias("palm_score"),
+        corners(F.col("rect")).alias("corners"),
+        held(F.col("points")).alias("points"),
+        held(px).alias("points_px"),
+        held(px).alias("points_image"),
+        F.coalesce(held(F.col("handedness")), F.lit("unknown")).alias("handedness"),
+        F.when(v % 11 == 0, "human").when(v % 13 == 0, "tool_human_corrected").otherwise("mediapipe").alias("label_origin"),
+        F.when(F.col("palm_valid"), "runtime").otherwise("low_palm").alias("proposal_kind"),
+        F.lit(None).cast("string").alias("hand_id"),
+        F.lit(None).cast("double").alias("label_score"),
+    )
+
+
+def detection_rows(spark: SparkSession, sf_dir: str, run: str = "candidate") -> DataFrame:
+    """(image, rendered, error, detections): three ROIs of a raw image as its detections; the candidate run misses some, fails on some images, and lacks others."""
+    v = F.col("vec_id")
+    made = F.array(*(F.array(*(0.5 + c.cast("double") for c in (F.col("embedding")[2 * i], F.col("embedding")[2 * i + 1]))) for i in range(N_POINTS)))
+    shrunk = F.transform(made, lambda p: F.when(v % 9 == 0, F.transform(p, lambda c: 0.5 + (c - 0.5) / 50)).otherwise(p if run == "baseline" else F.transform(p, lambda c: c + 0.01)))
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("raw-"), F.floor(v / 3)).alias("image"), v.alias("v"), F.struct(((v * 37 % 100) / 100).alias("hand_flag_score"), shrunk.alias("landmarks_roi_norm")).alias("d")
+    )
+    if run == "candidate":
+        rows = rows.where("v % 7 <> 0 and (v div 3) % 10 <> 1")
+    found = rows.groupBy("image").agg(F.transform(F.array_sort(F.collect_list(F.struct("v", "d"))), lambda x: x["d"]).alias("detections"))
+    number = F.substring("image", 5, 20).cast("long")
+    error = F.when((number % 10 == 3) & F.lit(run == "candidate"), "decode failed")
+    return found.select("image", F.concat("image", F.lit(".png")).alias("rendered"), error.alias("error"), "detections")
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     value, kind = F.col("value"), F.col("event_type")
+    palm = F.when(kind.isin("click", "view"), value / 30).otherwise(0.0)
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"),
         (F.row_number().over(order) - 1).cast("long").alias("frame_index"),
@@ -77,8 +123,9 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.0).alias("draw_ms"),
         (5 + value / 20).alias("loop_ms"),
         (3 + value / 25).alias("process_ms"),
-        F.when(kind.isin("click", "view"), value / 30).otherwise(0.0).alias("palm_total_ms"),
+        palm.alias("palm_total_ms"),
         F.when(kind == "purchase", value / 40).otherwise(0.0).alias("hand_total_ms"),
+        *((palm * share).alias(name) for name, share in PALM_SHARES.items()),
     )
 
 
@@ -156,10 +203,22 @@ SQL = {
     "baseline": f"""baseline as (
       select 'roi-' || vec_id as roi_id, case when vec_id % 13 <> 0 then {_noisy(0.2)} end as predicted, (vec_id * 37 % 100) / 100 as hand_flag, (vec_id * 53 % 100) / 100 as handedness_score
       from (select *, embedding as e from embeddings))""",
-    "frames": """frames as (
-      select user_id as run_id, row_number() over (partition by user_id order by ts, event_id) - 1 as frame_index, 2 + value / 20 - value / 25 as get_image_ms, 1.0::double as draw_ms,
+    "frames": f"""frames as (
+      select *, {', '.join(f'palm_total_ms * {v}::double as {k}' for k, v in PALM_SHARES.items())} from (select user_id as run_id, row_number() over (partition by user_id order by ts, event_id) - 1 as frame_index, 2 + value / 20 - value / 25 as get_image_ms, 1.0::double as draw_ms,
         5 + value / 20 as loop_ms, 3 + value / 25 as process_ms, case when event_type in ('click', 'view') then value / 30 else 0 end as palm_total_ms, case when event_type = 'purchase' then value / 40 else 0 end as hand_total_ms
-      from events)""",
+      from events))""",
+    "published": """published as (
+      select roi_id, dataset_id, capture_source_id, split, raw_image_id, present, v, case when present then points end as points, case when present then handedness else 'unknown' end as handedness,
+        case when v % 11 = 0 then 'human' when v % 13 = 0 then 'tool_human_corrected' else 'mediapipe' end as label_origin, palm_valid, case when palm_valid then 'runtime' else 'low_palm' end as proposal_kind
+      from (select *, roi_id[5:]::bigint as v from labels))""",
+    **{
+        f"{run}_detections": f"""{run}_detections as (
+      select 'raw-' || n as image, case when n % 10 = 3 and {run == 'candidate'} then 'decode failed' end as error, list({{'flag': f, 'pts': pts}} order by v) as detections from (
+        select vec_id as v, vec_id // 3 as n, (vec_id * 37 % 100) / 100 as f, list_transform(range(0, 21), lambda i: list_transform([0.5 + embedding[2*i+1]::double, 0.5 + embedding[2*i+2]::double],
+          lambda c: case when vec_id % 9 = 0 then 0.5 + (c - 0.5) / 50 else c + {0.01 if run == 'candidate' else 0}::double end)) as pts from embeddings{' where vec_id % 7 <> 0 and vec_id // 3 % 10 <> 1' if run == 'candidate' else ''})
+      group by n)"""
+        for run in ("baseline", "candidate")
+    },
     "strata": """strata as (
       select o_orderkey as id, o_orderstatus as status, o_orderpriority as priority, o_totalprice as weight, 'q-' || o_custkey as source_sequence_id, 'ds-' || o_custkey % 7 as dataset_id,
         'role-' || o_custkey % 7 % 3 as role, 'type-' || o_orderkey % 4 as sample_type, 'tier-' || o_orderkey % 2 as tier from orders)""",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,28 +9,11 @@ from ..functions import points as P
 from ..functions import text as X
 from ..operators import contracts, detections, joins, metrics, mining, quotas, ranks, telemetry
 from . import adapters as A
+from .registry import SQL, query, rounded
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 CORE = [0, 5, 9, 13, 17]
 
 
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that the order of additions doesn't show."""
-    return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
-
-
 def measured(spark: SparkSession, sf_dir: str, run: str = "candidate") -> DataFrame:
     labels = A.roi_labels(spark, sf_dir)
     return metrics.row_measures(joins.coverage_join(labels, A.roi_predictions(spark, sf_dir, run), "roi_id"))
@@ -128,10 +109,12 @@ select *, row_number() over (order by p90_difficulty desc, p90_px desc, capture_
 select capture_source_id, count(*) as n, round(avg(er), 6) as mean_px, round(quantile_cont(er, 0.5), 6) as median_px, round(quantile_cont(er, 0.9), 6) as p90_px,
   round(avg(len(list_filter(unit, lambda v: v <= 0.05)) / 21), 6) as pck_005, round(avg(len(list_filter(unit, lambda v: v <= 0.10)) / 21), 6) as pck_010, round(avg(collapse::integer), 6) as collapse_rate,
   round(avg(difficulty), 6) as mean_difficulty, round(quantile_cont(difficulty, 0.9), 6) as p90_difficulty, round(avg((hand_flag < 0.5)::integer), 6) as presence_error_rate,
-  round(coalesce(count(*) filter (hand_known and handedness_error > 0.5) / nullif(count(*) filter (hand_known), 0), 0.0), 6) as handedness_error_rate, round(avg(diagonal_px / 255), 6) as mean_pose_span
+  round(coalesce(count(*) filter (hand_known and handedness_error > 0.5) / nullif(count(*) filter (hand_known), 0), 0.0), 6) as handedness_error_rate, round(avg(diagonal_px / 255), 6) as mean_pose_span,
+  round(quantile_cont(diagonal_px / 255, 0.5), 6) as median_pose_span, arg_min(distance, roi_id) as distance, arg_min(lighting, roi_id) as lighting, count(*) filter (roi_id not like '%0') as eligible
 from d group by 1)""")
 def hard_source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = rounded(mining.source_report(difficult(spark, sf_dir)).drop("source_rank"))
+    rows = difficult(spark, sf_dir).withColumn("fresh", ~F.col("roi_id").endswith("0"))
+    report = rounded(mining.source_report(rows, eligible="fresh").drop("source_rank"))
     order = Window.orderBy(F.col("p90_difficulty").desc(), F.col("p90_px").desc(), "capture_source_id")  # a row per source
     return report.withColumn("source_rank", F.row_number().over(order))
 
@@ -307,14 +290,14 @@ def disagreement_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _T = telemetry.TIMINGS
-_STATS_SQL = ", ".join(f"round(avg({t}), 6) as {t}_avg, round(list_sort(list({t}))[(count(*) - 1) // 2 + 1], 6) as {t}_p50, round(list_sort(list({t}))[greatest(ceil(round(count(*) * 0.95, 9)), 1)::integer], 6) as {t}_p95, round(max({t}), 6) as {t}_max" for t in _T)
+_STATS_SQL = ", ".join(f"round(avg({t}), 9) as {t}_avg, round(list_sort(list({t}))[(count(*) - 1) // 2 + 1], 9) as {t}_p50, round(list_sort(list({t}))[greatest(ceil(round(count(*) * 0.95, 9)), 1)::integer], 9) as {t}_p95, round(max({t}), 9) as {t}_max" for t in _T)
 
 
 @query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, * exclude (run_id) from frames)
-select run_id, w as "window", count(*) as frames, max(frame_index) as frame_index, round(sum(loop_ms), 6) as window_ms, {_STATS_SQL}, round(avg(1000 / loop_ms), 6) as fps_avg,
-  round(list_sort(list(1000 / loop_ms))[greatest(ceil(round(count(*) * 0.95, 9)), 1)::integer], 6) as fps_p95 from w group by 1, 2 having count(*) = 20""")
+select run_id, w as "window", count(*) as frames, max(frame_index) as frame_index, round(sum(loop_ms), 9) as window_ms, {_STATS_SQL}, round(avg(1000 / loop_ms), 9) as fps_avg,
+  round(list_sort(list(1000 / loop_ms))[greatest(ceil(round(count(*) * 0.95, 9)), 1)::integer], 9) as fps_p95 from w group by 1, 2 having count(*) = 20""")
 def frame_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(telemetry.frame_windows(A.frames(spark, sf_dir), 20))
+    return rounded(telemetry.frame_windows(A.frames(spark, sf_dir), 20), 9)
 
 
 @query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, count(*) as n, sum(loop_ms) as ms, avg(loop_ms) as lavg, list_sort(list(loop_ms))[19] as lp95, avg(1000 / loop_ms) as favg, list_sort(list(1000 / loop_ms))[19] as fp95 from frames group by 1, 2 having count(*) = 20),
@@ -342,12 +325,29 @@ def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.best_epoch(A.history(spark, sf_dir))
 
 
-@query()
+def _covers(limit: str) -> str:
+    """Whether a kept box q covers the box b too much."""
+    both = "greatest(0, least(q.x2, b.x2) - greatest(q.x1, b.x1)) * greatest(0, least(q.y2, b.y2) - greatest(q.y1, b.y1))"
+    return f"{both} / ((q.x2 - q.x1) * (q.y2 - q.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - {both} + 1e-6) > {limit}"
+
+
+def _suppressed_sql(order: str, limit: str, full: str) -> str:
+    box = "{'box_id': box_id, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'score': score, 'head': head}"
+    kept = box.replace(": ", ": b.")
+    return f"""{A.with_sql('boxes', recursive=True)}, ordered as (select *, row_number() over (partition by image order by {order} score desc, box_id) as n from boxes),
+steps as (select image, 0::bigint as n, list_slice([{box}], 1, 0) as kept from ordered where n = 1
+  union all select s.image, b.n, case when {full} or len(list_filter(s.kept, lambda q: {_covers(limit)})) > 0 then s.kept else list_append(s.kept, {kept}) end
+  from steps s join ordered b on b.image = s.image and b.n = s.n + 1),
+stay as (select image, unnest(arg_max(kept, n), recursive := true) from steps group by image),
+ranked as (select *, row_number() over (partition by image order by score desc, box_id)::integer as rank from stay)"""
+
+
+@query(f"""{_suppressed_sql('', '0.3', 'len(s.kept) >= 5')} select image, box_id, x1, y1, x2, y2, score, rank from ranked""")
 def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections.nms(A.boxes(spark, sf_dir), 0.3, 5)
 
 
-@query()
+@query(f"""{_suppressed_sql('head,', 'case when b.head = 0 then 0.3 else 0.1 end', 'len(s.kept) >= 5 and len(list_filter(s.kept, lambda q: q.head = 1)) > 0')} select image, box_id, head, x1, y1, x2, y2, score, rank from ranked where rank <= 5""")
 def nms_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections.nms_two_stage(A.boxes(spark, sf_dir), 0.3, 0.1, 5)
 
@@ -382,12 +382,6 @@ def audit_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.audit_counters(A.roi_labels(spark, sf_dir), ["dataset_id", "split", "handedness", "present", "proposal_variant"])
 
 
-@query(f"""{A.with_sql('labels')} select roi_id, e as error from (select roi_id, unnest(list_filter([case when split_part(capture_source_id, '-', 5) <> split then 'capture_split_differs' end, case when split <> 'train' then 'wrong_split' end], lambda x: x is not null)) as e from labels)""")
-def row_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = contracts.canonicalize(A.roi_labels(spark, sf_dir), "geometry")
-    return contracts.violations(contracts.row_errors(rows, "geometry", "train"))
-
-
 @query(f"""{A.with_sql('strata')} select dataset_id, count(*) as "groups", min(n) as least, quantile_cont(n, 0.5) as median, round(quantile_cont(n, 0.9), 6) as p90, max(n) as most from (select dataset_id, source_sequence_id, count(*) as n from strata group by all) group by 1""")
 def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quotas.group_size_stats(A.strata_rows(spark, sf_dir), "source_sequence_id", ("dataset_id",)))
@@ -401,19 +395,6 @@ def expected_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("sample_type", F.round("expected", 4).alias("expected"), F.round("share", 6).alias("share"))
 
 
-@query()
-def dataset_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotas.dataset_quotas(A.strata_rows(spark, sf_dir), 1000, 180).select("dataset_id", "quota")
-
-
-@query()
-def group_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.strata_rows(spark, sf_dir)
-    n = F.count("*").over(Window.partitionBy("dataset_id"))
-    least = rows.count() // 4
-    return quotas.group_holdout(rows.withColumn("n_all", n), least, least + least // 10, 2 * least).select("dataset_id", "n")
-
-
 @query(f"""{A.with_sql('strata')}, r as (select *, row_number() over (partition by status, priority order by sha256('robin' || chr(31) || id), id) as n from strata), t as (select *, row_number() over (order by n, status, priority)::integer as position from r)
 select id, status, priority, position from t where position <= 40""")
 def review_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,9 +455,9 @@ def gold_relative_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.with_sql('frames')}, w as (select run_id, frame_index // 20 as w, count(*) as n, sum(loop_ms) as ms, max(loop_ms) as top from frames group by 1, 2 having count(*) = 20)
-select run_id, count(*) as windows, sum(n)::bigint as frames, round(sum(ms), 6) as total_ms, round(sum(n) * 1000.0 / sum(ms), 6) as fps, round(max(top), 6) as slowest_ms from w group by 1""")
+select run_id, count(*) as windows, sum(n)::bigint as frames, max(w) * 20 + 20 as last_total_frames, sum((w * 20 + 19) // 3 - (w * 20 + 2) // 3 + 1)::bigint as inferences, 0::bigint as hand_calls, round(sum(ms), 6) as total_ms, round(sum(n) * 1000.0 / sum(ms), 6) as fps, round(max(top), 6) as slowest_ms from w group by 1""")
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(telemetry.run_metrics(telemetry.frame_windows(A.frames(spark, sf_dir), 20)))
+    return rounded(telemetry.run_metrics(telemetry.frame_windows(A.frames(spark, sf_dir), 20), 3, "palm"))
 
 
 @query(f"""{A.with_sql('assets')} select "group", count(*) as n_files, sha256(string_agg(id || ':' || digest || chr(10), '' order by id || ':' || digest || chr(10))) as fingerprint from assets group by 1""")
@@ -512,11 +493,3 @@ def rare_cell_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = cells.withColumn("fraction", fraction).withColumn("quota", F.when(fraction > 0, F.floor(F.col("n") / 8)).otherwise(F.col("n")).cast("long"))
     found = quotas.rare_cell_quota(cells, ("type-1", "type-3"), ("status",), average=0.9, heaviest=4.0)
     return found.select("status", "sample_type", "quota", "freed", "added")
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)

@@ -55,8 +55,16 @@ def _running(partition: str, order: str):
 
 
 def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """A row per dataset, capture source and published variant of JSON manifests."""
-    raw = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(paths)
+    """A row per dataset, capture source and published variant of JSON manifests, a file each."""
+    return _manifest_rows(spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(paths))
+
+
+def read_manifests_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """As read_manifests(), of files with a manifest per line."""
+    return _manifest_rows(spark.read.schema(MANIFEST_SCHEMA).json(paths))
+
+
+def _manifest_rows(raw: DataFrame) -> DataFrame:
     rows = raw.select("dataset_id", "scope", F.explode_outer("capture_sources").alias("c")).select("dataset_id", "scope", "c.capture_source_id", "c.split", F.explode_outer("c.published_variants").alias("v"))
     return rows.select("dataset_id", "scope", "capture_source_id", "split", "v.proposal_variant", "v.published_labels", "v.labels_relpath")
 

@@ -155,8 +155,9 @@ def latest_sections(metrics: DataFrame) -> DataFrame:
     return rows.withColumn("_last", last).where("line_no = _last").select("file", "window", "metric", "value")
 
 
-def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_ledger: Callable[[], DataFrame]):
-    """Starts a query that mines k rows in each micro-batch as a round, among all rows that have come and no round has taken.
+def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_ledger: Callable[[], DataFrame], once: bool = False):
+    """Starts a query that mines k rows in each micro-batch as a round, among all rows that have come and no round has taken; with `once`
+    it ends when all that is there now has been seen.
 
     Rows are kept in <ledger>-pool, a folder per batch, until a round takes them; of an id that comes again the newest row holds.
     A batch that is run again after a failure writes its folder anew and is left out if the ledger has its round.
@@ -171,4 +172,5 @@ def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_
         newest = pool.groupBy("roi_id").agg(*(F.max_by(c, "batch").alias(c) for c in batch.columns if c != "roi_id")).select(batch.columns)
         append_round(mine_round(newest, known, k, batch_id), ledger)
 
-    return scored.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).start()
+    writer = scored.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
