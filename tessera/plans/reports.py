@@ -83,14 +83,14 @@ def projected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.with_sql('boxes')}, p as (select image, a.box_id as a, b.box_id as b, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) as both_, (a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) as areas from boxes a join boxes b using (image) where a.box_id < b.box_id)
-select image, a, b, round(both_ / (areas - both_ + 1e-6), 6) as iou, round(both_ / (areas - both_), 5) as rotated from p""")
+select image, a, b, round(both_ / (areas - both_ + 1e-6), 6) as iou, round(both_ / (areas - both_) + 1e-9, 6) as rotated from p""")
 def box_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of the boxes of an image, as boxes and as rectangles that could be turned."""
     corner = lambda x, y: F.array(F.col(x), F.col(y))
     rows = A.boxes(spark, sf_dir).select("image", "box_id", F.struct("x1", "y1", "x2", "y2").alias("box"), F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2")).alias("quad"))
     sides = [rows.select("image", *(F.col(c).alias(f"{c}_{s}") for c in ("box", "quad")), F.col("box_id").alias(s)) for s in "ab"]
     pairs = detections.rotated_iou(sides[0].join(sides[1], "image").where("a < b"), out="rotated")
-    return rounded(pairs.select("image", "a", "b", P.box_iou(F.col("box_a"), F.col("box_b")).alias("iou"), F.round("rotated", 5).alias("rotated")))
+    return rounded(pairs.select("image", "a", "b", P.box_iou(F.col("box_a"), F.col("box_b")).alias("iou"), (F.col("rotated") + 1e-9).alias("rotated")))
 
 
 @query("""with o as (select vec_id as image, i as anchor_id, embedding[i + 1]::double as x from embeddings, range(60) t(i)),
