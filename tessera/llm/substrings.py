@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .tables import shuffle_partitions, table, written
+from .tables import table, written
 from .words import Words, slices, text_buffers, word_spans
 
 WINDOW = 20
@@ -24,18 +23,21 @@ ANCHOR = WINDOW - PERIOD + 1
 BLOCK_BYTES = 8 << 20
 
 _BLOCK = "block long, rows binary"
-_MESSAGE = "part int, block long, keys binary, more binary"
-_REPLY = "block long, part int, flags binary"
+_ANCHOR = "hash long, block long"
+_WINDOW = "hash long, more long, id long, at long, block long"
+_LIST = "block long, keys binary"
 
 
 def _blocks(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "__text", limit):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_batch(part)
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+                n += 1
 
     return run
 
@@ -64,160 +66,128 @@ class _Block:
         at = at[chosen[(at - self.words.first[self.words.text[:n]]) % PERIOD] & (self.words.text[:n] == self.words.text[ANCHOR - 1 :])]
         return at, self.words.window_hashes(at, ANCHOR)
 
-    def candidates(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of the windows that hold a repeated anchor at a shift below the period.
-
-        repeated: for each distinct anchor hash, in order, whether it occurs again anywhere.
-        """
+    def candidates(self, repeated: np.ndarray) -> np.ndarray:
+        """First word of the windows that hold a repeated anchor at a shift below the period; repeated: sorted hashes of such anchors."""
         at, hashes = self.anchors()
         size = len(self.words.hashes)
         marks = np.zeros(size + 1, np.int64)
-        hit = at[repeated[np.searchsorted(np.unique(hashes), hashes)]] if len(at) else at
+        hit = at[np.isin(hashes, repeated)] if len(repeated) else at[:0]
         np.add.at(marks, np.maximum(hit - PERIOD + 1, 0), 1)
         np.add.at(marks, hit + 1, -1)
         n = size - WINDOW + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        begin = np.flatnonzero((np.cumsum(marks)[:n] > 0) & (self.words.text[:n] == self.words.text[WINDOW - 1 :]))
-        return begin, self.words.window_hashes(begin, WINDOW)
-
-
-def _packed(values: np.ndarray) -> bytes:
-    """64-bit values byte by byte of the same weight, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64)
-
-
-def _sorted_keys(raw: bytes) -> np.ndarray:
-    """Keys sent as differences."""
-    return np.cumsum(_unpacked(raw), dtype=np.uint64)
-
-
-def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of the equal ranges of hash values begins among the sorted keys."""
-    return np.searchsorted(keys >> np.uint64(32), np.array([(k << 32) // parts for k in range(parts + 1)], np.uint64))
-
-
-def _flags(lists: list[tuple[int, bytes]] | None, parts: int, keys: np.ndarray) -> np.ndarray:
-    """The replies of all parts for the block's sorted distinct keys; none means that no part had one."""
-    flags, cuts = np.zeros(len(keys), bool), _cuts(keys, parts)
-    for part, raw in lists or ():
-        a, b = cuts[part], cuts[part + 1]
-        flags[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a)
-    return flags
-
-
-def _messages(block: int, keys: np.ndarray, more: np.ndarray, parts: int) -> pa.RecordBatch:
-    """The block's sorted keys, a row for each range of them; more: bits, or two numbers, of each key."""
-    cuts, rows = _cuts(keys, parts), []
-    for part in np.flatnonzero(np.diff(cuts)):
-        own = slice(cuts[part], cuts[part + 1])
-        rest = np.packbits(more[own]).tobytes() if more.dtype == bool else _packed(more[own].T.ravel())
-        rows.append({"part": int(part), "block": block, "keys": _packed(np.diff(keys[own], prepend=np.uint64(0))), "more": rest})
-    return _batch(rows, _MESSAGE_TYPES)
-
+            return np.zeros(0, np.int64)
+        return np.flatnonzero((np.cumsum(marks)[:n] > 0) & (self.words.text[:n] == self.words.text[WINDOW - 1 :]))
+
+    def firsts(self, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of windows: both hashes of each distinct sequence, and the first word of its first place in the order of id, then of position."""
+        hashes, more = self.words.window_hashes(begin, WINDOW), self.words.window_hashes(begin, WINDOW, True)
+        _, order = self.ids()
+        by = np.lexsort((begin, order[self.words.text[begin]], more, hashes))
+        hashes, more, begin = hashes[by], more[by], begin[by]
+        new = np.append(True, (hashes[1:] != hashes[:-1]) | (more[1:] != more[:-1]))[: len(begin)]
+        return hashes[new], more[new], begin[new]
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's id (null after all others) and its place in the order of id, then of row."""
+        column = self.rows.column("__id")
+        ids = column.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.empty(len(ids), np.int64)
+        order[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+        return ids, order
+
+
+def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, pa.int64()) for c in columns], [n.split()[0] for n in names.split(", ")])
+
+
+def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block's distinct anchor hashes; those that it holds more than once are sent twice."""
+    for batch in batches:
+        for block, raw in zip(batch.column("block").to_pylist(), batch.column("rows")):
+            keys, counts = np.unique(_Block(raw.as_py()).anchors()[1], return_counts=True)
+            keys = np.concatenate([keys, keys[counts > 1]])
+            yield _batch(_ANCHOR, keys, np.full(len(keys), block))
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by hash and block, as a stream -> (hash, block) of the hashes with more than one row, each block once."""
+    keys, blocks = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    again = False  # whether the row that is held back has the hash of the row before it
+    fresh = True  # and whether its block is another one
+    for batch in batches:
+        keys, blocks = (np.concatenate([held, batch.column(c).to_numpy()]) for held, c in ((keys, "hash"), (blocks, "block")))
+        same = keys[1:] == keys[:-1]
+        before = np.append(again, same)[: len(keys)]
+        new = np.append(fresh, ~(same & (blocks[1:] == blocks[:-1])))[: len(keys)]
+        found = (before[:-1] | same) & new[:-1]
+        yield _batch(_ANCHOR, keys[:-1][found], blocks[:-1][found])
+        if len(keys):
+            again, fresh, keys, blocks = before[-1], new[-1], keys[-1:], blocks[-1:]
+    if len(keys) and again and fresh:
+        yield _batch(_ANCHOR, keys, blocks)
+
+
+def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each candidate window's sequence, where the block has it first: id and word position."""
+    for batch in batches:
+        for block, raw, anchors in zip(batch.column("block").to_pylist(), batch.column("rows"), batch.column("anchors")):
+            held = _Block(raw.as_py())
+            if len(begin := held.candidates(_listed(anchors))):
+                hashes, more, begin = held.firsts(begin)
+                text = held.words.text[begin]
+                yield _batch(_WINDOW, hashes, more, held.ids()[0][text], begin - held.words.first[text], np.full(len(begin), block))
 
-def _batch(rows: list[dict], names: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in names], [n for n, _ in names])
 
+def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by both hashes, id, place and block, as a stream -> (hash, block) of the first row of each sequence."""
+    last = None
+    for batch in batches:
+        hashes, more, blocks = (batch.column(c).to_numpy() for c in ("hash", "more", "block"))
+        if not len(hashes):
+            continue
+        new = np.append(last != (hashes[0], more[0]), (hashes[1:] != hashes[:-1]) | (more[1:] != more[:-1]))
+        last = hashes[-1], more[-1]
+        yield _batch("hash long, more long, block long", hashes[new], more[new], blocks[new])
 
-_MESSAGE_TYPES = [("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("more", pa.binary())]
-_REPLY_TYPES = [("block", pa.int64()), ("part", pa.int32()), ("flags", pa.binary())]
 
+def _list(names: tuple[str, ...]):
+    """The numbers of one block as bytes, sorted."""
 
-def _send_anchors(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, raw in zip(batch.column("block").to_pylist(), batch.column("rows")):
-                keys, counts = np.unique(_Block(raw.as_py()).anchors()[1], return_counts=True)
-                yield _messages(block, keys, counts > 1, parts)
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        columns = [group.column(c).to_numpy().view(np.uint64) for c in names]
+        order = np.lexsort(columns[::-1])
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([np.stack([c[order] for c in columns]).tobytes()], pa.binary())})
 
     return run
 
 
-def _send_windows(parts: int):
-    """Of each candidate window's sequence, where the block has it first: id and word position.
-
-    The block's rows are looked at in the order of id, then of position in the block.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, raw, flags in zip(batch.column("block").to_pylist(), batch.column("rows"), batch.column("anchor_flags").to_pylist()):
-                held = _Block(raw.as_py())
-                anchors = np.unique(held.anchors()[1])
-                begin, hashes = held.candidates(_flags([(f["part"], f["flags"]) for f in flags or ()], parts, anchors))
-                ids, order = _ids(held)
-                by = np.lexsort((begin, order[held.words.text[begin]]))
-                keys, first = np.unique(hashes[by], return_index=True)
-                begin = begin[by][first]
-                text = held.words.text[begin]
-                spot = np.empty((len(keys), 2), np.int64)
-                spot[:, 0], spot[:, 1] = ids[text], begin - held.words.first[text]
-                yield _messages(block, keys, spot, parts)
-
-    return run
+def _listed(raw: pa.Scalar, rows: int = 1) -> np.ndarray:
+    held = np.frombuffer(raw.as_py() or b"", np.uint64)
+    return held if rows == 1 else held.reshape(rows, -1)
 
 
-def _ids(held: _Block) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's id (null after all others) and its place in the order of id, then of row."""
-    column = held.rows.column("__id")
-    ids = column.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.empty(len(ids), np.int64)
-    order[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-    return ids, order
-
-
-def _repeated(key: tuple, group: pa.Table) -> pa.Table:
-    """Of one range of anchor hashes, for each block which of its hashes occur again anywhere."""
-    blocks = group.column("block").to_pylist()
-    lists = [_sorted_keys(x) for x in group.column("keys").to_pylist()]
-    own = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(group.column("more").to_pylist(), lists)]
-    every = np.sort(np.concatenate([*lists, *(k[f] for k, f in zip(lists, own))]))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
-    flags = [np.packbits(np.isin(k, twice, assume_unique=True)).tobytes() for k in lists]
-    keep = [i for i, f in enumerate(flags) if f.strip(b"\0")]
-    return pa.Table.from_batches([_batch([{"block": blocks[i], "part": key[0].as_py(), "flags": flags[i]} for i in keep], _REPLY_TYPES)])
-
-
-def _firsts(key: tuple, group: pa.Table) -> pa.Table:
-    """Of one range of window hashes, for each block which of its first places are the first anywhere."""
-    blocks = group.column("block").to_pylist()
-    lists = [_sorted_keys(x) for x in group.column("keys").to_pylist()]
-    spots = [_unpacked(x).view(np.int64).reshape(2, -1) for x in group.column("more").to_pylist()]
-    keys = np.concatenate(lists)
-    owner = np.repeat(np.arange(len(lists)), [len(k) for k in lists])
-    spot = np.concatenate(spots, axis=1)
-    order = np.lexsort((np.array(blocks)[owner], spot[1], spot[0], keys))
-    ranked = keys[order]
-    best = np.zeros(len(keys), bool)
-    best[order[np.append(True, ranked[1:] != ranked[:-1])]] = True
-    ends = np.cumsum([len(k) for k in lists])
-    return pa.Table.from_batches([_batch([{"block": b, "part": key[0].as_py(), "flags": np.packbits(best[e - len(k) : e]).tobytes()} for b, k, e in zip(blocks, lists, ends)], _REPLY_TYPES)])
-
-
-def _cut(parts: int, schema: pa.Schema):
+def _cut(schema: pa.Schema):
     """Writes each block's rows again, with the words that stay and the counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for raw, anchor_flags, window_flags in zip(batch.column("rows"), batch.column("anchor_flags").to_pylist(), batch.column("window_flags").to_pylist()):
+            for raw, anchors, windows in zip(batch.column("rows"), batch.column("anchors"), batch.column("windows")):
                 held = _Block(raw.as_py())
-                anchors = np.unique(held.anchors()[1])
-                begin, hashes = held.candidates(_flags([(f["part"], f["flags"]) for f in anchor_flags or ()], parts, anchors))
-                keys = np.unique(hashes)
-                first_here = _flags([(f["part"], f["flags"]) for f in window_flags or ()], parts, keys)
-                # the block's first place of a sequence stays if it is the first anywhere, all others go
-                _, order = _ids(held)
-                by = np.lexsort((begin, order[held.words.text[begin]]))
-                code = np.searchsorted(keys, hashes)
-                lead = np.zeros(len(begin), bool)
-                lead[by[np.unique(code[by], return_index=True)[1]]] = True
-                gone = begin[~(lead & first_here[code])] if len(begin) else begin
+                begin = held.candidates(_listed(anchors))
+                stays = np.zeros(len(held.words.hashes), bool)
+                if len(begin):
+                    # the block's first place of a sequence stays if it is the first anywhere, all others go
+                    hashes, more, first = held.firsts(begin)
+                    own = np.zeros(len(first), bool)
+                    won = _listed(windows, 2)
+                    # both lists are sorted by both hashes, and what the block has won it has sent
+                    at = np.searchsorted(hashes, won[0])
+                    while (off := more[at] != won[1]).any():
+                        at[off] += 1
+                    own[at] = True
+                    stays[first[own]] = True
+                gone = begin[~stays[begin]]
                 marks = np.zeros(len(held.words.hashes) + 1, np.int64)
                 np.add.at(marks, gone, 1)
                 np.add.at(marks, gone + WINDOW, -1)
@@ -260,14 +230,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     1. Texts are grouped into blocks of about 8 MB, written once, compressed.
     2. Each block sends the distinct hashes of its 8-word anchors, which stand at four of thirteen word
-       positions only; any two places of a window share an anchor. Ranges of hashes find those that repeat and reply with
-       bits, one for each hash of the block, as both sides keep them sorted.
-    3. Each block extends repeated anchors to the windows around them, and sends each window's hash once with its
-       first place. Ranges of hashes find the first place of all and reply with bits.
+       positions only; any two places of a window share an anchor. Sorted by hash they pass as a stream, and those that
+       repeat go back to their blocks.
+    3. Each block extends repeated anchors to the windows around them, and sends each window's sequence once with its
+       first place. Sorted by sequence and place they pass as a stream; the first place of all goes back to its block.
     4. Each block drops the words of all windows but the first places.
 
-    A block sends a sequence once however often it holds it, so common passages grow with the number of
-    blocks, not of copies, and ranges of hash values are even. Windows are equal when their 64-bit hashes are.
+    A row is sent for each anchor and candidate window of a block, so rows grow with the data, whatever the number of
+    partitions, and no task holds more than a batch of a stream or one block. A block sends a sequence once however often it holds
+    it, so common passages grow with the number of blocks, not of copies. Windows are equal when two 64-bit hashes of their words are.
     Null and empty texts have no words. Rows with one id count as one after another in no stated order;
     rows with a null id come after all others. The added names must be new to docs.
     """
@@ -280,16 +251,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     inner = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"), *(F.col(f"`{names[k]}`").alias(f"c{k}") for k in rest))
     out = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema.fields)] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     arrow = to_arrow_schema(out)
-    parts = shuffle_partitions(spark)
     blocks = written(inner.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks")
 
-    sent = blocks.select("block", "rows").mapInArrow(_send_anchors(parts), _MESSAGE)
-    anchor_flags = sent.groupBy("part").applyInArrow(_repeated, _REPLY).groupBy("block").agg(F.collect_list(F.struct("part", "flags")).alias("anchor_flags"))
-    anchor_flags = written(anchor_flags, "anchors")
-    known = blocks.select("block", "rows").join(anchor_flags, "block", "left")
-    sent = known.mapInArrow(_send_windows(parts), _MESSAGE)
-    window_flags = written(sent.groupBy("part").applyInArrow(_firsts, _REPLY).groupBy("block").agg(F.collect_list(F.struct("part", "flags")).alias("window_flags")), "windows")
-    done = known.join(window_flags, "block", "left").select("rows", "anchor_flags", "window_flags").mapInArrow(_cut(parts, arrow), out)
+    sent = blocks.mapInArrow(_send_anchors, _ANCHOR).repartition("hash").sortWithinPartitions("hash", "block")
+    anchors = sent.mapInArrow(_repeated, _ANCHOR).groupBy("block").applyInArrow(_list(("hash",)), _LIST)
+    known = blocks.join(written(anchors, "anchors").withColumnRenamed("keys", "anchors"), "block", "left")
+    sent = known.mapInArrow(_send_windows, _WINDOW).repartition("hash").sortWithinPartitions("hash", "more", "id", "at", "block")
+    windows = sent.mapInArrow(_earliest, "hash long, more long, block long").groupBy("block").applyInArrow(_list(("hash", "more")), _LIST)
+    known = known.join(written(windows, "windows").withColumnRenamed("keys", "windows"), "block", "left")
+    done = known.select("rows", "anchors", "windows").mapInArrow(_cut(arrow), out)
     return done.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names)), "n_words", "n_removed", "kept_text")
 
 

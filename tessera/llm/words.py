@@ -21,6 +21,7 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -121,11 +122,13 @@ class Words:
         begin = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
         return begin, self.window_hashes(begin, size)
 
-    def window_hashes(self, begin: np.ndarray, size: int) -> np.ndarray:
+    def window_hashes(self, begin: np.ndarray, size: int, other: bool = False) -> np.ndarray:
+        """64-bit hash of windows; with other, one of another base over otherwise mixed words."""
+        hashes, base = (mix(self.hashes + _BASE), _BASE_2) if other else (self.hashes, _BASE)
         total = np.zeros(len(begin), np.uint64)
         for k in range(size):
-            total *= _BASE
-            total += self.hashes[begin + k]
+            total *= base
+            total += hashes[begin + k]
         return mix(total)
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
