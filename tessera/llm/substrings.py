@@ -24,8 +24,8 @@ BLOCK_BYTES = 8 << 20
 
 _BLOCK = "block long, rows binary"
 _ANCHOR = "hash long, block long"
-_WINDOW = "hash long, more long, id long, at long, block long"
-_LIST = "block long, keys binary"
+_WINDOW = "hash long, more long, id long, block long, number long"
+_WON = "block long, number long"
 
 
 def _blocks(limit: int):
@@ -129,42 +129,42 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each candidate window's sequence, where the block has it first: id and word position."""
+    """Each distinct sequence of a block's candidate windows, with the smallest id that has it and its number in the block."""
     for batch in batches:
         for block, raw, anchors in zip(batch.column("block").to_pylist(), batch.column("rows"), batch.column("anchors")):
             held = _Block(raw.as_py())
             if len(begin := held.candidates(_listed(anchors))):
                 hashes, more, begin = held.firsts(begin)
-                text = held.words.text[begin]
-                yield _batch(_WINDOW, hashes, more, held.ids()[0][text], begin - held.words.first[text], np.full(len(begin), block))
+                yield _batch(_WINDOW, hashes, more, held.ids()[0][held.words.text[begin]], np.full(len(begin), block), np.arange(len(begin)))
 
 
 def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by both hashes, id, place and block, as a stream -> (hash, block) of the first row of each sequence."""
+    """Rows sorted by both hashes, id and block, as a stream -> (block, number) of the first row of each sequence."""
     last = None
     for batch in batches:
-        hashes, more, blocks = (batch.column(c).to_numpy() for c in ("hash", "more", "block"))
+        hashes, more = (batch.column(c).to_numpy() for c in ("hash", "more"))
         if not len(hashes):
             continue
         new = np.append(last != (hashes[0], more[0]), (hashes[1:] != hashes[:-1]) | (more[1:] != more[:-1]))
         last = hashes[-1], more[-1]
-        yield _batch("hash long, more long, block long", hashes[new], more[new], blocks[new])
+        yield _batch(_WON, *(batch.column(c).to_numpy()[new] for c in ("block", "number")))
 
 
-def _list(names: tuple[str, ...]):
-    """The numbers of one block as bytes, sorted."""
+def _keys(key: tuple, group: pa.Table) -> pa.Table:
+    """One block's anchor hashes, sorted."""
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "anchors": pa.array([np.sort(group.column("hash").to_numpy().view(np.uint64)).tobytes()], pa.binary())})
 
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        columns = [group.column(c).to_numpy().view(np.uint64) for c in names]
-        order = np.lexsort(columns[::-1])
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([np.stack([c[order] for c in columns]).tobytes()], pa.binary())})
 
-    return run
+def _bits(key: tuple, group: pa.Table) -> pa.Table:
+    """One block's numbers, as bits."""
+    numbers = group.column("number").to_numpy()
+    bits = np.zeros(int(numbers.max()) + 1, bool)
+    bits[numbers] = True
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "windows": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
-def _listed(raw: pa.Scalar, rows: int = 1) -> np.ndarray:
-    held = np.frombuffer(raw.as_py() or b"", np.uint64)
-    return held if rows == 1 else held.reshape(rows, -1)
+def _listed(raw: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(raw.as_py() or b"", np.uint64)
 
 
 def _cut(schema: pa.Schema):
@@ -178,15 +178,9 @@ def _cut(schema: pa.Schema):
                 stays = np.zeros(len(held.words.hashes), bool)
                 if len(begin):
                     # the block's first place of a sequence stays if it is the first anywhere, all others go
-                    hashes, more, first = held.firsts(begin)
-                    own = np.zeros(len(first), bool)
-                    won = _listed(windows, 2)
-                    # both lists are sorted by both hashes, and what the block has won it has sent
-                    at = np.searchsorted(hashes, won[0])
-                    while (off := more[at] != won[1]).any():
-                        at[off] += 1
-                    own[at] = True
-                    stays[first[own]] = True
+                    first = held.firsts(begin)[2]
+                    won = np.unpackbits(np.frombuffer(windows.as_py() or b"", np.uint8)).astype(bool)[: len(first)]
+                    stays[first[: len(won)][won]] = True
                 gone = begin[~stays[begin]]
                 marks = np.zeros(len(held.words.hashes) + 1, np.int64)
                 np.add.at(marks, gone, 1)
@@ -232,8 +226,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     2. Each block sends the distinct hashes of its 8-word anchors, which stand at four of thirteen word
        positions only; any two places of a window share an anchor. Sorted by hash they pass as a stream, and those that
        repeat go back to their blocks.
-    3. Each block extends repeated anchors to the windows around them, and sends each window's sequence once with its
-       first place. Sorted by sequence and place they pass as a stream; the first place of all goes back to its block.
+    3. Each block extends repeated anchors to the windows around them, and sends each window's sequence once, with the smallest
+       id that has it. Sorted by sequence and id they pass as a stream; the number of the first of all goes back to its block.
     4. Each block drops the words of all windows but the first places.
 
     A row is sent for each anchor and candidate window of a block, so rows grow with the data, whatever the number of
@@ -254,11 +248,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = written(inner.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks")
 
     sent = blocks.mapInArrow(_send_anchors, _ANCHOR).repartition("hash").sortWithinPartitions("hash", "block")
-    anchors = sent.mapInArrow(_repeated, _ANCHOR).groupBy("block").applyInArrow(_list(("hash",)), _LIST)
-    known = blocks.join(written(anchors, "anchors").withColumnRenamed("keys", "anchors"), "block", "left")
-    sent = known.mapInArrow(_send_windows, _WINDOW).repartition("hash").sortWithinPartitions("hash", "more", "id", "at", "block")
-    windows = sent.mapInArrow(_earliest, "hash long, more long, block long").groupBy("block").applyInArrow(_list(("hash", "more")), _LIST)
-    known = known.join(written(windows, "windows").withColumnRenamed("keys", "windows"), "block", "left")
+    anchors = sent.mapInArrow(_repeated, _ANCHOR).groupBy("block").applyInArrow(_keys, "block long, anchors binary")
+    known = blocks.join(written(anchors, "anchors"), "block", "left")
+    sent = known.mapInArrow(_send_windows, _WINDOW).repartition("hash").sortWithinPartitions("hash", "more", "id", "block")
+    windows = sent.mapInArrow(_earliest, _WON).groupBy("block").applyInArrow(_bits, "block long, windows binary")
+    known = known.join(written(windows, "windows"), "block", "left")
     done = known.select("rows", "anchors", "windows").mapInArrow(_cut(arrow), out)
     return done.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names)), "n_words", "n_removed", "kept_text")
 

@@ -8,10 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's setting to drop an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where the session names none, a folder for local tests."""
+    """spark.checkpoint.dir, the folder that driver and executors share.
+
+    Only a local session without that setting (as in tests) gets a folder of its own; a cluster without it is an error.
+    """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -20,11 +29,18 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read back: the lineage ends here.
 
-    The files outlive the call, as lazy results read them; clear the folder between applications.
+    The shuffle files that the table takes the place of are dropped when it is whole. The table's own files outlive the call,
+    as lazy results read them; clear the folder between applications.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
