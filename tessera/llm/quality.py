@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .tables import table, written
 from .words import Words, mix, slices
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 #: The model is fitted and its cut is set on this many labelled rows at most, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
 SEED = 17
@@ -26,7 +26,7 @@ _CLASS[3, 33:127] = 1 - _CLASS[:3, 33:127].sum(axis=0)
 
 
 def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Text index and bucket of each n-gram: words, word shapes and pairs of shapes.
+    """Text index and bucket of each n-gram: words, pairs of words, word shapes and pairs of shapes.
 
     A shape is the case of a word's letters, its punctuation at both ends, whether it has digits and
     whether it repeats the word before; so words never seen have familiar n-grams too.
@@ -50,9 +50,9 @@ def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         shape = shape + (np.where(mark[edge], edge, 0).astype(np.int64) << (8 + 8 * k))
     shape = mix(shape.astype(np.uint64) + np.uint64(1 << 40))
     same = words.text[1:] == words.text[:-1]
-    pairs = mix(shape[:-1] * np.uint64(3) + shape[1:])[same]
-    text = np.concatenate([words.text, words.text, words.text[1:][same]])
-    return text, (np.concatenate([words.hashes, shape, pairs]) % np.uint64(BUCKETS)).astype(np.int64)
+    pairs = [mix(x[:-1] * np.uint64(3) + x[1:])[same] for x in (words.hashes, shape)]
+    text = np.concatenate([words.text, words.text, *[words.text[1:][same]] * 2])
+    return text, (np.concatenate([words.hashes, shape, *pairs]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 @dataclass

@@ -1,18 +1,20 @@
 """The registered queries over the smallest test tables: against SQL where there is some, else against a plain version."""
 
 import hashlib
+import math
 import os
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tessera.llm")
 
 import corpus_pipeline
-from tessera.llm import counts, packing, pieces, queries
+from tessera.llm import counts, packing, pieces, quality, queries, words
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -106,6 +108,80 @@ def test_packing_query(spark, texts):
     packed_well(queries.queries()["op6_best_fit_packing"](spark, DATA).collect(), texts)
 
 
+# the quality model in plain Python: word strings, dictionaries and integers
+
+_M64 = (1 << 64) - 1
+
+
+def _mixed(x):
+    for k in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> 33)) * k & _M64
+    return x ^ (x >> 33)
+
+
+def _plain_ngrams(text):
+    """Buckets of words, pairs of words, shapes and pairs of shapes of one text."""
+    found, before = [], None
+    mark = lambda b: b if 33 <= b < 127 and not chr(b).isalnum() else 0
+    hashes, shapes = [], []
+    for word in WORD.findall(text):
+        raw = word.encode()
+        low = bytes(b + 32 if 65 <= b < 91 else b for b in raw)
+        value = sum(int(words._BYTE[b]) * pow(int(words._BASE), i, 1 << 64) for i, b in enumerate(low)) + len(raw) * 0xD6E8FEB86659FD93
+        hashes.append(_mixed(value & _M64))
+        upper, lower = sum(65 <= b < 91 for b in raw), sum(97 <= b < 123 for b in raw)
+        if not upper and not lower:
+            case = 0
+        elif not upper:
+            case = 1
+        elif not lower:
+            case = 2 if upper > 1 else 3
+        else:
+            case = 3 if 65 <= raw[0] < 91 and upper == 1 else 4
+        shape = case + 8 * any(48 <= b < 58 for b in raw) + 16 * (low == before)
+        for k, b in enumerate((raw[0], raw[-1], raw[-2] if len(raw) > 1 else raw[0])):
+            shape += mark(b) << (8 + 8 * k)
+        shapes.append(_mixed((shape + (1 << 40)) & _M64))
+        before = low
+    for own in (hashes, shapes):
+        found += own + [_mixed((3 * a + b) & _M64) for a, b in zip(own, own[1:])]
+    return [x % quality.BUCKETS for x in found]
+
+
+def test_quality_query_equals_a_plain_version(spark, texts):
+    marks = {}
+    for r in spark.read.parquet(f"{DATA}/labels.parquet").where("quality is not null").collect():
+        marks[r.doc_id] = min(r.quality, marks.get(r.doc_id, 1))
+    ids = spark.createDataFrame([(i,) for i in texts], "id long")
+    hashed = {r.id: r.h for r in ids.select("id", F.xxhash64("id", F.lit(quality.SEED)).alias("h")).collect()}
+    grams = {i: _plain_ngrams(t) for i, t in texts.items()}
+    raw, target = Counter(), Counter()
+    for i, own in grams.items():
+        raw.update(own)
+        if marks.get(i) == 1 and hashed[i] % 2 == 0:
+            target.update(own)
+    sizes = [sum(c.values()) + quality.BUCKETS for c in (raw, target)]
+    ratio = lambda b: math.log((target[b] + 1) / sizes[1]) - math.log((raw[b] + 1) / sizes[0])
+    score = {i: sum(map(ratio, own)) / len(own) if own else None for i, own in grams.items()}
+
+    held = sorted((score[i], y) for i, y in marks.items() if i in score and hashed[i] % 2 and score[i] is not None)
+    good, bad = [s for s, y in held if y], [s for s, y in held if not y]
+    cuts = [-math.inf] + [(a[0] + b[0]) / 2 for a, b in zip(held, held[1:]) if a[0] < b[0]]
+    worth = lambda c: (sum(s >= c for s in good) / len(good) + sum(s < c for s in bad) / len(bad)) / 2
+    best = max(map(worth, cuts))
+    cut = min(c for c in cuts if worth(c) > best - 1e-12)
+
+    rows = {r.doc_id: r for r in queries.queries()["op9_quality"](spark, DATA).collect()}
+    assert set(rows) == set(texts)
+    assert all(rows[i].n_ngrams == len(own) and (rows[i].quality_score is None if not own else abs(rows[i].quality_score - score[i]) < 1e-9) for i, own in grams.items())
+    accepted = {i for i, s in score.items() if s is not None and s >= cut}
+    assert {i for i, r in rows.items() if r.accepted} == accepted
+    noise = {i: -math.log(-math.log((((hashed[i] & _M64) >> 11) + 0.5) / 2**53)) for i in accepted}
+    keys = {i: quality.SHARPNESS * score[i] + noise[i] for i in accepted}
+    assert all(abs(rows[i].gumbel_key - keys[i]) < 1e-6 for i in accepted)
+    assert {i for i, r in rows.items() if r.selected} == set(sorted(keys, key=keys.get)[-round(len(keys) / 2) :])
+
+
 def test_quality_query(spark, texts):
     rows = queries.queries()["op9_quality"](spark, DATA)
     assert rows.count() == len(texts)
