@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .spans import SpanStore
 from .tables import shuffle_partitions, table, written
@@ -21,6 +22,9 @@ END_ID = 0
 #: Hash buckets that pieces of one length are numbered in; with the lengths this bounds the table of their counts.
 MOST_BUCKETS = 1024
 
+#: Columns of pack() of its own.
+_BUCKET, _BEFORE, _RANK = "__bucket", "__before", "__rank"
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -81,11 +85,56 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     return base.mapInArrow(_pieces(tokenizer_path, capacity, with_ids), schema)
 
 
+class SumIndex:
+    """What sums one, two and three available lengths have: for a sum, the pairs that make it, and the third length that leaves a pair.
+
+    Of a sum's combinations those with the largest lengths come first. Counts only fall, so a combination that is used up is passed
+    for good: each sum keeps its place among its pairs and among its thirds, and a lookup begins there.
+    """
+
+    def __init__(self, left: np.ndarray, capacity: int):
+        self.left = left
+        lengths = np.flatnonzero(left)[::-1]
+        big, small = (m.ravel() for m in np.meshgrid(lengths, lengths, indexing="ij"))
+        pairs = (big >= small) & (big + small <= capacity)
+        order = np.lexsort((-big[pairs], (big + small)[pairs]))
+        self.big, self.small = big[pairs][order], small[pairs][order]
+        bounds = np.searchsorted(self.big + self.small, np.arange(capacity + 2)).tolist()
+        self.pair_at, self.pair_end = bounds[:-1], bounds[1:]
+        self.thirds, self.third_at = lengths.tolist(), [0] * (capacity + 1)
+
+    def has(self, lengths: list[int]) -> bool:
+        return all(self.left[x] >= lengths.count(x) for x in lengths)
+
+    def pair(self, total: int, held: list[int]) -> list[int] | None:
+        """Two lengths with this sum beside those held."""
+        for i in range(self.pair_at[total], self.pair_end[total]):
+            two = [int(self.big[i]), int(self.small[i])]
+            if not self.has(two):
+                self.pair_at[total] += i == self.pair_at[total]
+            elif self.has(two + held):
+                return two
+        return None
+
+    def triple(self, total: int, held: list[int]) -> list[int] | None:
+        for i in range(self.third_at[total], len(self.thirds)):
+            third = self.thirds[i]
+            if third > total - 2 or not self.has([third]) or self.pair(total - third, [third]) is None:
+                self.third_at[total] += i == self.third_at[total]
+            elif self.has([third, *held]) and (two := self.pair(total - third, [third, *held])):
+                return [third, *two]
+        return None
+
+    def exact(self, gap: int, held: list[int]) -> list[int] | None:
+        """One, two or three lengths with this sum beside those held."""
+        return [] if not gap else [gap] if self.has([gap, *held]) else self.pair(gap, held) or self.triple(gap, held)
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Fillings of a sequence, each a tuple of lengths, and how often each is used.
 
     From the longest on, a length is joined with the one, two or three available lengths that fill its
-    gap exactly, the largest first; what finds no such complement is filled by best fit, the largest
+    gap exactly, as the index of sums has them; what finds no such complement is filled by best fit, the largest
     length that fits first. A filling is used as often as its lengths last, so each step uses up a
     length: the plan's size follows the number of lengths, not of pieces.
     """
@@ -93,6 +142,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     for length, n in counts.items():
         left[length] += n
     found: list[tuple[tuple[int, ...], int]] = []
+    sums = SumIndex(left, capacity)
 
     def use(lengths: list[int]) -> None:
         need = Counter(lengths)
@@ -101,32 +151,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
             left[x] -= n * times
         found.append((tuple(lengths), times))
 
-    def pair(total: int) -> list[int] | None:
-        """Two available lengths with this sum, the larger as large as may be."""
-        big = np.arange(total - 1, (total - 1) // 2, -1)
-        fit = np.flatnonzero((left[big] > 0) & (left[total - big] > (big == total - big)))
-        return [int(big[fit[0]]), int(total - big[fit[0]])] if len(fit) else None
-
-    def complement(gap: int) -> list[int] | None:
-        if left[gap] > 0:
-            return [gap]
-        if two := pair(gap):
-            return two
-        for third in np.flatnonzero(left[: gap - 1])[::-1]:
-            left[third] -= 1
-            two = pair(int(gap - third))
-            left[third] += 1
-            if two:
-                return [int(third), *two]
-        return None
-
     for length in range(capacity, 0, -1):
-        while left[length]:
-            left[length] -= 1
-            rest = complement(capacity - length) if length < capacity else []
-            left[length] += 1
-            if rest is None:
-                break
+        while left[length] and (rest := sums.exact(capacity - length, [length])) is not None:
             use([length, *rest])
     while len(there := np.flatnonzero(left)):
         lengths, gap = [int(there[-1])], capacity - int(there[-1])
@@ -164,7 +190,7 @@ def _places(fillings: list[tuple[tuple[int, ...], int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = batch.column("length").to_numpy()
-            ranks = batch.column("rank").to_numpy()
+            ranks = batch.column(_RANK).to_numpy()
             sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
             for x in np.unique(lengths):
                 rows = np.flatnonzero(lengths == x)
@@ -173,8 +199,8 @@ def _places(fillings: list[tuple[tuple[int, ...], int]]):
                 within = ranks[rows] - starts[k]
                 sequence[rows] = first[k] + within // sizes[k]
                 offset[rows] = offsets[offset_at[k] + within % sizes[k]]
-            kept = [batch.column(c) for c in batch.schema.names if c != "rank"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*(c for c in batch.schema.names if c != "rank"), "sequence_id", "offset"])
+            kept = [batch.column(c) for c in batch.schema.names if c != _RANK]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*(c for c in batch.schema.names if c != _RANK), "sequence_id", "offset"])
 
     return run
 
@@ -185,20 +211,23 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key_cols: tuple[str, ...]
     Only the number of pieces of each length, at most `capacity` numbers, comes to the driver, where the
     plan is made. Pieces are numbered within their length in hash buckets, whose counts give each
     bucket's first number, so that a length that many pieces have is spread over all buckets.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Rows that repeat a key are pieces of their own; null keys are keys like others. Other
+    columns stay, whatever their names; sequence_id and offset that the pieces already have are replaced.
     """
     spark = pieces.sparkSession
     buckets = min(shuffle_partitions(spark), MOST_BUCKETS)
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int"))
-    sizes = written(pieces.groupBy("bucket", "length").agg(F.count("*").alias("n")), "lengths")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    before = sizes.select(F.col("bucket").alias("b"), F.col("length").alias("l"), F.coalesce(before, F.lit(0)).alias("before"))
-    number = F.row_number().over(Window.partitionBy("bucket", "length").orderBy(*key_cols)) - 1
-    ranked = pieces.withColumn("number", number).join(before, (F.col("bucket") == F.col("b")) & (F.col("length") == F.col("l")))
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("number")).drop("b", "l", "before", "number", "bucket")
-    out = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != "rank"]
-    return ranked.mapInArrow(_places(plan(counts, capacity)), ", ".join([*out, "sequence_id long", "offset long"]))
+    pieces = pieces.drop("sequence_id", "offset").withColumn(_BUCKET, F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int"))
+    sizes = written(pieces.groupBy(F.col(_BUCKET).alias("b"), F.col("length").alias("l")).agg(F.count("*").alias("n")), "lengths")
+    counts = {r["l"]: r["n"] for r in sizes.groupBy("l").agg(F.sum("n").alias("n")).collect()}
+    before = F.sum("n").over(Window.partitionBy("l").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select(F.col("b").alias(_BUCKET), F.col("l").alias("length"), F.coalesce(before, F.lit(0)).alias(_BEFORE))
+    # whole rows decide between equal keys, so that a task that runs again numbers them alike
+    rest = F.xxhash64(*(F.col(f"`{f.name}`") for f in pieces.schema.fields if not isinstance(f.dataType, T.MapType)))
+    number = F.row_number().over(Window.partitionBy(_BUCKET, "length").orderBy(*key_cols, rest)) - 1
+    ranked = pieces.withColumn(_RANK, number).join(before, [_BUCKET, "length"])
+    ranked = ranked.select(*(F.col(f"`{c}`") for c in pieces.columns if c != _BUCKET), (F.col(_BEFORE) + F.col(_RANK)).alias(_RANK))
+    out = T.StructType([*(f for f in ranked.schema.fields if f.name != _RANK), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.mapInArrow(_places(plan(counts, capacity)), out)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
 """The operators against brute force on small tables, with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 pytest.importorskip("tessera.llm")
 
@@ -243,6 +246,40 @@ def test_plan_uses_all_and_is_near_the_bound():
 
 # top-k
 
+def test_packing_keeps_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(i // 2, i % 2, 1 + i % 7, f"x{i}", i, i, i, i, i, i) for i in range(60)] + [(0, 0, 1, "x0", 0, 0, 0, 0, 0, 0)], "id int, piece int, length long, b string, l int, bucket int, before int, number int, rank int, offset int")
+    packed = packing.pack(rows, 10)
+    assert packed.columns == ["id", "piece", "length", "b", "l", "bucket", "before", "number", "rank", "sequence_id", "offset"]
+    got = packed.collect()
+    assert sorted((r.id, r.piece, r.length, r.b, r.l, r.rank) for r in got) == sorted((r.id, r.piece, r.length, r.b, r.l, r["rank"]) for r in rows.collect())
+    filled = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 10
+    assert packing.pack(rows.where("false"), 10).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=40))
+def test_exact_complements_come_before_best_fit(lengths):
+    """While a length has one, two or three others that fill its gap, it is used with such, the largest first."""
+    left, sequences = Counter(lengths), []
+    for size in range(12, 0, -1):
+        while left[size]:
+            left[size] -= 1
+            there = sorted(left.elements(), reverse=True)
+            fits = [c for n in (0, 1, 2, 3) for c in itertools.combinations(there, n) if sum(c) == 12 - size]
+            left[size] += 1
+            if not fits:
+                break
+            use = (size, *fits[0])
+            left -= Counter(use)
+            sequences.append(use)
+    exact = [x for x, n in packing.plan(Counter(lengths), 12) for _ in range(n) if sum(x) == 12 and len(x) < 5]
+    assert Counter(tuple(sorted(x)) for x in sequences) == Counter(tuple(sorted(x)) for x in exact)
+
+
 def test_top_k_matches_brute_force(spark):
     r = np.random.default_rng(2)
     rows = [(i, r.normal(size=6).round(2).tolist()) for i in range(150)]
