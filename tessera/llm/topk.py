@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import table, written
+from .tables import shuffle_partitions, table, written
 
 #: The lists that each hold a part of every score: runs of components.
 LISTS = 2
@@ -19,27 +21,35 @@ CANDIDATE_ROWS, QUERY_ROWS = 2048, 4096
 STEP = 256
 SCALE = 256
 
-_BLOCK = "block int, ids array<bigint>, dims int, data binary"
+_BLOCK = "block long, ids array<bigint>, dims int, data binary"
 
 
 def _valid(column: str):
     return F.col(column).isNotNull() & (F.size(column) > 0) & ~F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
 
 
-def _pack(key: tuple, group: pa.Table) -> pa.Table:
-    """A block: ids and vectors of one length, as little-endian 64-bit integers."""
-    group = group.combine_chunks()
-    data = np.asarray(group.column("vector").chunk(0).flatten(), "<i8")
-    ids = group.column("id").to_numpy().astype("<i8")
+def _pack(block: int, dims: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """A block: ids in order and vectors of one length, as little-endian 64-bit integers."""
+    ids = rows.column("id").to_numpy().astype("<i8")
     order = np.argsort(ids, kind="stable")
-    data = data.reshape(len(ids), -1)[order]
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([ids[order]], pa.list_(pa.int64())), "dims": pa.array([key[1].as_py()], pa.int32()), "data": pa.array([data.tobytes()], pa.binary())})
+    data = np.asarray(rows.column("vector").flatten(), "<i8").reshape(len(ids), dims)[order]
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids[order]], pa.list_(pa.int64())), pa.array([dims], pa.int32()), pa.array([data.tobytes()], pa.binary())], ["block", "ids", "dims", "data"])
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """rows (id, vector) of each vector length in hash blocks of about `size`."""
-    n = max(1, -(-rows.count() // size))
-    return rows.groupBy(F.pmod(F.xxhash64("id", F.lit(n)), F.lit(n)).cast("int").alias("block"), F.size("vector").alias("dims")).applyInArrow(_pack, _BLOCK)
+    """rows (id, vector) of each vector length in blocks of `size` at most, made where the rows are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            lengths = pc.list_value_length(batch.column("vector")).to_numpy()
+            for dims in np.unique(lengths):
+                own = np.flatnonzero(lengths == dims)
+                for at in range(0, len(own), size):
+                    yield _pack(block, int(dims), batch.take(pa.array(own[at : at + size])))
+                    block += 1
+
+    return rows.mapInArrow(run, _BLOCK)
 
 
 def _matrix(ids: list[int], data: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,8 +154,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     def rows(df: DataFrame) -> DataFrame:
         return df.where(F.col(id_col).isNotNull() & _valid(vector_col)).select(F.col(id_col).cast("long").alias("id"), ints.alias("vector"))
 
-    spread = 64
-    held = written(_blocks(rows(vectors), CANDIDATE_ROWS).withColumn("lane", F.pmod("block", F.lit(spread))), "candidates")
+    held = written(_blocks(rows(vectors), CANDIDATE_ROWS), "candidates")
+    spread = max(1, min(shuffle_partitions(vectors.sparkSession), held.count()))
+    held = held.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(spread)).cast("int"))
     asked = written(_blocks(rows(queries), QUERY_ROWS).select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), "dims", F.col("data").alias("q_data")), "queries")
     lanes = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("lane")
     blocks = asked.select("q_block", "dims").distinct()
