@@ -24,6 +24,8 @@ _ELEMENTS = 1 << 16
 LEAST_EQUAL = 0.55
 #: Members of a bucket that are compared in one task; more are cut into chunks, of which each two meet.
 CHUNK = 1024
+#: Members of a hub that are verified together.
+SHARE = 2048
 #: Sets below this size need many rounds; they take them together.
 _FEW = 64
 
@@ -107,23 +109,21 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids with their full shingle sets: 48 bits of each hash, sorted, as compressed differences."""
+    """Ids with their full shingle sets: the sorted 64-bit hashes, as compressed differences."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         for part in slices(batch, "text"):
             text, hashes = distinct_by_text(*Words(part.column("text"), lower=True).shingles(SHINGLE))
-            steps = np.diff(hashes >> np.uint64(16), prepend=np.uint64(0))
+            steps = np.diff(hashes, prepend=np.uint64(0))
             at = np.searchsorted(text, np.arange(part.num_rows + 1))
-            steps[at[:-1][np.diff(at) > 0]] = hashes[at[:-1][np.diff(at) > 0]] >> np.uint64(16)
-            planes = steps.view(np.uint8).reshape(-1, 8)[:, :6]
+            steps[at[:-1][np.diff(at) > 0]] = hashes[at[:-1][np.diff(at) > 0]]
+            planes = steps.view(np.uint8).reshape(-1, 8)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([squeeze(np.ascontiguousarray(planes[a:b].T).tobytes()) for a, b in zip(at, at[1:])], pa.binary())], ["id", "elements"])
 
 
 def _elements(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(6, -1)
-    steps = np.zeros((planes.shape[1], 8), np.uint8)
-    steps[:, :6] = planes.T
-    return np.cumsum(steps.reshape(-1).view(np.uint64), dtype=np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
 def _alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -135,14 +135,14 @@ def _alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by hub, the hub's own row first: links of the hub with the rows that are alike enough."""
+    """Rows sorted by hub and share, the hub's own row first: links of the hub with the rows that are alike enough."""
     hub, mine = None, np.zeros(0, np.uint64)
     for batch in batches:
         a, b = [], []
-        for key, own, other, raw in zip(*(batch.column(c).to_pylist() for c in ("hub", "own", "id", "elements"))):
+        for key, share, own, other, raw in zip(*(batch.column(c).to_pylist() for c in ("hub", "share", "own", "id", "elements"))):
             if own:
-                hub, mine = key, _elements(raw)
-            elif key == hub and _alike(mine, _elements(raw)):
+                hub, mine = (key, share), _elements(raw)
+            elif (key, share) == hub and _alike(mine, _elements(raw)):
                 a.append(key)
                 b.append(other)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -151,14 +151,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (hub, id) pairs whose sets meet the threshold, as links (a, b).
 
-    Each id's set travels once per hub, each hub's once; a task reads a hub's rows in a stream, so a
-    hub with very many ids needs no memory for them.
+    Each id's set travels once per hub. A hub's ids are dealt to shares of about SHARE, each with the hub's own set, and a task
+    reads a share in a stream; so a hub with very many ids is neither one task's work nor needs memory for them.
     """
-    rows = pairs.withColumn("own", F.lit(False)).unionByName(pairs.select("hub", F.col("hub").alias("id")).distinct().withColumn("own", F.lit(True)))
+    shares = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    dealt = pairs.join(shares, "hub").select("hub", "id", F.pmod(F.xxhash64("id", F.lit(11)), F.col("shares")).cast("int").alias("share"), F.lit(False).alias("own"))
+    hubs = shares.select("hub", F.col("hub").alias("id"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("own"))
     return (
-        rows.join(sets, "id")
-        .repartition(shuffle_partitions(pairs.sparkSession), "hub")
-        .sortWithinPartitions("hub", F.col("own").desc(), "id")
+        dealt.unionByName(hubs)
+        .join(sets, "id")
+        .repartition(shuffle_partitions(pairs.sparkSession), "hub", "share")
+        .sortWithinPartitions("hub", "share", F.col("own").desc(), "id")
         .mapInArrow(_verify, "a long, b long")
     )
 
@@ -278,8 +281,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        buckets with; components are found.
     4. Where a bucket still holds several components, the members that may be linked across them, by the share
        of equal lanes, are brought together with their sets, in cells of limited size, and verified there until
-       their components are joined or no pair is left. So the rows that move follow the members, not their
-       pairs, and no pair that can link is dropped.
+       their components are joined or no pair is left. An open bucket of n members is dealt to chunks of 1024, each two of
+       which meet: it moves n * ceil(n / 1024) signatures, and full sets only of members in a likely pair. No pair that can
+       link is dropped.
 
     Null and empty texts have n_shingles 0 and link to nothing. Rows with one id are one text in the
     grouping and share its component; a null id links to nothing. Other columns are ignored.
