@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """rows written once to the shared folder as Parquet and read back; clear the folder between applications."""
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def held(rows: DataFrame) -> DataFrame:
     """rows as a checkpoint in the shared folder."""
     context = rows.sparkSession.sparkContext

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..functions.stats import finite_mean, is_finite, linear_percentile, nearest_percentile, safe_div
+from ..functions.stats import finite_mean, is_finite, linear_percentile, safe_div
+from .ranks import with_percentiles
 
 PCK = (0.05, 0.10, 0.15)
 DIMENSIONS = ("dataset_id", "capture_source_id", "proposal_variant", "source_group_id", "distance", "lighting")
@@ -64,14 +65,16 @@ def confusion(rows: DataFrame, truth: str, predicted: str, by: tuple[str, ...] =
 def landmark_aggregates() -> list[Column]:
     """A present hand without a prediction adds 21 misses to each PCK."""
     positives, given = _n(F.col("present")), F.count("error_px")
-    out = [positives.alias("gt_positive"), given.alias("n_predicted"), safe_div(given, positives).alias("coverage"), F.avg("error_px").alias("mean_px")]
-    out += [linear_percentile(F.col("error_px"), p).alias(n) for p, n in ((0.5, "median_px"), (0.9, "p90_px"), (0.95, "p95_px"))]
-    out += [F.avg("nme").alias("mean_nme"), linear_percentile(F.col("nme"), 0.5).alias("median_nme")]
+    out = [positives.alias("gt_positive"), given.alias("n_predicted"), safe_div(given, positives).alias("coverage"), F.avg("error_px").alias("mean_px"), F.avg("nme").alias("mean_nme")]
     return out + [safe_div(F.sum(f"hits_{round(100 * t):03d}"), positives * P.N_POINTS).alias(f"pck_{round(100 * t):03d}") for t in PCK]
 
 
+#: The percentiles of a landmark report.
+LANDMARK_PERCENTILES = {"median_px": ("error_px", 0.5), "p90_px": ("error_px", 0.9), "p95_px": ("error_px", 0.95), "median_nme": ("nme", 0.5)}
+
+
 def landmark_metrics(measured: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    return measured.groupBy(*by).agg(*landmark_aggregates())
+    return with_percentiles(measured.groupBy(*by).agg(*landmark_aggregates()), measured, LANDMARK_PERCENTILES, by)
 
 
 def handedness_aggregates() -> list[Column]:
@@ -101,7 +104,7 @@ def collapse_rate(measured: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def grouped_report(measured: DataFrame, dims: tuple[str, ...] = DIMENSIONS) -> DataFrame:
-    """All reports for all rows and for each value of each dimension, in one pass of grouping sets.
+    """All reports for all rows and for each value of each dimension, in one pass of grouping sets, and the percentiles by rank.
 
     dimension is "all" or a name; empty and missing values are "unknown".
     """
@@ -111,7 +114,10 @@ def grouped_report(measured: DataFrame, dims: tuple[str, ...] = DIMENSIONS) -> D
     report = filled.groupingSets(sets, *(F.col(d) for d in dims)).agg(*aggregates, *(F.grouping(d).alias(f"_{d}") for d in dims))
     dimension = F.coalesce(*(F.when(F.col(f"_{d}") == 0, d) for d in dims), F.lit("all"))
     value = F.coalesce(*(F.when(F.col(f"_{d}") == 0, F.col(d)) for d in dims), F.lit("all"))
-    return report.select(dimension.alias("dimension"), value.alias("value"), *(c for c in report.columns if c.lstrip("_") not in dims))
+    report = report.select(dimension.alias("dimension"), value.alias("value"), *(c for c in report.columns if c.lstrip("_") not in dims))
+    entries = F.array(F.struct(F.lit("all").alias("dimension"), F.lit("all").alias("value")), *(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims))
+    rows = filled.select("error_px", "nme", F.explode(entries).alias("e")).select("error_px", "nme", "e.*")
+    return with_percentiles(report, rows, LANDMARK_PERCENTILES, ("dimension", "value"))
 
 
 def per_landmark_error(measured: DataFrame) -> DataFrame:
@@ -136,14 +142,13 @@ def threshold_sweep(rows: DataFrame, truth: str, score: str, thresholds: list[fl
 
 
 def run_summary(decorated: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Means over the rows of a run: error (and its p90, for groups that fit into a task), NME, bone error, collapse (spread below 0.10), accuracies, PCK of 255 pixels."""
+    """Means over the rows of a run: error (and its p90, the value nearest to the rank), NME, bone error, collapse (spread below 0.10), accuracies, PCK of 255 pixels."""
     known = F.col("handedness").isin("Left", "Right")
     errors = [safe_div(F.sum(P.within(F.col("errors_px"), t * P.ROI_SIDE_PX)), F.count("errors_px") * P.N_POINTS).alias(f"pck_{round(100 * t):03d}") for t in PCK]
-    return decorated.groupBy(*by).agg(
+    report = decorated.groupBy(*by).agg(
         F.count("*").alias("records"),
         F.count("error_px").alias("positive_records"),
         finite_mean(F.col("error_px")).alias("mean_px"),
-        nearest_percentile(F.col("error_px"), 0.9).alias("p90_px"),
         finite_mean(F.col("nme")).alias("mean_nme"),
         finite_mean(F.col("bone_error")).alias("mean_bone_error"),
         _n(F.col("predicted_spread") < 0.10).alias("collapse_count"),
@@ -151,6 +156,7 @@ def run_summary(decorated: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.avg(F.when(known, (F.col("handedness") == F.col("predicted_handedness")).cast("double"))).alias("handedness_accuracy"),
         *errors,
     )
+    return with_percentiles(report, decorated, {"p90_px": ("error_px", 0.9)}, by, nearest=True)
 
 
 def gold_relative(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -171,9 +177,9 @@ def occupancy_stats(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     margin = F.least(F.array_min(xs), F.array_min(ys), 1 - F.array_max(xs), 1 - F.array_max(ys))
     rows = rows.select("*", P.extent(p, "x").alias("_w"), P.extent(p, "y").alias("_h"), margin.alias("_m"), (P.out_of_range(p) > 0).alias("_o"))
     out = [F.count("*").alias("n"), F.avg(F.col("_o").cast("double")).alias("out_of_range_rate")]
-    for c, n in (("_w", "width"), ("_h", "height"), ("_m", "margin")):
-        out += [F.avg(c).alias(f"mean_{n}"), linear_percentile(F.col(c), 0.5).alias(f"median_{n}")]
-    return rows.groupBy(*by).agg(*out)
+    sizes = {"width": "_w", "height": "_h", "margin": "_m"}
+    out += [F.avg(c).alias(f"mean_{n}") for n, c in sizes.items()]
+    return with_percentiles(rows.groupBy(*by).agg(*out), rows, {f"median_{n}": (c, 0.5) for n, c in sizes.items()}, by)
 
 
 def low_quantile_flags(train: DataFrame, gold: DataFrame, p: float = 0.01) -> DataFrame:
@@ -236,7 +242,8 @@ def best_epoch(history: DataFrame, mode: str | None = None, stride: int = 1) ->
 def fit_gate(rows: DataFrame, limits: dict[str, float]) -> DataFrame:
     """Coordinate MAE of each row's points: mean, p90 and max over the rows, with a check per limit."""
     mae = F.aggregate(F.zip_with("points", "predicted", lambda a, b: F.abs(a["x"] - b["x"]) + F.abs(a["y"] - b["y"])), F.lit(0.0), lambda s, v: s + v) / (2 * P.N_POINTS)
-    report = rows.select(mae.alias("mae")).agg(F.avg("mae").alias("mean"), linear_percentile(F.col("mae"), 0.9).alias("p90"), F.max("mae").alias("max"))
+    rows = rows.select(mae.alias("mae"))
+    report = with_percentiles(rows.agg(F.avg("mae").alias("mean"), F.max("mae").alias("max")), rows, {"p90": ("mae", 0.9)})
     return report.withColumns({f"{k}_ok": F.coalesce(F.col(k) <= v, F.lit(False)) for k, v in limits.items()})
 
 

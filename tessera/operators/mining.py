@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import points as P
 from ..functions.stats import safe_div
-from .ranks import mid_rank
+from .ranks import mid_rank, with_percentiles
 
 # fixed values
 WEIGHTS = {"landmark": 0.80, "presence": 0.10, "handedness": 0.10}
@@ -72,19 +72,17 @@ def source_report(scored: DataFrame, by: str = "capture_source_id", eligible: st
     report = scored.groupBy(by).agg(
         F.count("*").alias("n"),
         F.avg("error_px").alias("mean_px"),
-        F.percentile("error_px", F.lit(0.5)).alias("median_px"),
-        F.percentile("error_px", F.lit(0.9)).alias("p90_px"),
         F.avg("pck_005").alias("pck_005"),
         F.avg("pck_010").alias("pck_010"),
         F.avg(F.col("collapse").cast("double")).alias("collapse_rate"),
         F.avg("difficulty").alias("mean_difficulty"),
-        F.percentile("difficulty", F.lit(0.9)).alias("p90_difficulty"),
         F.avg((F.col("hand_flag") < 0.5).cast("double")).alias("presence_error_rate"),
         safe_div(F.count_if(F.col("hand_known") & (F.col("handedness_error") > 0.5)), F.count_if("hand_known")).alias("handedness_error_rate"),
         F.avg("pose_span").alias("mean_pose_span"),
-        F.percentile("pose_span", F.lit(0.5)).alias("median_pose_span"),
         *more,
     )
+    shares = {"median_px": ("error_px", 0.5), "p90_px": ("error_px", 0.9), "p90_difficulty": ("difficulty", 0.9), "median_pose_span": ("pose_span", 0.5)}
+    report = with_percentiles(report, scored, shares, (by,))
     order = Window.orderBy(F.round("p90_difficulty", 9).desc(), F.round("p90_px", 9).desc(), by)  # a row per source
     return report.withColumn("source_rank", F.row_number().over(order))
 

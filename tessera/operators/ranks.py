@@ -2,45 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import salted_digest
+from .lineage import written
+
+def counted_ranks(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, value, n_equal, before, n): each distinct value of a group, how many rows have it, how many have a smaller one, and how many have any.
 
-#: Distinct values (or rows of a cell) that one window task sorts, about.
-CELL_ROWS = 200_000
+    Values are counted first (combined before the shuffle), and the counts are written once, in ranges of group and value that Spark
+    cuts to even sizes. A value's rank is the sum of the ranges before its own, a row per range, and of the values before it in its
+    range; so no task sorts more than a range, however large a group is. Nulls don't count.
+    """
+    names = [f"_k{i}" for i in range(len(by))]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*(F.col(c).alias(n) for c, n in zip(by, names)), F.col(value).alias("_v")).agg(F.count("*").alias("n_equal"))
+    ranged = written(counts.repartitionByRange(*names, "_v").withColumn("_r", F.spark_partition_id()), "counted")
+    totals = ranged.groupBy(*names, "_r").agg(F.sum("n_equal").alias("_t"))
+    group = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))  # a row per range
+    earlier = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*names, "_r", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"), F.sum("_t").over(group).alias("n"))
+    smaller = Window.partitionBy(*names, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.withColumn("_w", F.coalesce(F.sum("n_equal").over(smaller), F.lit(0))).alias("a").join(totals.alias("b"), reduce(lambda x, y: x & y, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*names, "_r"])))
+    return rows.select(*(F.col(f"a.{n}").alias(c) for c, n in zip(by, names)), F.col("_v").alias(value), "n_equal", (F.col("_b") + F.col("_w")).alias("before"), "n")
 
 
 def mid_rank(df: DataFrame, value: str, out: str, by: tuple[str, ...] = ()) -> DataFrame:
     """df with the mid-rank of a double column, (rank - 1 + (ties - 1) / 2) / max(1, n - 1), in each group.
 
-    Values are counted first (combined before the shuffle). The counts are cut into ranges of values at
-    sampled quantiles; a range's first rank is the sum of the counts of the ranges before it, so no task sorts
-    more than a range. Null values have no rank and don't count. Values with one rank are joined back.
+    Ranks are those of counted_ranks(), joined back by value. Null values have no rank and don't count.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_mid_value")).agg(F.count("*").alias("_c"))
-    cuts = _cuts(counts, "_mid_value")
-    ranged = counts.withColumn("_r", _range_of(F.col("_mid_value"), cuts))
-    totals = ranged.groupBy(*by, "_r").agg(F.sum("_c").alias("_t"))
-    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*by, F.col("_r"), F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_b"), F.sum("_t").over(Window.partitionBy(*by)).alias("_n"))
-    within = Window.partitionBy(*by, "_r").orderBy("_mid_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ranged.withColumn("_w", F.coalesce(F.sum("_c").over(within), F.lit(0))).join(totals, [*by, "_r"])
-    rank = (F.col("_b") + F.col("_w") + (F.col("_c") - 1) / 2) / F.greatest(F.lit(1), F.col("_n") - 1)
-    found = ranked.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), "_mid_value", rank.alias(out))
+    rank = (F.col("before") + (F.col("n_equal") - 1) / 2) / F.greatest(F.lit(1), F.col("n") - 1)
+    found = counted_ranks(df, value, by).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col(value).alias("_mid_value"), rank.alias(out))
     on = F.col(value) == F.col("_mid_value")
     for i, c in enumerate(by):
         on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
     return df.join(found, on, "left").drop("_mid_value", *(f"_k{i}" for i in range(len(by))))
 
 
-def _cuts(df: DataFrame, column: str) -> list[float]:
-    n = max(1, df.count() // CELL_ROWS)
-    return sorted(set(df.approxQuantile(column, [k / n for k in range(1, n)], 1 / (4 * n)))) if n > 1 else []
+def with_percentiles(report: DataFrame, rows: DataFrame, wanted: dict[str, tuple[str, float]], by: tuple[str, ...] = (), nearest: bool = False) -> DataFrame:
+    """A report (a row per group) with percentiles of the rows of its groups: wanted maps new columns to (column, p).
 
-
-def _range_of(value: Column, cuts: list[float]) -> Column:
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value)) if cuts else F.lit(0)
+    Linear between the two nearest values or, with nearest, the value at (n - 1) * p rounded half to even. They are picked by rank
+    from counted_ranks(), so a group of any size is spread over tasks; values that aren't finite don't count.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    entries = F.array(*(F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_x")) for c in columns))
+    long = rows.select(*by, F.explode(entries).alias("_e")).select(*by, "_e._m", "_e._x").where("not isnan(_x) and abs(_x) <> double('inf')")
+    ranked = counted_ranks(long, "_x", (*by, "_m"))
+    at = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n_equal")), F.col("_x")))
+    picks = []
+    for out, (column, p) in wanted.items():
+        place = F.bround((F.col("n") - 1) * F.lit(float(p)), 0) if nearest else (F.col("n") - 1) * F.lit(float(p))
+        own = lambda k, c=column: at(F.when(F.col("_m") == c, k))
+        part = F.max(F.when(F.col("_m") == column, place - F.floor(place)))
+        low, high = own(F.floor(place)), own(F.ceil(place))
+        picks.append((low + (high - low) * part).alias(out))
+    names = [f"_g{i}" for i in range(len(by))]
+    found = ranked.groupBy(*(F.col(c).alias(n) for c, n in zip(by, names))).agg(*picks)
+    if not by:
+        return report.join(found)  # a row each
+    on = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)))
+    return report.join(found, on, "left").drop(*names)
 
 
 def cell_cdf(df: DataFrame, cell: tuple[str, ...], weight: str, order: str, parts: int = 16) -> DataFrame:
