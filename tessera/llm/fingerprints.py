@@ -73,6 +73,20 @@ def _has_words(texts: list[str]) -> np.ndarray:
     return np.array([bool(t.strip("\t\n\v\f\r ")) for t in texts], bool)
 
 
+def _largest(bounds: list[int]):
+    """The largest key of each range of ids that a batch has."""
+    edges = np.array(bounds, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.sort(batch.column("key").to_numpy())
+            ranges = np.searchsorted(edges, keys, "left")
+            last = np.flatnonzero(np.append(ranges[1:] != ranges[:-1], True)[: len(keys)])
+            yield pa.RecordBatch.from_arrays([pa.array(ranges[last], pa.int32()), pa.array(keys[last], pa.int64())], ["range", "key"])
+
+    return run
+
+
 def _deal(bounds: list[int], firsts: dict[int, int]):
     """Rows with their range of ids; the first row of each range again, as the tail of the range before it."""
     edges = np.array(bounds, np.int64)
@@ -145,7 +159,11 @@ def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint) of every row, without a shuffle. Null and empty texts have the fingerprint of no words."""
+    """(id, fingerprint) of every row, without a shuffle. Null and empty texts have the fingerprint of no words.
+
+    Texts of any length count whole. Ids may be null or repeat, and equal texts have equal fingerprints; an empty table gives an
+    empty one. Other columns are left out, whatever their names.
+    """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return base.mapInArrow(_fingerprint_rows, f"id {base.schema['id'].dataType.simpleString()}, fingerprint string")
 
@@ -168,8 +186,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     parts = shuffle_partitions(spark)
     cuts = base.where("id is not null").approxQuantile("id", [k / parts for k in range(1, parts)], 1 / (8 * parts)) if parts > 1 else []
     bounds = sorted({int(c) for c in cuts})
-    where = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < key)) if bounds else F.lit(0)
-    firsts = {r["range"]: r["first"] for r in base.select(where.alias("range"), key.alias("key")).groupBy("range").agg(F.max("key").alias("first")).collect()}
+    largest = base.select(key.alias("key")).mapInArrow(_largest(bounds), "range int, key long").groupBy("range").agg(F.max("key").alias("first"))
+    firsts = {r["range"]: r["first"] for r in largest.collect()}
     if not firsts:
         return spark.createDataFrame([], schema)
     dealt = base.mapInArrow(_deal(bounds, firsts), "range int, tail boolean, key long, id long, raw binary")
