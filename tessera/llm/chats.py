@@ -114,7 +114,9 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 
     Null texts are empty. Messages with equal conv_id and turn are looked up as one and keep rows of their own;
     such with a null conv_id or turn answer nothing. Digests are joined within a conversation, so a
-    text that many conversations share adds no rows.
+    text that many conversations share adds no rows; a passage that n turns of one conversation share meets
+    each earlier one of them, n * n / 2 rows of digests at most. A text of any length is parsed whole. An empty table gives an empty one;
+    other columns are left out, whatever their names.
     """
     base = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     parsed = written(base.mapInArrow(_parse, _PASSAGES), "messages")

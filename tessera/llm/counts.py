@@ -142,7 +142,8 @@ def _extended(df: DataFrame, more: list[T.StructField]) -> tuple[T.StructType, p
 def count_tokens(df: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
     """df with n_tokens, leaf_points and leaf_tokens (arrays): the leaves of each text's segment tree; no shuffle.
 
-    Null and empty texts have no leaves and 0 tokens.
+    Null and empty texts have no leaves and 0 tokens. A text of any length is counted whole, in leaves. Rows may repeat; an empty table
+    gives an empty one. Other columns stay; one that already has an added name is an error.
     """
     whole = T.ArrayType(T.LongType())
     schema, arrow = _extended(df, [T.StructField("n_tokens", T.LongType()), T.StructField("leaf_points", whole), T.StructField("leaf_tokens", whole)])
@@ -162,7 +163,8 @@ def recount_edits(df: DataFrame, ranks_path: str, text_col: str = "text", edits_
     """Counted texts with `edits` (array of start, removed, inserted, in code points, one after another): the same rows with
     the edited text, its n_tokens and tree, and n_encoded_again, the code points that were encoded for it.
 
-    An edit beyond the end is moved to it; null edits leave the text as it is. No shuffle.
+    An edit beyond the end is moved to it; null edits leave the text as it is, and a null text is an empty one from then on. No
+    shuffle. Rows may repeat; an empty table gives an empty one. Other columns stay; one called n_encoded_again is an error.
     """
     names = df.columns
     schema, arrow = _extended(df.drop(edits_col), [T.StructField("n_encoded_again", T.LongType())])

@@ -78,7 +78,8 @@ def _pieces(path: str, capacity: int, with_ids: bool):
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32 and, if asked for, ids): each text's ids and END_ID, cut every `capacity` ids.
 
-    Null and empty texts give one piece that holds END_ID. Rows with one id are separate texts.
+    Null and empty texts give one piece that holds END_ID; texts of any length are cut, never shortened. Rows with one id are separate
+    texts. An empty table gives an empty one. Columns other than id and text are left out, whatever their names.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {base.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids

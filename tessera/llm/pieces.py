@@ -220,7 +220,8 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """df without the text, with ids (array<int>) and ids_crc32 (of little-endian 32-bit ids); no shuffle.
 
     Null and empty texts have no ids. The ids equal those of the SentencePiece library. Texts longer than
-    a chunk are searched in parts that no piece crosses.
+    a chunk are searched in parts that no piece crosses. Every row is encoded on its own, so rows may repeat; an
+    empty table gives an empty one. Other columns stay; one that is already called ids or ids_crc32 is an error.
     """
     schema, arrow = _rest(df, text_col, [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("ids_crc32", T.LongType())])
 
@@ -238,7 +239,11 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
-    """df without the ids, with their text in `decoded`; null ids give null, unknown ids the library's sign for them."""
+    """df without the ids, with their text in `decoded`; null ids give null, unknown ids the library's sign for them.
+
+    No ids give an empty text. Rows may repeat; an empty table gives an empty one. Other columns stay; one that is already called
+    decoded is an error.
+    """
     schema, arrow = _rest(df, ids_col, [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,14 +139,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_ngrams, quality_score, accepted) of every row; a text without words is not accepted."""
+    """(id, n_ngrams, quality_score, accepted) of every row; a text without words is not accepted.
+
+    Texts of any length are scored whole. Ids may be null or repeat; an empty table gives an empty one. Other columns are left out,
+    whatever their names.
+    """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     scored = base.mapInArrow(_scores(model), f"id {base.schema['id'].dataType.simpleString()}, n_ngrams long, quality_score double")
     return scored.withColumn("accepted", F.coalesce(F.col("quality_score") >= model.cut, F.lit(False)))
 
 
 def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs, as they are, whose texts the model accepts; no shuffle."""
+    """The rows of docs, as they are, whose texts the model accepts; no shuffle. Null texts and such without words go; rows may repeat, and
+    an empty table gives an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -183,7 +183,10 @@ def _parse(with_payload: bool):
 
 
 def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """The records of all archives in a folder, a file a task at least; a cut or malformed archive fails."""
+    """The records of all archives in a folder, a file a task at least; a cut or malformed archive fails.
+
+    A file is read whole, so it must be below 2 GB. A folder without archives gives no rows; records that share an id are rows of their own.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.select("content").mapInArrow(_parse(with_payload), _RECORD)
 
@@ -191,7 +194,8 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 def assemble(found: DataFrame) -> DataFrame:
     """One row per capture: its response or revisit, request and metadata, as structs; null where one is missing.
 
-    Records belong together that name one record in WARC-Concurrent-To, or are it.
+    Records belong together that name one record in WARC-Concurrent-To, or are it. Of several records of one kind and capture one is
+    taken; no records give no rows.
     """
     own = F.col("record_type").isin("response", "revisit")
     capture = F.struct("record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "digest_ok", "payload")

@@ -436,3 +436,52 @@ def test_deeper_and_partial_quotations_are_linked_and_others_stay(spark):
     assert [got[k].reply_to for k in range(8)] == [None, None, 0, 1, None, 4, 1, 5]
     assert [got[k].text for k in (2, 3, 4, 5)] == ["Yes.", "> edited away\nSo.", ">>> print(1)\nlike this", "Right."]
     assert got[6].text == "> new words\n\nDone." and got[7].text == "Both."
+
+
+# odd tables
+
+def test_token_operators_on_odd_tables(docs, none):
+    from sentencepiece import SentencePieceProcessor
+
+    model, ranks = pieces.default_model(), counts.default_ranks()
+    assert pieces.encode(none, model).count() == 0 and pieces.decode(pieces.encode(none, model), model).count() == 0
+    counted = counts.count_tokens(none, ranks)
+    assert counted.count() == 0 and counts.recount_edits(counted.withColumn("edits", F.lit(None).cast("array<struct<start:int,removed:int,inserted:string>>")), ranks).count() == 0
+    with pytest.raises(ValueError):
+        pieces.encode(docs.withColumnRenamed("hub", "ids"), model)
+    with pytest.raises(ValueError):
+        counts.count_tokens(docs.withColumnRenamed("hub", "n_tokens"), ranks)
+    # longer than a chunk: words, and one word without a space
+    long = [(1, prose(260_000, 5)), (2, "abc" * 120_000), (2, "abc" * 120_000)]
+    table = docs.sparkSession.createDataFrame(long, "doc_id long, text string")
+    assert len(long[0][1]) > words.CHUNK_BYTES
+    library = SentencePieceProcessor(model_file=model)
+    want = sorted((i, library.encode(t)) for i, t in long)
+    assert sorted((r.doc_id, list(r.ids)) for r in pieces.encode(table, model).collect()) == want
+    got = counts.count_tokens(table, ranks).collect()
+    assert all(sum(r.leaf_points) == len(r.text) and sum(r.leaf_tokens) == r.n_tokens for r in got) and len(got) == 3
+    cut = packing.token_pieces(table, packing.default_tokenizer()).collect()
+    assert all(r.start == r.piece * packing.CAPACITY and r.length <= packing.CAPACITY for r in cut) and len([r for r in cut if r.id == 1]) > 100
+    assert {r.n_removed for r in substrings.dedup_substrings(table).collect()} == {0}
+    prints = [r.fingerprint for r in fingerprints.fingerprint_documents(table).orderBy("id").collect()]
+    assert prints[1] == prints[2] != prints[0]
+    assert fingerprints.fingerprint_documents(none).count() == 0
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, none):
+    import corpus_pipeline
+
+    odd = docs.withColumns({"n_words": F.lit(1), "kept_text": F.lit("x"), "id": F.lit(3)})
+    labels = [("labels", spark.createDataFrame([(i, int(i % 2)) for i in range(20)], "doc_id long, quality int"))]
+    near, cut = corpus_pipeline.drop_near_duplicates(spark, odd, ""), corpus_pipeline.drop_repeated_passages(spark, odd, "")
+    assert near.columns == cut.columns == odd.columns and cut.count() == odd.count()
+    rows = {(r.doc_id, r.text) for r in near.collect()}
+    assert (None, "lonely words in a row here") in rows and (160, None) in rows and (164, "One") not in rows
+    assert all(r.n_chars == len(r.text) for r in cut.where("doc_id > 140 and doc_id < 148").collect())
+    assert corpus_pipeline.drop_repeated_passages(spark, odd.drop("n_chars"), "").columns == odd.drop("n_chars").columns
+    packed = corpus_pipeline.pack_sequences(spark, odd, "")
+    assert packed.select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
+    kept = quality.accepted_rows(odd, quality.fit(odd, labels[0][1]))
+    assert kept.columns == odd.columns and kept.where("text is null or trim(text) = ''").count() == 0
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_repeated_passages, corpus_pipeline.pack_sequences):
+        assert stage(spark, odd.where("false"), "").count() == 0
