@@ -274,7 +274,10 @@ def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "sample_type", F.lit(True).alias("known")).union(orphans.select("id", "sample_type", F.lit(False)))
 
 
-_TOKENS = F.array(F.concat(F.lit("d:"), "digest"), F.concat(F.lit("p:"), F.floor(F.col("id") / 3)))
+def _tokens():
+    return F.array(F.concat(F.lit("d:"), "digest"), F.concat(F.lit("p:"), F.floor(F.col("id") / 3)))
+
+
 _TOKENS_SQL = "['d:' || digest, 'p:' || id // 3]"
 
 
@@ -284,7 +287,7 @@ union all select id, 'free', null from assets where split = 'train' and id not i
 union all select null, 'conflict', token from t group by token having count(distinct id) > 1""")
 def token_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training assets that share a token with others, those that share none, and tokens of several assets."""
-    assets = A.asset_rows(spark, sf_dir).withColumn("tokens", _TOKENS)
+    assets = A.asset_rows(spark, sf_dir).withColumn("tokens", _tokens())
     train, rest = assets.where("split = 'train'"), assets.where("split <> 'train'")
     leaks = joins.check_leakage(train, rest, "id").withColumn("kind", F.lit("leaks"))
     free = joins.exclude_occupied(train, sets.all_tokens(rest.select(F.explode("tokens").alias("token"))), "id").select("id", F.lit("free").alias("kind"))
@@ -294,7 +297,7 @@ def token_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{A.with_sql('assets')} select "group", count(*) as n_rows, count(distinct t) as n_tokens from (select "group", id, unnest({_TOKENS_SQL}) as t from assets) join (select "group" as g, count(*) as c from assets group by 1) on g = "group" group by 1""".replace("count(*) as n_rows", "any_value(c) as n_rows"))
 def identity_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.identity_occupancy(A.asset_rows(spark, sf_dir).withColumn("tokens", _TOKENS), "group")
+    return joins.identity_occupancy(A.asset_rows(spark, sf_dir).withColumn("tokens", _tokens()), "group")
 
 
 @query(f"""{A.with_sql('assets')} select id, case when id % 10 < 2 and id % 5 = 1 then 'in_both' when id % 10 = 9 then 'in_none' else 'different' end as problem from assets where (id % 10 < 2 and id % 5 = 1) or id % 10 = 9 or id % 10 = 4
