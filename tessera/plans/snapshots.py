@@ -63,7 +63,7 @@ PLANTS = (
 def _planted(rows: DataFrame) -> DataFrame:
     values = {}
     for k, (column, value, where, _) in enumerate(PLANTS):
-        own = F.expr(value).cast(rows.schema[column].dataType)
+        own = F.expr(value).cast(rows.schema[column].dataType.simpleString())  # by name: planted fields may be nullable
         values[column] = F.when((F.col("v") % _PLANT_EVERY == k) & F.expr(where), own).otherwise(values.get(column, F.col(column)))
     return rows.withColumns(values)
 
