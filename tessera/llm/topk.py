@@ -20,6 +20,8 @@ CANDIDATE_ROWS, QUERY_ROWS = 2048, 4096
 #: Queries whose scores with a block are held at once.
 STEP = 256
 SCALE = 256
+#: Less than any part of a score, and any sum of such.
+_NONE = -(1 << 61)
 
 _BLOCK = "block long, ids array<bigint>, dims int, data binary"
 
@@ -75,45 +77,60 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.arange(len(scores))
 
 
-def _result(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate([r[i] for r in rows] or [np.zeros(0, np.int64)]) for i in range(3)]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+def _result(rows: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+    columns = [np.concatenate([r[i] for r in rows] or [np.zeros(0, np.int64)]) for i in range(len(names))]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def _steps(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Some query ids, the candidates' ids and each list's part of their scores."""
+def _steps(row: dict, wanted: set[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Some query ids (only wanted ones, if these are given), the candidates' ids and each list's part of their scores."""
     q_ids, queries = _matrix(row["q_ids"], row["q_data"], row["dims"])
+    if wanted is not None:
+        asked = np.isin(q_ids, np.fromiter(wanted, np.int64, len(wanted)))
+        q_ids, queries = q_ids[asked], queries[asked]
     ids, rows = _matrix(row["ids"], row["data"], row["dims"])
     for at in range(0, len(q_ids), STEP):
         yield q_ids[at : at + STEP], ids, _parts(queries[at : at + STEP], rows)
 
 
-def _seen(q: int, ids: np.ndarray, parts: list[np.ndarray], k: int) -> tuple[np.ndarray, ...]:
-    others = np.flatnonzero(ids != q)
-    seen = np.unique(np.concatenate([others[_best(p[others], ids[others], k)] for p in parts]))
-    return np.full(len(seen), q), ids[seen], sum(p[seen] for p in parts)
+def _seen(q_ids: np.ndarray, ids: np.ndarray, parts: list[np.ndarray], k: int, block: int) -> tuple[np.ndarray, ...]:
+    """Each list's k best others for every query, with full scores, and a bound that no other score of the block passes.
 
-
-def _reached(q: int, ids: np.ndarray, parts: list[np.ndarray], least: int | None, k: int) -> tuple[np.ndarray, ...]:
-    near = ids != q
-    if least is not None:
-        near &= np.any([p >= -(-least // LISTS) for p in parts], axis=0)
-    near = np.flatnonzero(near)
+    An entry that no list has among its k best is at most the k-th best in each, so its score is at most their sum.
+    """
+    own = q_ids[:, None] == ids
+    total, bound = sum(parts), np.zeros(len(q_ids), np.int64)
+    picks = []
+    for p in parts:
+        p[own] = _NONE
+        pick = np.argpartition(p, len(ids) - k, axis=1)[:, len(ids) - k :] if len(ids) > k else np.broadcast_to(np.arange(len(ids)), p.shape)
+        picks.append(pick)
+        bound += np.take_along_axis(p, pick, axis=1).min(axis=1)
+    bound[len(ids) - own.sum(axis=1) <= k] = _NONE  # all others are among the best
+    pick = np.sort(np.concatenate(picks, axis=1), axis=1)
+    good = ~np.take_along_axis(own, pick, axis=1)
+    good[:, 1:] &= pick[:, 1:] != pick[:, :-1]
+    at, column = np.nonzero(good)
+    pick = pick[at, column]
+    return q_ids[at], ids[pick], total[at, pick], np.full(len(at), block), bound[at]
+
+
+def _reached(q: int, ids: np.ndarray, parts: list[np.ndarray], least: int, k: int) -> tuple[np.ndarray, ...]:
+    near = np.flatnonzero((ids != q) & np.any([p >= -(-least // LISTS) for p in parts], axis=0))
     total = sum(p[near] for p in parts)
-    if least is not None:
-        near, total = near[total >= least], total[total >= least]
+    near, total = near[total >= least], total[total >= least]
     top = _best(total, ids[near], k)
     return np.full(len(top), q), ids[near][top], total[top]
 
 
 def _gather(k: int):
-    """Phase 1: from each list the k best candidates of the block by that list's part, with full scores."""
+    """Phase 1: from each list the k best candidates of the block by that list's part, with full scores and the bound of the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for q_ids, ids, parts in _steps(row):
-                    yield _result([_seen(q, ids, [p[i] for p in parts], k) for i, q in enumerate(q_ids)])
+                    yield _result([_seen(q_ids, ids, parts, k, row["block"])], ["query_id", "vec_id", "score", "block", "bound"])
 
     return run
 
@@ -128,9 +145,9 @@ def _collect(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                cut = {c["query_id"]: c["cutoff"] for c in row["cutoffs"] or ()}
-                for q_ids, ids, parts in _steps(row):
-                    yield _result([_reached(q, ids, [p[i] for p in parts], cut.get(q), k) for i, q in enumerate(q_ids)])
+                cut = {c["query_id"]: c["cutoff"] for c in row["cutoffs"]}
+                for q_ids, ids, parts in _steps(row, set(cut)):
+                    yield _result([_reached(q, ids, [p[i] for p in parts], cut[q], k) for i, q in enumerate(q_ids.tolist())], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -143,11 +160,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     meets candidates of its own length only. Rows that repeat an id stay rows of their own, and none of them
     answers a query with that id. Fewer than k candidates are all returned.
 
-    The queries' blocks meet the candidates' blocks, each pair in a task's row: the work is queries times
-    candidates, no pair of rows is stored. Phase 1 gathers each list's best entries per block and takes the
-    k-th best full score of all as a safe cutoff. Phase 2 sends the cutoffs to the blocks, which collect the
-    entries that reach the uniform threshold in any list. Phase 3 resolves these exactly. A block returns k
-    rows per query at most, so that ties don't add up.
+    The queries' blocks meet the candidates' blocks, each pair in a task's row; no pair of rows is stored. Phase 1
+    gathers each list's k best entries per block, takes the k-th best full score of all as a safe cutoff, and keeps
+    what no other score of the block can pass: the sum of the k-th best parts. Phase 2 sends the cutoffs to those
+    blocks only whose bound reaches them, which collect the entries that reach the uniform threshold in any list.
+    Phase 3 resolves these exactly. The more candidates there are, the higher the cutoffs and the fewer the blocks
+    that phase 2 opens. A block returns k rows per query and list at most, so that ties don't add up.
     """
     ints = F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
 
@@ -161,22 +179,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     lanes = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("lane")
     blocks = asked.select("q_block", "dims").distinct()
 
-    def grid(asked: DataFrame) -> DataFrame:
-        """Each query block is sent once to each of the lanes that the candidates' blocks are dealt to."""
-        wanted = held.join(F.broadcast(blocks), "dims") if blocks_n <= 100_000 else held.join(blocks, "dims")
+    def meet(pairs: DataFrame) -> DataFrame:
+        """Candidates' blocks, each with a query block that it is to meet; that is sent once to each of the lanes that they are dealt to."""
         # never by broadcast: the copies for the lanes look small once compressed
-        return wanted.join(asked.select("*", lanes).hint("merge"), ["q_block", "dims", "lane"])
+        return pairs.join(asked.select("*", lanes).hint("merge"), ["q_block", "dims", "lane"])
 
     blocks_n = blocks.count()
-    first = grid(asked).select("dims", "ids", "data", "q_ids", "q_data").mapInArrow(_gather(k), "query_id long, vec_id long, score long")
+    first = meet(held.join(F.broadcast(blocks) if blocks_n <= 100_000 else blocks, "dims"))
+    first = first.select("block", "dims", "ids", "data", "q_ids", "q_data").mapInArrow(_gather(k), "query_id long, vec_id long, score long, block long, bound long")
+    seen = written(first, "seen")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    seen = first.withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}")
-    cutoffs = seen.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).where(f"n = {k}").drop("n")
-    where = asked.select("q_block", "dims", F.explode("q_ids").alias("query_id")).distinct()
-    cutoffs = written(where.join(cutoffs, "query_id").groupBy("q_block", "dims").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs")), "cutoffs")
-    second = grid(asked.join(cutoffs, ["q_block", "dims"], "left")).select("dims", "ids", "data", "q_ids", "q_data", "cutoffs")
+    top = seen.select("query_id", "vec_id", "score").withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}")
+    cutoffs = top.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).where(f"n = {k}").drop("n")
+    bounds = seen.groupBy("query_id", "block").agg(F.max("bound").alias("bound"))
+    opened = written(bounds.join(cutoffs, "query_id").where("bound >= cutoff").select("query_id", "block", "cutoff"), "opened")
+    where = asked.select("q_block", F.explode("q_ids").alias("query_id")).distinct()
+    wanted = opened.join(where, "query_id").groupBy("q_block", "block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
+    second = meet(held.join(wanted, "block")).select("dims", "ids", "data", "q_ids", "q_data", "cutoffs")
     found = second.mapInArrow(_collect(k), "query_id long, vec_id long, score long")
-    return found.withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
+    closed = seen.join(opened, ["query_id", "block"], "left_anti").select("query_id", "vec_id", "score")
+    return found.unionByName(closed).withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """

@@ -298,6 +298,31 @@ def test_top_k_matches_brute_force(spark):
 
 # archives
 
+def test_bounds_open_few_blocks_and_miss_nothing(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 32)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 8)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 8))
+    held = np.clip(np.repeat(centres, 25, axis=0) + rng.normal(scale=0.1, size=(1000, 8)), -3, 3)
+    held[500:520] = held[0]  # ties
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(held)], "vec_id long, embedding array<double>").coalesce(3)
+    ints = np.floor(held * 256).astype(np.int64)
+    got = [tuple(r) for r in topk.top_k(table, table.where("vec_id % 20 = 0"), 4).orderBy("query_id", "rank").collect()]
+    want = []
+    for q in range(0, 1000, 20):
+        scores = ints @ ints[q]
+        order = [i for i in np.lexsort((np.arange(1000), -scores)) if i != q][:4]
+        want += [(q, k + 1, i, int(scores[i])) for k, i in enumerate(order)]
+    assert got == want
+    parts = topk._parts(ints[:5], ints[:40])
+    full = sum(parts)
+    q_ids, ids, scores, _, bound = topk._seen(np.arange(5), np.arange(40), parts, 4, 0)
+    for q in range(5):
+        seen = set(ids[q_ids == q].tolist())
+        assert 4 <= len(seen) <= 8 and scores[q_ids == q].tolist() == full[q, ids[q_ids == q]].tolist()
+        assert max(full[q, i] for i in range(40) if i != q and i not in seen) <= bound[q_ids == q][0]
+
+
 def test_archives_round_trip(spark, tmp_path):
     pages = [(5, "http://a.example/x?y", "<p>one\r\n\r\nWARC/1.1</p>"), (3, "http://b.example", "<p>one\r\n\r\nWARC/1.1</p>"), (9, None, None), (8, "u\r\nBad: 1", ""), (None, "http://c.example/", "ü" * 70_000), (4, "http://d.example/", "single"), (4, "http://d.example/", "single")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
