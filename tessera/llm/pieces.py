@@ -56,10 +56,11 @@ class Pieces:
                 self.bytes.append(b" \xe2\x81\x87 " if p.type == 2 else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids))
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-        # no piece has a space after anything else, so a text may be cut before any space that follows another sign.
-        self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        # no piece has a space after anything else, so a text may be cut before any space that follows another sign
+        # (without bytes for them, runs of unknown signs must not be cut).
+        self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids) and (self.byte_ids[0] >= 0 or SPACE in self.ids)
         # line ends and tabs stand alone if no piece has them.
-        self.alone = [c for c in "\t\n\r" if not any(c in p for p in self.ids)]
+        self.alone = [c for c in "\t\n\r" if not any(c in p for p in self.ids)] if self.byte_ids[0] >= 0 else []
         self.worst = min(self.scores.values()) - 10
         self._split: dict[str, tuple[str, str] | None] = {}
         self._agree: dict[tuple[str, str], bool] = {}
@@ -138,8 +139,9 @@ class Pieces:
                 for piece in here:
                     if (total := best[i + 1 - len(piece) - base] + scores[piece]) > value:
                         chosen, value = piece, total
-                if chosen is None:
-                    value = best[-1] + self.worst
+                # a sign that is no piece may stand alone, too, whatever longer pieces end there
+                if text[i] not in ids and (total := best[-1] + self.worst) > value:
+                    chosen, value = None, total
                 best.append(value)
             here.clear()
             back.append(text[i] if chosen is None else chosen)  # a sign that no piece has stands alone
@@ -148,7 +150,10 @@ class Pieces:
                 base += border
                 back = back[border:]
                 best = [x - best[border] for x in best[border:]] if not bpe else best
-        return out + self._ids(back, len(back) - 1)
+        out += self._ids(back, len(back) - 1)
+        if self.byte_ids[0] < 0:  # a run of signs that no piece has is one unknown
+            out = [x for k, x in enumerate(out) if x != self.unknown or k == 0 or out[k - 1] != x]
+        return out
 
     def _border(self, back: list[str]) -> int:
         """The last border that the ways back from all prefixes that can still be extended pass."""
