@@ -20,6 +20,8 @@ CANDIDATE_ROWS, QUERY_ROWS = 2048, 4096
 #: Queries whose scores with a block are held at once.
 STEP = 256
 SCALE = 256
+#: Rows of a run, of which each list's best entries are looked at first.
+RUN = 128
 #: Less than any part of a score, and any sum of such.
 _NONE = -(1 << 61)
 
@@ -94,25 +96,31 @@ def _steps(row: dict, wanted: set[int] | None = None) -> Iterator[tuple[np.ndarr
 
 
 def _seen(q_ids: np.ndarray, ids: np.ndarray, parts: list[np.ndarray], k: int, block: int) -> tuple[np.ndarray, ...]:
-    """Each list's k best others for every query, with full scores, and a bound that no other score of the block passes.
+    """The best of what the lists have first, with full scores, and a bound that no other score of the block passes.
 
-    An entry that no list has among its k best is at most the k-th best in each, so its score is at most their sum.
+    The block is looked at in runs of RUN rows. An entry that no list has among its k best of a run is at most the k-th best of the run
+    in each list, so its score is at most their sum. Of the entries that a list has there, the block's k best are enough.
     """
-    own = q_ids[:, None] == ids
-    total, bound = sum(parts), np.zeros(len(q_ids), np.int64)
-    picks = []
+    own, n = q_ids[:, None] == ids, len(ids)
+    run = max(RUN, 2 * k)
+    runs, bound, picks = -(-n // run), 0, []
     for p in parts:
         p[own] = _NONE
-        pick = np.argpartition(p, len(ids) - k, axis=1)[:, len(ids) - k :] if len(ids) > k else np.broadcast_to(np.arange(len(ids)), p.shape)
-        picks.append(pick)
-        bound += np.take_along_axis(p, pick, axis=1).min(axis=1)
-    bound[len(ids) - own.sum(axis=1) <= k] = _NONE  # all others are among the best
+        cut = np.pad(p, ((0, 0), (0, runs * run - n)), constant_values=_NONE).reshape(len(q_ids), runs, run)
+        pick = np.argpartition(cut, run - k, axis=2)[:, :, run - k :]
+        bound = bound + np.take_along_axis(cut, pick, axis=2).min(axis=2)
+        picks.append((pick + np.arange(runs)[:, None] * run).reshape(len(q_ids), -1))
     pick = np.sort(np.concatenate(picks, axis=1), axis=1)
-    good = ~np.take_along_axis(own, pick, axis=1)
+    good = (pick < n) & ~np.take_along_axis(own, np.minimum(pick, n - 1), axis=1)
     good[:, 1:] &= pick[:, 1:] != pick[:, :-1]
     at, column = np.nonzero(good)
     pick = pick[at, column]
-    return q_ids[at], ids[pick], total[at, pick], np.full(len(at), block), bound[at]
+    score = sum(p[at, pick] for p in parts)
+    order = np.lexsort((pick, -score, at))  # ids ascend with the position
+    first = np.searchsorted(at, np.arange(len(q_ids)))  # at ascends
+    order = order[np.arange(len(at)) - first[at] < k]
+    at = at[order]
+    return q_ids[at], ids[pick[order]], score[order], np.full(len(at), block), bound.max(axis=1)[at]
 
 
 def _reached(q: int, ids: np.ndarray, parts: list[np.ndarray], least: int, k: int) -> tuple[np.ndarray, ...]:
@@ -161,11 +169,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     answers a query with that id. Fewer than k candidates are all returned.
 
     The queries' blocks meet the candidates' blocks, each pair in a task's row; no pair of rows is stored. Phase 1
-    gathers each list's k best entries per block, takes the k-th best full score of all as a safe cutoff, and keeps
-    what no other score of the block can pass: the sum of the k-th best parts. Phase 2 sends the cutoffs to those
+    gathers each list's k best entries per run of a block, takes the k-th best full score of all as a safe cutoff, and
+    keeps what no other score of the block can pass: the sum of a run's k-th best parts. Phase 2 sends the cutoffs to those
     blocks only whose bound reaches them, which collect the entries that reach the uniform threshold in any list.
     Phase 3 resolves these exactly. The more candidates there are, the higher the cutoffs and the fewer the blocks
-    that phase 2 opens. A block returns k rows per query and list at most, so that ties don't add up.
+    that phase 2 opens. A block returns k rows per query at most, so that ties don't add up.
     """
     ints = F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
 
