@@ -319,7 +319,7 @@ def fingerprint(files: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def tree_fingerprint(files: DataFrame, by: tuple[str, ...] = (), parts: int = 256) -> DataFrame:
     """As fingerprint(), in two levels, for groups of any size: digests of hash ranges of paths, then of these (another value)."""
     lines = F.array_sort(F.collect_list(F.concat("path", F.lit(":"), "digest", F.lit("\n"))))
-    leaves = files.groupBy(*by, F.pmod(F.xxhash64("path"), F.lit(parts)).alias("_p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(lines, ""), 256).alias("d"))
+    leaves = files.groupBy(*by, (F.conv(F.substring(F.sha2("path", 256), 1, 8), 16, 10).cast("long") % parts).alias("_p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(lines, ""), 256).alias("d"))
     nodes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "d"))), lambda x: x["d"]), "\n")
     return leaves.groupBy(*by).agg(F.sum("n").alias("n_files"), F.sha2(nodes, 256).alias("fingerprint"))
 

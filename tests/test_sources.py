@@ -10,6 +10,8 @@ from tessera.operators import telemetry
 from tessera.sources import files
 from tessera.streaming import telemetry as live
 
+DATA = "/root/testdata/sf0.001"
+
 
 def test_labels_and_malformed_lines(spark, tmp_path):
     good = {"roi_id": "r", "dataset_id": "d", "hand_presence": {"present": True}, "landmarks_crop_norm": []}
@@ -149,3 +151,18 @@ def test_queries_without_the_text_subpackage():
 
     found = entry.queries()
     assert "eval_grouped" in found and set(entry.oracle_sql()) <= set(found)
+
+
+@pytest.mark.parametrize("name", ["row_contract", "source_tree_fingerprints"])
+def test_query_equals_its_sql(spark, name):
+    import __spark_entry__ as entry
+
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for t in ("embeddings", "documents"):
+        con.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
+    want = con.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    got = entry.queries()[name](spark, DATA)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(want.fetchall())
