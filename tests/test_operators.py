@@ -194,11 +194,20 @@ def test_mid_rank_and_no_single_task(spark):
     assert dict(ranked.select("id", "r").collect()) == {0: 1.0, 1: pytest.approx(1 / 6), 2: pytest.approx(1 / 6), 3: pytest.approx(2 / 3), 4: None}
 
 
-def test_mid_rank_in_ranges_equals_one_range(spark, monkeypatch):
-    rows = spark.createDataFrame([(i, float(i * 37 % 101)) for i in range(500)], "id int, v double")
-    whole = sorted(ranks.mid_rank(rows, "v", "r").collect())
-    monkeypatch.setattr(ranks, "CELL_ROWS", 10)
-    assert [tuple(map(float, r)) for r in sorted(ranks.mid_rank(rows, "v", "r").collect())] == [tuple(map(float, r)) for r in whole]
+def test_mid_rank_in_ranges_equals_one_range(spark):
+    values = [float(i * 37 % 101) for i in range(500)]
+    rows = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    want = {i: (sum(x < v for x in values) + (values.count(v) - 1) / 2) / 499 for i, v in enumerate(values)}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge the small ranges
+        for n in (1, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r.id: r.r for r in ranks.mid_rank(rows, "v", "r").collect()}
+            assert got == pytest.approx(want, abs=1e-12)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_draws_follow_weights_and_partitions_do_not_matter(spark):
