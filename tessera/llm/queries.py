@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, counts, fingerprints, neardup, packing, pieces, quality, substrings, topk, warc
+from . import chats, counts, fingerprints, neardup, packing, pieces, quality, simhash, substrings, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_quality": quality.op9_quality,
         "op10_substring_dedup": substrings.op10_substring_dedup,
+        "op11_simhash": simhash.op11_simhash,
     }
 
 
