@@ -29,6 +29,8 @@ _PAIRS = 1 << 20
 #: XXH64's multipliers, fixed values.
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
+_COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").reshape(-1)
+
 
 def _turned(x: np.ndarray, bits: int) -> np.ndarray:
     return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
@@ -95,9 +97,10 @@ def fingerprints(column: pa.Array) -> np.ndarray:
     for a in range(0, len(text), _STEP):
         own = text[a : a + _STEP]
         h = xxh64(joined, place[first[a : a + _STEP]], place[last[a : a + _STEP]] - 1)
-        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        begin = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        ones[own[begin]] += np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
+        # a byte's bits as eight counters of eight bits, which hold the sum of 255 shingles
+        begin = np.flatnonzero((np.arange(len(own)) - np.searchsorted(own, own)) % 255 == 0)
+        counters = np.add.reduceat(_COUNTERS[h.astype("<u8").view(np.uint8).reshape(-1, 8)], begin, axis=0)
+        np.add.at(ones, own[begin], counters.view(np.uint8).reshape(-1, 64))
     return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
