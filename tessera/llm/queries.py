@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, counts, fingerprints, neardup, packing, pieces, quality, simhash, substrings, topk, warc
+from . import chats, counts, fingerprints, neardup, packing, phrases, pieces, quality, simhash, substrings, topk, tries, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": quality.op9_quality,
         "op10_substring_dedup": substrings.op10_substring_dedup,
         "op11_simhash": simhash.op11_simhash,
+        "op12_phrases": phrases.op12_phrases,
+        "op13_conversation_trie": tries.op13_conversation_trie,
     }
 
 
@@ -32,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_near_dedup": neardup.SQL,
         "op8_warc": warc.SQL,
         "op10_substring_dedup": substrings.SQL,
+        "op12_phrases": phrases.SQL,
+        "op13_conversation_trie": tries.SQL,
     }
