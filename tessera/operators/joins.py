@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import points as P
-from ..functions.stats import safe_div
 from .detections import collapsed, flagged
 
-EXAMPLES = 20
-
 
 def require_empty(violations: DataFrame, what: str) -> None:
     """Raises with a few examples if there are violations."""
@@ -206,13 +204,24 @@ def negative_overlap(negatives: DataFrame, positives: DataFrame, core_ids: list[
 
 
 def partition_check(catalog: DataFrame, included: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
-    """Keys in both parts or in none, keys that the catalog lacks, and rows that differ from the catalog's."""
-    digest = F.xxhash64(*(F.col(c) for c in sorted(catalog.columns)))
-    c, i, e = (df.select(key, digest.alias(n)) for df, n in ((catalog, "_c"), (included, "_i"), (excluded, "_e")))
-    rows = c.join(i, key, "full_outer").join(e, key, "full_outer")
-    has_c, has_i, has_e = (F.col(n).isNotNull() for n in ("_c", "_i", "_e"))
-    problem = F.when(has_i & has_e, "in_both").when(has_c & ~has_i & ~has_e, "in_none").when(~has_c, "not_in_catalog").when(~F.coalesce("_i", "_e").eqNullSafe(F.col("_c")), "different")
-    return rows.select(key, problem.alias("problem")).where("problem is not null")
+    """Keys in both parts or in none, keys that the catalog lacks, rows that differ from the catalog's in any column, keys that a table
+    repeats, and rows without a key (null or empty): key, problem.
+
+    Rows are compared value by value (maps by their sorted entries), so a null differs from a value and a value in another column is found.
+    """
+    names = sorted(set(catalog.columns) | set(included.columns) | set(excluded.columns) - {key})
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        kinds = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
+        held = [(F.array_sort(F.map_entries(c)) if isinstance(kinds.get(c), T.MapType) else F.col(c) if c in kinds else F.lit(None).cast("string")).alias(c) for c in names]
+        return df.groupBy(F.col(key).cast("string").alias("_key"), F.col(key).alias("_own")).agg(F.count("*").alias(f"{name}_n"), F.max(F.struct(*held)).alias(name)).drop("_own")
+
+    rows = side(catalog, "_c").join(side(included, "_i"), "_key", "full_outer").join(side(excluded, "_e"), "_key", "full_outer")
+    has_c, has_i, has_e = (F.col(f"{n}_n").isNotNull() for n in ("_c", "_i", "_e"))
+    differs = (has_i & ~F.col("_i").eqNullSafe(F.col("_c"))) | (has_e & ~F.col("_e").eqNullSafe(F.col("_c")))
+    problem = F.when(F.coalesce("_key", F.lit("")) == "", "no_key").when(F.greatest("_c_n", "_i_n", "_e_n") > 1, "repeated")
+    problem = problem.when(has_i & has_e, "in_both").when(has_c & ~has_i & ~has_e, "in_none").when(~has_c, "not_in_catalog").when(differs, "different")
+    return rows.select(F.col("_key").cast(catalog.schema[key].dataType).alias(key), problem.alias("problem")).where("problem is not null")
 
 
 def snapshot_drift(old: DataFrame, new: DataFrame, key: str, digest: str) -> DataFrame:
@@ -220,16 +229,34 @@ def snapshot_drift(old: DataFrame, new: DataFrame, key: str, digest: str) -> Dat
     return mapping_diff(old, new, key, digest).select(key, F.when(F.col("problem") == "left_only", "removed").when(F.col("problem") == "right_only", "added").otherwise("modified").alias("change"))
 
 
-def row_diff(full: DataFrame, derived: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """(key, column, left_value, right_value) of every column that differs; values as JSON text."""
-    names = [c for c in full.columns if c in derived.columns and c != key and c not in ignore]
+MISSING = "<missing>"
+
 
-    def leaves(df: DataFrame, out: str) -> DataFrame:
-        entries = F.array(*(F.struct(F.lit(c).alias("column"), F.to_json(F.struct(F.col(c).alias("v"))).alias(out)) for c in names))
-        return df.select(key, F.explode(entries).alias("e")).select(key, "e.*")
+def _leaf_entries(value: Column, kind: T.DataType, path: Column) -> Column:
+    """(column, value) of every leaf of a value: fields of structs and values of maps by their path, all else as JSON text."""
+    own = F.to_json(F.array(value))
+    leaf = F.array(F.struct(path.alias("column"), F.substring(own, F.lit(2), F.length(own) - 2).alias("value")))
+    if isinstance(kind, T.StructType):
+        inner = F.concat(*(_leaf_entries(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind.fields))
+    elif isinstance(kind, T.MapType):
+        inner = F.flatten(F.transform(F.map_entries(value), lambda e: _leaf_entries(e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"].cast("string")))))
+    else:
+        return leaf
+    return F.when(value.isNull(), leaf).otherwise(inner)
 
-    joined = leaves(full, "left_value").join(leaves(derived, "right_value"), [key, "column"], "full_outer")
-    return joined.where(~F.col("left_value").eqNullSafe(F.col("right_value")))
+
+def row_diff(full: DataFrame, derived: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """(key, column, left_value, right_value) of every leaf that differs; values as JSON text, `<missing>` where a side lacks the leaf.
+
+    Structs and maps are walked to their leaves, whose path is joined by dots; arrays are compared whole. A column, a map's key or
+    a row that only one side has is missing on the other; a null is a value of its own. A null struct or map is one leaf.
+    """
+    out = {}
+    for name, df in (("left_value", full), ("right_value", derived)):
+        entries = [_leaf_entries(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in df.schema.fields if f.name != key and f.name not in ignore]
+        out[name] = df.select(key, F.explode(F.concat(*entries)).alias("e")).select(key, "e.column", F.col("e.value").alias(name))
+    joined = out["left_value"].join(out["right_value"], [key, "column"], "full_outer")
+    return joined.where(~F.col("left_value").eqNullSafe(F.col("right_value"))).fillna(MISSING, list(out))
 
 
 def apply_decisions(rows: DataFrame, decisions: DataFrame, key: str, allowed: tuple[str, ...] = ("keep", "drop", "hold"), default: str = "hold") -> tuple[DataFrame, DataFrame]:
@@ -241,20 +268,28 @@ def apply_decisions(rows: DataFrame, decisions: DataFrame, key: str, allowed: tu
     return rows.join(good, key, "left").withColumn("decision", F.coalesce("decision", F.lit(default))), bad.union(orphans)
 
 
-def review_partition(manifest: DataFrame, candidates: DataFrame, reviewed: DataFrame, path: str = "path", digest: str = "digest") -> DataFrame:
-    """(path, state): admitted, quarantined (still among the candidates), removed, modified or unknown, of every file of the three tables."""
-    m, c, r = (df.select(path, F.col(digest).alias(n)) for df, n in ((manifest, "_m"), (candidates, "_c"), (reviewed, "_r")))
-    rows = m.join(c, path, "full_outer").join(r, path, "full_outer")
-    state = F.when(F.col("_m").isNull(), "unknown").when(F.col("_r").isNotNull(), F.when(F.col("_r") == F.col("_m"), "admitted").otherwise("modified"))
-    state = state.when(F.col("_c").isNotNull(), F.when(F.col("_c") == F.col("_m"), "quarantined").otherwise("modified")).otherwise("removed")
-    return rows.select(path, state.alias("state"))
+def review_partition(manifest: DataFrame, candidates: DataFrame, reviewed: DataFrame, conflicts: DataFrame, key: str = "crop_id", path: str = "path", digest: str = "digest") -> DataFrame:
+    """(path, state, problem) of every file of the three tables, after a review that deletes what isn't a negative.
+
+    manifest: path, digest, key; candidates and reviewed: path, digest of the files that are there; conflicts: keys of rows that
+    overlap known positives. A file of the manifest is removed if it isn't among the reviewed ones, modified if its reviewed copy has another
+    digest, quarantined if its key is a conflict, else admitted; a file that the manifest lacks is unknown. The candidates must stay as
+    the manifest has them: problem tells one that is missing, changed or new, and a reviewed file that is changed or unknown.
+    """
+    m, c, r = manifest.select(path, key, F.col(digest).alias("_m"), F.lit(True).alias("_in_m")), *(df.select(path, F.col(digest).alias(n), F.lit(True).alias(f"_in{n}")) for df, n in ((candidates, "_c"), (reviewed, "_r")))
+    rows = m.join(c, path, "full_outer").join(r, path, "full_outer").join(conflicts.select(key, F.lit(True).alias("_conflict")).distinct(), key, "left")
+    in_m, in_c, in_r = (F.col(f"_in{n}").isNotNull() for n in ("_m", "_c", "_r"))
+    changed = lambda n: ~F.col(n).eqNullSafe(F.col("_m"))
+    state = F.when(~in_m, "unknown").when(~in_r, "removed").when(changed("_r"), "modified").when(F.col("_conflict").isNotNull(), "quarantined").otherwise("admitted")
+    problem = F.when(~in_m, F.when(in_r, "unknown_reviewed").otherwise("unknown_candidate")).when(~in_c, "candidate_missing").when(changed("_c"), "candidate_modified").when(in_r & changed("_r"), "reviewed_modified")
+    return rows.select(path, state.alias("state"), problem.alias("problem"))
 
 
 def conservation_check(states: DataFrame) -> DataFrame:
-    """Expected rows against admitted + quarantined + removed, and whether they agree."""
+    """Files of the manifest against admitted + quarantined + removed ones, how many have a problem, and whether all is well."""
     n = {s: F.count_if(F.col("state") == s) for s in ("admitted", "quarantined", "removed", "modified", "unknown")}
-    expected = F.count_if(F.col("state") != "unknown")
-    return states.agg(expected.alias("expected"), *(c.alias(s) for s, c in n.items()), (expected == n["admitted"] + n["quarantined"] + n["removed"]).alias("conserved"))
+    expected, problems = F.count_if(F.col("state") != "unknown"), F.count("problem")
+    return states.agg(expected.alias("expected"), *(c.alias(s) for s, c in n.items()), problems.alias("problems"), ((expected == n["admitted"] + n["quarantined"] + n["removed"]) & (problems == 0)).alias("conserved"))
 
 
 def rebase_paths(labels: DataFrame, inventory: DataFrame, path: str = "path") -> DataFrame:
@@ -324,12 +359,34 @@ def tree_fingerprint(files: DataFrame, by: tuple[str, ...] = (), parts: int = 25
     return leaves.groupBy(*by).agg(F.sum("n").alias("n_files"), F.sha2(nodes, 256).alias("fingerprint"))
 
 
-def negative_gate(rows: DataFrame, minimums: dict[str, int]) -> DataFrame:
-    """Confirmed negatives by kind against minimums: kind, n, minimum, passed."""
-    kinds = rows.sparkSession.createDataFrame(list(minimums.items()), "kind string, minimum long")
-    counts = rows.where("confirmed").groupBy("kind").agg(F.count("*").alias("n"))
-    return kinds.join(counts, "kind", "left").fillna(0, ["n"]).withColumn("passed", F.col("n") >= F.col("minimum"))
+def multitask_problems(rows: DataFrame, fields: tuple[str, ...] = (), method: str | None = None) -> DataFrame:
+    """rows with problem: why a row may not enter a multitask snapshot, null if it may.
+
+    rows: present, action, negative_evidence, decision, review_method and the review's `fields`. A positive must be included with its
+    landmarks; a negative must be a human-confirmed one whose review has all fields (not blank) and the method asked for.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    confirmed = (text("action") == "INCLUDE_CONFIRMED_NEGATIVE") & (text("negative_evidence") == "human_confirmed") & (text("decision") == "CONFIRMED_NEGATIVE")
+    problem = F.when(F.coalesce("present", F.lit(False)), F.when(text("action") != "INCLUDE_LANDMARKS", "positive_not_included")).when(~confirmed, "unconfirmed_negative")
+    for c in fields:
+        problem = problem.when(F.trim(text(c)) == "", f"no_{c}")
+    if method:
+        problem = problem.when(text("review_method") != method, "other_review_method")
+    return rows.withColumn("problem", problem)
 
 
-def rate(rows: DataFrame, hit: Column, by: tuple[str, ...]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), safe_div(F.count_if(hit), F.count("*")).alias("rate"))
+def negative_gate(rows: DataFrame, minimum: int, minimums: dict[str, int], transaction: bool, fields: tuple[str, ...] = (), method: str | None = None) -> DataFrame:
+    """The gate of a multitask snapshot, a row per check: check, n, minimum, passed.
+
+    No row may have a problem (multitask_problems), a review transaction must stand behind the rows, there must be positives,
+    `minimum` confirmed negatives, and as many of each sample type as `minimums` says. The gate passes if all checks do.
+    """
+    present, problem = F.coalesce("present", F.lit(False)), F.col("problem")
+    confirmed = ~present & problem.isNull()
+    wanted = [("has_positive_geometry", F.count_if(present), 1), ("minimum_confirmed_negatives", F.count_if(confirmed), minimum)]
+    wanted += [(f"minimum_confirmed:{k}", F.count_if(confirmed & (F.col("sample_type") == k)), v) for k, v in sorted(minimums.items())]
+    checks = [F.struct(F.lit(name).alias("check"), n.alias("n"), F.lit(least).cast("long").alias("minimum"), (n >= least).alias("passed")) for name, n, least in wanted]
+    wrong, no_limit = F.count("problem"), F.lit(None).cast("long")
+    checks.append(F.struct(F.lit("no_unreviewed_negative").alias("check"), wrong.alias("n"), no_limit.alias("minimum"), (wrong == 0).alias("passed")))
+    checks.append(F.struct(F.lit("authenticated_negative_review_transaction").alias("check"), F.lit(int(transaction)).cast("long").alias("n"), F.lit(1).cast("long").alias("minimum"), F.lit(bool(transaction)).alias("passed")))
+    return multitask_problems(rows, fields, method).agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")

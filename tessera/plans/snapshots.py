@@ -199,15 +199,19 @@ def augmented_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select("roi_id", "handedness", total("x").alias("sum_x"), total("y").alias("sum_y")))
 
 
-@query(f"""{A.with_sql('labels', 'published')}, c as (select {_TYPE_SQL} as kind from published where not present and v % 3 <> 1 and v % 4 <> 1 and v % 7 <> 1)
-select k.kind, count(c.kind) as n, minimum, count(c.kind) >= minimum as passed from (values ('NEG_RUNTIME_CANDIDATE', 10::bigint), ('NEG_LOW_PALM_CANDIDATE', 1000000::bigint)) k(kind, minimum) left join c on c.kind = k.kind group by k.kind, minimum""")
+@query(f"""{A.with_sql('labels', 'published')}, c as (select *, {_TYPE_SQL} as kind, case when present then v % 23 <> 0 else v % 31 <> 0 and v % 29 <> 0 end as included, v % 7 <> 1 and v % 37 <> 0 as whole from published),
+n as (select count(*) filter (present) as positives, count(*) filter (not present and included and whole) as confirmed, count(*) filter (not included or (not present and not whole)) as wrong, count(*) filter (not present and included and whole and kind = 'NEG_RUNTIME_CANDIDATE') as runtime, count(*) filter (not present and included and whole and kind = 'NEG_LOW_PALM_CANDIDATE') as low from c)
+select "check", n, minimum, case when minimum is null then n = 0 else n >= minimum end as passed from n, lateral (values ('has_positive_geometry', positives, 1), ('minimum_confirmed_negatives', confirmed, 12), ('minimum_confirmed:NEG_RUNTIME_CANDIDATE', runtime, 10), ('minimum_confirmed:NEG_LOW_PALM_CANDIDATE', low, 1000000), ('no_unreviewed_negative', wrong, null), ('authenticated_negative_review_transaction', 1, 1)) t("check", n, minimum)""")
 def negative_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Negatives that a review confirms with all its evidence, against minimums by kind."""
+    """The gate of a multitask snapshot: rows that aren't included or reviewed as they must be, and minimums of confirmed negatives."""
     v = F.col("v")
     rows = contracts.canonicalize(A.published(spark, sf_dir), "multitask")
-    action, decision = F.when(v % 3 != 1, "INCLUDE_CONFIRMED_NEGATIVE"), F.when(v % 4 != 1, "CONFIRMED_NEGATIVE").otherwise("HOLD")
-    confirmed = contracts.confirmed_negative(F.col("present"), action, decision, F.when(v % 7 == 1, " ").otherwise("me"), F.lit("now"))
-    return joins.negative_gate(rows.withColumns({"kind": F.col("sample_type"), "confirmed": confirmed}), {"NEG_RUNTIME_CANDIDATE": 10, "NEG_LOW_PALM_CANDIDATE": 1_000_000})
+    rows = rows.withColumns({
+        "action": F.when(F.col("present"), F.when(v % 23 != 0, "INCLUDE_LANDMARKS").otherwise("HOLD")).otherwise(F.when(v % 31 != 0, "INCLUDE_CONFIRMED_NEGATIVE")),
+        "negative_evidence": F.lit("human_confirmed"), "decision": F.when(v % 29 != 0, "CONFIRMED_NEGATIVE").otherwise("HOLD"),
+        "reviewer": F.when(v % 7 == 1, " ").otherwise("me"), "review_method": F.when(v % 37 == 0, "glance").otherwise("visual"),
+    })
+    return joins.negative_gate(rows, 12, {"NEG_RUNTIME_CANDIDATE": 10, "NEG_LOW_PALM_CANDIDATE": 1_000_000}, True, ("reviewer",), "visual")
 
 
 @query("""with e as (select vec_id as v, embedding as e from embeddings), p as (select v, unnest(list_filter([case when v % 9 = 4 then 'bad_flag' end, case when v % 9 = 7 then 'bad_handedness' end, case when v % 10 < 2 then 'bad_vector' end], lambda x: x is not null)) as error from e)
@@ -300,27 +304,43 @@ def identity_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.identity_occupancy(A.asset_rows(spark, sf_dir).withColumn("tokens", _tokens()), "group")
 
 
-@query(f"""{A.with_sql('assets')} select id, case when id % 10 < 2 and id % 5 = 1 then 'in_both' when id % 10 = 9 then 'in_none' else 'different' end as problem from assets where (id % 10 < 2 and id % 5 = 1) or id % 10 = 9 or id % 10 = 4
-union all select -id - 1, 'not_in_catalog' from assets where id % 97 = 0""")
+_PARTS_SQL = """c as (select id, digest, "group", case when id % 10 <> 3 then sample_type end as sample_type from assets), ch as (select id, case when id % 10 = 4 then 'x' else digest end as digest, case when id % 10 <> 3 then "group" end as "group", case when id % 10 = 3 then "group" else sample_type end as sample_type from c),
+i as (select * from ch where id % 10 < 5 union all select -id - 1, digest, "group", sample_type from ch where id % 97 = 0 union all select * from ch where id % 211 = 2), e as (select * from ch where id % 10 between 5 and 8 or id % 10 = 1)"""
+
+
+@query(f"""{A.with_sql('assets')}, {_PARTS_SQL}, k as (select id, (select count(*) from c where c.id = u.id) as n_c, (select count(*) from i where i.id = u.id) as n_i, (select count(*) from e where e.id = u.id) as n_e from (select id from c union select id from i union select id from e) u),
+d as (select p.id from (select * from i union all select * from e) p join c using (id) where p.digest is distinct from c.digest or p."group" is distinct from c."group" or p.sample_type is distinct from c.sample_type),
+q as (select id, case when greatest(n_c, n_i, n_e) > 1 then 'repeated' when n_i > 0 and n_e > 0 then 'in_both' when n_c > 0 and n_i + n_e = 0 then 'in_none' when n_c = 0 then 'not_in_catalog' when id in (select id from d) then 'different' end as problem from k) select id, problem from q where problem is not null""")
 def partition_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catalog against its included and excluded parts: ids in both, in none, changed, and unknown ones."""
-    assets = A.asset_rows(spark, sf_dir)
-    changed = assets.withColumn("digest", F.when(F.col("id") % 10 == 4, "x").otherwise(F.col("digest")))
-    unknown = assets.where("id % 97 = 0").withColumn("id", -F.col("id") - 1)
-    included = changed.where("id % 10 < 5").union(unknown)
-    return joins.partition_check(assets, included, changed.where("id % 10 between 5 and 8 or id % 10 = 1"), "id")
+    """A catalog against its included and excluded parts: ids in both, in none, repeated, unknown, changed, or with a value in another column."""
+    i = F.col("id")
+    catalog = A.asset_rows(spark, sf_dir).select("id", "digest", "group", F.when(i % 10 != 3, F.col("sample_type")).alias("sample_type"))
+    moved = {"digest": F.when(i % 10 == 4, "x").otherwise(F.col("digest")), "group": F.when(i % 10 != 3, F.col("group")), "sample_type": F.when(i % 10 == 3, F.col("group")).otherwise(F.col("sample_type"))}
+    changed = catalog.withColumns(moved)
+    included = changed.where("id % 10 < 5").union(changed.where("id % 97 = 0").withColumn("id", -i - 1)).union(changed.where("id % 211 = 2"))
+    return joins.partition_check(catalog, included, changed.where("id % 10 between 5 and 8 or id % 10 = 1"), "id")
+
 
+_LEAVES_SQL = """select id, unnest([{{'c': 'meta.type', 'v': to_json({type})::varchar}}, {{'c': 'meta.where.group', 'v': to_json("group")::varchar}}, {{'c': 'tags.lang', 'v': to_json(sample_type)::varchar}}, {{'c': 'path', 'v': to_json(['a', {last}])::varchar}}{more}]) as e"""
 
-@query(f"""{A.with_sql('assets')}, b as (select id, case when id % 7 = 0 then 'xx' else sample_type end as sample_type, case when id % 5 = 0 then null else "group" end as "group" from assets where id % 3 > 0)
-select id, 'group' as "column", a."group" as left_value, b."group" as right_value from assets a join b using (id) where a."group" is distinct from b."group"
-union all select id, 'sample_type', a.sample_type, b.sample_type from assets a join b using (id) where a.sample_type is distinct from b.sample_type
-union all select id, c, case c when 'group' then "group" else sample_type end, null from assets, (values ('group'), ('sample_type')) t(c) where id % 3 = 0""")
+
+@query(f"""{A.with_sql('assets')}, l as ({_LEAVES_SQL.format(type='sample_type', last="split", more=", {'c': 'note', 'v': to_json(digest)::varchar}")} from assets),
+r as ({_LEAVES_SQL.format(type="case when id % 7 <> 0 then sample_type end", last="case when id % 5 = 0 then 'b' else split end", more=", {'c': case when id % 4 = 0 then 'tags.split' else 'tags.' || split end, 'v': to_json(id::varchar)::varchar}")} from assets where id % 3 > 0)
+select coalesce(l.id, r.id) as id, coalesce(l.e.c, r.e.c) as "column", coalesce(l.e.v, case when l.id is null then '<missing>' else 'null' end) as left_value, coalesce(r.e.v, case when r.id is null then '<missing>' else 'null' end) as right_value
+from l full outer join r on l.id = r.id and l.e.c = r.e.c where l.id is null or r.id is null or l.e.v is distinct from r.e.v""")
 def row_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A derived table against the full one, value by value."""
-    assets, i = A.asset_rows(spark, sf_dir), F.col("id")
-    derived = assets.where("id % 3 > 0").withColumns({"sample_type": F.when(i % 7 == 0, "xx").otherwise(F.col("sample_type")), "group": F.when(i % 5 > 0, F.col("group"))})
-    found = joins.row_diff(assets, derived, "id", ("digest", "split"))
-    return found.select("id", "column", F.from_json("left_value", "v string")["v"].alias("left_value"), F.from_json("right_value", "v string")["v"].alias("right_value"))
+    """A derived table against the full one, leaf by leaf: nested values, keys of maps and columns that one side lacks, missing rows."""
+    i = F.col("id")
+
+    def made(rows: DataFrame, kind, last, *tags) -> DataFrame:
+        meta = F.struct(kind.alias("type"), F.struct("group").alias("where")).alias("meta")
+        return rows.select("id", meta, F.create_map(F.lit("lang"), F.col("sample_type"), *tags).alias("tags"), F.array(F.lit("a"), last).alias("path"), "digest")
+
+    assets = A.asset_rows(spark, sf_dir)
+    left = made(assets, F.col("sample_type"), F.col("split")).withColumnRenamed("digest", "note")
+    derived = assets.where("id % 3 > 0")
+    right = made(derived, F.when(i % 7 != 0, F.col("sample_type")), F.when(i % 5 == 0, "b").otherwise(F.col("split")), F.when(i % 4 == 0, "split").otherwise(F.col("split")), i.cast("string")).drop("digest")
+    return joins.row_diff(left, right, "id")
 
 
 @query(f"""{A.with_sql('assets')} select id, case when id % 5 = 0 then 'keep' when id % 5 = 2 and id % 7 > 0 then 'drop' else 'hold' end as decision, null as problem from assets
@@ -335,15 +355,19 @@ def applied_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.union_all(rows, bad)
 
 
-@query(f"""{A.with_sql('assets')}, s as (select case when id % 10 < 4 then 'admitted' when id % 10 = 4 then 'modified' when id % 10 in (5, 6) then 'quarantined' else 'removed' end as state from assets union all select 'unknown' from assets where id % 97 = 0)
-select count(*) filter (state <> 'unknown') as expected, count(*) filter (state = 'admitted') as admitted, count(*) filter (state = 'quarantined') as quarantined, count(*) filter (state = 'removed') as removed, count(*) filter (state = 'modified') as modified,
-  count(*) filter (state = 'unknown') as unknown, count(*) filter (state = 'modified') = 0 as conserved from s""")
+@query(f"""{A.with_sql('assets')}, m as (select 'f' || id as path, digest, 'k' || id as crop_id, id, sample_type from assets), c as (select path, case when id % 83 = 1 then 'y' else digest end as digest from m where id % 89 <> 2 union all select 'extra' || id, digest from m where id % 101 = 0),
+r as (select path, case when id % 10 = 4 then 'x' else digest end as digest from m where id % 10 < 5 union all select 'new' || id, digest from m where id % 97 = 0), k as (select distinct crop_id from m where sample_type = 'de'),
+s as (select m.path is not null as in_m, c.path is not null as in_c, r.path is not null as in_r, m.digest is distinct from c.digest as c_changed, m.digest is distinct from r.digest as r_changed, k.crop_id is not null as conflict from m full outer join c using (path) full outer join r on r.path = coalesce(m.path, c.path) left join k on k.crop_id = m.crop_id),
+t as (select in_m, in_m and in_r and r_changed as modified, in_m and not in_r as removed, in_m and in_r and not r_changed and conflict as quarantined, in_m and in_r and not r_changed and not conflict as admitted, not in_m or not in_c or c_changed or (in_r and r_changed) as problem from s)
+select count(*) filter (in_m) as expected, count(*) filter (admitted) as admitted, count(*) filter (quarantined) as quarantined, count(*) filter (removed) as removed, count(*) filter (modified) as modified, count(*) filter (not in_m) as unknown,
+  count(*) filter (problem) as problems, count(*) filter (in_m) = count(*) filter (admitted or quarantined or removed) and count(*) filter (problem) = 0 as conserved from t""")
 def review_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What became of the files of a review: admitted, still candidates, removed, changed or unknown."""
-    files = A.asset_rows(spark, sf_dir).select(F.concat(F.lit("f"), "id").alias("path"), "digest", "id")
-    reviewed = files.where("id % 10 < 5").withColumn("digest", F.when(F.col("id") % 10 == 4, "x").otherwise(F.col("digest")))
-    reviewed = reviewed.union(files.where("id % 97 = 0").withColumn("path", F.concat(F.lit("new"), "id")))
-    return joins.conservation_check(joins.review_partition(files, files.where("id % 10 in (5, 6)"), reviewed))
+    """What became of a review's files: admitted, quarantined as their language conflicts, removed; some are changed, missing or unknown."""
+    i = F.col("id")
+    files = A.asset_rows(spark, sf_dir).select(F.concat(F.lit("f"), "id").alias("path"), "digest", F.concat(F.lit("k"), "id").alias("crop_id"), "id", "sample_type")
+    candidates = files.where("id % 89 <> 2").withColumn("digest", F.when(i % 83 == 1, "y").otherwise(F.col("digest"))).unionByName(files.where("id % 101 = 0").withColumn("path", F.concat(F.lit("extra"), "id")))
+    reviewed = files.where("id % 10 < 5").withColumn("digest", F.when(i % 10 == 4, "x").otherwise(F.col("digest"))).unionByName(files.where("id % 97 = 0").withColumn("path", F.concat(F.lit("new"), "id")))
+    return joins.conservation_check(joins.review_partition(files, candidates, reviewed, files.where("sample_type = 'de'")))
 
 
 @query(f"""{A.with_sql('assets')} select distinct 'digest' as "column", digest as value from assets where id % 2 = 0 and digest in (select digest from assets where id % 2 = 1)

@@ -308,6 +308,12 @@ def test_join_violations(spark):
     assert {(r.id, r.change) for r in joins.snapshot_drift(a, b, "id", "digest").collect()} == {("3", "removed"), ("4", "added")}
     assert [tuple(r) for r in joins.row_diff(a, b.where("id = '2'"), "id").where("id = '2'").select("id", "column").collect()] == [("2", "v")]
     assert {(r.id, r.problem) for r in joins.partition_check(a, a.where("id = '1'"), a.where("id <= '2'"), "id").collect()} == {("1", "in_both"), ("3", "in_none")}
+    moved = spark.createDataFrame([("1", None, "x"), ("2", "y", "v"), ("2", "y", "v"), (None, "q", "q")], "id string, v string, digest string")
+    whole = spark.createDataFrame([("1", "x", None), ("2", "y", "v")], "id string, v string, digest string")
+    assert {(r.id, r.problem) for r in joins.partition_check(whole, moved, whole.limit(0), "id").collect()} == {("1", "different"), ("2", "repeated"), (None, "no_key")}
+    left = spark.sql("select 1 as id, named_struct('a', 1, 'b', map('x', 1, 'y', 2)) as s, array(1, 2) as l, 'only' as one, cast(null as string) as n")
+    right = spark.sql("select 1 as id, named_struct('a', 1, 'b', map('x', 3, 'z', 2)) as s, array(1, 3) as l, 'u' as n")
+    assert {tuple(r)[1:] for r in joins.row_diff(left, right, "id").collect()} == {("s.b.x", "1", "3"), ("s.b.y", "2", "<missing>"), ("s.b.z", "<missing>", "2"), ("l", "[1,2]", "[1,3]"), ("one", '"only"', "<missing>"), ("n", "null", '"u"')}
     with pytest.raises(ValueError):
         joins.require_empty(joins.mapping_diff(a, b, "id", "v"), "decisions")
     joins.require_empty(a.where("false"), "nothing")
@@ -330,9 +336,16 @@ def test_tokens_leakage_and_supersede(spark):
 
 def test_review_and_paths(spark):
     m = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")], "path string, digest string")
-    states = joins.review_partition(m, m.where("path = 'b'"), spark.createDataFrame([("a", "1"), ("d", "9"), ("z", "0")], "path string, digest string"))
-    assert dict(states.collect()) == {"a": "admitted", "b": "quarantined", "c": "removed", "d": "modified", "z": "unknown"}
-    assert not joins.conservation_check(states).first().conserved and joins.conservation_check(states.where("state <> 'modified'")).first().conserved
+    kept = m.withColumn("crop_id", F.concat(F.lit("k"), "path"))
+    reviewed = spark.createDataFrame([("a", "1"), ("b", "2"), ("d", "9"), ("z", "0")], "path string, digest string")
+    conflicts = spark.createDataFrame([("kb",), ("kb",), ("kc",), ("other",)], "crop_id string")
+    states = joins.review_partition(kept, m, reviewed, conflicts)
+    assert {r.path: (r.state, r.problem) for r in states.collect()} == {"a": ("admitted", None), "b": ("quarantined", None), "c": ("removed", None), "d": ("modified", "reviewed_modified"), "z": ("unknown", "unknown_reviewed")}
+    assert not joins.conservation_check(states).first().conserved and joins.conservation_check(states.where("problem is null")).first().conserved
+    # candidates must stay as they were; what isn't reviewed is removed, candidate or not
+    moved = m.where("path <> 'a'").withColumn("digest", F.when(F.col("path") == "c", "x").otherwise(F.col("digest"))).union(spark.createDataFrame([("n", "7")], m.schema))
+    found = {r.path: (r.state, r.problem) for r in joins.review_partition(kept, moved, m.where("path = 'b'"), conflicts.limit(0)).collect()}
+    assert found == {"a": ("removed", "candidate_missing"), "b": ("admitted", None), "c": ("removed", "candidate_modified"), "d": ("removed", None), "n": ("unknown", "unknown_candidate")}
     files = spark.createDataFrame([("x/a.png",), ("y/b.png",), ("z/b.png",), ("q/c.png",)], "path string")
     found = joins.rebase_paths(spark.createDataFrame([("x/a.png",), ("old/b.png",), ("old/c.png",), ("old/d.png",)], "path string"), files)
     assert {r.path: r.how for r in found.collect()} == {"x/a.png": "recorded", "old/b.png": "ambiguous", "old/c.png": "renamed", "old/d.png": "missing"}
