@@ -368,23 +368,29 @@ with d as (
 ), w as (
   select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p
 ), g as (
-  select lang, m, ws[i:i + m - 1] as q from w, unnest(range(1, 5)) a(m), unnest(range(1, len(ws) - m + 2)) b(i)
+  select lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) as q from w, (values (1), (2), (3), (4)) v(m)
 ), f as (
   select lang, m, q, count(*) as n from g group by all
 ), t as (
   select lang, sum(n)::bigint as n from f where m = 1 group by lang
 ), c as (
-  select lang, m, q, n as a from f where m > 1 and n >= 30
+  select lang, m, string_split(q, ' ') as ws, q, n as a from f where m > 1 and n >= 30
+), cut as (
+  select lang, m, q, a, unnest(range(1, m)) as k, ws from c
+), parts as (
+  select lang, q, a, k, array_to_string(ws[1:k], ' ') as head, array_to_string(ws[k + 1:m], ' ') as tail from cut
 ), k as (
-  select c.*, k, x.n as l, y.n as r, (2000000::hugeint * a) // (x.n + y.n) as score
-  from c, unnest(range(1, 4)) u(k) join f x on x.lang = c.lang and x.q = c.q[1:k] join f y on y.lang = c.lang and y.q = c.q[k + 1:c.m] where k < c.m
+  select p.lang, p.q, p.a, k, x.n as l, y.n as r, (2000000::hugeint * a) // (x.n + y.n) as score
+  from parts p join f x on x.lang = p.lang and x.q = p.head join f y on y.lang = p.lang and y.q = p.tail
 ), s as (
   select * from k qualify row_number() over (partition by lang, q order by score, k) = 1
+), i as (
+  select lang, a, ws, m, unnest(range(2, m)) as size from c
 ), h as (
-  select lang, q[i:i + m - 1] as q, max(longer) as longer from (select lang, q, m as size, a as longer from c where m > 2), unnest(range(2, 4)) u(m), unnest(range(1, size - m + 2)) b(i) where m < size group by all
+  select lang, q, max(a) as longer from (select lang, a, unnest(list_transform(range(1, m - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) as q from i) group by all
 ), o as (
   select s.* from s left join h using (lang, q) where longer is null or 100::hugeint * longer < 80::hugeint * a
 )
-select o.lang, row_number() over (partition by o.lang order by score desc, a desc, encode(array_to_string(q, ' '))) as rank, array_to_string(q, ' ') as phrase, a, l, r, t.n, score::bigint as score
+select o.lang, row_number() over (partition by o.lang order by score desc, a desc, encode(q)) as rank, q as phrase, a, l, r, t.n, score::bigint as score
 from o join t using (lang) qualify rank <= 2000
 """

@@ -220,7 +220,7 @@ with t as (
 ), o as (
   select c, text, dig, row_number() over (partition by c order by turn nulls first, dig) - 1 as pos from t
 ), n as (
-  select c, count(*) as n, c - c % 5 as b, xor(list_reduce(list_transform(range(1, length(c::varchar) + 1), lambda i: ascii(c::varchar[i:i])::bigint), lambda a, y: list_reduce(range(8), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end, xor(a, y)), 4294967295::bigint), 4294967295::bigint) % 9 as h from o group by c
+  select c, count(*) as n, c - c % 5 as b, xor(list_reduce(list_transform(range(1, length(c::varchar) + 1), lambda i: ascii((c::varchar)[i:i])::bigint), lambda a, y: list_reduce(range(8), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end, xor(a, y)), 4294967295::bigint), 4294967295::bigint) % 9 as h from o group by c
 ), m as (
   select n.c, n.b, n.h, least(n.h, coalesce(x.n, 0)) as got from n left join n x on x.c = n.b
 ), r as (
