@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -179,8 +180,19 @@ def _count_longer(heavy: list[np.ndarray], depth: int, sieve: bytes):
     return run
 
 
+def _squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers below 2**32, sorted ones above all, compressed byte by byte."""
+    planes = np.array(columns, "<u4").view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unsqueezed(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(-1, 4, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+
+
 def _route(heavy: list[np.ndarray], bounds: np.ndarray, sieve: bytes):
-    """The suffixes of a task for each group of prefixes, as packed codes into a list of their words."""
+    """The distinct suffixes of a task for each group of prefixes with their counts, as compressed codes into a list of their words."""
 
     def packed(held: list) -> Iterator[pa.RecordBatch]:
         group, words = (np.concatenate(x) for x in zip(*held))
@@ -190,7 +202,8 @@ def _route(heavy: list[np.ndarray], bounds: np.ndarray, sieve: bytes):
         out = []
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
             own, codes = np.unique(words[a:b], return_inverse=True)
-            out.append((int(group[a]), own.tobytes(), codes.reshape(-1, LONGEST).astype(np.uint16 if len(own) < 1 << 16 else np.uint32).T.tobytes(), b - a))
+            codes, counts = _added(list(codes.reshape(-1, LONGEST).T), np.ones(b - a, np.int64))
+            out.append((int(group[a]), own.tobytes(), _squeezed([*codes, counts]), len(counts)))
         yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.int64()))], ["group", "words", "codes", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,19 +239,21 @@ def _subtrees(heavy: list[np.ndarray], least: int):
         every = np.unique(np.concatenate(lists))
         rows = []
         for own, raw, n in zip(lists, group.column("codes").to_pylist(), group.column("n").to_pylist()):
-            codes = np.frombuffer(raw, np.uint16 if len(own) < 1 << 16 else np.uint32).reshape(LONGEST, n)
-            rows.append(np.searchsorted(every, own).astype(np.int32)[codes])
+            held = _unsqueezed(raw, n)
+            rows.append(np.vstack([np.searchsorted(every, own).astype(np.int32)[held[:LONGEST]], held[LONGEST:].astype(np.int32)]))
         codes = np.concatenate(rows, axis=1)
+        codes, times = codes[:LONGEST], codes[LONGEST]
         none = np.searchsorted(every, np.uint64(0)) if len(every) and every[0] == 0 else -1
         node = codes[0].astype(np.int64)
         prefix = every[codes[0]]
         found = []
         for depth in range(2, LONGEST + 1):
             live = codes[depth - 1] != none
-            codes, node, prefix = codes[:, live], node[live], prefix[live]
-            child, place, leaves = np.unique(node * len(every) + codes[depth - 1], return_inverse=True, return_counts=True)
+            codes, node, prefix, times = codes[:, live], node[live], prefix[live], times[live]
+            child, place = np.unique(node * len(every) + codes[depth - 1], return_inverse=True)
+            leaves = np.bincount(place, times, len(child)).astype(np.int64)
             live = leaves[place] >= least
-            codes, prefix = codes[:, live], mix(prefix[live] * _ODD + every[codes[depth - 1][live]])
+            codes, times, prefix = codes[:, live], times[live], mix(prefix[live] * _ODD + every[codes[depth - 1][live]])
             kept, first = np.unique(place[live], return_index=True)
             # a heavy prefix has its own count, of all its occurrences
             own = first[~np.isin(prefix[first], heavy[depth - 1])] if depth < LONGEST else first
