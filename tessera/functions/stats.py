@@ -29,12 +29,6 @@ def _sorted(v: Column) -> Column:
     return F.array_sort(F.collect_list(v))
 
 
-def nearest_percentile(v: Column, p: float) -> Column:
-    """Aggregate over finite values: the value at (n - 1) * p, rounded half to even. For groups that fit into a task."""
-    values = _sorted(F.when(is_finite(v), v))
-    return F.try_element_at(values, (F.bround((F.size(values) - 1) * F.lit(p)) + 1).cast("int"))
-
-
 def ceil_percentile(v: Column, p: float) -> Column:
     """Aggregate: the value of rank ceil(p * n), 1 at least. For groups that fit into a task."""
     values = _sorted(v)
@@ -45,7 +39,3 @@ def lower_median(v: Column) -> Column:
     """Aggregate: the value at position (n - 1) / 2, rounded down."""
     values = _sorted(v)
     return F.try_element_at(values, (F.floor((F.size(values) - 1) / 2) + 1).cast("int"))
-
-
-def half_up(v: Column) -> Column:
-    return F.floor(v + 0.5)

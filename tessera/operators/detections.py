@@ -1,8 +1,8 @@
-"""Detection tables: suppression per image, anchors, rotated overlap, nested detections, pluggable predictors."""
+"""Detection tables: suppression per image, anchors, rotated overlap, nested detections."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -151,16 +151,3 @@ def inference_summary(rows: DataFrame) -> DataFrame:
     rows = rows.select(F.size("_d").alias("n"), flagged(F.col("_d")).alias("h"), collapsed(F.col("_d")).alias("c"), F.size(spreads).alias("k"), F.aggregate(spreads, F.lit(0.0), lambda s, v: s + v).alias("s"), (F.coalesce("error", F.lit("")) != "").alias("e"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     return rows.agg(F.count("*").alias("images"), F.count_if("e").alias("failed"), total("n").alias("detections"), total("h").alias("hands"), total("c").alias("collapsed"), (F.sum("s") / F.nullif(F.sum("k"), F.lit(0))).alias("mean_spread"))
-
-
-def score_rows(rows: DataFrame, predict: Callable[[pd.DataFrame], pd.DataFrame], schema: str, id_col: str = "roi_id") -> DataFrame:
-    """The caller's predictor over batches of rows; each batch must give one output per id, else the job fails."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = predict(batch)
-            if sorted(out[id_col]) != sorted(batch[id_col]):
-                raise ValueError("the predictor must return each id of its batch once")
-            yield out
-
-    return rows.mapInPandas(run, schema)

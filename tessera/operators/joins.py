@@ -187,20 +187,29 @@ def paired_detections(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     return rows.withColumn("mean_move", mean).withColumn("failure_score", score.cast("double")).drop("_m", "error")
 
 
-def negative_overlap(negatives: DataFrame, positives: DataFrame, core_ids: list[int], frame: tuple[str, ...] = ("dataset_id", "source_group_id")) -> DataFrame:
+def negative_overlap(negatives: DataFrame, positives: DataFrame, core_ids: list[int], frame: tuple[str, ...] = ("dataset_id", "source_group_id"), id_col: str = "roi_id") -> DataFrame:
     """Negatives with the most core points that one positive of the same frame has inside their ROI; the border counts as inside.
 
-    A box test before the polygon keeps frames with many ROIs cheap.
+    A grid join: a ROI's box falls on four cells at most of a grid as wide as the box (rounded up to a power of two), a core point on one cell of
+    each grid that occurs; only points and ROIs of one cell meet, and the polygon decides. So a frame with very many ROIs
+    makes rows by what lies close together, not by all pairs. Points or ROIs that aren't finite meet nothing.
     """
     quad = negatives.withColumn("_quad", P.corners(F.col("rect")))
     xs, ys = F.transform("_quad", lambda c: c[0]), F.transform("_quad", lambda c: c[1])
-    quad = quad.select("roi_id", *frame, "_quad", F.array_min(xs).alias("_x0"), F.array_max(xs).alias("_x1"), F.array_min(ys).alias("_y0"), F.array_max(ys).alias("_y1"))
-    core = positives.select(*frame, F.filter("points", lambda p: p["id"].isin(core_ids)).alias("_core"))
-    joined = quad.join(core, list(frame))
-    near = F.filter("_core", lambda p: p["x"].between(F.col("_x0") - 1e-3, F.col("_x1") + 1e-3) & p["y"].between(F.col("_y0") - 1e-3, F.col("_y1") + 1e-3))
-    inside = F.size(F.filter(near, lambda p: P.in_polygon(p["x"], p["y"], F.col("_quad"))))
-    most = joined.groupBy("roi_id").agg(F.max(inside).alias("overlap"))
-    return negatives.join(most, "roi_id", "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
+    slack = 1e-3
+    quad = quad.select(id_col, *frame, "_quad", (F.array_min(xs) - slack).alias("_x0"), (F.array_max(xs) + slack).alias("_x1"), (F.array_min(ys) - slack).alias("_y0"), (F.array_max(ys) + slack).alias("_y1"))
+    side = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    quad = quad.where((F.abs("_x0") < 1e9) & (F.abs("_y0") < 1e9) & (side < 1e9)).withColumn("_level", F.ceil(F.log2(side)).cast("int"))
+    levels = [r["_level"] for r in quad.select("_level").distinct().collect()]  # from -9 (the slack) to 30
+    cell = lambda c, level: F.floor(c / F.pow(F.lit(2.0), level)).cast("long")
+    spans = {n: F.explode(F.sequence(cell(F.col(f"_{n}0"), F.col("_level")), cell(F.col(f"_{n}1"), F.col("_level")))) for n in "xy"}
+    quad = quad.withColumn("_cx", spans["x"]).withColumn("_cy", spans["y"])
+    core = positives.select(*frame, F.col(id_col).alias("_pos"), F.explode(F.filter("points", lambda p: p["id"].isin(core_ids))).alias("_p"))
+    core = core.where((F.abs("_p.x") < 1e9) & (F.abs("_p.y") < 1e9)).withColumn("_level", F.explode(F.array(*(F.lit(n) for n in levels)).cast("array<int>")))
+    core = core.withColumns({"_cx": cell(F.col("_p.x"), F.col("_level")), "_cy": cell(F.col("_p.y"), F.col("_level"))})
+    met = quad.join(core, [*frame, "_level", "_cx", "_cy"]).where(P.in_polygon(F.col("_p.x"), F.col("_p.y"), F.col("_quad")))
+    most = met.groupBy(id_col, "_pos").agg(F.count_distinct("_p.id").cast("int").alias("_n")).groupBy(id_col).agg(F.max("_n").alias("overlap"))
+    return negatives.join(most, id_col, "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
 
 
 def partition_check(catalog: DataFrame, included: DataFrame, excluded: DataFrame, key: str) -> DataFrame:

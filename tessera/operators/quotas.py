@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 
 from ..functions.text import salted_digest, uniform
 from .lineage import held
-from .ranks import cell_cdf, diverse_rank, hash_rank
+from .ranks import cell_cdf, diverse_take, hash_rank
 
 EXACT = "decimal(38,18)"
 
 
-def largest_remainder(cells: DataFrame, cell: str, weight: str, total: Column | int, by: tuple[str, ...] = ()) -> DataFrame:
-    """cells with quota: total shared by weight, rounded down, the rest to the largest remainders, of equals to the smaller cell.
+def _place(cell: str, order: tuple[str, ...]) -> list[Column]:
+    """Sort columns: cells in the order given, others behind them, by name."""
+    if not order:
+        return [F.col(cell)]
+    at = F.array_position(F.array(*(F.lit(c) for c in order)), F.col(cell))
+    return [F.coalesce(F.nullif(at, F.lit(0)), F.lit(len(order) + 1)), F.col(cell)]
+
+
+def largest_remainder(cells: DataFrame, cell: str, weight: str, total: Column | int, by: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> DataFrame:
+    """cells with quota: total shared by weight, rounded down, the rest to the largest remainders, of equals to the cell that comes
+    first in `order`, then by name.
 
     Shares are decimals, so that equal remainders are equal. Weights must not be negative; a total needs a positive one.
     """
@@ -27,16 +36,16 @@ def largest_remainder(cells: DataFrame, cell: str, weight: str, total: Column |
     share = (w / F.nullif(F.sum(w).over(group), F.lit(0))).cast(EXACT) * total.cast("decimal(18,0)")
     rows = cells.withColumn("_s", F.coalesce(share.cast(EXACT), F.lit(0).cast(EXACT))).withColumn("_f", F.floor("_s").cast("long"))
     rows = rows.withColumn("_left", total.cast("long") - F.sum("_f").over(group))
-    order = group.orderBy((F.col("_s") - F.col("_f")).desc(), cell)
-    rows = rows.withColumn("quota", F.col("_f") + (F.row_number().over(order) <= F.col("_left")).cast("long"))
+    ranks = group.orderBy((F.col("_s") - F.col("_f")).desc(), *_place(cell, order))
+    rows = rows.withColumn("quota", F.col("_f") + (F.row_number().over(ranks) <= F.col("_left")).cast("long"))
     return rows.drop("_s", "_f", "_left")
 
 
-def bounded_proportional(cells: DataFrame, cell: str, capacity: str, total: int, by: tuple[str, ...] = ()) -> DataFrame:
+def bounded_proportional(cells: DataFrame, cell: str, capacity: str, total: int, by: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> DataFrame:
     """cells with quota: total shared by capacity, so that no cell gets more than it holds; a total above all capacities raises."""
     held = F.sum(capacity).over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))  # a row per cell
     lacking = F.raise_error(F.concat(F.lit(f"{total} rows wanted, there are "), held.cast("string"))).cast("long")
-    rows = largest_remainder(cells, cell, capacity, total, by)
+    rows = largest_remainder(cells, cell, capacity, total, by, order)
     return rows.withColumn("quota", F.when(held < total, lacking).otherwise(F.col("quota")))
 
 
@@ -114,54 +123,53 @@ def group_holdout(rows: DataFrame, least: int, target: int, most: int, pattern:
     """(plan_id, dataset_id, n): the whole datasets whose row total is closest to target within [least, most].
 
     Of equally close totals the larger. Of several ways to a total the one of datasets that come early by salted digest: for every
-    total the first dataset that makes it reachable is kept (five bytes a total), and the way is read backwards. A plan without a
-    fitting total gives no rows.
+    total the first dataset that makes it reachable is kept, and the way is read backwards. Only totals that some datasets add up to
+    are held (16 bytes each), so memory follows the datasets' sums, not their rows. A plan without a fitting total gives no rows.
     """
-    counts = rows.groupBy((plan if plan is not None else F.lit("all")).alias("plan_id"), "dataset_id").agg(F.count("*").alias("n")).where(F.col("dataset_id").rlike(f"^(?:{pattern})$") & (F.col("n") <= most))
+    counts = rows.groupBy((plan if plan is not None else F.lit("all")).alias("plan_id"), "dataset_id").agg(F.count("*").alias("n"))
+    return holdout_of_counts(counts, least, target, most, pattern, salt)
+
+
+def holdout_of_counts(counts: DataFrame, least: int, target: int, most: int, pattern: str = ".*", salt: str = "pretrain_teacher_holdout_v1") -> DataFrame:
+    """group_holdout() of datasets whose rows are counted: plan_id, dataset_id, n."""
+    counts = counts.select("plan_id", "dataset_id", "n").where(F.col("dataset_id").rlike(f"^(?:{pattern})$") & (F.col("n") <= most))
     ordered = counts.withColumn("_d", salted_digest(salt, F.col("dataset_id"), separator="\0"))
 
     def choose(cells: pd.DataFrame) -> pd.DataFrame:
         sizes = cells.sort_values("_d")["n"].astype(int).tolist()
-        opener = np.full(most + 1, -1, dtype=np.int32)  # which dataset makes a total reachable first; 0 needs none
-        reached = np.zeros(most + 1, dtype=bool)
-        reached[0] = True
+        totals, opener = np.zeros(1, np.int64), np.full(1, -1, np.int64)  # sums in order, and which dataset made each reachable first
         for k, n in enumerate(sizes):
-            fresh = np.zeros_like(reached)
-            fresh[n:] = reached[: most + 1 - n]
-            fresh &= ~reached
-            opener[fresh], reached = k, reached | fresh
-        fitting = np.flatnonzero(reached[least:]) + least
+            fresh = np.setdiff1d(totals[totals <= most - n] + n, totals, assume_unique=True)
+            at = np.searchsorted(totals, fresh)
+            totals, opener = np.insert(totals, at, fresh), np.insert(opener, at, k)
+        fitting = totals[totals >= least]
         if not len(fitting):
             return cells.head(0).drop(columns="_d")
-        at, way = int(min(fitting, key=lambda t: (abs(t - target), t < target))), []
+        at, way = min(fitting.tolist(), key=lambda t: (abs(t - target), t < target)), []
         while at:
-            way.append(opener[at])
-            at -= sizes[opener[at]]
+            way.append(int(opener[np.searchsorted(totals, at)]))
+            at -= sizes[way[-1]]
         return cells.sort_values("_d").iloc[way].drop(columns="_d")
 
     return ordered.groupBy("plan_id").applyInPandas(choose, counts.schema)
 
 
-def split_holdout(rows: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows inside and outside the chosen datasets."""
-    return rows.join(chosen, "dataset_id", "left_semi"), rows.join(chosen, "dataset_id", "left_anti")
-
-
 def redistribute_missing(fractions: DataFrame, present: DataFrame, by: tuple[str, ...], key: str) -> DataFrame:
     """(by, key, fraction) restricted to the keys present, renormalised to 1 in each group."""
     kept = fractions.join(present.select(*by, key).distinct(), [*by, key], "left_semi")
     return kept.withColumn("fraction", F.col("fraction") / F.sum("fraction").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))))
 
 
-def tier_type_quota(rows: DataFrame, batch_size: int, fractions: DataFrame) -> DataFrame:
-    """(tier, sample_type, quota) of a batch: a tier's rows are its fraction, rounded half up, the last tier by name takes the rest; in a tier largest remainder by type counts."""
+def tier_type_quota(rows: DataFrame, batch_size: int, fractions: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """(tier, sample_type, quota) of a batch: a tier's rows are its fraction, rounded half up, the last tier by name takes the rest; in a tier
+    largest remainder by type counts, equal remainders in the order of types given, then by name."""
     tiers = redistribute_missing(fractions, rows, (), "tier")
     whole = Window.partitionBy(F.lit(0)).orderBy("tier")  # a row per tier
     tiers = tiers.withColumn("_q", F.floor(F.col("fraction") * batch_size + 0.5).cast("long")).withColumn("_last", F.lead("tier").over(whole).isNull())
     before = F.coalesce(F.sum("_q").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     tiers = tiers.withColumn("tier_quota", F.when(F.col("_last"), F.lit(batch_size) - before).otherwise(F.col("_q"))).select("tier", "tier_quota")
     cells = rows.groupBy("tier", "sample_type").agg(F.count("*").alias("n")).join(tiers, "tier")
-    return largest_remainder(cells, "sample_type", "n", F.col("tier_quota"), ("tier",)).select("tier", "sample_type", "n", "quota")
+    return largest_remainder(cells, "sample_type", "n", F.col("tier_quota"), ("tier",), order).select("tier", "sample_type", "n", "quota")
 
 
 def rare_cell_cap(cells: DataFrame, draws: str = "quota", average: float = 4.0, heaviest: float = 16.0, slack: float = 0.0) -> DataFrame:
@@ -214,22 +222,31 @@ def auto_epoch_size(rows: DataFrame, per_batch: DataFrame, limit: float, average
     return found.withColumn("batches", F.when(F.col("batches") < 1, none).otherwise(F.col("batches")))
 
 
+#: Slots that are made from one row, and rows and slots of a bucket, about.
+SLOTS, BUCKET_ROWS = 1 << 16, 1 << 16
+
+
 def weighted_draws(rows: DataFrame, quotas: DataFrame, cell: tuple[str, ...], seed: int, epoch: int, id_col: str = "id", weight: str = "weight") -> DataFrame:
     """(cell, slot, id): quota draws with replacement in each cell, by weight; the same for a seed and epoch in any partitioning.
 
-    A slot's uniform number is a digest of seed, epoch, cell and slot. The row that it falls on is found by sorting
-    slots and the rows' parts of [0, 1] together, in buckets of [0, 1] so that a large cell is spread over tasks.
+    A slot's uniform number is a digest of seed, epoch, cell and slot; slots are made in chunks, dealt before they are unfolded. The row
+    that a slot falls on is found by sorting slots and the rows' parts of [0, 1] together, in as many buckets of [0, 1] as a
+    cell's counted rows and draws ask for.
     """
-    slots = quotas.where("quota > 0").select(*cell, F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota").cast("long"))).alias("slot"))
+    wanted = quotas.where("quota > 0").select(*cell, F.col("quota").cast("long").alias("quota"))
+    chunks = wanted.select(*cell, "quota", F.explode(F.expr(f"sequence(0L, (quota - 1) div {SLOTS})")).alias("_c")).repartition(*cell, "_c")
+    slots = chunks.select(*cell, F.explode(F.sequence(F.col("_c") * SLOTS + 1, F.least("quota", (F.col("_c") + 1) * SLOTS))).alias("slot"))
     slots = slots.withColumn("u", uniform(F.lit(seed), F.lit(epoch), *(F.col(c) for c in cell), F.col("slot")))
-    return cdf_join(slots, cell_cdf(rows, cell, weight, id_col), cell, id_col)
+    sizes = rows.groupBy(*cell).agg(F.count("*").alias("_n")).join(wanted, list(cell)).select(*cell, F.ceil((F.col("_n") + F.col("quota")) / BUCKET_ROWS).cast("long").alias("buckets"))
+    return cdf_join(slots, cell_cdf(rows, cell, weight, id_col), cell, id_col, sizes)
 
 
-def cdf_join(slots: DataFrame, parts: DataFrame, cell: tuple[str, ...], id_col: str, buckets: int = 64) -> DataFrame:
-    """slots (cell, slot, u) joined to the row of parts (cell, cdf_lo, cdf_hi) with cdf_lo <= u < cdf_hi, by buckets of u."""
-    bucket = lambda c: F.least(F.floor(c * buckets), F.lit(buckets - 1))
-    spans = parts.where("cdf_hi > cdf_lo").select(*cell, id_col, "cdf_lo", "cdf_hi", F.explode(F.sequence(bucket(F.col("cdf_lo")), F.greatest(bucket(F.col("cdf_lo")), F.ceil(F.col("cdf_hi") * buckets) - 1))).alias("bucket"))
-    marks = spans.select(*cell, "bucket", F.greatest("cdf_lo", F.col("bucket") / buckets).alias("at"), F.lit(0).alias("kind"), F.col(id_col).alias("own"), F.lit(None).cast("long").alias("slot"))
+def cdf_join(slots: DataFrame, parts: DataFrame, cell: tuple[str, ...], id_col: str, buckets: DataFrame) -> DataFrame:
+    """slots (cell, slot, u) joined to the row of parts (cell, cdf_lo, cdf_hi) with cdf_lo <= u < cdf_hi, by buckets of u; buckets: (cell, buckets), how many a cell has."""
+    slots, parts, n = slots.join(buckets, list(cell)), parts.where("cdf_hi > cdf_lo").join(buckets, list(cell)), F.col("buckets")
+    bucket = lambda c: F.least(F.floor(c * n), n - 1)
+    spans = parts.select(*cell, id_col, "cdf_lo", "cdf_hi", "buckets", F.explode(F.sequence(bucket(F.col("cdf_lo")), F.greatest(bucket(F.col("cdf_lo")), F.ceil(F.col("cdf_hi") * n) - 1))).alias("bucket"))
+    marks = spans.select(*cell, "bucket", F.greatest("cdf_lo", F.col("bucket") / n).alias("at"), F.lit(0).alias("kind"), F.col(id_col).alias("own"), F.lit(None).cast("long").alias("slot"))
     points = slots.select(*cell, bucket(F.col("u")).alias("bucket"), F.col("u").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(parts.schema[id_col].dataType).alias("own"), "slot")
     order = Window.partitionBy(*cell, "bucket").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     found = marks.unionByName(points).withColumn("own", F.last("own", ignorenulls=True).over(order))
@@ -265,8 +282,8 @@ def select_replay(rows: DataFrame, budget: int, confirmed: Column, salt: str = "
         counts, user = counts.join(weights.select("dataset_id", F.col("weight").alias("user")), "dataset_id", "left"), F.coalesce("user", F.lit(1.0))
     cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), (user * F.sqrt("capacity")).alias("weight"), "capacity", "type_quota")
     quotas = bounded_quota(cells, F.col("type_quota")).select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
-    ranked = diverse_rank(positives, ("sample_type", "dataset_id"), "source_sequence_id", "id", salt)
-    return negatives.unionByName(take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns))
+    chosen = diverse_take(positives, quotas, ("sample_type", "dataset_id"), "source_sequence_id", "id", salt)
+    return negatives.unionByName(chosen.select(rows.columns))
 
 
 def expected_draws(rows: DataFrame, quotas: DataFrame, by: str, most_share: float | None = None) -> DataFrame:
@@ -280,26 +297,29 @@ def expected_draws(rows: DataFrame, quotas: DataFrame, by: str, most_share: floa
     return drawn if most_share is None else drawn.withColumn("within_limit", F.col("share") <= most_share + 1e-12)
 
 
-def balanced_order(quotas: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(by, sample_type, quota) -> (by, position, sample_type): at each position the type furthest behind its share, of equals the first by name.
+def balanced_order(quotas: DataFrame, by: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
+    """(by, sample_type, quota) -> (by, position, sample_type): at each position the type furthest behind its share, of equals the first in
+    the order of types given, then by name.
 
     Smooth weighted round robin: every type gains its quota at each step and the leading one pays their sum. The order repeats
     after the quotas over their greatest common divisor, so only one period is made in Python; groups run in parallel.
     """
 
+    places = {name: k for k, name in enumerate(order)}
+
     def period(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells[cells["quota"] > 0].sort_values("sample_type")
+        cells = cells[cells["quota"] > 0].sort_values("sample_type", key=lambda names: names.map(lambda x: (places.get(x, len(places)), x)))
         if cells.empty:
             return pd.DataFrame(columns=[*by, "_times", "_order"])
         quota = cells["quota"].to_numpy("int64")
         times = int(np.gcd.reduce(quota))
-        gain, standing, order = quota // times, np.zeros(len(quota), "int64"), []
+        gain, standing, turns = quota // times, np.zeros(len(quota), "int64"), []
         for _ in range(int(gain.sum())):
             standing += gain
-            order.append(int(standing.argmax()))
-            standing[order[-1]] -= gain.sum()
+            turns.append(int(standing.argmax()))
+            standing[turns[-1]] -= gain.sum()
         names = cells["sample_type"].to_numpy()
-        return pd.DataFrame({**{c: [cells[c].iloc[0]] for c in by}, "_times": [times], "_order": [[names[k] for k in order]]})
+        return pd.DataFrame({**{c: [cells[c].iloc[0]] for c in by}, "_times": [times], "_order": [[names[k] for k in turns]]})
 
     types = ", ".join(f"`{c}` {quotas.schema[c].dataType.simpleString()}" for c in by)
     periods = quotas.groupBy(*by).applyInPandas(period, types + ", _times long, _order array<string>")
@@ -338,15 +358,17 @@ def loss_mass(draws: DataFrame, tiers: list[str]) -> DataFrame:
     return sums.agg(*(F.avg(F.col(f"`{t}`") / total).alias(t) for t in tiers))
 
 
-def smoke_sample(rows: DataFrame, category: Column, quotas: dict[str, int], salt: str) -> DataFrame:
-    """Fixed numbers of rows per category, a row of each sequence first."""
-    held = rows.withColumn("category", category).where(F.col("category").isin(list(quotas)))
-    ranked = diverse_rank(held, ("category",), "source_sequence_id", "id", salt)
-    table = rows.sparkSession.createDataFrame(list(quotas.items()), "category string, quota long")
-    return take_quota(ranked, table, ("category",))
-
-
 def round_budget(scores: DataFrame, recorded: DataFrame, budget: int) -> DataFrame:
     """The rows with the largest scores that fit into what earlier rounds left of a budget, none of theirs among them."""
     left = max(0, budget - recorded.select("id").distinct().count())
     return scores.join(recorded, "id", "left_anti").orderBy(F.col("score").desc(), "id").limit(left)
+
+
+def budget_left(recorded: DataFrame, budget: int, id_col: str = "id") -> int:
+    """What recorded rows leave of a budget; raises where they exceed it or an id is recorded twice."""
+    found = recorded.agg(F.count("*").alias("n"), F.count_distinct(id_col).alias("ids")).first()
+    if found["n"] != found["ids"]:
+        raise ValueError("recorded ids must be unique")
+    if found["n"] > budget:
+        raise ValueError(f"{found['n']} recorded rows exceed the budget of {budget}")
+    return budget - found["n"]

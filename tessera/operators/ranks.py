@@ -15,10 +15,10 @@ def counted_ranks(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFr
 
     Values are counted first (combined before the shuffle), and the counts are written once, in ranges of group and value that Spark
     cuts to even sizes. A value's rank is the sum of the ranges before its own, a row per range, and of the values before it in its
-    range; so no task sorts more than a range, however large a group is. Nulls don't count.
+    range; so no task sorts more than a range, however large a group is. Nulls and NaN don't count.
     """
     names = [f"_k{i}" for i in range(len(by))]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*(F.col(c).alias(n) for c, n in zip(by, names)), F.col(value).alias("_v")).agg(F.count("*").alias("n_equal"))
+    counts = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*(F.col(c).alias(n) for c, n in zip(by, names)), F.col(value).alias("_v")).agg(F.count("*").alias("n_equal"))
     ranged = written(counts.repartitionByRange(*names, "_v").withColumn("_r", F.spark_partition_id()), "counted")
     totals = ranged.groupBy(*names, "_r").agg(F.sum("n_equal").alias("_t"))
     group = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))  # a row per range
@@ -32,7 +32,7 @@ def counted_ranks(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFr
 def mid_rank(df: DataFrame, value: str, out: str, by: tuple[str, ...] = ()) -> DataFrame:
     """df with the mid-rank of a double column, (rank - 1 + (ties - 1) / 2) / max(1, n - 1), in each group.
 
-    Ranks are those of counted_ranks(), joined back by value. Null values have no rank and don't count.
+    Ranks are those of counted_ranks(), joined back by value. Null values and NaN have no rank and don't count.
     """
     rank = (F.col("before") + (F.col("n_equal") - 1) / 2) / F.greatest(F.lit(1), F.col("n") - 1)
     found = counted_ranks(df, value, by).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col(value).alias("_mid_value"), rank.alias(out))
@@ -68,15 +68,20 @@ def with_percentiles(report: DataFrame, rows: DataFrame, wanted: dict[str, tuple
     return report.join(found, on, "left").drop(*names)
 
 
-def cell_cdf(df: DataFrame, cell: tuple[str, ...], weight: str, order: str, parts: int = 16) -> DataFrame:
+#: Rows of a cell that are summed in one part, about.
+PART_ROWS = 1 << 16
+
+
+def cell_cdf(df: DataFrame, cell: tuple[str, ...], weight: str, order: str, part_rows: int = PART_ROWS) -> DataFrame:
     """df with cdf_lo and cdf_hi: each row's part of [0, 1] in its cell, by weight, in the order of a unique column.
 
-    A cell is cut into `parts` hash ranges of its rows, which are summed on their own; the row order is by range, then by
-    `order`. Rows without a positive weight have an empty part; the last part ends at 1.
+    A cell is cut into hash ranges of its rows, as many as its counted rows ask for, which are summed on their own; the row order is
+    by range, then by `order`. Rows without a positive weight have an empty part; the last part ends at 1.
     """
     w = F.when(F.col(weight) > 0, F.col(weight)).otherwise(0.0)
-    part = F.conv(F.substring(F.sha2(F.col(order).cast("string"), 256), 1, 8), 16, 10).cast("long") % parts
-    rows = df.withColumn("_w", w).withColumn("_p", part)
+    parts = df.groupBy(*cell).agg(F.ceil(F.count("*") / part_rows).cast("long").alias("_parts"))
+    part = F.conv(F.substring(F.sha2(F.col(order).cast("string"), 256), 1, 8), 16, 10).cast("long") % F.col("_parts")
+    rows = df.withColumn("_w", w).join(parts, list(cell)).withColumn("_p", part).drop("_parts")
     sums = rows.groupBy(*cell, "_p").agg(F.sum("_w").alias("_s"))
     before = Window.partitionBy(*cell).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*cell, "_p", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_b"), F.sum("_s").over(Window.partitionBy(*cell)).alias("_t"))
@@ -104,6 +109,34 @@ def diverse_rank(df: DataFrame, strata: tuple[str, ...], group: str, id_col: str
     return keyed.withColumn(out, F.row_number().over(Window.partitionBy(*strata).orderBy((F.col("_n") > 1).cast("int"), *best, "_d"))).drop("_d", "_g", "_n")
 
 
+def diverse_keys(df: DataFrame, strata: tuple[str, ...], group: str, id_col: str, salt: str, score: str | None = None) -> DataFrame:
+    """(strata, id, _n, _s, _d) of rows with unique ids: what diverse_rank() orders by, without a window.
+
+    _n is 0 for the best row of each group, which a minimum per group finds, else 1; _s is the score, turned, and _d the digest.
+    """
+    turned = -F.coalesce(F.col(score), F.lit(0.0)) if score else F.lit(0.0)
+    name = F.coalesce(F.nullif(F.col(group).cast("string"), F.lit("")), F.col(id_col).cast("string"))
+    slim = df.select(*dict.fromkeys((*strata, id_col)), name.alias("_g"), turned.alias("_s"), salted_digest(salt, F.col(id_col)).alias("_d"))
+    first = slim.groupBy(*strata, "_g").agg(F.min(F.struct("_s", "_d", F.col(id_col).alias("_id"))).alias("_first")).select(F.col("_first._id").alias(id_col), F.lit(0).alias("_n"))
+    return slim.drop("_g").join(first, id_col, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+
+
+def diverse_take(df: DataFrame, quotas: DataFrame, strata: tuple[str, ...], group: str, id_col: str, salt: str, score: str | None = None, out: str = "rank") -> DataFrame:
+    """The rows of each stratum whose diverse_rank() is within its quota (strata, quota), with that rank; ids must be unique.
+
+    Ids and keys are written once, in ranges of stratum and key that Spark cuts to even sizes, and counted per range; only the ranges
+    that begin below a stratum's quota are ranked, each on its own. So no task sorts a stratum.
+    """
+    keys = ["_n", "_s", "_d"]
+    ranged = written(diverse_keys(df, strata, group, id_col, salt, score).repartitionByRange(*strata, *keys).withColumn("_r", F.spark_partition_id()), "ranged")
+    earlier = Window.partitionBy(*strata).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    begins = ranged.groupBy(*strata, "_r").agg(F.count("*").alias("_t")).withColumn("_b", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
+    open_ = begins.join(quotas.select(*strata, "quota"), list(strata)).where("_b < quota").select(*strata, "_r", "_b", "quota")
+    place = F.col("_b") + F.row_number().over(Window.partitionBy(*strata, "_r").orderBy(*keys))
+    chosen = ranged.join(open_, [*strata, "_r"]).withColumn(out, place).where(F.col(out) <= F.col("quota")).select(id_col, out)
+    return df.join(chosen, id_col).select(*df.columns, out)
+
+
 def round_robin(df: DataFrame, strata: tuple[str, ...], id_col: str, n: int, salt: str) -> DataFrame:
     """n rows, one of each stratum in turn, by hash rank; position tells the order."""
     ranked = hash_rank(df, strata, id_col, salt, "_r", most=n)
@@ -139,8 +172,3 @@ def hierarchical_weights(rows: DataFrame, roles: DataFrame, sources: DataFrame |
     weights = per_sequence.join(sequences, ["sample_type", "dataset_id"]).join(cells, ["sample_type", "dataset_id"])
     weights = weights.select("sample_type", "dataset_id", "source_sequence_id", (F.col("share") / F.col("n_sequences") / F.col("in_sequence")).alias("sampling_weight"))
     return rows.join(weights, ["sample_type", "dataset_id", "source_sequence_id"])
-
-
-def latest(df: DataFrame, key: tuple[str, ...], order: str, columns: tuple[str, ...]) -> DataFrame:
-    """The values of the row with the largest `order` of each key."""
-    return df.groupBy(*key).agg(*(F.max_by(c, order).alias(c) for c in columns))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import salted_digest
 from .joins import coverage_problems, exclude_occupied, exclude_replay, require_empty
 from .mining import disagreement_score
-from .quotas import bounded_quota, cap_and_refill, mix_weights, take_quota
-from .ranks import diverse_rank
+from .lineage import written
+from .quotas import bounded_quota, budget_left, cap_and_refill, mix_weights
+from .ranks import diverse_keys, diverse_take
 from .sets import union_all
 
 
@@ -28,8 +29,7 @@ def select(rows: DataFrame, occupied: DataFrame, fractions: dict[str, float], n:
     capacity = F.least("n", F.lit(per_dataset)) if per_dataset is not None else F.col("n")
     cells = counts.join(types, "sample_type").select(F.col("sample_type").alias("plan_id"), F.col("dataset_id").alias("cell"), F.sqrt("n").alias("weight"), capacity.alias("capacity"), "type_quota")
     quotas = bounded_quota(cells, F.col("type_quota")).select(F.col("plan_id").alias("sample_type"), F.col("cell").alias("dataset_id"), "quota")
-    ranked = diverse_rank(free, ("sample_type", "dataset_id"), "source_sequence_id", id_col, salt, score)
-    chosen = take_quota(ranked, quotas, ("sample_type", "dataset_id")).select(rows.columns)
+    chosen = diverse_take(free, quotas, ("sample_type", "dataset_id"), "source_sequence_id", id_col, salt, score).select(rows.columns)
     if per_dataset is None:
         return chosen
     keyed = lambda df: df.withColumn("_score", F.coalesce(F.col(score), F.lit(0.0)) if score else F.lit(0.0))
@@ -50,11 +50,28 @@ def select_disagreement(teachers: DataFrame, predictions: DataFrame, occupied: D
     """The teacher's positives on which a student disagrees most; predictions (id, predicted, hand_flag) must cover them exactly."""
     require_empty(coverage_problems(teachers, predictions, id_col), "prediction coverage")
     free = exclude_occupied(teachers, occupied, id_col).where(F.col("sample_type").isin(list(fractions)))
-    scored = disagreement_score(free.join(predictions.select(id_col, "predicted", "hand_flag"), id_col), weights, id_col)
+    scored = written(disagreement_score(free.join(predictions.select(id_col, "predicted", "hand_flag"), id_col), weights, id_col), "disagreement")
     chosen = select(scored, occupied, fractions, n, per_dataset, salt, "disagreement", id_col)
     return chosen.withColumn("tie_break", salted_digest(salt, F.col(id_col)))
 
 
+def disagreement_round(teachers: DataFrame, predictions: DataFrame, ledger: DataFrame, recorded: DataFrame, budget: int, round_id: str, fractions: dict[str, float], salt: str, weights: dict[str, float] | None = None, id_col: str = "roi_id") -> tuple[DataFrame, DataFrame]:
+    """The next round of disagreements, and the ledger with its identity tokens.
+
+    ledger: (token, round_id) of all that earlier rounds and published batches hold; a row that shares a token with it can't be
+    chosen, and the pool is ranked anew without such rows. What newly recorded rows (id) leave of the budget is the round's
+    size, the round's name salts its draw. A round that the ledger has, and recorded rows above the budget, raise. Rows and ledger are
+    written, so that later rounds don't work out earlier ones again.
+    """
+    if not ledger.where(F.col("round_id") == round_id).isEmpty():
+        raise ValueError(f"round {round_id} is in the ledger")
+    left = budget_left(recorded, budget, id_col)
+    chosen = select_disagreement(teachers, predictions, ledger, fractions, left, None, f"{salt}:{round_id}", weights, id_col)
+    chosen = written(chosen.withColumn("round_id", F.lit(round_id)), "round")
+    tokens = chosen.select(F.explode("tokens").alias("token"), "round_id").distinct()
+    return chosen, written(ledger.select("token", "round_id").unionByName(tokens), "ledger")
+
+
 def stage_members(stage: str, base: DataFrame, negatives: DataFrame | None = None, hard: DataFrame | None = None, hard_fraction: float = 0.55, id_col: str = "roi_id") -> DataFrame:
     """The rows of a training stage: geometry (positives only), multitask (positives and negatives) or multi_finetune (hard rows
     and the base rows that they don't hold, as replay, with mix_weight). Raises where a stage's rule is broken."""
@@ -87,20 +104,21 @@ def smoke_set(rows: DataFrame, quotas: dict[str, int], salt: str, id_col: str =
     A hand that no chosen positive has replaces the last row of the first positive category that can give one.
     """
     spark = rows.sparkSession
-    ranked = diverse_rank(rows.where(F.col("category").isin(list(quotas))), ("category",), "source_sequence_id", id_col, salt)
-    have = {r["category"]: r["n"] for r in ranked.groupBy("category").agg(F.count("*").alias("n")).collect()}  # a row per category
+    held = rows.where(F.col("category").isin(list(quotas)))
+    have = {r["category"]: r["n"] for r in held.groupBy("category").agg(F.count("*").alias("n")).collect()}  # a row per category
     wanted = dict(quotas)
     short = max(0, wanted.get("gold_negative", 0) - have.get("gold_negative", 0))
     wanted["gold_negative"] = wanted.get("gold_negative", 0) - short
     if short:
         wanted["pseudo_neg_runtime"] = wanted.get("pseudo_neg_runtime", 0) + short
     table = spark.createDataFrame([(k, v) for k, v in wanted.items() if v > 0], "category string, quota long")
-    chosen = ranked.join(table, "category").where("rank <= quota")
-    hands = F.lower("handedness")
+    chosen = written(diverse_take(held, table, ("category",), "source_sequence_id", id_col, salt), "smoke")
+    hand = F.lower("handedness")
     positive = F.col("category").isin("gold_positive", "pseudo_positive")
-    missing = ranked.where(positive & hands.isin("left", "right", "unknown")).select(hands.alias("hand")).distinct().join(chosen.where(positive).select(hands.alias("hand")).distinct(), "hand", "left_anti")
-    forced = ranked.where(positive).join(missing, hands == F.col("hand"))
-    forced = forced.withColumn("_n", F.row_number().over(Window.partitionBy("hand").orderBy("category", "rank"))).where("_n = 1")
+    known = held.where(positive & hand.isin("left", "right", "unknown")).select(id_col, hand.alias("hand"))
+    missing = known.select("hand").distinct().join(chosen.where(positive).select(hand.alias("hand")).distinct(), "hand", "left_anti")
+    keys = diverse_keys(held.where(positive), ("category",), "source_sequence_id", id_col, salt).join(known.join(missing, "hand"), id_col)
+    forced = keys.groupBy("hand").agg(F.min(F.struct("category", "_n", "_s", "_d", F.col(id_col).alias("_id"))).alias("_k")).select("hand", "_k.category", F.col("_k._id").alias(id_col))  # a row per hand
     forced = forced.withColumn("_slot", F.row_number().over(Window.partitionBy("category").orderBy("hand"))).join(table, "category")
     out = chosen.join(forced.select("category", (F.col("quota") + 1 - F.col("_slot")).alias("rank")), ["category", "rank"], "left_anti")
-    return out.select(rows.columns).unionByName(forced.select(rows.columns))
+    return out.select(rows.columns).unionByName(held.join(forced.select(id_col), id_col).select(rows.columns))

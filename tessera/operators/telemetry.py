@@ -15,7 +15,7 @@ TIMINGS = (
     "palm_output_meta_ms", "palm_decode_ms", "palm_verbose_log_ms", "palm_accounted_ms",
     "hand_total_ms", "draw_ms", "loop_ms", "process_ms",
 )
-#: What a detector's time is shown as, and the timings that it adds up.
+#: What a detector's time is shown as, and the timings that it adds up. A device's stages.
 PALM_PARTS = {
     "palm_transform": ("palm_preprocess_transform",),
     "palm_tensor_load": ("palm_preprocess_manual_load", "palm_input_load"),
@@ -67,16 +67,24 @@ def window_scores(windows: DataFrame, sensor_fps: float = SENSOR_FPS) -> DataFra
     })
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+#: Lines of a log whose summaries are counted together.
+LINE_RANGE = 1 << 14
+
+
+def parse_lines(lines: DataFrame, line_range: int = LINE_RANGE) -> DataFrame:
     """(run_id, line_no, line) -> run_id, line_no, section, values (map), window: the number of the last summary at or before the line, 0 if none (an orphan).
 
-    A line's report may begin anywhere in it (after a timestamp, say); configuration lines belong to the run.
+    A line's report may begin anywhere in it (after a timestamp, say); configuration lines belong to the run. Summaries are counted
+    per range of lines, ranges are added up per run, and lines are numbered inside their range, so a log of any length is many tasks' work.
     """
     pattern = r"\[PERF\]\[([^\]]+)\]\s*(.*)"
     rows = lines.withColumn("section", F.regexp_extract("line", pattern, 1)).where("section <> ''")
-    last = Window.partitionBy("run_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    values = key_values(F.regexp_extract("line", pattern, 2))
-    return rows.withColumn("window", F.sum((F.col("section") == "summary").cast("int")).over(last)).select("run_id", "line_no", "section", values.alias("values"), "window")
+    rows = rows.select("run_id", "line_no", "section", key_values(F.regexp_extract("line", pattern, 2)).alias("values"), F.expr(f"line_no div {line_range}").alias("_r"))
+    summary = (F.col("section") == "summary").cast("int")
+    earlier = Window.partitionBy("run_id").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    ranges = rows.groupBy("run_id", "_r").agg(F.sum(summary).alias("_s")).select("run_id", "_r", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_b"))
+    upto = Window.partitionBy("run_id", "_r").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("_n", F.sum(summary).over(upto)).join(ranges, ["run_id", "_r"]).select("run_id", "line_no", "section", "values", (F.col("_b") + F.col("_n")).alias("window"))
 
 
 def last_config(parsed: DataFrame) -> DataFrame:

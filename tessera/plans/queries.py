@@ -179,7 +179,7 @@ def tier_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{A.with_sql('strata')}, c as (select tier, sample_type, count(*) as n from strata group by all),
 s as (select *, n * 400 // (sum(n) over (partition by tier))::bigint as f, (n * 400) % (sum(n) over (partition by tier))::bigint as rem from c),
 q as (select tier, sample_type, (f + (row_number() over (partition by tier order by rem desc, sample_type) <= 400 - sum(f) over (partition by tier))::integer)::bigint as quota from s),
-p as (select *, ('0x' || substr(sha256(id::varchar), 1, 8))::bigint % 16 as part from strata),
+p as (select *, ('0x' || substr(sha256(id::varchar), 1, 8))::bigint % ceil(count(*) over (partition by tier, sample_type) / 65536)::bigint as part from strata),
 o as (select tier, sample_type, id, sum(weight) over w / sum(weight) over (partition by tier, sample_type) as hi, (sum(weight) over w - weight) / sum(weight) over (partition by tier, sample_type) as lo from p window w as (partition by tier, sample_type order by part, id)),
 d as (select tier, sample_type, slot, ('0x' || substr(sha256('7' || chr(31) || '3' || chr(31) || tier || chr(31) || sample_type || chr(31) || slot), 1, 12))::bigint / 281474976710656.0 as u from q, unnest(range(1, quota + 1)) t(slot))
 select d.tier, d.sample_type, slot, u, id from d join o on d.tier = o.tier and d.sample_type = o.sample_type and u >= lo and u < hi""")

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import points as P
 from ..operators import detections, joins, metrics, mining, telemetry
-from ..operators.lineage import shared_folder
+from ..operators.lineage import shared_folder, written
 from ..sources import files
 from ..streaming import telemetry as live
 from . import adapters as A
 from .queries import _BONES_SQL, _area_sql, _measured_sql, _skeleton_sql, measured
-from .registry import query, rounded
+from .registry import SQL, query, rounded
 
 # detections and queues
 
@@ -217,57 +222,64 @@ def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
-@query(f"""{A.with_sql('frames')} select run_id, frame_index // 20 as "window", count(*) as frames, max(frame_index) as frame_index, round(sum(loop_ms), 6) as window_ms, round(max(loop_ms), 6) as loop_ms_max, round(list_sort(list(loop_ms))[19], 6) as loop_ms_p95 from frames group by 1, 2 having count(*) = 20""")
+@query(SQL["frame_windows"])
 def live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of a stream of frames that is read from JSON files until all have been seen."""
+    """All statistics of the windows of a stream of frames that is read from JSON files until all have been seen."""
     path = _folder(spark, "frames")
     A.frames(spark, sf_dir).select("run_id", "frame_index", *telemetry.TIMINGS).write.json(path)
-    got = _finished(spark, live.frame_windows_stream(files.frame_stream(spark, path), 20), "windows")
-    return rounded(got.select("run_id", "window", "frames", "frame_index", "window_ms", "loop_ms_max", "loop_ms_p95"))
+    return rounded(_finished(spark, live.frame_windows_stream(files.frame_stream(spark, path), 20), "windows"), 9)
 
 
 def _log_files(spark: SparkSession, sf_dir: str) -> str:
-    """A log file of the perf lines of each of eight groups of runs; only even runs have an orphan."""
+    """A log file of the perf lines of each run."""
     path = _folder(spark, "logs")
-    lines = A.perf_lines(spark, sf_dir).where("run_id % 20 = 0")
-    lines.repartition("run_id").sortWithinPartitions("run_id", "line_no").select(F.concat(F.lit("12:00:00 "), "line").alias("value")).write.text(path)
+    lines = A.perf_lines(spark, sf_dir).repartition("run_id").sortWithinPartitions("run_id", "line_no")
+    lines.select("run_id", F.concat(F.lit("12:00:00 "), "line").alias("value")).write.partitionBy("run_id").text(path)
     return path
 
 
-_LOG_SQL = """w as (select run_id, frame_index // 20 as w, max(loop_ms) as t from frames where run_id % 20 = 0 group by 1, 2 having count(*) = 20)"""
+_LOG_SQL = """w as (select run_id, frame_index // 20 as w, max(loop_ms) as t, avg(loop_ms) as a, avg(palm_total_ms) as p from frames group by 1, 2 having count(*) = 20),
+n as (select unnest([{'m': 'latency.loop_max', 'v': printf('%.6f', t)::double}, {'m': 'stage_ms.loop_avg', 'v': printf('%.6f', a)::double}, {'m': 'stage_ms.palm_avg', 'v': printf('%.6f', p)::double}, {'m': 'summary.frame', 'v': w * 20 + 19}, {'m': 'summary.total_frames', 'v': w * 20 + 20}, {'m': 'summary.window_frames', 'v': 20}], recursive := true) from w)"""
 
 
-@query(f"""{A.with_sql('frames')}, {_LOG_SQL} select 'latency.loop_max' as metric, count(*) as n, round(sum(printf('%.6f', t)::double), 4) as total from w union all select 'summary.frame', count(*), sum(w * 20 + 19)::double from w""")
+@query(f"""{A.with_sql('frames')}, {_LOG_SQL} select m as metric, count(*) as n, round(sum(v), 3) as total from n group by 1""")
 def live_log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of log files as a stream, the last line of each section of a window."""
+    """All numbers of all runs' log files as a stream, of the last line of each section of a window."""
     got = live.latest_sections(_finished(spark, live.perf_log_stream(files.line_stream(spark, _log_files(spark, sf_dir))), "log"))
-    return got.where("metric in ('latency.loop_max', 'summary.frame')").groupBy("metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return got.groupBy("metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
 
 
-@query(f"""{A.with_sql('frames')}, {_LOG_SQL} select 'latency.loop_max' as metric, count(*) as n, round(sum(printf('%.6f', t)::double), 4) as total from w union all select 'summary.frame', count(*), sum(w * 20 + 19)::double from w
-union all select 'orphans', count(distinct run_id), 0.0 from w where run_id % 2 = 0""")
+@query(f"""{A.with_sql('frames')}, {_LOG_SQL} select m as metric, count(*) as n, round(sum(v), 3) as total from n group by 1 union all select 'orphans', count(distinct run_id), 0.0 from w where run_id % 2 = 0""")
 def perf_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files as a table of numbered lines."""
     parsed = telemetry.parse_lines(files.read_perf_log(spark, _log_files(spark, sf_dir)))
-    numbers = telemetry.log_metrics(parsed).where("metric in ('latency.loop_max', 'summary.frame')")
-    counted = numbers.groupBy("metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    # runs of one file follow each other, so an orphan of a later run comes after a summary: lines that are nothing but zeros
-    orphans = files.read_perf_log(spark, _log_files(spark, sf_dir)).where("line like '%loop_avg=0.000 %'")
-    return counted.union(orphans.agg(F.lit("orphans").alias("metric"), F.count("*").alias("n"), F.lit(0.0).alias("total")))
+    counted = telemetry.log_metrics(parsed).groupBy("metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
+    return counted.union(telemetry.orphans(parsed).agg(F.lit("orphans").alias("metric"), F.count("*").alias("n"), F.lit(0.0).alias("total")))
 
 
-@query(f"""{A.with_sql('labels', 'candidate')}, {_measured_sql()}, r as (select roi_id, round(error_px, 6) as d, row_number() over (order by round(error_px, 6) desc, roi_id) as n from m where error_px is not null)
-select roi_id, d as difficulty, ((n - 1) // 30)::integer as taken from r where n <= 30""")
+def _mining_sql(rounds: int) -> str:
+    """Rounds in turn: what has come so far and isn't taken, the thirty hardest of it; of an id that came again the later row."""
+    ctes = []
+    for k in range(rounds):
+        gone = " union all ".join(f"select roi_id from r{j}" for j in range(k)) or "select null where false"
+        ctes.append(f"p{k} as (select roi_id, arg_max(d, b) as d from came where b <= {k} and roi_id not in ({gone}) group by 1), r{k} as (select *, {k} as taken from p{k} order by d desc, roi_id limit 30)")
+    return ", ".join(ctes) + " " + " union all ".join(f"select roi_id, d as difficulty, taken from r{k}" for k in range(rounds))
+
+
+@query(f"""{A.with_sql('labels', 'candidate')}, {_measured_sql()}, s as (select roi_id, round(error_px, 6) as d, roi_id[5:]::bigint as v from m where error_px is not null), came as (select roi_id, d, v % 3 as b from s union all select roi_id, d / 2, v % 3 + 1 from s where v % 2 = 0), {_mining_sql(4)}""")
 def live_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mining round of a stream that brings all scored rows at once: the thirty hardest, as a ledger."""
-    path, ledger = _folder(spark, "scored"), _folder(spark, "ledger")
+    """Four micro-batches of scored rows, each a round of the thirty hardest that have come and no round took; half of the rows come again with half the score."""
+    path, ledger, state = _folder(spark, "scored"), _folder(spark, "ledger"), _folder(spark, "rounds")
     rows = rounded(measured(spark, sf_dir).where("error_px is not null").select("roi_id", F.col("error_px").alias("difficulty"), "error_px"))
-    rows.coalesce(1).write.parquet(path)
+    v = F.substring("roi_id", 5, 20).cast("long")
+    again = rows.where(v % 2 == 0).withColumn("difficulty", F.col("difficulty") / 2).withColumn("batch", v % 3 + 1)
+    came = written(rows.withColumn("batch", v % 3).unionByName(again), "scored-batches")
     spark.createDataFrame([], rows.schema).withColumn("round_id", F.lit(0)).write.parquet(ledger)
     schema = "roi_id string, difficulty double, error_px double, round_id int"
-    stream = spark.readStream.schema(rows.schema).parquet(path)
-    run = live.mining_rounds(stream, ledger, 30, _folder(spark, "rounds"), lambda: spark.read.schema(schema).parquet(ledger), once=True)
-    run.awaitTermination()
+    for k in range(4):
+        came.where(f"batch = {k}").drop("batch").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        live.mining_rounds(stream, ledger, 30, state, lambda: spark.read.schema(schema).parquet(ledger), once=True).awaitTermination()
     return spark.read.schema(schema).parquet(ledger).select("roi_id", "difficulty", F.col("round_id").alias("taken"))
 
 
@@ -275,19 +287,23 @@ _LABEL = "roi_id string, dataset_id string, capture_source_id string, proposal_v
 
 
 def _published_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Label files in folders by capture and variant, and their catalog (the manifests' rows)."""
+    """Label files in folders by dataset, variant and split, and their catalog: the rows of manifests, of which half are files of their own, written over several lines."""
     root = _folder(spark, "labels")
     rows = A.published(spark, sf_dir).select("roi_id", "dataset_id", "capture_source_id", "proposal_variant", "split", "points")
-    place = F.concat("dataset_id", F.lit("_"), F.regexp_replace("capture_source_id", "-", "_"), F.lit("_"), "proposal_variant")
-    rows = rows.withColumn("place", place)
-    rows.repartition(8, "place").write.partitionBy("place").json(root)
-    counted = rows.groupBy("dataset_id", "capture_source_id", "split", "proposal_variant", "place").agg(F.count("*").alias("n"))
-    variant = F.struct("proposal_variant", F.col("n").alias("published_labels"), F.concat(F.lit("place="), "place").alias("labels_relpath"))
+    folders = ["dataset_id", "proposal_variant", "split"]
+    rows.repartition(*folders).write.partitionBy(*folders).json(root)
+    counted = rows.groupBy("dataset_id", "capture_source_id", "split", "proposal_variant").agg(F.count("*").alias("n"))
+    place = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), c) for c in folders))
+    variant = F.struct("proposal_variant", F.col("n").alias("published_labels"), place.alias("labels_relpath"))
     captures = counted.groupBy("dataset_id", "capture_source_id", "split").agg(F.collect_list(variant).alias("published_variants"))
     manifests = captures.groupBy("dataset_id").agg(F.collect_list(F.struct("capture_source_id", "split", "published_variants")).alias("capture_sources"))
-    path = _folder(spark, "manifests")
-    manifests.select(F.lit("v1").alias("schema_version"), "dataset_id", F.lit("public").alias("scope"), "capture_sources").write.json(path)
-    return files.read_manifests_lines(spark, path), root
+    manifests = written(manifests.select(F.lit("v1").alias("schema_version"), "dataset_id", F.lit("public").alias("scope"), "capture_sources"), "manifests")
+    lines, whole = _folder(spark, "manifest-lines"), _folder(spark, "manifests")
+    odd = F.col("dataset_id").isin("ds-1", "ds-3")
+    manifests.where(~odd).write.json(lines)
+    pretty = F.to_json(F.struct(*manifests.columns), {"pretty": "true"})
+    manifests.where(odd).select("dataset_id", pretty.alias("value")).repartition("dataset_id").write.partitionBy("dataset_id").text(whole)
+    return files.read_manifests_lines(spark, lines).unionByName(files.read_manifests(spark, f"{whole}/*")), root
 
 
 @query(f"""{A.with_sql('labels', 'published')}, r as (select p.roi_id, p.split, p.capture_source_id, l.proposal_variant, len(p.points) as n from published p join labels l using (roi_id))
@@ -342,14 +358,45 @@ def written_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made[0].union(made[1]).union(made[2])
 
 
-@query(f"""{A.with_sql('assets')}, p as (select split, string_agg(id || ':' || digest, chr(10) order by id) || chr(10) as body from assets group by 1) select 'split=' || split as folder, length(body) as length, sha256(body) as digest, 1::bigint as n_same_path, 'not_png' as problem from p""")
+@query(f"""{A.with_sql('assets')}, p as (select split, id % 8 as part, string_agg(id || ':' || digest, chr(10) order by id) || chr(10) as body from assets group by all) select 'split=' || split || '/part=' || part as folder, length(body) as length, sha256(body) as digest, 1::bigint as n_same_path, 'not_png' as problem from p""")
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text file per split: lengths, digests and a check of image headers."""
+    """Eight text files per split: lengths, digests and a check of image headers."""
     root = _folder(spark, "files")
-    rows = A.asset_rows(spark, sf_dir).select("split", "id", F.concat("id", F.lit(":"), "digest").alias("value"))
-    rows.repartition(1).sortWithinPartitions("split", "id").select("split", "value").write.partitionBy("split").text(root)
+    rows = A.asset_rows(spark, sf_dir).select("split", (F.col("id") % 8).alias("part"), "id", F.concat("id", F.lit(":"), "digest").alias("value"))
+    rows.repartition("split", "part").sortWithinPartitions("split", "part", "id").select("split", "part", "value").write.partitionBy("split", "part").text(root)
     listed = files.file_inventory(spark, root, "*.txt").join(files.content_digest(spark, root, "*.txt"), "path").join(files.image_size_audit(spark, root).select("path", "problem"), "path")
-    return listed.select(F.regexp_extract("path", "(split=[^/]*)", 1).alias("folder"), "length", "digest", "n_same_path", "problem")
+    return listed.select(F.regexp_extract("path", "(split=[^/]*/part=[^/]*)", 1).alias("folder"), "length", "digest", "n_same_path", "problem")
+
+
+def _write_images(root: str):
+    """A PNG file's header and some bytes per row; returns the names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(root)
+        store.create_dir(folder)
+        for batch in batches:
+            for name, head, width, height, kind in zip(*(c.to_pylist() for c in batch.columns)):
+                with store.open_output_stream(f"{folder}/{name}") as f:
+                    f.write(head + struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0) + bytes(500))
+            yield batch.select(["name"])
+
+    return run
+
+
+@query("""with p as (select page_id as i, length(coalesce(html, '')) as n from pages) select 'p' || i || case when i % 13 = 5 then '.jpg' else '.png' end as name, case when ok then i % 5000 + 1 end::integer as width, case when ok then n + 1 end::integer as height, case when ok then [1, 3, 1, 2, 4][i % 5 + 1] end::integer as channels, case when not ok then 'not_png' end as problem
+from (select *, i % 13 <> 5 and i % 11 <> 3 as ok from p)""")
+def image_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image files written from the pages, with their sizes in the headers: some have another name, some another content."""
+    root = re.sub("^file:/+", "file:///", f"{_folder(spark, 'images')}")
+    root = root if "://" in root else f"file://{root}"
+    i = F.col("page_id")
+    name = F.concat(F.lit("p"), i, F.when(i % 13 == 5, ".jpg").otherwise(".png"))
+    head = F.unhex(F.when(i % 11 != 3, "89504E470D0A1A0A0000000D49484452").otherwise("FFD8FFE000104A4649460001010000AA"))
+    kind = F.element_at(F.array(*(F.lit(k) for k in (0, 2, 3, 4, 6))), (i % 5 + 1).cast("int"))
+    rows = A.table(spark, sf_dir, "pages").select(name.alias("name"), head.alias("head"), (i % 5000 + 1).alias("width"), (F.length(F.coalesce("html", F.lit(""))) + 1).alias("height"), kind.alias("kind"))
+    written(rows.mapInArrow(_write_images(root), "name string"), "image-names")
+    found = files.image_size_audit(spark, root)
+    return found.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), "width", "height", "channels", "problem")
 
 
 @query(f"""{A.with_sql('baseline_detections', 'candidate_detections')}, d as (select image, error, unnest(detections) as d, unnest(range(len(detections))) as position from candidate_detections) select image, position::integer as position, error, d.flag as hand_flag_score, len(d.pts)::integer as n_points from d""")

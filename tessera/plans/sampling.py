@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import joins, quotas, selection
+from ..operators import joins, quotas, scoring, selection
+from ..operators.contracts import SAMPLE_TYPES
 from . import adapters as A
-from .registry import query, rounded
+from . import queries as _earlier  # noqa: F401  (its SQL is used here)
+from .registry import SQL, query, rounded
+
+#: A fixed order of types, in which equal shares are served.
+_ORDER = ("type-2", "type-0", "type-3", "type-1")
 
 
 def _level_sql(source: str, total: str, plan: str = "plan_id", name: str = "leveled") -> str:
@@ -42,10 +47,10 @@ def bounded_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.with_sql('strata')}, c as (select status, sample_type, count(*) as n from strata group by all), s as (select *, n * 50 // (sum(n) over (partition by status))::bigint as f, n * 50 % (sum(n) over (partition by status))::bigint as r from c)
-select status, sample_type, n, (f + (row_number() over (partition by status order by r desc, sample_type) <= 50 - sum(f) over (partition by status))::int)::bigint as quota from s""")
+select status, sample_type, n, (f + (row_number() over (partition by status order by r desc, list_position({list(_ORDER)}, sample_type)) <= 50 - sum(f) over (partition by status))::int)::bigint as quota from s""")
 def proportional_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = A.strata_rows(spark, sf_dir).groupBy("status", "sample_type").agg(F.count("*").alias("n"))
-    return quotas.bounded_proportional(cells, "sample_type", "n", 50, ("status",))
+    return quotas.bounded_proportional(cells, "sample_type", "n", 50, ("status",), _ORDER)
 
 
 @query(f"""{A.with_sql('strata')}, n as (select dataset_id, count(*) as n from strata group by 1), lim as (select count(*) // 4 as least from strata),
@@ -63,11 +68,11 @@ def group_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{A.with_sql('strata')}, f(tier, fraction) as (values ('tier-0', 0.4::double), ('tier-1', 0.2::double), ('tier-9', 0.4::double)), p as (select tier, fraction / sum(fraction) over () as fraction from f where tier in (select tier from strata)),
 q as (select tier, case when tier = 'tier-1' then 33 - floor(max(case when tier = 'tier-0' then fraction end) over () * 33 + 0.5) else floor(fraction * 33 + 0.5) end::bigint as tq from p),
 c as (select tier, sample_type, count(*) as n from strata group by all), s as (select *, n * tq // (sum(n) over (partition by tier))::bigint as f, n * tq % (sum(n) over (partition by tier))::bigint as r from c join q using (tier))
-select tier, sample_type, n, (f + (row_number() over (partition by tier order by r desc, sample_type) <= tq - sum(f) over (partition by tier))::int)::bigint as quota from s""")
+select tier, sample_type, n, (f + (row_number() over (partition by tier order by r desc, list_position({list(_ORDER)}, sample_type)) <= tq - sum(f) over (partition by tier))::int)::bigint as quota from s""")
 def tier_type_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch of 33 rows by tier, the share of an absent tier redistributed, and by type inside a tier."""
     fractions = spark.createDataFrame([("tier-0", 0.4), ("tier-1", 0.2), ("tier-9", 0.4)], "tier string, fraction double")
-    return quotas.tier_type_quota(A.strata_rows(spark, sf_dir), 33, fractions)
+    return quotas.tier_type_quota(A.strata_rows(spark, sf_dir), 33, fractions, _ORDER)
 
 
 @query(f"""{A.with_sql('strata')}, s as (select sample_type as cell, max(weight) / sum(weight) as top, count(*) as n from strata group by 1), q as (select 'type-' || i as cell, i + 1 as quota from range(4) t(i)),
@@ -143,14 +148,59 @@ def round_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotas.round_budget(rows.select("id", F.col("weight").alias("score")), rows.where("id % 9 = 0").select("id"), rows.count() // 4)
 
 
-@query(f"""{A.with_sql('strata', recursive=True)}, q as (select tier, sample_type, count(*) // 100 + 1 as quota from strata group by all), t as (select tier, list(sample_type order by sample_type) as names, list(quota order by sample_type) as quota, sum(quota)::bigint as total from q group by 1),
+def _round_sql(k: int) -> str:
+    """Round k: ranks over the rows without a token of the ledger, quotas by type and dataset, the best of each sequence first."""
+    rank = lambda v: f"((rank() over (order by {v})) - 1 + (count(*) over (partition by {v}) - 1) / 2) / greatest(1, count(*) over () - 1)"
+    return f"""free_{k} as (select * from pool where token not in (select token from ledger_{k})), score_{k} as (select *, 1.0::double * {rank('mean_nme')} + 0.5::double * {rank('p90_nme')} as score from free_{k}),
+n_{k} as (select sample_type, dataset_id, count(*) as n from free_{k} group by all), t_{k} as (select 'all' as plan_id, sample_type as cell, sum(n)::bigint as capacity, case sample_type when 'POS_RUNTIME' then 0.7 else 0.3 end::double as weight from n_{k} group by 2),
+{_level_sql(f't_{k}', f'(select count(*) from lab) // 20 - (select count(*) from lab where v % 90 = {k})', name=f'types_{k}')}, tq_{k} as (select cell as sample_type, quota as tq from types_{k}),
+c_{k} as (select sample_type as plan_id, dataset_id as cell, sqrt(n) as weight, n as capacity, tq from n_{k} join tq_{k} using (sample_type)), {_level_sql(f'c_{k}', 'tq', name=f'cells_{k}')},
+keyed_{k} as (select *, sha256('rounds:r{k}' || chr(31) || roi_id) as d from score_{k}), firsts_{k} as (select *, row_number() over (partition by sample_type, dataset_id, source_sequence_id order by score desc, d) as nth from keyed_{k}),
+chosen_{k} as (select r.* from (select *, row_number() over (partition by sample_type, dataset_id order by (nth > 1)::int, score desc, d) as rank from firsts_{k}) r join cells_{k} on plan_id = sample_type and cell = dataset_id where rank <= quota),
+ledger_{k + 1} as (select token from ledger_{k} union select token from chosen_{k})"""
+
+
+@query(f"""{A.with_sql('labels')}, lab as (select *, roi_id[5:]::bigint as v from labels), metrics as ({SQL['disagreement_metrics']}),
+pool as (select roi_id, dataset_id, 's' || v // 6 as source_sequence_id, case when palm_valid then 'POS_RUNTIME' else 'POS_LOW_PALM' end as sample_type, 'raw:' || raw_image_id as token, mean_nme, p90_nme from lab join metrics using (roi_id)),
+ledger_1 as (select distinct 'raw:' || raw_image_id as token from lab where v % 40 = 0), {', '.join(_round_sql(k) for k in (1, 2, 3))}
+select roi_id, round_id, sample_type from (select *, 'r1' as round_id from chosen_1 union all select *, 'r2' from chosen_2 union all select *, 'r3' from chosen_3)""")
+def disagreement_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds from one pool: rows on which a student disagrees most, none with an image of an earlier round or of a published row."""
+    v = F.substring("roi_id", 5, 20).cast("long")
+    labels = A.roi_labels(spark, sf_dir).withColumns({
+        "v": v, "source_sequence_id": F.concat(F.lit("s"), F.floor(v / 6)), "sample_type": F.when(F.col("palm_valid"), SAMPLE_TYPES[0]).otherwise(SAMPLE_TYPES[1]), "tokens": F.array(F.concat(F.lit("raw:"), "raw_image_id")),
+    })
+    predictions = A.roi_predictions(spark, sf_dir).where("predicted is not null")
+    teachers = labels.where("present").join(predictions.select("roi_id"), "roi_id", "left_semi").select("roi_id", "dataset_id", "sample_type", "source_sequence_id", "tokens", "points")
+    predictions = predictions.join(teachers.select("roi_id"), "roi_id", "left_semi")
+    ledger = labels.where("v % 40 = 0").select(F.explode("tokens").alias("token"), F.lit("published").alias("round_id")).distinct()
+    budget, rounds = labels.count() // 20, []
+    for k in (1, 2, 3):
+        recorded = labels.where(v % 90 == k).select("roi_id")
+        chosen, ledger = selection.disagreement_round(teachers, predictions, ledger, recorded, budget, f"r{k}", {SAMPLE_TYPES[0]: 0.7, SAMPLE_TYPES[1]: 0.3}, "rounds", {"mean_nme": 1.0, "p90_nme": 0.5})
+        rounds.append(chosen.select("roi_id", "round_id", "sample_type"))
+    return rounds[0].unionByName(rounds[1]).unionByName(rounds[2])
+
+
+@query("""with e as (select vec_id as v, embedding[1]::double as x, embedding[2]::double as y from embeddings), m as (select regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from e where v % 10 < 8)
+select 'roi-' || v as roi_id, round(intercept + slope * x, 6) as score, round(y - (intercept + slope * x), 6) as residual from e, m""")
+def scored_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line fitted on the training rows, as the model of a predictor that scores all rows in batches of 256."""
+    e = F.col("embedding")
+    rows = A.table(spark, sf_dir, "embeddings").select(F.concat(F.lit("roi-"), "vec_id").alias("roi_id"), "vec_id", e[0].cast("double").alias("x"), e[1].cast("double").alias("y"))
+    model = rows.where("vec_id % 10 < 8").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept")).first().asDict()  # one row
+    predict = lambda m, batch: batch[["roi_id"]].assign(score=m["intercept"] + m["slope"] * batch["x"], residual=batch["y"] - m["intercept"] - m["slope"] * batch["x"])
+    return rounded(scoring.score_rows(rows, predict, "roi_id string, score double, residual double", model, 256))
+
+
+@query(f"""{A.with_sql('strata', recursive=True)}, q as (select tier, sample_type, count(*) // 100 + 1 as quota from strata group by all), t as (select tier, list(sample_type order by list_position({list(_ORDER)}, sample_type)) as names, list(quota order by list_position({list(_ORDER)}, sample_type)) as quota, sum(quota)::bigint as total from q group by 1),
 o as (select tier, 0::bigint as position, list_transform(quota, lambda x: 0::bigint) as used, null::varchar as sample_type from t
   union all select o.tier, o.position + 1, list_transform(used, lambda u, i: u + (i = pick)::int), names[pick] from o, t, lateral (select list_position(d, list_max(d)) as pick from (select list_transform(quota, lambda x, i: case when used[i] < x then (o.position + 1) * x - used[i] * total end) as d)) where t.tier = o.tier and o.position < total)
 select tier, position - 1 as position, sample_type from o where position > 0""")
 def balanced_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order of a plan's types: at each place the one furthest behind its share."""
     cells = A.strata_rows(spark, sf_dir).groupBy("tier", "sample_type").agg((F.floor(F.count("*") / 100) + 1).alias("quota"))
-    return quotas.balanced_order(cells, ("tier",))
+    return quotas.balanced_order(cells, ("tier",), _ORDER)
 
 
 _DRAWS_SQL = "dr as (select id, tier, sample_type, weight, id % 8 as batch from strata union all select id, tier, sample_type, weight, id % 8 from strata where id % 6 = 0)"

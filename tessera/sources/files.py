@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +54,6 @@ def read_text_with_line_no(spark: SparkSession, paths: str | list[str]) -> DataF
 
 
 def _running(partition: str, order: str):
-    from pyspark.sql import Window
-
     return Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
@@ -78,7 +81,21 @@ def select_sources(catalog: DataFrame, scope: str | None = None, split: str | No
 
 
 def read_source_rows(spark: SparkSession, catalog: DataFrame, root: str, schema: str = LABEL_SCHEMA, **wanted) -> DataFrame:
-    """The label rows of the selected sources; only their files are read (a catalog has a row per file)."""
+    """The label rows of the selected sources, from JSON files in folders by dataset_id, proposal_variant and split.
+
+    Wanted splits and variants are filters on the folders' names; what else the catalog selects prunes folders when the query runs, by
+    the join. No list of files or sources passes through the driver, and files of other sources aren't opened.
+    """
+    chosen = select_sources(catalog, **wanted).select("dataset_id", "capture_source_id", "proposal_variant", "split").distinct()
+    rows = spark.read.schema(_schema(schema)).option("basePath", root).json(root)
+    for name, column in (("split", "split"), ("variant", "proposal_variant")):
+        if wanted.get(name) is not None:
+            rows = rows.where(F.col(column) == wanted[name])
+    return rows.join(chosen, chosen.columns, "left_semi")
+
+
+def read_listed_rows(spark: SparkSession, catalog: DataFrame, root: str, schema: str = LABEL_SCHEMA, **wanted) -> DataFrame:
+    """As read_source_rows(), from the files that the catalog names, wherever they are; the driver holds their names."""
     chosen = select_sources(catalog, **wanted)
     files = [f"{root.rstrip('/')}/{r['labels_relpath']}" for r in chosen.select("labels_relpath").distinct().collect() if r["labels_relpath"]]
     if not files:
@@ -105,7 +122,7 @@ def read_registry(spark: SparkSession, location: str, name: str, **jdbc: str) ->
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """(path, length, n_same_path): the files below a folder; n_same_path counts paths that are equal but for case. Contents aren't read."""
+    """(path, length, n_same_path): the files below a folder; n_same_path counts paths that are equal but for case. Contents aren't read; Spark lists no empty files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root).select("path", "length")
     same = files.groupBy(F.lower("path").alias("_p")).agg(F.count("*").alias("n_same_path"))
     return files.join(same, F.lower("path") == F.col("_p")).drop("_p")
@@ -116,19 +133,37 @@ def content_digest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root).select("path", F.sha2("content", 256).alias("digest"))
 
 
+#: Bytes of a PNG file up to its colour type.
+PNG_HEAD = 26
+
+
+def _heads(n: int):
+    """The first n bytes of each file; only these are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = []
+            for path in batch.column("path").to_pylist():
+                store, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                with store.open_input_file(name) as f:
+                    heads.append(f.read(n))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(heads, pa.binary())], ["path", "head"])
+
+    return run
+
+
 def image_size_audit(spark: SparkSession, root: str) -> DataFrame:
     """(path, width, height, channels, problem): from the header of PNG files; other files are flagged.
 
-    Only files named .png are opened; the others are listed without their contents.
+    Only files named .png are opened, and only their first 26 bytes are read, in the tasks that get their names.
     """
     names = file_inventory(spark, root).select("path")
     png = F.lower("path").endswith(".png")
-    records = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][nN][gG]").load(root)
-    head = F.hex(F.substring("content", 1, 26))
+    records = names.where(png).repartition("path").mapInArrow(_heads(PNG_HEAD), "path string, head binary")
     number = lambda at, n: F.conv(F.substring("head", 2 * at + 1, 2 * n), 16, 10).cast("int")
-    valid = F.coalesce(F.substring("head", 1, 32) == "89504E470D0A1A0A0000000D49484452", F.lit(False))
+    valid = F.coalesce((F.substring("head", 1, 32) == "89504E470D0A1A0A0000000D49484452") & (F.length("head") == 2 * PNG_HEAD), F.lit(False))
     channels = F.create_map(*(F.lit(x) for kv in {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}.items() for x in kv))[number(25, 1)]
-    heads = records.select("path", head.alias("head")).unionByName(names.where(~png).withColumn("head", F.lit(None).cast("string")))
+    heads = records.select("path", F.hex("head").alias("head")).unionByName(names.where(~png).withColumn("head", F.lit(None).cast("string")))
     return heads.select("path", F.when(valid, number(16, 4)).alias("width"), F.when(valid, number(20, 4)).alias("height"), F.when(valid, channels).alias("channels"), F.when(~valid, "not_png").alias("problem"))
 
 

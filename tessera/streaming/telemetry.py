@@ -15,7 +15,7 @@ from ..operators.telemetry import TIMINGS
 from ..sources.files import append_round
 
 _STATS = ("avg", "p50", "p95", "max")
-WINDOW_SCHEMA = "run_id long, window long, frames long, frame_index long, window_ms double, " + ", ".join(f"{t}_{s} double" for t in TIMINGS for s in _STATS)
+WINDOW_SCHEMA = "run_id long, window long, frames long, frame_index long, window_ms double, " + ", ".join(f"{t}_{s} double" for t in TIMINGS for s in _STATS) + ", fps_avg double, fps_p95 double"
 
 _EVENT_SCHEMA = WINDOW_SCHEMA + ", " + ", ".join(f"{t} double" for t in TIMINGS) + ", problem string"
 _EVENT_COLUMNS = [c.split()[0] for c in _EVENT_SCHEMA.split(", ")]
@@ -28,6 +28,9 @@ def window_row(run_id: int, window: int, rows: pd.DataFrame) -> dict:
     for t in TIMINGS:
         v = sorted(rows[t])
         out |= {f"{t}_avg": sum(v) / n, f"{t}_p50": v[(n - 1) // 2], f"{t}_p95": v[max(-(-95 * n // 100), 1) - 1], f"{t}_max": v[-1]}
+    fps = sorted(1000 / v for v in rows["loop_ms"] if v > 0)  # a frame without loop time has no rate
+    if fps:
+        out |= {"fps_avg": sum(fps) / len(fps), "fps_p95": fps[max(-(-95 * len(fps) // 100), 1) - 1]}
     return out
 
 
@@ -159,18 +162,26 @@ def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_
     """Starts a query that mines k rows in each micro-batch as a round, among all rows that have come and no round has taken; with `once`
     it ends when all that is there now has been seen.
 
-    Rows are kept in <ledger>-pool, a folder per batch, until a round takes them; of an id that comes again the newest row holds.
-    A batch that is run again after a failure writes its folder anew and is left out if the ledger has its round.
+    Rows wait in <ledger>-pool, of which each batch writes a new version from the one before and its own rows: what a round took goes, and
+    of an id that comes again the newest row stays. So a batch reads what waits, not all that ever came; the version before is
+    kept for a batch that runs again after a failure, older ones are dropped. A round that the ledger has isn't mined again.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{ledger}-pool/batch={batch_id}")
+        spark, at = batch.sparkSession, lambda n: f"{ledger}-pool/version={n}"
         known = read_ledger()
-        if known.where(known["round_id"] == batch_id).limit(1).count():
-            return
-        pool = batch.sparkSession.read.schema(batch.schema).parquet(f"{ledger}-pool").where(F.col("batch") <= batch_id)
-        newest = pool.groupBy("roi_id").agg(*(F.max_by(c, "batch").alias(c) for c in batch.columns if c != "roi_id")).select(batch.columns)
-        append_round(mine_round(newest, known, k, batch_id), ledger)
+        done = known.where(F.col("round_id") < batch_id).select("roi_id").distinct()
+        rows = batch.withColumn("_new", F.lit(1))
+        if batch_id:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(at(batch_id - 1)).withColumn("_new", F.lit(0)))
+        newest = rows.groupBy("roi_id").agg(F.max(F.struct("_new", *(c for c in batch.columns if c != "roi_id"))).alias("_row"))
+        newest = newest.select("roi_id", "_row.*").select(batch.columns).join(done, "roi_id", "left_anti")
+        newest.write.mode("overwrite").parquet(at(batch_id))
+        if known.where(F.col("round_id") == batch_id).isEmpty():
+            append_round(mine_round(spark.read.schema(batch.schema).parquet(at(batch_id)), known, k, batch_id), ledger)
+        if batch_id > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(at(batch_id - 2))
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     writer = scored.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

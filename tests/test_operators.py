@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import points as P
 from tessera.functions import stats, text
-from tessera.operators import contracts, detections, joins, metrics, mining, quotas, ranks, selection, sets, telemetry
+from tessera.operators import scoring, contracts, detections, joins, metrics, mining, quotas, ranks, selection, sets, telemetry
 
 POINTS = "array<struct<id:int,x:double,y:double>>"
 
@@ -106,8 +106,8 @@ def test_points_and_rectangles(spark):
 
 def test_percentile_rules(spark):
     rows = spark.createDataFrame([(float(v),) for v in range(1, 121)], "v double")
-    r = rows.agg(stats.ceil_percentile(F.col("v"), 0.95).alias("c"), stats.lower_median(F.col("v")).alias("m"), stats.linear_percentile(F.col("v"), 0.5).alias("l"), stats.nearest_percentile(F.col("v"), 0.9).alias("n")).first()
-    assert (r.c, r.m, r.l, r.n) == (114.0, 60.0, 60.5, 108.0)
+    r = rows.agg(stats.ceil_percentile(F.col("v"), 0.95).alias("c"), stats.lower_median(F.col("v")).alias("m"), stats.linear_percentile(F.col("v"), 0.5).alias("l")).first()
+    assert (r.c, r.m, r.l) == (114.0, 60.0, 60.5)
 
 
 def test_text_functions(spark):
@@ -165,8 +165,10 @@ def test_stratified_sample_does_not_depend_on_order(spark):
 def test_group_holdout(spark):
     rows = spark.createDataFrame([(d,) for d, n in (("old", 8), ("new-a", 3), ("new-b", 4), ("new-c", 6)) for _ in range(n)], "dataset_id string")
     chosen = quotas.group_holdout(rows, 5, 7, 8, "new-.*")
-    inside, outside = quotas.split_holdout(rows, chosen)
-    assert {r.dataset_id for r in chosen.collect()} == {"new-a", "new-b"} and (inside.count(), outside.count()) == (7, 14)
+    assert {r.dataset_id: r.n for r in chosen.collect()} == {"new-a": 3, "new-b": 4}
+    large = spark.createDataFrame([("old", 6 * 10**9), ("a", 3 * 10**9), ("b", 10**9 + 1)], "dataset_id string, n long")  # counted rows: memory follows the datasets
+    found = quotas.holdout_of_counts(large.withColumn("plan_id", F.lit("p")), 10**9, 4 * 10**9, 10**10, salt="s")
+    assert {r.dataset_id for r in found.collect()} == {"a", "b"}
     assert quotas.group_holdout(rows, 100, 100, 100).count() == 0
     # a total that several sets reach: the one of datasets that come early by salted digest
     equal = spark.createDataFrame([(d,) for d in "abcd" for _ in range(2)], "dataset_id string")
@@ -286,13 +288,40 @@ def test_replay_splits_positives_by_type_first(spark):
             quotas.select_replay(rows, budget, F.lit(confirmed))
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_diverse_take_equals_the_ranks(spark, partitions):
+    """One stratum holds all rows but a few; no window is over a stratum alone."""
+    rows = spark.createDataFrame([(i, "hot" if i > 9 else "cold", f"s{i % 37}" if i % 5 else None, float(i % 11)) for i in range(400)], "id int, t string, g string, score double").repartition(partitions)
+    plan = spark.createDataFrame([("hot", 90), ("cold", 100), ("none", 3)], "t string, quota long")
+    for score in ("score", None):
+        want = quotas.take_quota(ranks.diverse_rank(rows, ("t",), "g", "id", "z", score), plan, ("t",))
+        got = ranks.diverse_take(rows, plan, ("t",), "g", "id", "z", score)
+        assert {(r.id, r["rank"]) for r in got.collect()} == {(r.id, r["rank"]) for r in want.collect()} and got.count() == 100
+        text = got._jdf.queryExecution().optimizedPlan().toString()
+        assert all("_r" in line for line in text.splitlines() if line.lstrip(" :+-").startswith("Window [row_number"))
+
+
+def test_ties_follow_the_order_given(spark):
+    cells = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "cell string, weight int")
+    assert {r.cell: r.quota for r in quotas.largest_remainder(cells, "cell", "weight", 4, order=("c", "a")).collect()} == {"a": 1, "b": 1, "c": 2}
+    assert {r.cell: r.quota for r in quotas.largest_remainder(cells, "cell", "weight", 4).collect()} == {"a": 2, "b": 1, "c": 1}
+    plan = spark.createDataFrame([("t", "x", 2), ("t", "y", 2)], "tier string, sample_type string, quota long")
+    assert [r.sample_type for r in quotas.balanced_order(plan, ("tier",), ("y", "x")).orderBy("position").collect()] == ["y", "x", "y", "x"]
+
+
+def test_many_draws_of_a_cell_come_in_chunks(spark):
+    rows = spark.createDataFrame([("c", i, 1.0) for i in range(50)], "cell string, id int, weight double")
+    plan = spark.createDataFrame([("c", 200_001)], "cell string, quota long")
+    draws = quotas.weighted_draws(rows, plan, ("cell",), 1, 1)
+    found = draws.agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots"), F.count_distinct("id").alias("ids"), F.max("slot").alias("top")).first()
+    assert tuple(found) == (200_001, 200_001, 50, 200_001)
+
+
 def test_round_robin_and_diverse_rank(spark):
     rows = spark.createDataFrame([(i, "ab"[i % 2], f"s{i // 4}", float(i)) for i in range(12)], "id int, t string, source_sequence_id string, score double")
     assert [r.t for r in ranks.round_robin(rows, ("t",), "id", 4, "z").orderBy("position").collect()] == ["a", "b", "a", "b"]
     first = ranks.diverse_rank(rows, (), "source_sequence_id", "id", "z", "score").where("rank <= 3").orderBy("rank").collect()
     assert [r.id for r in first] == [11, 7, 3]
-    chosen = quotas.smoke_sample(rows, F.col("t"), {"a": 2, "b": 1}, "z")
-    assert dict(chosen.groupBy("category").count().collect()) == {"a": 2, "b": 1}
     left = quotas.round_budget(rows, rows.where("id = 11"), 3)
     assert [r.id for r in left.collect()] == [10, 9]
 
@@ -530,11 +559,40 @@ def test_anchors_and_rotated_overlap(spark):
 
 
 def test_predictor_must_cover_its_batch(spark):
-    rows = table(spark, [label(i) for i in range(4)]).select("roi_id")
-    good = detections.score_rows(rows, lambda b: b.assign(s=1.0), "roi_id string, s double")
-    assert good.count() == 4
-    with pytest.raises(Exception, match="each id"):
-        detections.score_rows(rows, lambda b: b.assign(s=1.0).iloc[1:], "roi_id string, s double").count()
+    rows = table(spark, [label(i) for i in range(40)]).select("roi_id").repartition(3)
+    schema, sizes = "roi_id string, s double", spark.sparkContext.accumulator(0)
+
+    def good(model, batch):
+        sizes.add(len(batch) == 7)
+        assert len(batch) <= 7
+        return batch.assign(s=model["s"])
+
+    assert {r.s for r in scoring.score_rows(rows, good, schema, {"s": 2.5}, 7).collect()} == {2.5} and sizes.value >= 3
+    with pytest.raises(Exception, match="for a batch of"):
+        scoring.score_rows(rows, lambda m, b: b.assign(s=1.0).iloc[1:], schema)
+    # right in number inside each batch, but one id twice and one missing
+    with pytest.raises(ValueError, match="each id once"):
+        scoring.score_rows(rows, lambda m, b: b.assign(s=1.0).replace("r1", "r2"), schema, None, 2)
+    for bad in (rows.union(rows.limit(1)), rows.union(spark.createDataFrame([(None,)], "roi_id string"))):
+        with pytest.raises(ValueError, match="unique ids"):
+            scoring.score_rows(bad, lambda m, b: b.assign(s=1.0), schema)
+
+
+def test_rounds_share_no_token(spark):
+    teachers = spark.createDataFrame([(f"r{i}", f"d{i % 2}", "POS", f"s{i // 2}", [f"img:{i // 3}"], pose()) for i in range(60)], "roi_id string, dataset_id string, sample_type string, source_sequence_id string, tokens array<string>, points array<struct<id:int,x:double,y:double>>")
+    predictions = spark.createDataFrame([(f"r{i}", pose(i / 100), 0.9) for i in range(60)], "roi_id string, predicted array<struct<id:int,x:double,y:double>>, hand_flag double")
+    ledger = spark.createDataFrame([("img:0", "old")], "token string, round_id string")
+    recorded, taken = spark.createDataFrame([("x",), ("y",)], "roi_id string"), []
+    for k in range(3):
+        chosen, ledger = selection.disagreement_round(teachers, predictions, ledger, recorded, 6, f"r{k}", {"POS": 1.0}, "z")
+        taken.append({t for r in chosen.collect() for t in r.tokens})
+        assert chosen.count() == 4
+    assert not taken[0] & taken[1] and not taken[2] & (taken[0] | taken[1]) and "img:0" not in set.union(*taken)
+    assert ledger.count() == 1 + sum(map(len, taken))
+    with pytest.raises(ValueError, match="in the ledger"):
+        selection.disagreement_round(teachers, predictions, ledger, recorded, 6, "r1", {"POS": 1.0}, "z")
+    with pytest.raises(ValueError, match="exceed"):
+        selection.disagreement_round(teachers, predictions, ledger, recorded, 1, "r9", {"POS": 1.0}, "z")
 
 
 # mining
