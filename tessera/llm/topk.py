@@ -17,6 +17,10 @@ from .tables import shuffle_partitions, table, written
 LISTS = 2
 #: Rows of a block of candidates and of a block of queries.
 CANDIDATE_ROWS, QUERY_ROWS = 2048, 4096
+#: Numbers that a block of queries has for its rows, QUERY_ROWS at least.
+NUMBERS = 4096
+#: Bytes of the candidates' blocks that a task holds while the queries pass, about.
+LANE_BYTES = 64 << 20
 #: Queries whose scores with a block are held at once.
 STEP = 256
 SCALE = 256
@@ -29,7 +33,7 @@ _BLOCK = "block long, ids array<bigint>, dims int, data binary"
 
 
 def _valid(column: str):
-    return F.col(column).isNotNull() & (F.size(column) > 0) & ~F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    return F.col(column).isNotNull() & ~F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
 
 
 def _pack(block: int, dims: int, rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -57,7 +61,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _matrix(ids: list[int], data: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.array(ids, np.int64), np.frombuffer(data, "<i8").reshape(-1, dims)
+    return np.array(ids, np.int64), np.frombuffer(data, "<i8").reshape(len(ids), dims)
 
 
 def _parts(queries: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
@@ -84,18 +88,17 @@ def _result(rows: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def _steps(row: dict, wanted: set[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Some query ids (only wanted ones, if these are given), the candidates' ids and each list's part of their scores."""
-    q_ids, queries = _matrix(row["q_ids"], row["q_data"], row["dims"])
-    if wanted is not None:
-        asked = np.isin(q_ids, np.fromiter(wanted, np.int64, len(wanted)))
-        q_ids, queries = q_ids[asked], queries[asked]
+def _steps(row: dict, asked: dict, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Numbers and ids of some query rows (those at wanted positions, if these are given), the candidates' ids and each list's part of their scores."""
+    q_ids, queries = _matrix(asked["ids"], asked["data"], asked["dims"])
+    at = np.arange(len(q_ids)) if wanted is None else wanted
     ids, rows = _matrix(row["ids"], row["data"], row["dims"])
-    for at in range(0, len(q_ids), STEP):
-        yield q_ids[at : at + STEP], ids, _parts(queries[at : at + STEP], rows)
+    for k in range(0, len(at), STEP):
+        some = at[k : k + STEP]
+        yield asked["block"] * NUMBERS + some, q_ids[some], ids, _parts(queries[some], rows)
 
 
-def _seen(q_ids: np.ndarray, ids: np.ndarray, parts: list[np.ndarray], k: int, block: int) -> tuple[np.ndarray, ...]:
+def _seen(q_rows: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, parts: list[np.ndarray], k: int, block: int) -> tuple[np.ndarray, ...]:
     """The best of what the lists have first, with full scores, and a bound that no other score of the block passes.
 
     The block is looked at in runs of RUN rows. An entry that no list has among its k best of a run is at most the k-th best of the run
@@ -120,27 +123,29 @@ def _seen(q_ids: np.ndarray, ids: np.ndarray, parts: list[np.ndarray], k: int, b
     first = np.searchsorted(at, np.arange(len(q_ids)))  # at ascends
     order = order[np.arange(len(at)) - first[at] < k]
     at = at[order]
-    return q_ids[at], ids[pick[order]], score[order], np.full(len(at), block), bound.max(axis=1)[at]
+    return q_rows[at], q_ids[at], ids[pick[order]], score[order], np.full(len(at), block), bound.max(axis=1)[at]
 
 
-def _reached(q: int, ids: np.ndarray, parts: list[np.ndarray], least: int, k: int) -> tuple[np.ndarray, ...]:
+def _reached(row: int, q: int, ids: np.ndarray, parts: list[np.ndarray], least: int, k: int) -> tuple[np.ndarray, ...]:
     near = np.flatnonzero((ids != q) & np.any([p >= -(-least // LISTS) for p in parts], axis=0))
     total = sum(p[near] for p in parts)
     near, total = near[total >= least], total[total >= least]
     top = _best(total, ids[near], k)
-    return np.full(len(top), q), ids[near][top], total[top]
+    return np.full(len(top), row), np.full(len(top), q), ids[near][top], total[top]
+
+
+_SEEN = ["q_row", "query_id", "vec_id", "score", "block", "bound"]
+_FOUND = _SEEN[:4]
 
 
 def _gather(k: int):
     """Phase 1: from each list the k best candidates of the block by that list's part, with full scores and the bound of the others."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for q_ids, ids, parts in _steps(row):
-                    yield _result([_seen(q_ids, ids, parts, k, row["block"])], ["query_id", "vec_id", "score", "block", "bound"])
+    def work(row: dict, asked: dict) -> Iterator[pa.RecordBatch]:
+        for q_rows, q_ids, ids, parts in _steps(row, asked):
+            yield _result([_seen(q_rows, q_ids, ids, parts, k, row["block"])], _SEEN)
 
-    return run
+    return work
 
 
 def _collect(k: int):
@@ -150,12 +155,31 @@ def _collect(k: int):
     none is missed. Of the resolved scores that reach the cutoff the block's k best are enough.
     """
 
+    def work(row: dict, asked: dict) -> Iterator[pa.RecordBatch]:
+        cut = {c["q_row"]: c["cutoff"] for c in asked["cutoffs"] if c["block"] == row["block"]}
+        wanted = np.sort(np.fromiter(cut, np.int64, len(cut))) - asked["block"] * NUMBERS
+        for q_rows, q_ids, ids, parts in _steps(row, asked, wanted):
+            yield _result([_reached(n, q, ids, [p[i] for p in parts], cut[n], k) for i, (n, q) in enumerate(zip(q_rows.tolist(), q_ids.tolist()))], _FOUND)
+
+    return work
+
+
+def _passing(work):
+    """Rows sorted by lane, the candidates' blocks first, as a stream: a lane's blocks are held, and each block of queries that passes meets them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lane, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                cut = {c["query_id"]: c["cutoff"] for c in row["cutoffs"]}
-                for q_ids, ids, parts in _steps(row, set(cut)):
-                    yield _result([_reached(q, ids, [p[i] for p in parts], cut[q], k) for i, q in enumerate(q_ids.tolist())], ["query_id", "vec_id", "score"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["lane"] != lane:
+                    lane, held = row["lane"], []
+                if not row["query"]:
+                    held.append(row)
+                    continue
+                for own in held:
+                    if own["dims"] == row["dims"]:
+                        yield from work(own, row)
 
     return run
 
@@ -164,11 +188,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """(query_id, rank, vec_id, score): for each query row the k largest integer inner products with other ids.
 
     Components become floor(256 * x), x as double; scores are 64-bit integers. Equal scores go by the smaller id.
-    Vectors that are null or empty, or hold a null or a value that isn't finite, take no part, nor do null ids; a query
-    meets candidates of its own length only. Rows that repeat an id stay rows of their own, and none of them
-    answers a query with that id. Fewer than k candidates are all returned.
+    Vectors that are null, or hold a null or a value that isn't finite, take no part, nor do null ids; a query
+    meets candidates of its own length only, an empty one those that are empty, with a score of 0. Rows that repeat an id stay rows of
+    their own: none of them answers a query with that id, and each query row has k results of its own, so a query row that occurs
+    twice has them twice. Fewer than k candidates are all returned.
 
-    The queries' blocks meet the candidates' blocks, each pair in a task's row; no pair of rows is stored. Phase 1
+    Candidates are packed into blocks where they are, and dealt to lanes of about 64 MB, each sent once. Blocks of queries are
+    sent to every lane and pass a task, which holds its lane, as a stream; no pair of rows is stored. Phase 1
     gathers each list's k best entries per run of a block, takes the k-th best full score of all as a safe cutoff, and
     keeps what no other score of the block can pass: the sum of a run's k-th best parts. Phase 2 sends the cutoffs to those
     blocks only whose bound reaches them, which collect the entries that reach the uniform threshold in any list.
@@ -180,41 +206,43 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     def rows(df: DataFrame) -> DataFrame:
         return df.where(F.col(id_col).isNotNull() & _valid(vector_col)).select(F.col(id_col).cast("long").alias("id"), ints.alias("vector"))
 
+    partitions = shuffle_partitions(vectors.sparkSession)
     held = written(_blocks(rows(vectors), CANDIDATE_ROWS), "candidates")
-    spread = max(1, min(shuffle_partitions(vectors.sparkSession), held.count()))
-    held = held.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(spread)).cast("int"))
-    asked = written(_blocks(rows(queries), QUERY_ROWS).select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), "dims", F.col("data").alias("q_data")), "queries")
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("lane")
-    blocks = asked.select("q_block", "dims").distinct()
-
-    def meet(pairs: DataFrame) -> DataFrame:
-        """Candidates' blocks, each with a query block that it is to meet; that is sent once to each of the lanes that they are dealt to."""
-        # never by broadcast: the copies for the lanes look small once compressed
-        return pairs.join(asked.select("*", lanes).hint("merge"), ["q_block", "dims", "lane"])
-
-    blocks_n = blocks.count()
-    first = meet(held.join(F.broadcast(blocks) if blocks_n <= 100_000 else blocks, "dims"))
-    first = first.select("block", "dims", "ids", "data", "q_ids", "q_data").mapInArrow(_gather(k), "query_id long, vec_id long, score long, block long, bound long")
-    seen = written(first, "seen")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    top = seen.select("query_id", "vec_id", "score").withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}")
-    cutoffs = top.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).where(f"n = {k}").drop("n")
-    bounds = seen.groupBy("query_id", "block").agg(F.max("bound").alias("bound"))
-    opened = written(bounds.join(cutoffs, "query_id").where("bound >= cutoff").select("query_id", "block", "cutoff"), "opened")
-    where = asked.select("q_block", F.explode("q_ids").alias("query_id")).distinct()
-    wanted = opened.join(where, "query_id").groupBy("q_block", "block").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
-    second = meet(held.join(wanted, "block")).select("dims", "ids", "data", "q_ids", "q_data", "cutoffs")
-    found = second.mapInArrow(_collect(k), "query_id long, vec_id long, score long")
-    closed = seen.join(opened, ["query_id", "block"], "left_anti").select("query_id", "vec_id", "score")
+    size = held.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("data").cast("long")), F.lit(0)).alias("bytes")).first()
+    spread = max(1, min(partitions, size["n"]), -(-size["bytes"] // LANE_BYTES))
+    lane = F.pmod(F.xxhash64("block"), F.lit(spread)).cast("int")
+    held = held.withColumn("lane", lane)
+    asked = written(_blocks(rows(queries), QUERY_ROWS), "queries")
+    cutoff_type = "array<struct<q_row:bigint,block:bigint,cutoff:bigint>>"
+
+    def meet(candidates: DataFrame, passing: DataFrame, work, names: list[str]) -> DataFrame:
+        """The candidates' blocks of each lane with the blocks of queries that pass it (lane, and cutoffs where there are)."""
+        none = F.lit(None).cast(cutoff_type)
+        sides = [candidates.withColumn("cutoffs", none), passing if "cutoffs" in passing.columns else passing.withColumn("cutoffs", none)]
+        both = [df.select("lane", F.lit(q).alias("query"), "block", "ids", "dims", "data", "cutoffs") for q, df in zip((False, True), sides)]
+        sorted_ = both[0].unionByName(both[1]).repartition(partitions, "lane").sortWithinPartitions("lane", "query")
+        return sorted_.mapInArrow(_passing(work), ", ".join(f"{c} long" for c in names))
+
+    every = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    seen = written(meet(held, every, _gather(k), _SEEN), "seen")
+    best = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "vec_id")
+    top = seen.select("q_row", "vec_id", "score").withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}")
+    cutoffs = top.groupBy("q_row").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).where(f"n = {k}").drop("n")
+    bounds = seen.groupBy("q_row", "block").agg(F.max("bound").alias("bound"))
+    opened = written(bounds.join(cutoffs, "q_row").where("bound >= cutoff").select("q_row", "block", "cutoff"), "opened")
+    wanted = opened.groupBy(F.expr(f"q_row div {NUMBERS}").alias("q_block"), lane.alias("lane")).agg(F.collect_list(F.struct("q_row", "block", "cutoff")).alias("cutoffs"))
+    passing = asked.join(wanted, F.col("block") == F.col("q_block"))
+    found = meet(held.join(opened.select("block").distinct(), "block", "left_semi"), passing, _collect(k), _FOUND)
+    closed = seen.join(opened, ["q_row", "block"], "left_anti").select(_FOUND)
     return found.unionByName(closed).withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e from embeddings
-  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::bigint as score
+  select q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])), 0)::bigint as score
   from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0
 ), r as (
   select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from s

@@ -307,11 +307,11 @@ def test_exact_complements_come_before_best_fit(lengths):
 def test_top_k_matches_brute_force(spark):
     r = np.random.default_rng(2)
     rows = [(i, r.normal(size=6).round(2).tolist()) for i in range(150)]
-    rows += [(150 + i, [0.1] * 6) for i in range(30)] + [(400, None), (401, []), (402, [None] * 6), (403, [float("nan")] * 6), (404, [1.0, 2.0]), (450, [float("inf")] * 6), (None, [0.5] * 6), (3, rows[3][1])]
+    rows += [(150 + i, [0.1] * 6) for i in range(30)] + [(400, None), (401, []), (402, [None] * 6), (403, [float("nan")] * 6), (404, [1.0, 2.0]), (450, [float("inf")] * 6), (None, [0.5] * 6), (3, rows[3][1]), (50, rows[50][1]), (100, rows[7][1]), (500, []), (501, [])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk.top_k(table, table.where("vec_id % 50 = 0")).collect()
-    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-    want = []
+    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []  # each row of a repeated query has results of its own
     for q, a in ok:
         if q % 50 == 0:
             best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q and len(b) == len(a))
@@ -341,7 +341,7 @@ def test_bounds_open_few_blocks_and_miss_nothing(spark, monkeypatch):
     parts = topk._parts(ints[:5], ints[:40])
     full = sum(parts)
     monkeypatch.setattr(topk, "RUN", 10)
-    q_ids, ids, scores, _, bound = topk._seen(np.arange(5), np.arange(40), parts, 4, 0)
+    _, q_ids, ids, scores, _, bound = topk._seen(np.arange(5), np.arange(5), np.arange(40), parts, 4, 0)
     for q in range(5):
         own = scores[q_ids == q].tolist()
         assert len(own) == 4 and own == full[q, ids[q_ids == q]].tolist() == sorted(own, reverse=True)
@@ -349,6 +349,34 @@ def test_bounds_open_few_blocks_and_miss_nothing(spark, monkeypatch):
         assert max(others) <= max(bound[q_ids == q][0], own[-1])
 
 
+def test_candidates_are_sent_once_however_many_queries_there_are(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 32)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    sent, passed, plain = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), topk._passing
+
+    def counting(work):
+        run = plain(work)
+
+        def counted(batches):
+            def seen():
+                for batch in batches:
+                    queries = sum(batch.column("query").to_pylist())
+                    passed.add(queries)
+                    sent.add(batch.num_rows - queries)
+                    yield batch
+
+            yield from run(seen())
+
+        return counted
+
+    monkeypatch.setattr(topk, "_passing", counting)
+    rng = np.random.default_rng(4)
+    table = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(640)], "vec_id long, embedding array<double>").coalesce(2)
+    assert topk.top_k(table, table.where("vec_id % 10 = 0"), 4).count() == 64 * 4
+    blocks = 640 // 32 + 2
+    assert sent.value <= 2 * blocks and passed.value >= 4 * 16  # each candidate block once a phase, 16 query blocks to 4 lanes
+
+
 def test_archives_round_trip(spark, tmp_path):
     pages = [(5, "http://a.example/x?y", "<p>one\r\n\r\nWARC/1.1</p>"), (3, "http://b.example", "<p>one\r\n\r\nWARC/1.1</p>"), (9, None, None), (8, "u\r\nBad: 1", ""), (None, "http://c.example/", "ü" * 70_000), (4, "http://d.example/", "single"), (4, "http://d.example/", "single")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
