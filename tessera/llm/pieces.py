@@ -55,6 +55,7 @@ class Pieces:
             else:
                 self.bytes.append(b" \xe2\x81\x87 " if p.type == 2 else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids))
+        self.commits = 0  # how often a part of a window has become final
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
         # no piece has a space after anything else, so a text may be cut before any space that follows another sign
         # (without bytes for them, runs of unknown signs must not be cut).
@@ -111,8 +112,8 @@ class Pieces:
         """Ids of a text, in which a space stands for itself and no space is put before it.
 
         The search keeps the last piece of the best segmentation of each prefix. Only the last `longest`
-        prefixes can be extended; when the ways back from all of them pass one border, the pieces up to it are
-        final: their ids are handed on and their part of the window is dropped.
+        prefixes can be extended; where the ways back from all of them pass one border, the pieces up to it are
+        final: their ids are handed on and their part of the window is dropped. This is tried every `longest` signs.
         """
         text = text.replace(" ", SPACE)
         out: list[int] = []
@@ -145,7 +146,8 @@ class Pieces:
                 best.append(value)
             here.clear()
             back.append(text[i] if chosen is None else chosen)  # a sign that no piece has stands alone
-            if len(back) > 4 * self.longest and (border := self._border(back)):
+            if (i + 1) % self.longest == 0 and len(back) > self.longest and (border := self._border(back)):
+                self.commits += 1
                 out += self._ids(back, border)
                 base += border
                 back = back[border:]

@@ -456,6 +456,19 @@ def test_pieces_equal_the_library_and_round_trip(docs):
         pieces.encode(docs.withColumn("ids", F.lit(1)), path)
 
 
+def test_windows_become_final_all_along_a_text():
+    from sentencepiece import SentencePieceProcessor
+
+    path = pieces.default_model()
+    model, library = pieces.Pieces(path), SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(6)
+    for text in ("".join(rng.choice(list("aeinrstlo-ü"), 6000)), "überdampf" * 700):  # no spaces: one part
+        before = model.commits
+        ids, at = model.encode_column(pa.array([text]))
+        assert ids.tolist() == library.encode(text) and at.tolist() == [0, len(ids)]
+        assert model.commits - before > len(text) // (2 * model.longest)
+
+
 @pytest.mark.parametrize("fallback", [True, False])
 def test_unigram_pieces_equal_the_library(tmp_path, fallback):
     """A model written by hand; scores are quarters, so that sums are exact in the library's floats, too."""
