@@ -360,10 +360,24 @@ def fingerprint(files: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return files.groupBy(*by).agg(F.count("*").alias("n_files"), F.sha2(F.array_join(lines, ""), 256).alias("fingerprint"))
 
 
-def tree_fingerprint(files: DataFrame, by: tuple[str, ...] = (), parts: int = 256) -> DataFrame:
-    """As fingerprint(), in two levels, for groups of any size: digests of hash ranges of paths, then of these (another value)."""
+#: Paths of a leaf of a tree fingerprint, about.
+LEAF_FILES = 1 << 14
+
+
+def tree_fingerprint(files: DataFrame, by: tuple[str, ...] = (), leaf_files: int = LEAF_FILES) -> DataFrame:
+    """As fingerprint(), in two levels, for groups of any size: digests of hash ranges of paths, then of these (another value).
+
+    A group has as many leaves as its counted files ask for, so neither a leaf nor the list of a group's leaves grows large.
+    """
+    sizes = files.groupBy(*by).agg(F.ceil(F.count("*") / leaf_files).cast("long").alias("_leaves"))
+    names = {c: f"_k{i}" for i, c in enumerate(by)}
+    same = F.lit(True)
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    held = files.join(sizes.withColumnsRenamed(names), same)
     lines = F.array_sort(F.collect_list(F.concat("path", F.lit(":"), "digest", F.lit("\n"))))
-    leaves = files.groupBy(*by, (F.conv(F.substring(F.sha2("path", 256), 1, 8), 16, 10).cast("long") % parts).alias("_p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(lines, ""), 256).alias("d"))
+    leaf = F.conv(F.substring(F.sha2("path", 256), 1, 8), 16, 10).cast("long") % F.col("_leaves")
+    leaves = held.groupBy(*by, leaf.alias("_p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(lines, ""), 256).alias("d"))
     nodes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "d"))), lambda x: x["d"]), "\n")
     return leaves.groupBy(*by).agg(F.sum("n").alias("n_files"), F.sha2(nodes, 256).alias("fingerprint"))
 

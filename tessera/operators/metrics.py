@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..functions.stats import finite_mean, is_finite, linear_percentile, safe_div
-from .ranks import with_percentiles
+from ..functions.stats import finite_mean, is_finite, safe_div
+from .lineage import written
+from .ranks import percentiles_of_sets, with_percentiles
 
 PCK = (0.05, 0.10, 0.15)
 DIMENSIONS = ("dataset_id", "capture_source_id", "proposal_variant", "source_group_id", "distance", "lighting")
@@ -106,18 +107,19 @@ def collapse_rate(measured: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def grouped_report(measured: DataFrame, dims: tuple[str, ...] = DIMENSIONS) -> DataFrame:
     """All reports for all rows and for each value of each dimension, in one pass of grouping sets, and the percentiles by rank.
 
-    dimension is "all" or a name; empty and missing values are "unknown".
+    dimension is "all" or a name; empty and missing values are "unknown". The measures are written once, as both passes read them.
     """
-    filled = measured.select(*(c for c in measured.columns if c not in dims), *(F.coalesce(F.nullif(F.col(d), F.lit("")), F.lit("unknown")).alias(d) for d in dims))
+    needed = ["present", "predicted_present", "error_px", "nme", *(c for c in measured.columns if c.startswith("hits_")), "handedness", "predicted_handedness", "collapsed"]
+    filled = measured.select(*needed, *(F.coalesce(F.nullif(F.col(d), F.lit("")), F.lit("unknown")).alias(d) for d in dims))
+    filled = written(filled, "measured")
     sets = [[], *([F.col(d)] for d in dims)]
     aggregates = [F.count("*").alias("n"), *confusion_aggregates(F.col("present"), F.col("predicted_present")), *landmark_aggregates(), *handedness_aggregates(), *collapse_aggregates()]
     report = filled.groupingSets(sets, *(F.col(d) for d in dims)).agg(*aggregates, *(F.grouping(d).alias(f"_{d}") for d in dims))
     dimension = F.coalesce(*(F.when(F.col(f"_{d}") == 0, d) for d in dims), F.lit("all"))
     value = F.coalesce(*(F.when(F.col(f"_{d}") == 0, F.col(d)) for d in dims), F.lit("all"))
     report = report.select(dimension.alias("dimension"), value.alias("value"), *(c for c in report.columns if c.lstrip("_") not in dims))
-    entries = F.array(F.struct(F.lit("all").alias("dimension"), F.lit("all").alias("value")), *(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims))
-    rows = filled.select("error_px", "nme", F.explode(entries).alias("e")).select("error_px", "nme", "e.*")
-    return with_percentiles(report, rows, LANDMARK_PERCENTILES, ("dimension", "value"))
+    shares = percentiles_of_sets(filled, dims, LANDMARK_PERCENTILES)
+    return report.join(shares, ["dimension", "value"], "left")
 
 
 def per_landmark_error(measured: DataFrame) -> DataFrame:
@@ -144,7 +146,10 @@ def threshold_sweep(rows: DataFrame, truth: str, score: str, thresholds: list[fl
 def run_summary(decorated: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Means over the rows of a run: error (and its p90, the value nearest to the rank), NME, bone error, collapse (spread below 0.10), accuracies, PCK of 255 pixels."""
     known = F.col("handedness").isin("Left", "Right")
-    errors = [safe_div(F.sum(P.within(F.col("errors_px"), t * P.ROI_SIDE_PX)), F.count("errors_px") * P.N_POINTS).alias(f"pck_{round(100 * t):03d}") for t in PCK]
+    needed = ("error_px", "nme", "bone_error", "predicted_spread", "present", "predicted_present", "handedness", "predicted_handedness")
+    hits = {f"_h{k}": P.within(F.col("errors_px"), t * P.ROI_SIDE_PX) for k, t in enumerate(PCK)}
+    decorated = written(decorated.select(*by, *needed, F.col("errors_px").isNotNull().alias("_counted"), *(c.alias(n) for n, c in hits.items())), "decorated")
+    errors = [safe_div(F.sum(n), F.count_if("_counted") * P.N_POINTS).alias(f"pck_{round(100 * t):03d}") for n, t in zip(hits, PCK)]
     report = decorated.groupBy(*by).agg(
         F.count("*").alias("records"),
         F.count("error_px").alias("positive_records"),
@@ -186,7 +191,8 @@ def low_quantile_flags(train: DataFrame, gold: DataFrame, p: float = 0.01) -> Da
     """Training rows whose skeleton length, box area or palm width lies below the gold rows' p-quantile."""
     measures = {"skeleton_length": P.skeleton_length, "bbox_area": P.bbox_area, "palm_width": P.palm_width}
     measured = train.select("*", *(f(F.col("points")).alias(n) for n, f in measures.items()))
-    limits = gold.agg(*(linear_percentile(f(F.col("points")), p).alias(f"least_{n}") for n, f in measures.items()))
+    gold = gold.select(*(f(F.col("points")).alias(n) for n, f in measures.items()))
+    limits = with_percentiles(gold.agg(F.count("*").alias("_gold")), gold, {f"least_{n}": (n, p) for n in measures}).drop("_gold")
     flagged = measured.crossJoin(F.broadcast(limits))  # one row
     flags = F.array_compact(F.array(*(F.when(F.col(n) < F.col(f"least_{n}"), n) for n in measures)))
     return flagged.withColumn("low", flags).where(F.size("low") > 0).drop(*(f"least_{n}" for n in measures))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import points as P
 from ..functions.stats import safe_div
+from .lineage import written
 from .ranks import mid_rank, with_percentiles
 
 # fixed values
@@ -66,6 +67,8 @@ def source_report(scored: DataFrame, by: str = "capture_source_id", eligible: st
     Of brightness, distance and lighting those that the rows have are reported, too: the mean, and the value of the first id.
     eligible names a flag of the rows that a round may take; they are counted.
     """
+    needed = {by, "roi_id", "error_px", "pck_005", "pck_010", "collapse", "difficulty", "hand_flag", "hand_known", "handedness_error", "pose_span", "brightness", "distance", "lighting", eligible}
+    scored = written(scored.select(*(c for c in scored.columns if c in needed)), "scored")  # read by the report and the percentiles
     more = [F.avg("brightness").alias("mean_brightness")] if "brightness" in scored.columns else []
     more += [F.min_by(c, "roi_id").alias(c) for c in ("distance", "lighting") if c in scored.columns]
     more += [F.count_if(eligible).alias("eligible")] if eligible else []

@@ -68,6 +68,39 @@ def with_percentiles(report: DataFrame, rows: DataFrame, wanted: dict[str, tuple
     return report.join(found, on, "left").drop(*names)
 
 
+def percentiles_of_sets(rows: DataFrame, dims: tuple[str, ...], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """(dimension, value, wanted columns): linear percentiles of all rows ("all", "all") and of the rows of each value of each dimension.
+
+    Values are sorted once for all dimensions, in ranges that are written with their rows' dimensions, and counted per range and
+    group where they are. A percentile's ranks lie in two ranges at most; only values of these ranges are ranked, for the groups
+    that ask for them. So rows are shuffled once per measure, whatever the number of dimensions. Values that aren't finite don't count.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    entries = F.array(*(F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_x")) for c in columns))
+    long = rows.select(*dims, F.explode(entries).alias("_e")).select(*dims, "_e._m", "_e._x").where("not isnan(_x) and abs(_x) <> double('inf')")
+    ranged = written(long.repartitionByRange("_m", "_x").withColumn("_r", F.spark_partition_id()), "ranged")
+    groups = F.array(F.struct(F.lit("all").alias("dimension"), F.lit("all").alias("value")), *(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims))
+    each = ranged.select("_m", "_x", "_r", F.explode(groups).alias("_g")).select("_m", "_x", "_r", "_g.*")
+    key = ["_m", "dimension", "value"]
+    group = Window.partitionBy(*key)  # a row per range
+    spans = each.groupBy(*key, "_r").agg(F.count("*").alias("_t"))
+    spans = spans.select(*key, "_r", "_t", F.coalesce(F.sum("_t").over(group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"), F.sum("_t").over(group).alias("_n"))
+    asks = F.array(*(F.struct(F.lit(out).alias("_out"), F.lit(c).alias("_c"), F.lit(float(p)).alias("_p")) for out, (c, p) in wanted.items()))
+    asked = spans.select("*", F.explode(asks).alias("_a")).where("_a._c = _m").select(*key, "_r", "_t", "_b", "_a._out", ((F.col("_n") - 1) * F.col("_a._p")).alias("_place"))
+    inside = lambda k: (F.col("_b") <= k) & (k < F.col("_b") + F.col("_t"))
+    low, high = F.floor("_place"), F.ceil("_place")
+    asked = written(asked.where(inside(low) | inside(high)), "asked")
+    opened = asked.select(*key, "_r", "_b").distinct()
+    counts = each.join(opened, [*key, "_r"]).groupBy(*key, "_r", "_b", "_x").agg(F.count("*").alias("_e"))
+    upto = Window.partitionBy(*key, "_r").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_to", F.col("_b") + F.sum("_e").over(upto)).drop("_b")
+    met = asked.drop("_b", "_t").join(counts, [*key, "_r"])
+    holds = lambda k: F.max(F.when((F.col("_to") - F.col("_e") <= k) & (k < F.col("_to")), F.col("_x")))
+    found = met.groupBy("dimension", "value", "_out", "_place").agg(holds(low).alias("_lo"), holds(high).alias("_hi"))
+    found = found.withColumn("_v", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_place") - low))
+    return found.groupBy("dimension", "value").agg(*(F.max(F.when(F.col("_out") == out, F.col("_v"))).alias(out) for out in wanted))
+
+
 #: Rows of a cell that are summed in one part, about.
 PART_ROWS = 1 << 16
 

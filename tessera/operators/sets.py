@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .lineage import written
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -28,3 +31,13 @@ def ordered_output(df: DataFrame, *keys, partitions: int | None = None) -> DataF
     """Rows in the order of the keys across partitions, for stable exports."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
+def ordered_positions(df: DataFrame, *keys: str, out: str = "position") -> DataFrame:
+    """df with each row's place, from 1, in the order of the keys: places in a range, behind the rows of the ranges before, which are counted."""
+    ranged = written(df.repartitionByRange(*keys).withColumn("_r", F.spark_partition_id()), "ordered")
+    sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    sizes = sizes.select("_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_b"))
+    own = F.row_number().over(Window.partitionBy("_r").orderBy(*keys))
+    return ranged.withColumn("_o", own).join(sizes, "_r").withColumn(out, F.col("_b") + F.col("_o")).drop("_r", "_b", "_o")

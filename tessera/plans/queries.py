@@ -465,11 +465,11 @@ def source_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.fingerprint(A.asset_rows(spark, sf_dir).withColumn("path", F.col("id").cast("string")), ("group",))
 
 
-@query(f"""{A.with_sql('assets')}, l as (select "group", id || ':' || digest || chr(10) as line, ('0x' || substr(sha256(id::varchar), 1, 8))::bigint % 256 as p from assets),
+@query(f"""{A.with_sql('assets')}, l as (select "group", id || ':' || digest || chr(10) as line, ('0x' || substr(sha256(id::varchar), 1, 8))::bigint % ceil(count(*) over (partition by "group") / 64)::bigint as p from assets),
 d as (select "group", p, count(*) as n, sha256(string_agg(line, '' order by line)) as d from l group by all) select "group", sum(n)::bigint as n_files, sha256(string_agg(d, chr(10) order by p)) as fingerprint from d group by 1""")
 def source_tree_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As source_fingerprints, for sources of any size."""
-    return joins.tree_fingerprint(A.asset_rows(spark, sf_dir).withColumn("path", F.col("id").cast("string")), ("group",))
+    return joins.tree_fingerprint(A.asset_rows(spark, sf_dir).withColumn("path", F.col("id").cast("string")), ("group",), 64)
 
 
 @query(f"""{A.with_sql('strata')} select id, 1.0 / count(*) over (partition by source_sequence_id) as inverse from strata""")

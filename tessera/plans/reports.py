@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..operators import detections, joins, metrics, mining, telemetry
+from ..operators import detections, joins, metrics, mining, sets, telemetry
 from ..operators.lineage import shared_folder, written
 from ..sources import files
 from ..streaming import telemetry as live
@@ -342,20 +342,41 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.with_sql('assets')}, s as (select split, count(*) as n from assets group by 1), r as (select id % 3 as round_id, count(*) as n from assets where id % 3 < 2 group by 1)
-select 'snapshot' as what, split as part, n from s union all select 'ledger', round_id::varchar, n from r union all select 'registry', status, count(*) from (select case when id % 2 = 0 then 'open' else 'closed' end as status from assets) group by 2""")
+select 'snapshot' as what, split as part, n from s union all select 'ledger', round_id::varchar, n from r union all select t, case when id % 2 = 0 then 'open' else 'closed' end, count(*) from assets, (values ('negative_datasets'), ('selections'), ('hard_datasets')) v(t) group by 1, 2
+union all select 'rois', sample_type, count(*) from assets group by 2 union all select 'published_negatives', split, count(*) from assets group by 2""")
 def written_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot by split with its report, a ledger of two rounds, and a registry table."""
+    """A snapshot by split with its report, a ledger of two rounds, and the five registry tables."""
     assets = A.asset_rows(spark, sf_dir)
     report = files.write_snapshot(assets, _folder(spark, "snapshot"))
     ledger, store = _folder(spark, "ledger"), _folder(spark, "registry")
     for k in range(2):
         files.append_round(assets.where(F.col("id") % 3 == k).withColumn("round_id", F.lit(k)), ledger)
     rounds = spark.read.parquet(ledger).groupBy("round_id").agg(F.count("*").alias("n"))
-    assets.select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 2 == 0, "open").otherwise("closed").alias("status")).write.parquet(f"{store}/selections.parquet")
-    registry = files.read_registry(spark, store, "selections").groupBy("status").agg(F.count("*").alias("n"))
-    parts = [("snapshot", report, "split"), ("ledger", rounds, "round_id"), ("registry", registry, "status")]
-    made = [df.select(F.lit(what).alias("what"), F.col(c).cast("string").alias("part"), "n") for what, df, c in parts]
-    return made[0].union(made[1]).union(made[2])
+    i = F.col("id").cast("string")
+    status = assets.select(i.alias("id"), F.when(F.col("id") % 2 == 0, "open").otherwise("closed").alias("status"))
+    rois = assets.select(i.alias("roi_id"), i.alias("raw_image_id"), F.col("group").alias("capture_source_id"), F.col("sample_type").alias("proposal_variant"), F.lit(1).alias("proposal_slot"), F.col("digest").alias("crop_relpath"))
+    negatives = assets.select(i.alias("roi_id"), F.col("split").alias("negative_dataset_id"), F.col("digest").alias("published_relpath"))
+    made = [("snapshot", report, "split"), ("ledger", rounds, "round_id")]
+    for name, rows, part in (("rois", rois, "proposal_variant"), ("published_negatives", negatives, "negative_dataset_id"), *((n, status, "status") for n in ("negative_datasets", "selections", "hard_datasets"))):
+        rows.write.parquet(f"{store}/{name}.parquet")
+        made.append((name, files.read_registry(spark, store, name).groupBy(part).agg(F.count("*").alias("n")), part))
+    counts = [df.select(F.lit(what).alias("what"), F.col(c).cast("string").alias("part"), "n") for what, df, c in made]
+    return sets.union_all(*counts)
+
+
+@query("""with e as (select vec_id, 0.05 + abs(embedding[45]::double) as s, 6 * embedding[46]::double as a, 6 * embedding[47]::double as b from embeddings),
+c as (select vec_id, 4 * s * s as area, 2 * 4 * s * s / (1 + abs(sin(a - b)) + abs(cos(a - b))) as shared from e) select vec_id, round(shared / (2 * area - shared), 6) as iou from c""")
+def turned_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of equal squares about one centre, each turned by an angle of its own; their overlap has a closed form."""
+    e = F.col("embedding")
+    number = lambda k: e[k].cast("double")
+    side = 2 * (0.05 + F.abs(number(44)))
+
+    def square(angle):
+        return P.corners(F.struct((0.5 + number(42)).alias("x_center"), (0.5 + number(43)).alias("y_center"), side.alias("width"), side.alias("height"), angle.alias("rotation_rad")))
+
+    pairs = A.table(spark, sf_dir, "embeddings").select("vec_id", square(6 * number(45)).alias("quad_a"), square(6 * number(46)).alias("quad_b"))
+    return rounded(detections.rotated_iou(pairs).select("vec_id", "iou"))
 
 
 @query(f"""{A.with_sql('assets')}, p as (select split, id % 8 as part, string_agg(id || ':' || digest, chr(10) order by id) || chr(10) as body from assets group by all) select 'split=' || split || '/part=' || part as folder, length(body) as length, sha256(body) as digest, 1::bigint as n_same_path, 'not_png' as problem from p""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import joins, quotas, scoring, selection
@@ -239,18 +239,31 @@ _SMOKE = {"gold_positive": 8, "pseudo_positive": 8, "gold_negative": 40, "pseudo
 {_diverse_sql('r', 'category', 'smoke')}, have as (select count(*) as n from r where category = 'gold_negative'),
 want(category, quota) as (select 'gold_positive', 8::bigint union all select 'pseudo_positive', 8 union all select 'gold_negative', least(40, n) from have union all select 'pseudo_neg_runtime', 4 + greatest(40 - n, 0) from have union all select 'pseudo_neg_low', 4),
 chosen as (select * from ranked join want using (category) where rank <= quota), hands as (select distinct lower(handedness) as hand from ranked where category in ('gold_positive', 'pseudo_positive')),
-missing as (select hand from hands where hand not in (select lower(handedness) from chosen where category in ('gold_positive', 'pseudo_positive')))
-select category, count(*) as n, count(distinct lower(handedness)) as hands, (select count(*) from missing) = 0 as complete from chosen group by 1""")
+missing as (select hand from hands where hand not in (select lower(handedness) from chosen where category in ('gold_positive', 'pseudo_positive'))),
+forced as (select r.id, r.category, hand from missing join (select *, row_number() over (partition by lower(handedness) order by category, rank) as nth from ranked where category in ('gold_positive', 'pseudo_positive')) r on lower(r.handedness) = hand and nth = 1),
+slots as (select f.id, f.category, quota + 1 - row_number() over (partition by f.category order by hand) as rank from forced f join want using (category))
+select id, category, handedness from chosen where (category, rank) not in (select category, rank from slots) union all select r.id, r.category, r.handedness from ranked r join slots s using (id)""")
 def smoke_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small set by category; what gold negatives lack goes to pseudo negatives at runtime."""
+    """A small set by category; what gold negatives lack goes to pseudo negatives at runtime, and each known hand is in it."""
     rows = A.published(spark, sf_dir).withColumn("id", F.col("v"))
     positive = F.col("present")
     gold = (F.col("v") % 3 == 0) | (~positive & (F.col("v") % 45 == 5))
     category = F.when(gold, F.when(positive, "gold_positive").otherwise("gold_negative")).when(positive, "pseudo_positive").when(F.col("proposal_kind") == "runtime", "pseudo_neg_runtime").otherwise("pseudo_neg_low")
     rows = rows.select("id", "present", "handedness", category.alias("category"), F.concat(F.lit("s"), F.floor(F.col("v") / 4)).alias("source_sequence_id"))
-    chosen = selection.smoke_set(rows, _SMOKE, "smoke")
-    complete = F.size(F.collect_set(F.when(positive, F.lower("handedness"))).over(Window.partitionBy(F.lit(0)))) == 3  # the chosen rows
-    return chosen.withColumn("complete", complete).groupBy("category", "complete").agg(F.count("*").alias("n"), F.count_distinct(F.lower("handedness")).alias("hands"))
+    return selection.smoke_set(rows, _SMOKE, "smoke").select("id", "category", "handedness")
+
+
+@query(f"""{A.with_sql('labels')}, r as (select roi_id, present, palm_valid, roi_id[5:]::bigint as v from labels), b as (select * from r where present), h as (select * from b where v % 5 = 1 or v % 7 = 3)
+select 'geometry' as stage, roi_id, null as mix_role from b union all select 'multitask', roi_id, null from b union all select 'multitask', roi_id, null from r where not present and palm_valid
+union all select 'multi_finetune', roi_id, 'hard' from h union all select 'multi_finetune', roi_id, 'hard' from r where not present and palm_valid union all select 'multi_finetune', roi_id, 'replay' from b where roi_id not in (select roi_id from h)""")
+def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members of the three training stages."""
+    rows = A.roi_labels(spark, sf_dir).select("roi_id", "present", "palm_valid", F.substring("roi_id", 5, 20).cast("long").alias("v"), F.lit(1.0).alias("weight"))
+    base, negatives, hard = rows.where("present"), rows.where("not present and palm_valid"), rows.where("present and (v % 5 = 1 or v % 7 = 3)")
+    stages = {"geometry": selection.stage_members("geometry", base), "multitask": selection.stage_members("multitask", base, negatives), "multi_finetune": selection.stage_members("multi_finetune", base, negatives, hard)}
+    role = lambda df: F.col("mix_role") if "mix_role" in df.columns else F.lit(None).cast("string")
+    made = [df.select(F.lit(name).alias("stage"), "roi_id", role(df).alias("mix_role")) for name, df in stages.items()]
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 @query(f"""{A.with_sql('assets')} select id, split from assets where id % 3 > 0""")

@@ -419,6 +419,12 @@ def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.union_all(*counts, differs)
 
 
+@query(f"""{A.with_sql('assets')} select id, row_number() over (order by digest, id) as position from assets""")
+def export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in a stable export."""
+    return sets.ordered_positions(A.asset_rows(spark, sf_dir), "digest", "id").select("id", "position")
+
+
 @query("""select event_id, value, case when event_id % 4 = 0 then '../x' when event_id % 4 = 1 then '/abs' when event_id % 4 = 2 then 'a/b' else '' end as path, event_id % 4 <> 2 as unsafe, event_id % 3 <> 1 as timed,
   '{"a":' || event_id || ',"b":{"c":"x","d":[1,2]}}' as canonical, sha256('[{"k":' || event_id || ',"n":2}]') as cells from events""".replace("event_id, value,", "event_id,"))
 def text_checks(spark: SparkSession, sf_dir: str) -> DataFrame:

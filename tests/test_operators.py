@@ -3,6 +3,8 @@
 import hashlib
 import math
 
+import numpy as np
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -212,6 +214,29 @@ def test_mid_rank_in_ranges_equals_one_range(spark):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("partitions", ["1", "5"])
+def test_percentiles_of_sets_equal_numpy(spark, partitions):
+    """Ties, a group of one row, a hot value, values that aren't finite."""
+    rng, rows = np.random.default_rng(1), []
+    for i in range(900):
+        v = [0.25, float(rng.integers(6)), float(rng.normal()), float("nan"), None, float("inf")][min(int(rng.integers(9)), 5) if i % 3 else 0]
+        rows.append((f"a{rng.integers(4)}", "only" if i == 5 else f"b{i % 2}", v, float(rng.normal()), None))
+    table_ = spark.createDataFrame(rows, "a string, b string, x double, y double, z double")
+    wanted = {"x50": ("x", 0.5), "x95": ("x", 0.95), "x0": ("x", 0.0), "y1": ("y", 1.0), "y33": ("y", 0.33), "z50": ("z", 0.5)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {(r.dimension, r.value): r for r in ranks.percentiles_of_sets(table_, ("a", "b"), wanted).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    groups = {("all", "all"): rows} | {(d, v): [r for r in rows if r[k] == v] for k, d in enumerate("ab") for v in {r[k] for r in rows}}
+    assert set(got) == set(groups)
+    for g, own in groups.items():
+        for out, (c, p) in wanted.items():
+            values = [r["abxyz".index(c)] for r in own if r["abxyz".index(c)] is not None and math.isfinite(r["abxyz".index(c)])]
+            assert got[g][out] == (pytest.approx(np.quantile(values, p)) if values else None)
+
+
 def test_draws_follow_weights_and_partitions_do_not_matter(spark):
     rows = spark.createDataFrame([(i, "c", float(i % 4)) for i in range(40)], "id int, cell string, weight double")
     plan = spark.createDataFrame([("c", 4000)], "cell string, quota long")
