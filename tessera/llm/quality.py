@@ -17,8 +17,6 @@ BUCKETS = 1 << 16
 #: The model is fitted and its cut is set on this many labelled rows at most, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
 SEED = 17
-#: An importance weight is the ratio of the two models over this many average n-grams, for texts of any length.
-SHARPNESS = 64.0
 
 _CLASS = np.zeros((4, 256), np.int64)  # lower-case, upper-case, digit, other ASCII
 _CLASS[0, 97:123] = _CLASS[1, 65:91] = _CLASS[2, 48:58] = 1
@@ -189,15 +187,18 @@ def kth_largest(df: DataFrame, column: str, k: int, cells: int = 4096) -> float
     return high
 
 
-def resample(scored: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
+def resample(scored: DataFrame, fraction: float, seed: int = SEED, sharpness: float | None = None) -> DataFrame:
     """scored with log_weight, gumbel_key and selected: a share of the accepted rows, drawn without replacement by weight.
 
+    A text's weight is the ratio of the two models, the product over all its n-grams. With `sharpness` it is that power of the ratio's
+    geometric mean instead, so that a text's length has no part in it.
+
     Gumbel top-k: the weight's logarithm plus Gumbel noise, from a hash of the id, is the key; the
     rows with the k largest keys are a weighted draw. k is the share of the accepted rows, rounded; rows
     with equal ids and scores have one key and are selected together. With fraction 1 all accepted rows are selected.
     """
     noise = -F.log(-F.log((F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 11) + 0.5) / float(1 << 53)))
-    scored = scored.withColumn("log_weight", F.col("quality_score") * SHARPNESS)
+    scored = scored.withColumn("log_weight", F.col("quality_score") * (F.col("n_ngrams") if sharpness is None else F.lit(sharpness)))
     scored = scored.withColumn("gumbel_key", F.when(F.col("accepted"), F.col("log_weight") + noise))
     if fraction >= 1:
         return scored.withColumn("selected", F.col("accepted"))
