@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -128,9 +129,27 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
     return files.join(same, F.lower("path") == F.col("_p")).drop("_p")
 
 
+def _opened(path: str):
+    store, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return store.open_input_file(name)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each file, read piece by piece."""
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            with _opened(path) as f:
+                while piece := f.read(1 << 20):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], ["path", "digest"])
+
+
 def content_digest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """(path, digest): SHA-256 of each file's bytes."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root).select("path", F.sha2("content", 256).alias("digest"))
+    """(path, digest): SHA-256 of each file's bytes, of files of any size; the tasks that get the names read the files."""
+    return file_inventory(spark, root, glob).select("path").repartition("path").mapInArrow(_digests, "path string, digest string")
 
 
 #: Bytes of a PNG file up to its colour type.
@@ -144,8 +163,7 @@ def _heads(n: int):
         for batch in batches:
             heads = []
             for path in batch.column("path").to_pylist():
-                store, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-                with store.open_input_file(name) as f:
+                with _opened(path) as f:
                     heads.append(f.read(n))
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(heads, pa.binary())], ["path", "head"])
 
