@@ -39,6 +39,10 @@ def _record(kind: Column, record_id: Column, headers: list[Column], media: str,
     return F.concat(F.concat_ws(_END, *lines), F.lit(2 * _END), block)
 
 
+#: Equal rows whose numbers are made from one row.
+COPIES = 1 << 16
+
+
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Writes a request, a response or revisit and a metadata record per row (page_id, url, html) as gzipped WARC files.
 
@@ -55,7 +59,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     order = F.struct(F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("page"), "url")
     shared = F.octet_length("html") >= least_bytes
     rows = pages.select("page_id", "url", "sha1", F.octet_length("html").alias("size"), shared.alias("shared"), order.alias("order")).groupBy("page_id", "url", "sha1", "size", "shared", "order").agg(F.count("*").alias("n"))
-    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    # the numbers of equal rows, in chunks: no array grows with the rows
+    rows = rows.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.col("chunk") * COPIES + 1, F.least("n", (F.col("chunk") + 1) * COPIES)))).drop("chunk")
     firsts = pages.where(shared).groupBy(F.col("sha1").alias("of")).agg(F.min(order).alias("first"))
     rows = rows.where("shared").join(firsts, F.col("sha1") == F.col("of")).withColumn("leads", F.col("order").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
     answers = pages.where(shared).groupBy("sha1").agg(F.first("html").alias("html"), F.min(F.struct(order.alias("order"), "page_id")).alias("lead"))
@@ -194,17 +200,17 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 def assemble(found: DataFrame) -> DataFrame:
     """One row per capture: its response or revisit, request and metadata, as structs; null where one is missing.
 
-    Records belong together that name one record in WARC-Concurrent-To, or are it. Of several records of one kind and capture one is
-    taken; no records give no rows.
+    Records belong together that name one record in WARC-Concurrent-To, or are it. Of several records of one kind and capture the
+    smallest is taken, field by field, so that a rerun takes the same; no records give no rows.
     """
     own = F.col("record_type").isin("response", "revisit")
     capture = F.struct("record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "digest_ok", "payload")
     return (
         found.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id"))
         .agg(
-            F.first(F.when(own, capture), ignorenulls=True).alias("capture"),
-            F.first(F.when(F.col("record_type") == "request", F.struct("record_id", "target_uri")), ignorenulls=True).alias("request"),
-            F.first(F.when(F.col("record_type") == "metadata", F.struct("record_id", "page_id")), ignorenulls=True).alias("metadata"),
+            F.min(F.when(own, capture)).alias("capture"),
+            F.min(F.when(F.col("record_type") == "request", F.struct("record_id", "target_uri"))).alias("request"),
+            F.min(F.when(F.col("record_type") == "metadata", F.struct("record_id", "page_id"))).alias("metadata"),
         )
     )
 

@@ -322,6 +322,19 @@ def test_top_k_matches_brute_force(spark):
 
 # archives
 
+def test_records_that_share_an_id_and_rows_that_repeat_often(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", 3)
+    path = str(tmp_path / "often")
+    warc.write_archives(spark.createDataFrame([(1, "http://a.example/", "same")] * 8, "page_id long, url string, html string"), path)
+    found = warc.read_records(spark, path)
+    rows = warc.assemble(found).collect()
+    assert sorted(r.capture.record_type for r in rows) == ["response"] + ["revisit"] * 7
+    twice = found.unionByName(found.withColumn("target_uri", F.lit("http://0.example/")))
+    again = {tuple(map(str, r)) for r in warc.assemble(twice.repartition(5)).collect()}
+    assert again == {tuple(map(str, r)) for r in warc.assemble(twice.repartition(1)).collect()} and len(again) == 8
+    assert {r.capture.target_uri for r in warc.assemble(twice).collect()} == {"http://0.example/"}
+
+
 def test_bounds_open_few_blocks_and_miss_nothing(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_ROWS", 32)
     monkeypatch.setattr(topk, "QUERY_ROWS", 8)
