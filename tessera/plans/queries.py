@@ -387,12 +387,12 @@ def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quotas.group_size_stats(A.strata_rows(spark, sf_dir), "source_sequence_id", ("dataset_id",)))
 
 
-@query(f"""{A.with_sql('strata')} select sample_type, round(sum(weight / t * 100), 4) as expected, round(sum(weight / t * 100) / sum(sum(weight / t * 100)) over (), 6) as share from (select *, sum(weight) over (partition by status) as t from strata) group by 1""")
+@query(f"""{A.with_sql('strata')} select sample_type, round(sum(weight / t * 100), 4) as expected, round(sum(weight / t * 100) / sum(sum(weight / t * 100)) over (), 6) as share, sum(weight / t * 100) / sum(sum(weight / t * 100)) over () <= 0.25::double + 1e-12 as within_limit from (select *, sum(weight) over (partition by status) as t from strata) group by 1""")
 def expected_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.strata_rows(spark, sf_dir).withColumn("cell", F.col("status"))
     cells = rows.select("cell").distinct().withColumn("quota", F.lit(100))
-    found = quotas.expected_draws(rows, cells, "sample_type")
-    return found.select("sample_type", F.round("expected", 4).alias("expected"), F.round("share", 6).alias("share"))
+    found = quotas.expected_draws(rows, cells, "sample_type", 0.25)
+    return found.select("sample_type", F.round("expected", 4).alias("expected"), F.round("share", 6).alias("share"), "within_limit")
 
 
 @query(f"""{A.with_sql('strata')}, r as (select *, row_number() over (partition by status, priority order by sha256('robin' || chr(31) || id), id) as n from strata), t as (select *, row_number() over (order by n, status, priority)::integer as position from r)

@@ -435,3 +435,38 @@ def text_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     json = F.format_string('{ "b": {"d": [1, 2], "c": "x"}, "a": %d }', i)
     cells = F.array(F.struct(i.alias("k"), F.lit(2).alias("n")))
     return A.table(spark, sf_dir, "events").select("event_id", path.alias("path"), X.unsafe_path(path).alias("unsafe"), X.is_timestamp(when).alias("timed"), X.canonical_json(json).alias("canonical"), X.cells_digest(cells).alias("cells"))
+
+
+@query("""with p as (select page_id, regexp_replace(url, '^[a-z]+://[^/]*', '') as own from pages), q as (select page_id, case page_id % 4 when 0 then own when 1 then own[2:] when 2 then '../' || own[2:] else replace(own[2:], '/', '/../') end as path from p)
+select page_id, path, path = '' or starts_with(path, '/') or list_contains(string_split(path, '/'), '..') as unsafe from q""")
+def url_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of pages' addresses, with and without what makes them unsafe in a manifest."""
+    k = F.col("page_id") % 4
+    at = F.regexp_replace("url", "^[a-z]+://[^/]*", "")
+    own = F.substring("at", 2, 1 << 20)
+    path = F.when(k == 0, F.col("at")).when(k == 1, own).when(k == 2, F.concat(F.lit("../"), own)).otherwise(F.regexp_replace(own, "/", "/../"))
+    rows = A.table(spark, sf_dir, "pages").select("page_id", at.alias("at")).withColumn("path", path)
+    return rows.select("page_id", "path", X.unsafe_path(F.col("path")).alias("unsafe"))
+
+
+@query("""with e as (select event_id, json_extract_string(props, '$.k') as k, value::integer % 40 + 1 as d from events)
+select event_id, '{"props":{"k":' || k || '},"z":[{"a":' || k || ',"b":null},2]}' as canonical, d <= 31 as timed from e""")
+def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' JSON inside other JSON, in canonical form, and dates of which some don't exist."""
+    json = F.concat(F.lit('{"z": [ {"b": null, "a": '), F.get_json_object("props", "$.k"), F.lit(' }, 2 ],  "props": '), "props", F.lit("}"))
+    day = F.format_string("2024-01-%02dT10:00:00Z", F.bround("value", 0).cast("int") % 40 + 1)
+    return A.table(spark, sf_dir, "events").select("event_id", X.canonical_json(json).alias("canonical"), X.is_timestamp(day).alias("timed"))
+
+
+@query(f"""{A.with_sql('assets')} select id, count(*) as n from (select id from assets union all select id from assets where id % 17 = 0 union all select id from assets where id % 34 = 0) group by 1 having count(*) > 1""")
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assets = A.asset_rows(spark, sf_dir).select("id")
+    return joins.duplicate_ids(assets.union(assets.where("id % 17 = 0")).union(assets.where("id % 34 = 0")), "id")
+
+
+@query("""with i as (select vec_id, list_transform(range(0, 21), lambda k: (k * (vec_id % 22))::bigint % 21) as ids from embeddings) select vec_id, len(list_distinct(ids)) < 21 as repeated from i""")
+def repeated_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points whose ids are made by steps; some steps come to an id twice."""
+    step = F.col("vec_id") % 22
+    points = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda k: F.struct((k * step % 21).alias("id"), F.col("embedding")[k].alias("x")))
+    return A.table(spark, sf_dir, "embeddings").select("vec_id", P.has_duplicate_ids(points).alias("repeated"))

@@ -51,7 +51,7 @@ def read_text_with_line_no(spark: SparkSession, paths: str | list[str]) -> DataF
     firsts = rows.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(_running("file", "_block")), F.lit(0))
     firsts = firsts.select("file", "_block", "_first", before.alias("_before"))
-    return rows.join(F.broadcast(firsts) if firsts.count() <= 100_000 else firsts, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_no"), "line")
+    return rows.join(firsts, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_no"), "line")
 
 
 def _running(partition: str, order: str):
