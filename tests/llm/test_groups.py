@@ -13,6 +13,7 @@ import pytest
 pytest.importorskip("tessera.llm")
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tessera.llm import phrases, queries, simhash, tries
 
@@ -247,3 +248,31 @@ def test_trie_of_odd_conversations(spark, partitions):
     again = tries.prefix_trie(*tries.with_shared_heads(tries.numbered_turns(turns)))
     assert sorted(map(tuple, again.collect()), key=str) == plain_trie(rebuilt(want))
     assert tries.conversation_trie(turns.limit(0)).count() == 0
+
+
+# texts above one chunk, for operators that other tests give short ones only
+
+
+def test_long_texts_in_groups_chats_and_quality(spark):
+    from tessera.llm import chats, fingerprints, neardup, quality
+
+    many = 160_000
+    long = " ".join(f"w{i % 5003}x{i // 7}" for i in range(many))
+    assert len(long) > 1 << 20
+    docs = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "short text"), (4, long[: len(long) // 2])], "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs).collect()}
+    words = long.split()
+    sizes = [len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) for w in (words, words + ["tail"], long[: len(long) // 2].split())]
+    assert got == {1: (sizes[0], 1), 2: (sizes[1], 1), 3: (1, 3), 4: (sizes[2], 4)}
+
+    messages = spark.createDataFrame([(1, 0, "user", long), (1, 1, "user", "something else"), (1, 2, "assistant", f"> {long}\nmy answer")], "conv_id long, turn long, role string, text string")
+    linked = {r.turn: (r.reply_to, r.text) for r in chats.link_quotations(messages).collect()}
+    assert linked == {0: (None, long), 1: (None, "something else"), 2: (0, "my answer")}
+
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int"))
+    assert {r.id: r.n_ngrams for r in quality.classify(docs, model).collect()}[1] == 2 * (2 * many - 1)
+
+    # names that the operator uses itself
+    clash = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("fingerprint"), F.lit("x").alias("text"), F.lit(1).alias("near_next"))
+    marks = fingerprints.fingerprint_documents(clash, "id", "fingerprint")
+    assert marks.count() == 4 and marks.select("fingerprint").distinct().count() >= 3
