@@ -202,9 +202,9 @@ s as (select run_id, unnest([{{'segment': 'get_image', 'ms': get_image}}, {', '.
   {{'segment': 'palm_other', 'ms': palm_total - ({' + '.join(f'coalesce({n}, 0)' for ns in _PARTS.values() for n in ns)})}}, {{'segment': 'hand_total', 'ms': hand_total}}, {{'segment': 'draw', 'ms': draw}},
   {{'segment': 'process_overhead', 'ms': process - (coalesce(palm_total, 0) + draw + coalesce(hand_total, 0))}}, {{'segment': 'loop_overhead', 'ms': loop - (get_image + process)}}], recursive := true) from m),
 p as (select *, ms < 0.20 or ms / sum(ms) over (partition by run_id) < 0.025 as small from s where ms > 0)
-select run_id, case when small then 'small_stages' else segment end as segment, round(sum(ms), 6) as ms from p group by 1, 2""")
+select run_id, case when small then 'small_stages' else segment end as segment, round(sum(ms), 9) as ms from p group by 1, 2""")
 def p95_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(telemetry.p95_breakdown(telemetry.frame_windows(A.frames(spark, sf_dir), 20)))
+    return rounded(telemetry.p95_breakdown(telemetry.frame_windows(A.frames(spark, sf_dir), 20)), 9)
 
 
 # files and streams
