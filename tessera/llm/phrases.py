@@ -180,15 +180,15 @@ def _count_longer(heavy: list[np.ndarray], depth: int, sieve: bytes):
     return run
 
 
-def _squeezed(columns: list[np.ndarray]) -> bytes:
-    """Columns of numbers below 2**32, sorted ones above all, compressed byte by byte."""
-    planes = np.array(columns, "<u4").view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)
+def _squeezed(columns: list[np.ndarray], width: int) -> bytes:
+    """Columns of numbers of so many bytes, sorted ones above all, compressed byte by byte."""
+    planes = np.array(columns, f"<u{width}").view(np.uint8).reshape(len(columns), -1, width).transpose(0, 2, 1)
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def _unsqueezed(raw: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(-1, 4, n)
-    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+def _unsqueezed(raw: bytes, columns: int, width: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(columns, width, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f"<u{width}")[:, :, 0]
 
 
 def _route(heavy: list[np.ndarray], bounds: np.ndarray, sieve: bytes):
@@ -203,8 +203,8 @@ def _route(heavy: list[np.ndarray], bounds: np.ndarray, sieve: bytes):
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
             own, codes = np.unique(words[a:b], return_inverse=True)
             codes, counts = _added(list(codes.reshape(-1, LONGEST).T), np.ones(b - a, np.int64))
-            out.append((int(group[a]), own.tobytes(), _squeezed([*codes, counts]), len(counts)))
-        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.int64()))], ["group", "words", "codes", "n"])
+            out.append((int(group[a]), _squeezed([np.diff(own, prepend=np.uint64(0))], 8), _squeezed([*codes, counts], 4)))
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], ["group", "words", "codes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, held = np.frombuffer(sieve, np.uint8), []
@@ -235,11 +235,11 @@ def _subtrees(heavy: list[np.ndarray], least: int):
     fewer leaves goes before the next level."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()]
+        lists = [np.cumsum(_unsqueezed(x, 1, 8)[0], dtype=np.uint64) for x in group.column("words").to_pylist()]
         every = np.unique(np.concatenate(lists))
         rows = []
-        for own, raw, n in zip(lists, group.column("codes").to_pylist(), group.column("n").to_pylist()):
-            held = _unsqueezed(raw, n)
+        for own, raw in zip(lists, group.column("codes").to_pylist()):
+            held = _unsqueezed(raw, LONGEST + 1, 4)
             rows.append(np.vstack([np.searchsorted(every, own).astype(np.int32)[held[:LONGEST]], held[LONGEST:].astype(np.int32)]))
         codes = np.concatenate(rows, axis=1)
         codes, times = codes[:LONGEST], codes[LONGEST]
@@ -303,7 +303,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) ->
             break
     heavy += [np.zeros(0, np.uint64)] * (LONGEST - 1 - len(heavy))
     bounds = _group_bounds(prefixes, budget)
-    routed = docs.mapInArrow(_route(heavy, bounds, sieve), "group long, words binary, codes binary, n long")
+    routed = docs.mapInArrow(_route(heavy, bounds, sieve), "group long, words binary, codes binary")
     found = routed.groupBy("group").applyInArrow(_subtrees(heavy, least), _COUNT)
     for more in counted:
         found = found.unionByName(more)
