@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.points import N_POINTS, corners
@@ -14,15 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _points(offset: int = 0, noise: float = 0.0):
     """21 points from 64 numbers: 0.5 + e[2i], 0.5 + e[2i + 1]; with noise * e[(2i + 43) % 64], e[(2i + 44) % 64] added."""
-    e = F.col("embedding")
+    def at(k: Column) -> Column:
+        return F.get("embedding", k).cast("double")
 
-    def one(i: int):
-        x, y = 0.5 + e[2 * i].cast("double"), 0.5 + e[2 * i + 1].cast("double")
+    def one(i: Column) -> Column:
+        x, y = 0.5 + at(2 * i), 0.5 + at(2 * i + 1)
         if noise:
-            x, y = x + noise * e[(2 * i + 43) % 64].cast("double"), y + noise * e[(2 * i + 44) % 64].cast("double")
-        return F.struct(F.lit(i).alias("id"), x.alias("x"), y.alias("y"))
+            x, y = x + noise * at((2 * i + 43) % 64), y + noise * at((2 * i + 44) % 64)
+        return F.struct(i.alias("id"), x.alias("x"), y.alias("y"))
 
-    return F.array(*map(one, range(N_POINTS)))
+    return F.transform(F.sequence(F.lit(0), F.lit(N_POINTS - 1)), one)
 
 
 def roi_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,7 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detection_rows(spark: SparkSession, sf_dir: str, run: str = "candidate") -> DataFrame:
     """(image, rendered, error, detections): three ROIs of a raw image as its detections; the candidate run misses some, fails on some images, and lacks others."""
     v = F.col("vec_id")
-    made = F.array(*(F.array(*(0.5 + c.cast("double") for c in (F.col("embedding")[2 * i], F.col("embedding")[2 * i + 1]))) for i in range(N_POINTS)))
+    made = F.transform(_points(), lambda p: F.array(p["x"], p["y"]))
     shrunk = F.transform(made, lambda p: F.when(v % 9 == 0, F.transform(p, lambda c: 0.5 + (c - 0.5) / 50)).otherwise(p if run == "baseline" else F.transform(p, lambda c: c + 0.01)))
     rows = table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("raw-"), F.floor(v / 3)).alias("image"), v.alias("v"), F.struct(((v * 37 % 100) / 100).alias("hand_flag_score"), shrunk.alias("landmarks_roi_norm")).alias("d")
