@@ -48,6 +48,8 @@ def normalised(text: Column) -> Column:
 
 
 _BLANK = r"\n[ \t]*\n"
+#: Turns of one conversation that differ in the last so many bits are looked through together.
+TURN_BITS = 12
 
 
 def _digest(text: Column) -> Column:
@@ -71,6 +73,72 @@ def _of(messages: DataFrame, grain: Callable[[Column], Column]) -> DataFrame:
     return messages.select("conv_id", F.col("turn").alias("of"), F.explode(grain(F.col("own"))).alias("digest")).distinct()
 
 
+def _latest(asked: DataFrame, own: DataFrame) -> DataFrame:
+    """asked (conv_id, turn, level, grain, digest) with of, the latest earlier turn that holds the digest, and holders, how many turns hold it.
+
+    Asked and own digests pass in the order of turns, by blocks of turns first, so a digest that all turns share is in no one task.
+    """
+    group = ["conv_id", "grain", "digest"]
+    none = F.lit(None).cast("long")
+    rows = asked.select(*group, "turn", "level", none.alias("of")).unionByName(own.select(*group, F.col("of").alias("turn"), F.lit(None).cast("int").alias("level"), "of"))
+    rows = rows.where("conv_id is not null and turn is not null").withColumn("block", F.shiftright("turn", TURN_BITS))
+    whole = Window.partitionBy(*group)
+    blocks = rows.groupBy(*group, "block").agg(F.max("of").alias("m"), F.count("of").alias("n"))
+    blocks = blocks.select(*group, "block", F.max("m").over(whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.sum("n").over(whole).alias("holders"))
+    # of one turn, what it asks stands before what it holds
+    inner = Window.partitionBy(*group, "block").orderBy("turn", F.col("of").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("of", F.when(F.col("of").isNull(), F.max("of").over(inner))).where("level is not null")
+    return found.join(blocks, [*group, "block"]).withColumn("of", F.coalesce("of", "before")).drop("block", "before")
+
+
+def _answered(asked: DataFrame, own: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, grain, of): of each message's digests of one level and grain, the earlier turn that holds most; the latest of several.
+
+    The latest earlier holder of each digest is looked at first. One that holds all digests which any earlier turn holds is the answer, as a
+    later one that does would be the latest holder, too. Else, if k digests are the most that one of them holds, a turn with more has
+    one of the rarest d - k of the d digests; one as good and later has one of the rarest d - k + 1, or, for k = 1, is the latest holder
+    of a digest. Only the holders of these are looked at.
+    """
+    group = ["conv_id", "turn", "level", "grain"]
+    held = written(_latest(asked, own).where("of is not null"), "holders")
+    lists = held.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("holders", "digest"))).alias("wanted"))
+    sets = own.groupBy("conv_id", "of", "grain").agg(F.collect_list("digest").alias("own"))
+
+    def shared(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(lists, group).join(sets, ["conv_id", "of", "grain"])
+        return met.select(*group, "wanted", F.struct(F.size(F.array_intersect(F.col("wanted.digest"), "own")).alias("n"), "of").alias("best"))
+
+    first = shared(held.select(*group, "of").distinct())
+    first = written(first.groupBy(*group).agg(F.max("best").alias("best"), F.max("wanted").alias("wanted")), "answers")
+    k, d = F.col("best.n"), F.size("wanted")
+    rare = first.where(k < d).select(*group, F.explode(F.slice("wanted", F.lit(1), d - k + (k > 1).cast("int"))["digest"]).alias("digest"))
+    more = shared(rare.join(own, ["conv_id", "grain", "digest"]).where("of < turn").select(*group, "of").distinct())
+    return first.select(*group, "best").unionByName(more.select(*group, "best")).groupBy(*group).agg(F.max("best")["of"].alias("of"))
+
+
+def _placed(rows: DataFrame, slim: DataFrame, by: list[str], name: str) -> DataFrame:
+    """rows with their number (from 1) among the rows of one `by`, by turn, role and text; slim: by and turn of the same rows.
+
+    Turns are counted and numbered in ranges, so a conversation of any length is in no one task; only rows of one turn are sorted by text.
+    """
+    keys = [*by, "turn"]
+    counts = slim.groupBy(*keys).agg(F.count("*").alias("_n"))
+    ranged = written(counts.repartitionByRange(*keys).withColumn("_r", F.spark_partition_id()), "places")
+    up = lambda part, order: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*by, "_r").agg(F.sum("_n").alias("_t"))
+    totals = totals.select(*(F.col(c).alias(f"_{c}") for c in by), F.col("_r").alias("_s"), F.coalesce(F.sum("_t").over(up(by, "_r")), F.lit(0)).alias("_b"))  # a row per range
+    inner = ranged.withColumn("_i", F.coalesce(F.sum("_n").over(up([*by, "_r"], "turn")), F.lit(0)))
+    same = F.col("_r") == F.col("_s")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    begins = inner.join(totals, same).select(*(F.col(c).alias(f"_{c}") for c in keys), (F.col("_b") + F.col("_i")).alias("_b"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("role", "text"))
+    return rows.join(begins, same).withColumn(name, (F.col("_b") + nth).cast("int")).drop("_b", *(f"_{c}" for c in keys))
+
+
 def _quotes(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, level, text): a row per quoted passage."""
     return messages.select("conv_id", "turn", F.explode(F.filter("parts", lambda p: p["level"] > 0)).alias("p")).select("conv_id", "turn", "p.level", "p.text")
@@ -114,8 +182,9 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 
     Null texts are empty. Messages with equal conv_id and turn are looked up as one and keep rows of their own;
     such with a null conv_id or turn answer nothing. Digests are joined within a conversation, so a
-    text that many conversations share adds no rows; a passage that n turns of one conversation share meets
-    each earlier one of them, n * n / 2 rows of digests at most. A text of any length is parsed whole. An empty table gives an empty one;
+    text that many conversations share adds no rows. A passage that n turns of one conversation share is looked up in their order, not pair
+    by pair; pairs are made only for messages whose passages no single earlier turn holds, of their rarest passages (see _answered).
+    A text of any length is parsed whole. An empty table gives an empty one;
     other columns are left out, whatever their names.
     """
     base = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
@@ -123,9 +192,8 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     key = ["conv_id", "turn"]
     quotes = _quotes(parsed).select(*key, "level", _digest(F.col("text")).alias("whole"), F.explode(_hashes(F.col("text"))).alias("digest")).distinct()
     marks = written(_known(quotes, _of(parsed, _hashes)), "quotes")
-    direct = marks.where("level = 1 and hit").select(*key, "digest").distinct()
-    found = direct.join(_of(parsed, _hashes), ["conv_id", "digest"]).where("of < turn").groupBy(*key, "of").agg(F.count("*").alias("n"))
-    replies = written(found.groupBy(*key).agg(F.max(F.struct("n", "of"))["of"].alias("reply_to")), "replies")
+    direct = marks.where("level = 1 and hit").select(*key, "level", F.lit(0).alias("grain"), "digest").distinct()
+    replies = written(_answered(direct, _of(parsed, _hashes).withColumn("grain", F.lit(0))).select(*key, F.col("of").alias("reply_to")), "replies")
     gone = marks.where("hit").select(*key, "digest").distinct()
 
     # the few passages that no earlier message holds as a whole
@@ -142,8 +210,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         asked = _quotes(near).join(unlinked, key, "left_semi")
         asked = asked.select(*key, "level", F.lit(0).alias("grain"), F.explode(_hashes(F.col("text"))).alias("digest")).unionByName(asked.select(*key, "level", F.lit(1).alias("grain"), F.explode(_lines(F.col("text"))).alias("digest"))).distinct()
         own = _of(near, _hashes).withColumn("grain", F.lit(0)).unionByName(_of(near, _lines).withColumn("grain", F.lit(1)))
-        found = asked.join(own, ["conv_id", "grain", "digest"]).where("of < turn").groupBy(*key, "level", "grain", "of").agg(F.count("*").alias("n"))
-        more = found.groupBy(*key).agg(F.max(F.struct(-F.col("level"), -F.col("grain"), "n", "of"))["of"].alias("reply_to"))
+        more = _answered(asked, own).groupBy(*key).agg(F.min(F.struct("level", "grain", "of"))["of"].alias("reply_to"))
         replies = written(replies.unionByName(more), "replies")
 
     # each pass doubles the answers that a message's way back covers; ways that have come to an end take no further part
@@ -161,9 +228,10 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     rows = parsed.join(replies, key, "left").join(ways, key, "left").join(gone.groupBy(*key).agg(F.collect_list("digest").alias("gone")), key, "left")
     left = _remaining(F.coalesce("gone", F.array().cast("array<string>")))
     rows = rows.select("conv_id", "turn", "role", "reply_to", F.coalesce("top", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"), F.size(F.filter("parts", lambda p: p["level"] > 0)).alias("n_quoted"), left.alias("text"))
-    position = F.row_number().over(Window.partitionBy("conv_id", "thread").orderBy("turn", "role", "text"))
+    slim = parsed.select(*key).join(ways, key, "left").select("conv_id", F.coalesce("top", "turn").alias("thread"), "turn")
+    rows = _placed(rows, slim, ["conv_id", "thread"], "position")
     chat = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("user")), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
-    return rows.withColumn("position", position).withColumn("chat", chat)
+    return rows.withColumn("chat", chat)
 
 
 def threads(linked: DataFrame) -> DataFrame:
@@ -174,14 +242,17 @@ def threads(linked: DataFrame) -> DataFrame:
 
 def as_mail(messages: DataFrame) -> DataFrame:
     """The conversations as a mail client would show them: each turn quotes the one before, and the one before that twice as deep."""
-    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    back = [F.lag("text", k).over(by_turn) for k in (1, 2)]
+    rows = messages.select("conv_id", "turn", "role", "text")
+    rows = written(_placed(rows, rows, ["conv_id"], "place"), "turns")
 
     def quote(text: Column, mark: str) -> Column:
         return F.concat(F.lit(mark), F.regexp_replace(text, "\n", "\n" + mark), F.lit("\n"))
 
     text = F.concat(F.coalesce(quote(F.col("second"), "> > "), F.lit("")), F.coalesce(quote(F.col("first"), "> "), F.lit("")), F.coalesce("text", F.lit("")))
-    return messages.select("conv_id", "turn", "role", "text", back[0].alias("first"), back[1].alias("second")).withColumn("text", text).drop("first", "second")
+    for k, name in ((1, "first"), (2, "second")):
+        back = rows.select(F.col("conv_id").alias("_conv"), (F.col("place") + k).alias("_place"), F.col("text").alias(name))
+        rows = rows.join(back, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("place") == F.col("_place")), "left").drop("_conv", "_place")
+    return rows.withColumn("text", text).select("conv_id", "turn", "role", "text")
 
 
 #: By turn of each conversation: the answered turn is the latest earlier one whose text has most digests in common with the turn before.
