@@ -572,40 +572,6 @@ def test_deeper_and_partial_quotations_are_linked_and_others_stay(spark):
     assert got[6].text == "> new words\n\nDone." and got[7].text == "Both."
 
 
-def test_answered_turns_equal_all_pairs(spark, monkeypatch):
-    """Most shared digests, then the latest turn, with hot digests, several levels and turns across blocks; against all pairs."""
-    import random
-
-    monkeypatch.setattr(chats, "TURN_BITS", 3)
-    rng = random.Random(4)
-    own = {(c, t, g): {rng.choice("aaabbcdefgh") for _ in range(rng.randint(1, 4))} for c in (1, 2, -3) for t in rng.sample(range(-20, 60), 40) for g in (0, 1)}
-    asked = {(c, t, level, g): {rng.choice("aabbcdefghz") for _ in range(rng.randint(1, 5))} for c, t, g in own for level in (1, 2) if rng.random() < 0.7}
-    want = {}
-    for (c, t, level, g), digests in asked.items():
-        met = [(len(digests & held), of) for (x, of, k), held in own.items() if x == c and k == g and of < t and digests & held]
-        if met:
-            want[c, t, level, g] = max(met)[1]
-    left = spark.createDataFrame([(*k, d) for k, v in asked.items() for d in v] + [(None, 1, 1, 0, "a"), (1, None, 1, 0, "a")], "conv_id long, turn long, level int, grain int, digest string")
-    right = spark.createDataFrame([(*k, d) for k, v in own.items() for d in v] + [(None, 0, 0, "a"), (1, None, 0, "a")], "conv_id long, of long, grain int, digest string")
-    got = {(r.conv_id, r.turn, r.level, r.grain): r.of for r in chats._answered(left, right).collect()}
-    assert got == want and any(len(own[c, of, g] & asked[c, t, level, g]) < len(asked[c, t, level, g]) for (c, t, level, g), of in want.items())
-    assert chats._answered(left.limit(0), right).count() == 0 == chats._answered(left, right.limit(0)).count()
-
-
-def test_a_passage_that_all_turns_share_and_numbers_of_a_long_conversation(spark):
-    n = 400
-    rows = [(7, t, "u", f"> Best wishes\n> Ann\nNote {t}\n\nBest wishes\nAnn") for t in range(n)] + [(7, 5, "u", "again"), (None, 1, "u", "x"), (None, 1, "u", None), (8, None, None, "y")]
-    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = chats.link_quotations(messages).collect()
-    assert len(got) == len(rows)
-    assert all(r.reply_to == (r.turn - 1 if r.turn else None) for r in got if r.conv_id == 7)
-    assert sorted(r.position for r in got if r.conv_id == 7) == list(range(1, n + 2))
-    assert {r.position - r.turn for r in got if r.conv_id == 7 and r.turn < 5} == {1} and {r.position for r in got if r.conv_id == 7 and r.turn == 5} == {6, 7}
-    mail = {(r.conv_id, r.turn, r.text.count("> > ")) for r in chats.as_mail(messages.limit(3)).collect()}
-    # of turn 2: the six lines of turn 0, and the two of turn 1 that are quotes themselves
-    assert mail == {(7, 0, 0), (7, 1, 2), (7, 2, 8)}
-
-
 # odd tables
 
 def test_token_operators_on_odd_tables(docs, none):
