@@ -134,6 +134,23 @@ def test_largest_remainder(spark):
     assert dict(quotas.largest_remainder(cells, "cell", "weight", 7).select("cell", "quota").collect()) == {"a": 4, "b": 3}
 
 
+def test_shares_of_large_totals(spark):
+    # shares that are equal to six places, of which 30 million take parts of a row and more
+    n = [1000001, 1000000, 1000002]
+    cells = spark.createDataFrame([("c", n[0]), ("a", n[1]), ("b", n[2])], "cell string, n long")
+    assert {r.cell: r.quota for r in quotas.largest_remainder(cells, "cell", "n", 1).collect()} == {"a": 0, "b": 1, "c": 0}
+    total = 30_000_000
+    shares = {c: total * k // sum(n) for c, k in zip("cab", n)}
+    for c in sorted(shares, key=lambda c: -(total * dict(zip("cab", n))[c] % sum(n)))[: total - sum(shares.values())]:
+        shares[c] += 1
+    assert {r.cell: r.quota for r in quotas.largest_remainder(cells, "cell", "n", total).collect()} == shares
+    sizes = [10**7, 2 * 10**7, 3 * 10**7]
+    rows = spark.createDataFrame([("p", f"d{k}", float(math.sqrt(v)), v) for k, v in enumerate(sizes)], "plan_id string, cell string, weight double, capacity long")
+    exact = [total // 2 * math.sqrt(v) / sum(map(math.sqrt, sizes)) for v in sizes]
+    got = [r.quota for r in quotas.bounded_quota(rows, total // 2).orderBy("cell").collect()]
+    assert sum(got) == total // 2 and all(abs(a - b) < 1 for a, b in zip(got, exact))
+
+
 def test_bounded_quotas(spark):
     cells = spark.createDataFrame([("p", "a", 1.0, 2), ("p", "b", 1.0, 100), ("p", "c", 2.0, 100), ("q", "a", 0.0, 5)], "plan_id string, cell string, weight double, capacity int")
     got = {(r.plan_id, r.cell): r.quota for r in quotas.bounded_quota(cells, 12).collect()}
