@@ -33,6 +33,14 @@ def ordered_output(df: DataFrame, *keys, partitions: int | None = None) -> DataF
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def first_ordered(ordered: DataFrame) -> DataFrame:
+    """The first row of ordered_output(). A limit would take a row of whichever task's result comes first; this takes the one whose
+    task and place in it come first, of a single row per task."""
+    placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+    first = placed.agg(F.min_by(F.struct(*ordered.columns), "_at").alias("_row"), F.count("*").alias("_n"))
+    return first.where("_n > 0").select("_row.*")
+
+
 def ordered_positions(df: DataFrame, *keys: str, out: str = "position") -> DataFrame:
     """df with each row's place, from 1, in the order of the keys: places in a range, behind the rows of the ranges before, which are counted."""
     ranged = written(df.repartitionByRange(*keys).withColumn("_r", F.spark_partition_id()), "ordered")

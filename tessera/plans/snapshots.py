@@ -415,7 +415,7 @@ def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), "n") for op, df in made.items()]
     ordered = sets.ordered_output(assets, "digest", "id")
     least = assets.agg(F.min_by("id", F.struct("digest", "id")).alias("m"))
-    differs = ordered.limit(1).crossJoin(least).agg(F.sum((F.col("id") != F.col("m")).cast("int")).alias("n")).select(F.lit("first_differs").alias("op"), "n")
+    differs = sets.first_ordered(ordered).crossJoin(least).agg(F.sum((F.col("id") != F.col("m")).cast("int")).alias("n")).select(F.lit("first_differs").alias("op"), "n")
     return sets.union_all(*counts, differs)
 
 

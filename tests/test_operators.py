@@ -714,6 +714,16 @@ def test_set_operations(spark):
     assert [r.id for r in sets.ordered_output(b, "id").collect()] == [1, 2] and sets.all_tokens(b, b).count() == 2
 
 
+def test_first_row_of_an_ordered_output(spark):
+    from tessera.plans import catalog
+
+    rows = spark.range(0, 400, 1, 8).select((399 - F.col("id")).alias("id"))
+    assert [r.id for r in sets.first_ordered(sets.ordered_output(rows, "id", partitions=8)).collect()] == [0]
+    assert sets.first_ordered(sets.ordered_output(rows.where("id < 0"), "id")).collect() == []
+    # on a cluster a limit takes the row of whichever task is read first
+    assert "Limit" not in catalog.queries()["set_operations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+
+
 # selection
 
 POOL = "id int, dataset_id string, sample_type string, source_sequence_id string, score double, tokens array<string>"
