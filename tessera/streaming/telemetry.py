@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -15,23 +15,23 @@ from ..operators.telemetry import TIMINGS
 from ..sources.files import append_round
 
 _STATS = ("avg", "p50", "p95", "max")
-WINDOW_SCHEMA = "run_id long, window long, frames long, frame_index long, window_ms double, " + ", ".join(f"{t}_{s} double" for t in TIMINGS for s in _STATS) + ", fps_avg double, fps_p95 double"
+_EVENT_SCHEMA = "run_id long, window long, frames long, frame_index long, window_ms double, stats array<double>, timings array<double>, problem string"
 
-_EVENT_SCHEMA = WINDOW_SCHEMA + ", " + ", ".join(f"{t} double" for t in TIMINGS) + ", problem string"
-_EVENT_COLUMNS = [c.split()[0] for c in _EVENT_SCHEMA.split(", ")]
 
+def _statistics(values: Iterable[float | None]) -> list[float | None]:
+    """Average, median, p95 and maximum by the rules of the batch operator: nulls don't count, NaN is above all numbers."""
+    v = sorted((x for x in values if x is not None), key=lambda x: (x != x, x))
+    n = len(v)
+    return [sum(v) / n, v[(n - 1) // 2], v[max(-(-95 * n // 100), 1) - 1], v[-1]] if n else [None] * 4
 
-def window_row(run_id: int, window: int, rows: pd.DataFrame) -> dict:
-    """The statistics of one full window, by the rules of the batch operator."""
-    out = {"run_id": run_id, "window": window, "frames": len(rows), "frame_index": int(rows["frame_index"].max()), "window_ms": float(rows["loop_ms"].sum())}
-    n = len(rows)
-    for t in TIMINGS:
-        v = sorted(rows[t])
-        out |= {f"{t}_avg": sum(v) / n, f"{t}_p50": v[(n - 1) // 2], f"{t}_p95": v[max(-(-95 * n // 100), 1) - 1], f"{t}_max": v[-1]}
-    fps = sorted(1000 / v for v in rows["loop_ms"] if v > 0)  # a frame without loop time has no rate
-    if fps:
-        out |= {"fps_avg": sum(fps) / len(fps), "fps_p95": fps[max(-(-95 * len(fps) // 100), 1) - 1]}
-    return out
+
+def window_row(run_id: int, window: int, frames: dict[int, list[float | None]]) -> Row:
+    """The statistics of one full window: those of each timing in turn, then the average and p95 of the frame rate."""
+    columns = list(zip(*frames.values()))
+    loops = [v for v in columns[TIMINGS.index("loop_ms")] if v is not None]
+    rate = _statistics(1000 / v for v in loops if v > 0)  # a frame without loop time has no rate
+    stats = [s for column in columns for s in _statistics(column)] + [rate[0], rate[2]]
+    return Row(run_id=run_id, window=window, frames=len(frames), frame_index=max(frames), window_ms=sum(loops) if loops else None, stats=stats, timings=None, problem=None)
 
 
 class FrameWindows(StatefulProcessor):
@@ -41,54 +41,47 @@ class FrameWindows(StatefulProcessor):
     more than `lag` later windows have come or begun; so a run's state is lag + 1 windows at most. Frames of a window that was
     closed before it was full are given as `incomplete`, frames that come after theirs was closed or given as `late`, repeated
     frames of an open window as `repeated`, and frames without an index as `no_index`.
+
+    All of a run's state is one value, as each access to the state is a message to Spark, and there may be very many runs.
     """
 
     def __init__(self, n: int, lag: int = 8):
         self.n, self.lag = n, lag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.frames = handle.getListState("frames", "frame_index long, " + ", ".join(f"{t} double" for t in TIMINGS))
-        self.given = handle.getListState("given", "window long")
-        self.closed = handle.getValueState("closed", "window long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns, out = ["frame_index", *TIMINGS], []
-
-        def refuse(part: pd.DataFrame, problem: str) -> None:
-            for r in part.itertuples(index=False):
-                index = None if pd.isna(r[0]) else int(r[0])
-                out.append({"run_id": key[0], "window": None if index is None else index // self.n, "frame_index": index, **dict(zip(TIMINGS, r[1:])), "problem": problem})
-
-        held = pd.DataFrame(list(self.frames.get()), columns=columns)
-        given = {int(w[0]) for w in self.given.get()}
-        closed = self.closed.get()[0] if self.closed.exists() else None
-        new = pd.concat([r[columns] for r in rows])
-        refuse(new[new["frame_index"].isna()], "no_index")
-        new = new[new["frame_index"].notna()]
-        window = new["frame_index"] // self.n
-        late = window.isin(given) | ((window <= closed) if closed is not None else False)
-        refuse(new[late], "late")
-        held = pd.concat([held, new[~late]]) if len(held) else new[~late]
-        again = held.duplicated("frame_index")
-        refuse(held[again], "repeated")
-        held = held[~again]
-        for w, own in held.groupby(held["frame_index"] // self.n):
-            if len(own) == self.n:
-                out.append(window_row(key[0], int(w), own))
-                given.add(int(w))
-        held = held[~(held["frame_index"] // self.n).isin(given)]
-        seen = sorted(given | set((held["frame_index"] // self.n).astype("int64")))
+        self.open = handle.getValueState("open", "closed long, given array<long>, indexes array<long>, timings array<double>")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        closed, given, indexes, flat = self.open.get() or (None, [], [], [])
+        given, held, out, width = set(given), {}, [], len(TIMINGS)
+        for k, i in enumerate(indexes):
+            held.setdefault(i // self.n, {})[i] = flat[k * width : (k + 1) * width]
+
+        def refuse(i: int | None, timings: list[float | None], problem: str) -> None:
+            out.append(Row(run_id=key[0], window=None if i is None else i // self.n, frames=None, frame_index=i, window_ms=None, stats=None, timings=list(timings), problem=problem))
+
+        for i, timings in ((r["frame_index"], r["timings"]) for r in rows):
+            if i is None:
+                refuse(i, timings, "no_index")
+            elif i // self.n in given or (closed is not None and i // self.n <= closed):
+                refuse(i, timings, "late")
+            elif i in held.setdefault(i // self.n, {}):
+                refuse(i, timings, "repeated")
+            else:
+                held[i // self.n][i] = timings
+        for w in sorted(w for w, own in held.items() if len(own) == self.n):
+            out.append(window_row(key[0], w, held.pop(w)))
+            given.add(w)
+        seen = sorted(given | set(held))
         if len(seen) > self.lag + 1:
             closed = seen[-self.lag - 2]  # later than what was closed before, as all that is seen is
-            old = held["frame_index"] // self.n <= closed
-            refuse(held[old], "incomplete")
-            held, given = held[~old], {w for w in given if w > closed}
-            self.closed.update((int(closed),))
-        for state, values in ((self.frames, [(int(r[0]), *map(float, r[1:])) for r in held.itertuples(index=False)]), (self.given, [(w,) for w in sorted(given)])):
-            state.put(values) if values else state.clear()
-        if out:
-            frame = pd.DataFrame(out, columns=_EVENT_COLUMNS).astype({c: "Int64" for c in ("run_id", "window", "frames", "frame_index")})
-            yield frame.assign(problem=pd.Series([r.get("problem") for r in out], dtype=object))
+            for w in [w for w in seen if w <= closed]:
+                given.discard(w)
+                for i, timings in held.pop(w, {}).items():
+                    refuse(i, timings, "incomplete")
+        frames = [(i, timings) for own in held.values() for i, timings in own.items()]
+        self.open.update((closed, sorted(given), [i for i, _ in frames], [v for _, timings in frames for v in timings]))
+        yield from out
 
     def close(self) -> None:
         pass
@@ -97,7 +90,11 @@ class FrameWindows(StatefulProcessor):
 def frame_events_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> DataFrame:
     """Full windows (problem is null) and the frames that are in none (problem, and the frame's timings), in one stream: split it in
     foreachBatch to keep both of one run of the state."""
-    return frames.groupBy("run_id").transformWithStateInPandas(FrameWindows(n, lag), _EVENT_SCHEMA, "Append", "None")
+    packed = frames.select(F.col("run_id").cast("long").alias("run_id"), F.col("frame_index").cast("long").alias("frame_index"), F.array(*(F.col(t).cast("double") for t in TIMINGS)).alias("timings"))
+    events = packed.groupBy("run_id").transformWithState(FrameWindows(n, lag), _EVENT_SCHEMA, "Append", "None")
+    names = [*(f"{t}_{s}" for t in TIMINGS for s in _STATS), "fps_avg", "fps_p95"]
+    unpacked = (F.get(c, F.lit(k)).alias(name) for c, own in (("stats", names), ("timings", TIMINGS)) for k, name in enumerate(own))
+    return events.select("run_id", "window", "frames", "frame_index", "window_ms", *unpacked, "problem")
 
 
 def frame_windows_stream(frames: DataFrame, n: int = 120, lag: int = 8) -> DataFrame:

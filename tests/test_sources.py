@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tessera.operators import telemetry
@@ -141,6 +142,37 @@ def test_a_missing_frame_does_not_stop_a_run(spark, tmp_path):
     assert sorted(bad) == [("incomplete", i) for i in range(10, 20) if i != 13] + [("late", i) for i in (13, 31, 59)]
 
 
+class Messages:
+    """A state that counts what is asked of it."""
+
+    def __init__(self):
+        self.asked, self.value = 0, None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked, self.value = self.asked + 1, value
+
+
+def test_a_run_asks_its_state_twice():
+    def frame(i):
+        return Row(run_id=1, frame_index=i, timings=[float(i), None, *[0.5] * (len(telemetry.TIMINGS) - 2)])
+
+    state, windows = Messages(), live.FrameWindows(4, 1)
+    windows.init(state)
+    first = list(windows.handleInputRows((1,), iter([frame(i) for i in (0, 1, 2, 4, 5, 5)]), None))
+    assert state.asked == 2 and [(r.problem, r.frame_index) for r in first] == [("repeated", 5)]
+    full = list(windows.handleInputRows((1,), iter([frame(i) for i in (7, 6, 3)]), None))
+    assert state.asked == 4 and [(r.window, r.frames, r.frame_index, r.stats[:8]) for r in full] == [(0, 4, 3, [1.5, 1.0, 3.0, 3.0] + [None] * 4), (1, 4, 7, [5.5, 5.0, 7.0, 7.0] + [None] * 4)]
+    again = list(windows.handleInputRows((1,), iter([frame(0), frame(8), frame(12)]), None))
+    assert [(r.problem, r.frame_index) for r in again] == [("late", 0)] and state.value[0] == 1 and state.value[2] == [8, 12]
+
+
 def test_live_log_metrics(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "a.log").write_text("[PERF][stage_ms] a=1\n[PERF][summary] frame=9\n00:01 [PERF][stage_ms] a=2 a=3 b=x\n[PERF][stage_ms] c=4\n")
