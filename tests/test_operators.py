@@ -600,6 +600,20 @@ def test_anchors_and_rotated_overlap(spark):
     assert got == pytest.approx([0.0, 1 / 3, 0.0, 0.25, 0.0])
 
 
+def test_turned_overlaps_are_cut_in_batches(spark):
+    def turned(angle, size, x=0.0, y=0.0):
+        c, s = size * math.cos(angle) / 2, size * math.sin(angle) / 2
+        return [[x + dx * c - dy * s, y + dx * s + dy * c] for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+
+    octagon = 2 * (math.sqrt(2) - 1)  # what a unit square and itself turned by 45 degrees share
+    cases = [(turned(0, 1), turned(math.pi / 4, 1), octagon / (2 - octagon)), (turned(0.3, 1), turned(0.3, 1), 1.0), (turned(0.3, 2)[::-1], turned(1.1, 1)[::-1], 0.25), (turned(0.3, 1), turned(1.1, 1, 3.0), 0.0), (None, turned(0, 1), 0.0)]
+    pairs = spark.createDataFrame([(*c, k) for k in range(3) for c in cases], "quad_a array<array<double>>, quad_b array<array<double>>, want double, k int")
+    found = detections.rotated_iou(pairs)
+    assert [r.iou for r in found.collect()] == pytest.approx([c[2] for c in cases] * 3)
+    plan = found._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan  # no loop over a row's corners
+
+
 def test_predictor_must_cover_its_batch(spark):
     rows = table(spark, [label(i) for i in range(40)]).select("roi_id").repartition(3)
     schema, sizes = "roi_id string, s double", spark.sparkContext.accumulator(0)
