@@ -196,6 +196,13 @@ def read_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.select("image", "rendered", "error", F.posexplode_outer("detections").alias("position", "d")).select("image", "rendered", "error", "position", "d.*")
 
 
+def collected_lines(lines: DataFrame) -> DataFrame:
+    """(file, line_no, line) of files that hold many runs, in any mixture -> (file, run, line_no, line): each line begins with its run's
+    name and a tab; the run of a line without a tab is empty. A name means a run within its file only."""
+    tab = F.instr("line", "\t")
+    return lines.select("file", F.when(tab > 0, F.substring_index("line", "\t", 1)).otherwise("").alias("run"), "line_no", F.when(tab > 0, F.substring("line", tab + 1, F.length("line"))).otherwise(F.col("line")).alias("line"))
+
+
 def read_perf_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(run_id, line_no, line): a device's log files, a file a run, for operators.telemetry.parse_lines."""
     return read_text_with_line_no(spark, paths).withColumnRenamed("file", "run_id")
@@ -219,8 +226,10 @@ def frame_stream(spark: SparkSession, path: str, form: str = "json") -> DataFram
     return spark.readStream.schema(FRAME_SCHEMA).format(form).load(path)
 
 
-def line_stream(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of log files as they arrive in a folder; each file is read as one text and must fit into a row."""
+def line_stream(spark: SparkSession, path: str, collected: bool = False) -> DataFrame:
+    """(file, line_no, line) of log files as they arrive in a folder, (file, run, line_no, line) of `collected` ones; each file is read as
+    one text and must fit into a row."""
     files = spark.readStream.text(path, wholetext=True)
     lines = files.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-    return lines.select("file", (F.col("line_no") + 1).cast("long").alias("line_no"), "line").where("line <> ''")
+    lines = lines.select("file", (F.col("line_no") + 1).cast("long").alias("line_no"), "line").where("line <> ''")
+    return collected_lines(lines) if collected else lines

@@ -117,42 +117,46 @@ _NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
 
 
 class LogMetrics(StatefulProcessor):
-    """Numbers of a log file's lines in their order, with the number of the last summary line so far."""
+    """Numbers of a log file's lines in their order, with the number of the last summary line of their run so far.
+
+    The state of all runs of a file is one value, as each access to the state is a message to Spark, and there may be very many runs.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.windows = handle.getValueState("windows", "n long")
+        self.windows = handle.getValueState("windows", "runs array<string>, n array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = self.windows.get()[0] if self.windows.exists() else 0
-        out = []
-        for number, line in pd.concat(list(rows)).sort_values("line_no")[["line_no", "line"]].itertuples(index=False):
+        windows, out = dict(zip(*(self.windows.get() or ((), ())))), []
+        for run, number, line in pd.concat(list(rows)).sort_values("line_no")[["run", "line_no", "line"]].itertuples(index=False):
             if not (head := _LINE.search(line or "")):
                 continue
             section, values = head[1], dict(_PAIR.findall(head[2]))
-            n += section == "summary"
-            out += [(key[0], n, section, int(number), f"{section}.{name}", float(text)) for name, text in values.items() if _NUMBER.match(text)]
-        self.windows.update((n,))
+            n = windows[run] = windows.get(run, 0) + (section == "summary")
+            out += [(key[0], run, n, section, int(number), f"{section}.{name}", float(text)) for name, text in values.items() if _NUMBER.match(text)]
+        self.windows.update((list(windows), list(windows.values())))
         if out:
-            yield pd.DataFrame(out, columns=["file", "window", "section", "line_no", "metric", "value"])
+            yield pd.DataFrame(out, columns=["file", "run", "window", "section", "line_no", "metric", "value"])
 
     def close(self) -> None:
         pass
 
 
 def perf_log_stream(lines: DataFrame) -> DataFrame:
-    """(file, line_no, line) -> (file, window, section, line_no, metric, value) as they come; window 0 holds orphans.
+    """(file, line_no, line), or with run -> (file, run, window, section, line_no, metric, value) as they come; window 0 holds orphans.
 
-    Lines may come in any order inside a micro-batch; later batches hold later lines. A section that a window repeats replaces
-    the one before: of a file, window and section the rows with the last line_no hold, as latest_sections() keeps them.
+    Without a column run each file is a run, named by an empty text. Lines may come in any order inside a micro-batch; later batches
+    hold later lines of a file. A section that a window repeats replaces the one before: of a file, run, window and section the rows with
+    the last line_no hold, as latest_sections() keeps them.
     """
-    return lines.groupBy("file").transformWithStateInPandas(LogMetrics(), "file string, window long, section string, line_no long, metric string, value double", "Append", "None")
+    named = lines.select("file", F.coalesce("run", F.lit("")).alias("run") if "run" in lines.columns else F.lit("").alias("run"), "line_no", "line")
+    return named.groupBy("file").transformWithStateInPandas(LogMetrics(), "file string, run string, window long, section string, line_no long, metric string, value double", "Append", "None")
 
 
 def latest_sections(metrics: DataFrame) -> DataFrame:
-    """What perf_log_stream has written so far, as log_metrics() gives it: (file, window, metric, value) of windows from 1 on."""
+    """What perf_log_stream has written so far, as log_metrics() gives it: (file, run, window, metric, value) of windows from 1 on."""
     rows = metrics.where("window > 0 and section <> 'config'")
-    last = F.max("line_no").over(Window.partitionBy("file", "window", "section"))
-    return rows.withColumn("_last", last).where("line_no = _last").select("file", "window", "metric", "value")
+    last = F.max("line_no").over(Window.partitionBy("file", "run", "window", "section"))
+    return rows.withColumn("_last", last).where("line_no = _last").select("file", "run", "window", "metric", "value")
 
 
 def mining_rounds(scored: DataFrame, ledger: str, k: int, checkpoint: str, read_ledger: Callable[[], DataFrame], once: bool = False):

@@ -4,7 +4,9 @@ import hashlib
 import json
 import struct
 import zlib
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -186,6 +188,54 @@ def test_live_log_metrics(spark, tmp_path):
     assert sorted((r.window, r.metric, r.value) for r in live.latest_sections(spark.table("log")).collect()) == [(1, "stage_ms.c", 4.0), (1, "summary.frame", 9.0)]
 
 
+def test_collected_logs_hold_many_runs(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("1\t[PERF][stage_ms] a=1\n2\t[PERF][summary] frame=9\n1\t[PERF][summary] frame=8\n2\t00:01 [PERF][stage_ms] a=2\n1\t[PERF][stage_ms] a=3\n[PERF][summary] frame=7\n2\t[PERF][stage_ms] a=5 b=x\n")
+    (logs / "b.log").write_text("1\t[PERF][stage_ms] a=4\n")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    run = live.perf_log_stream(files.line_stream(spark, str(logs), collected=True)).writeStream.format("memory").queryName("collected").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    name = lambda file: file.rpartition("/")[2]
+    assert sorted((name(r.file), r.run, r.window, r.metric, r.value) for r in spark.table("collected").collect()) == [
+        ("a.log", "", 1, "summary.frame", 7.0), ("a.log", "1", 0, "stage_ms.a", 1.0), ("a.log", "1", 1, "stage_ms.a", 3.0), ("a.log", "1", 1, "summary.frame", 8.0),
+        ("a.log", "2", 1, "stage_ms.a", 2.0), ("a.log", "2", 1, "stage_ms.a", 5.0), ("a.log", "2", 1, "summary.frame", 9.0), ("b.log", "1", 0, "stage_ms.a", 4.0),
+    ]
+
+
+def test_a_log_file_asks_its_state_twice_for_all_its_runs():
+    def lines(*rows):
+        return iter([pd.DataFrame(rows, columns=["run", "line_no", "line"])])
+
+    state, log = Messages(), live.LogMetrics()
+    log.init(state)
+    rows = [(str(k % 50), k, f"[PERF][summary] frame={k}") for k in range(100)]
+    first = pd.concat(log.handleInputRows(("f",), lines(*reversed(rows)), None))
+    assert state.asked == 2 and list(zip(first.run, first.window, first.value)) == [(str(k % 50), k // 50 + 1, float(k)) for k in range(100)]
+    again = pd.concat(log.handleInputRows(("f",), lines(("7", 100, "[PERF][stage_ms] a=1"), ("x", 101, "[PERF][stage_ms] a=2")), None))
+    assert state.asked == 4 and list(zip(again.run, again.window, again.value)) == [("7", 2, 1.0), ("x", 0, 2.0)]
+
+
+@pytest.mark.parametrize("name", ["live_log_metrics"])
+def test_log_files_are_fewer_than_runs(spark, tmp_path, monkeypatch, name):
+    import __spark_entry__ as entry
+    from tessera.plans import reports
+
+    rows = spark.range(40 * 21).selectExpr("id event_id", "timestamp_seconds(id) ts", "id % 40 user_id", "'click' event_type", "id % 7 / 3 value")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    folders, folder = [], reports._folder
+    monkeypatch.setattr(reports, "_folder", lambda *a: folders.append(folder(*a)) or folders[-1])
+    got = {r.metric: r.n for r in entry.queries()[name](spark, str(tmp_path)).collect()}
+    assert {got.pop("orphans", 20)} == {20} and set(got.values()) == {40} and len(got) == 6
+    written = list(Path(folders[0]).rglob("part-*"))
+    assert 0 < len(written) <= 8
+    named = {line.partition("\t")[0] for f in written for line in f.read_text().splitlines()}
+    assert named == {str(k) for k in range(40)}
+
+
 def test_mining_rounds_as_micro_batches(spark, tmp_path):
     schema = "roi_id string, difficulty double, error_px double"
     ledger = str(tmp_path / "ledger")
