@@ -203,9 +203,16 @@ def collected_lines(lines: DataFrame) -> DataFrame:
     return lines.select("file", F.when(tab > 0, F.substring_index("line", "\t", 1)).otherwise("").alias("run"), "line_no", F.when(tab > 0, F.substring("line", tab + 1, F.length("line"))).otherwise(F.col("line")).alias("line"))
 
 
-def read_perf_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(run_id, line_no, line): a device's log files, a file a run, for operators.telemetry.parse_lines."""
-    return read_text_with_line_no(spark, paths).withColumnRenamed("file", "run_id")
+def read_perf_log(spark: SparkSession, paths: str | list[str], collected: bool = False) -> DataFrame:
+    """(run_id, line_no, line): devices' log files, for operators.telemetry.parse_lines.
+
+    A file is a run, with its path as run_id; or, `collected`, a file holds many runs as collected_lines() takes them, run_id is
+    <file>#<run>, and line_no counts the lines of the file.
+    """
+    lines = read_text_with_line_no(spark, paths)
+    if not collected:
+        return lines.withColumnRenamed("file", "run_id")
+    return collected_lines(lines).select(F.concat_ws("#", "file", "run").alias("run_id"), "line_no", "line")
 
 
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:

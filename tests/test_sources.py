@@ -204,6 +204,10 @@ def test_collected_logs_hold_many_runs(spark, tmp_path):
         ("a.log", "", 1, "summary.frame", 7.0), ("a.log", "1", 0, "stage_ms.a", 1.0), ("a.log", "1", 1, "stage_ms.a", 3.0), ("a.log", "1", 1, "summary.frame", 8.0),
         ("a.log", "2", 1, "stage_ms.a", 2.0), ("a.log", "2", 1, "stage_ms.a", 5.0), ("a.log", "2", 1, "summary.frame", 9.0), ("b.log", "1", 0, "stage_ms.a", 4.0),
     ]
+    parsed = telemetry.parse_lines(files.read_perf_log(spark, str(logs), collected=True))
+    batch = sorted((name(r.run_id), r.window, r.metric, r.value) for r in telemetry.log_metrics(parsed).collect())
+    assert batch == sorted((f"{name(r.file)}#{r.run}", r.window, r.metric, r.value) for r in live.latest_sections(spark.table("collected")).collect())
+    assert sorted(name(r.run_id) for r in telemetry.orphans(parsed).collect()) == ["a.log#1", "b.log#1"]
 
 
 def test_a_log_file_asks_its_state_twice_for_all_its_runs():
@@ -219,7 +223,7 @@ def test_a_log_file_asks_its_state_twice_for_all_its_runs():
     assert state.asked == 4 and list(zip(again.run, again.window, again.value)) == [("7", 2, 1.0), ("x", 0, 2.0)]
 
 
-@pytest.mark.parametrize("name", ["live_log_metrics"])
+@pytest.mark.parametrize("name", ["live_log_metrics", "perf_log_files"])
 def test_log_files_are_fewer_than_runs(spark, tmp_path, monkeypatch, name):
     import __spark_entry__ as entry
     from tessera.plans import reports
